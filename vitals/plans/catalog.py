@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitals.config import EVENTS as CFG
-from vitals.operators import bronze, gold, silver
-from vitals.session import apply_settings
-from vitals.sources import staging
+from vitals.operators import bronze, calendar, gold, quality, silver
+from vitals.session import apply_settings, scratch_path
+from vitals.sources import staging, xml
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 USER = ("user_id",)
@@ -217,3 +217,217 @@ def q_daily_sleep_by_user(spark, d):
 @query("summary_by_user")
 def q_summary_by_user(spark, d):
     return _summary(spark, d, USER)
+
+
+# ------------------------------------------------------------ XML sources
+
+_EXPORTS: dict[str, str] = {}
+
+
+def staged_export(spark, d) -> str:
+    """The XML export of the staged inputs, written once per process."""
+    if d not in _EXPORTS:
+        _EXPORTS[d] = staging.write_export(spark, d, scratch_path(spark, "export"))
+    return _EXPORTS[d]
+
+
+@query("record_scan_xml")
+def q_record_scan_xml(spark, d):
+    """Every <Record> of the export by the split text scan."""
+    return xml.scan_records(spark, staged_export(spark, d))
+
+
+@query("record_context_filter")
+def q_record_context_filter(spark, d):
+    """Records outside workouts (multiset difference)."""
+    records, _ = xml.read_export(spark, staged_export(spark, d))
+    return records
+
+
+@query("record_scan_dom")
+def q_record_scan_dom(spark, d):
+    """S1 strict form: the built-in XML source, then the context filter."""
+    records, _ = xml.read_export(spark, staged_export(spark, d), mode="dom")
+    return records
+
+
+@query("workout_scan_xml")
+def q_workout_scan_xml(spark, d):
+    """S4 + A12, A13: workouts by the split scan, flattened."""
+    return bronze.flatten_workouts(xml.scan_workouts(spark, staged_export(spark, d)), CFG)
+
+
+# ------------------------------------------------------------ calendar
+
+
+def _calendar(spark, d, keys=()):
+    return gold.calendar_levels(gold.daily_activity(silver_records(spark, d, keys), CFG, keys), CFG, keys)
+
+
+@query("calendar_grid")
+def q_calendar_grid(spark, d):
+    """The last-year grid coloured by energy."""
+    return calendar.calendar_grid(_calendar(spark, d), "last-year", "kcal")
+
+
+@query("calendar_grid_year")
+def q_calendar_grid_year(spark, d):
+    """C2 (calendar year) and C3 (steps)."""
+    return calendar.calendar_grid(_calendar(spark, d), "2024", "steps")
+
+
+@query("active_days")
+def q_active_days(spark, d):
+    """Active days of the last-year period."""
+    return calendar.active_days(calendar.calendar_grid(_calendar(spark, d), "last-year", "kcal"))
+
+
+@query("active_years")
+def q_active_years(spark, d):
+    """Years with data."""
+    return calendar.active_years(_calendar(spark, d))
+
+
+@query("month_labels")
+def q_month_labels(spark, d):
+    """Month labels of the last-year grid."""
+    return calendar.month_labels(calendar.calendar_grid(_calendar(spark, d), "last-year", "kcal"))
+
+
+@query("day_text")
+def q_day_text(spark, d):
+    """the text of every calendar day."""
+    from vitals.functions.text import day_text
+
+    c = _calendar(spark, d)
+    return c.select("local_date", day_text("local_date", "steps", "active_kcal", "distance_km").alias("text"))
+
+
+@query("month_labels_by_user")
+def q_month_labels_by_user(spark, d):
+    g = calendar.calendar_grid(_calendar(spark, d, USER), "last-year", "steps", USER)
+    return calendar.month_labels(g, USER)
+
+
+# ------------------------------------------------------------ quality
+
+
+def _counters(spark, d):
+    b = bronze_records(spark, d)
+    bw = bronze_workouts(spark, d)
+    s = silver_records(spark, d)
+    sl = silver_sleep(spark, d)
+    w = silver_workouts(spark, d)
+    daily = gold.daily_stats(s, CFG)
+    act = gold.daily_activity(s, CFG)
+    gw = gold.gold_workouts(w)
+    ws = gold.workout_summary(w)
+    stages = [
+        quality.count_rows(b, "bronze_records"),
+        quality.count_rows(bw, "bronze_workouts"),
+        quality.count_rows(s, "silver_records"),
+        quality.count_rows(sl, "silver_sleep_intervals"),
+        quality.count_rows(w, "silver_workouts"),
+        quality.counter_rows(
+            silver.reject_counts(b, CFG),
+            {"invalid_numeric_value": "invalid_numeric_value", "invalid_timestamp": "invalid_timestamp"},
+        ),
+    ]
+    for name, _ in (*CFG.point, *CFG.sparse):
+        stages.append(quality.count_rows(daily.where(F.col("metric") == name), f"gold_{name}"))
+    stages += [
+        quality.count_rows(act, "gold_daily_activity"),
+        quality.count_rows(gold.calendar_levels(act, CFG), "gold_daily_calendar"),
+        quality.count_rows(gold.daily_sleep(sl, CFG), "gold_daily_sleep"),
+        quality.count_rows(gw, "gold_workouts"),
+        quality.count_rows(ws, "gold_workout_summary"),
+    ]
+    return quality.merge_counters(stages)
+
+
+@query("quality_counters")
+def q_quality_counters(spark, d):
+    """Stage counters."""
+    return _counters(spark, d)
+
+
+@query("quality_checks")
+def q_quality_checks(spark, d):
+    """Q1, Q2: the named checks and their status."""
+    return quality.checks(_counters(spark, d))
+
+
+@query("quality_report")
+def q_quality_report(spark, d):
+    """The report row (run time left out), checks as text."""
+    r = quality.report(_counters(spark, d), "")
+    return r.select(
+        F.size("counters").alias("n_counters"),
+        F.array_join(F.transform("checks", lambda c: F.concat(c["check"], F.lit("="), c["status"])), ";").alias("checks"),
+        F.array_join("warnings", ";").alias("warnings"),
+    )
+
+
+# ------------------------------------------------------------ serving
+
+
+@query("serve_heart_rate")
+def q_serve_heart_rate(spark, d):
+    """V7, P10, F8: the heart-rate series of the dashboard."""
+    from vitals.plans import serving
+
+    daily = gold.daily_stats(silver_records(spark, d), CFG)
+    return serving.heart_rate_series(gold.metric_table(daily.drop("value"), CFG.summary_point))
+
+
+@query("serve_weight")
+def q_serve_weight(spark, d):
+    from vitals.plans import serving
+
+    daily = gold.daily_stats(silver_records(spark, d), CFG)
+    return serving.weight_series(gold.metric_table(daily.select("metric", "local_date", "value"), CFG.summary_sparse))
+
+
+@query("serve_workouts")
+def q_serve_workouts(spark, d):
+    from vitals.plans import serving
+
+    return serving.workout_bars(gold.workout_summary(silver_workouts(spark, d)))
+
+
+@query("serve_calendar")
+def q_serve_calendar(spark, d):
+    from vitals.plans import serving
+
+    return serving.calendar_days(_calendar(spark, d))
+
+
+# ------------------------------------------------------------ storage and jobs
+
+
+@query("parquet_roundtrip")
+def q_parquet_roundtrip(spark, d):
+    """Silver written as zstd Parquet, read back with its schema."""
+    from vitals.schemas import SILVER_RECORDS
+
+    path = scratch_path(spark, "silver")
+    silver_records(spark, d).write.mode("overwrite").option("compression", "zstd").parquet(path)
+    s = spark.read.schema(SILVER_RECORDS).parquet(path)
+    return s.select("type", "source_name", "unit", "value", _epoch("ts_utc"), "local_date")
+
+
+@query("pipeline_run")
+def q_pipeline_run(spark, d):
+    """The whole job on the XML export; its counters
+    read back from the written report."""
+    from vitals.config import Layout
+    from vitals.plans.pipeline import run_pipeline
+
+    root = scratch_path(spark, "layers")
+    run_pipeline(spark, staged_export(spark, d), root, CFG, run_at="1970-01-01T00:00:00+00:00")
+    from vitals.plans.serving import latest_quality
+
+    rep = latest_quality(spark, Layout(root))
+    return rep.select(F.explode("counters").alias("counter", "value")).select(
+        "counter", F.col("value").cast("bigint").alias("value")
+    )

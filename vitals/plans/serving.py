@@ -85,4 +85,6 @@ def ready(spark: SparkSession, layout: Layout) -> bool:
 
 
 def latest_quality(spark: SparkSession, layout: Layout) -> DataFrame:
-    return spark.read.json(layout.latest_report)
+    from vitals.schemas import REPORT
+
+    return spark.read.schema(REPORT).json(layout.latest_report)

@@ -77,3 +77,20 @@ SILVER_WORKOUTS = T.StructType(
         T.StructField("local_date", T.DateType()),
     ]
 )
+
+# Quality report as written to JSON.
+REPORT = T.StructType(
+    [
+        T.StructField("run_at", S),
+        T.StructField("counters", T.MapType(S, T.LongType())),
+        T.StructField(
+            "checks",
+            T.ArrayType(
+                T.StructType(
+                    [T.StructField("check", S), T.StructField("value", T.LongType()), T.StructField("status", S)]
+                )
+            ),
+        ),
+        T.StructField("warnings", T.ArrayType(S)),
+    ]
+)

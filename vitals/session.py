@@ -64,3 +64,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder; survives executor loss."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the shared checkpoint folder for intermediate tables."""
+    import uuid
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/vitals-{name}-{uuid.uuid4().hex[:12]}"

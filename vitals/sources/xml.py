@@ -21,8 +21,10 @@ XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE"}
 # An open tag's attribute text: anything up to the first '<' or '>' that is
 # not inside a quoted attribute value.
 ATTRIBUTES = r"""^((?:[^"'<>]|"[^"]*"|'[^']*')*)"""
-# A workout chunk starts with an attribute name (or ends its tag at once);
-# the first chunk of a file (prolog, root tag, leading records) does not.
+# A record chunk follows the tag name with white space, then an attribute or
+# the end of the tag; a workout chunk starts right at an attribute. The first
+# chunk of a file (prolog, root tag, other elements) matches neither.
+RECORD_CHUNK = r"^\s+(/?>|[A-Za-z_:][-\w:.]*\s*=)"
 WORKOUT_CHUNK = r"^\s*(/?>|[A-Za-z_:][-\w:.]*\s*=)"
 
 # Records inside a workout are collected here before the multiset difference;
@@ -50,7 +52,7 @@ def scan_records(spark: SparkSession, path: str, mode: str = "split") -> DataFra
         return raw.select(*_record_columns())
     chunks = spark.read.option("lineSep", "<Record").text(path)
     # a tag name followed by a blank, tab or line break; <RecordX is no match
-    chunks = chunks.where(F.col("value").rlike(r"^\s"))
+    chunks = chunks.where(F.col("value").rlike(RECORD_CHUNK))
     attrs = F.regexp_replace(F.regexp_extract("value", ATTRIBUTES, 1), r"/\s*$", "")
     tag = F.concat(F.lit("<Record"), attrs, F.lit("/>"))
     parsed = chunks.select(F.from_xml(tag, XML_RECORD, XML_OPTIONS).alias("r"))
