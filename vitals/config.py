@@ -171,6 +171,10 @@ class Layout:
     def bronze_records(self) -> str:
         return self._p("bronze", "records")
 
+    @property
+    def bronze_scan(self) -> str:
+        return self._p("bronze", "_scan")
+
     @property
     def bronze_workouts(self) -> str:
         return self._p("bronze", "workouts")

@@ -46,6 +46,15 @@ def reject_counts(bronze: DataFrame, cfg: MetricConfig, keys: tuple[str, ...] =
     )
 
 
+def reject_counts_from_quarantine(quarantined: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """The same counters as ``reject_counts``, from the written quarantine."""
+    r = F.col("reasons")
+    return quarantined.groupBy(*keys).agg(
+        F.count_if(F.array_contains(r, "invalid_numeric_value")).alias("invalid_numeric_value"),
+        F.count_if(F.array_contains(r, "invalid_timestamp")).alias("invalid_timestamp"),
+    )
+
+
 def quarantine(bronze: DataFrame, cfg: MetricConfig, keys: tuple[str, ...] = ()) -> DataFrame:
     """The rejected quantity rows themselves, with an array of reasons."""
     q = _quantity_rows(bronze, cfg, keys)

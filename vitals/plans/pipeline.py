@@ -14,6 +14,8 @@ import argparse
 import datetime as _dt
 import json
 
+from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ from vitals import schemas
 from vitals.config import HEALTH, Layout, MetricConfig
 from vitals.operators import bronze, gold, quality, silver
 from vitals.session import apply_settings
-from vitals.sources.xml import read_export
+from vitals.sources import xml
 
 GOLD_TABLES = (
     "gold_daily_activity",
@@ -59,10 +61,25 @@ def _with_keys(schema, keys: tuple[str, ...]):
 
 
 def ingest(spark: SparkSession, source: str, layout: Layout, cfg: MetricConfig = HEALTH, mode: str = "split") -> DataFrame:
-    """Bronze: records outside workouts and flattened workouts, as text."""
-    records, workouts = read_export(spark, source, mode)
+    """Bronze: records outside workouts and flattened workouts, as text.
+
+    The XML is parsed once. When workouts hold records, the parsed records
+    go to a scan table first and the context filter runs over that Parquet
+    (two cheap columnar reads instead of a second XML parse).
+    """
+    workouts = xml.scan_workouts(spark, source, mode).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        records = xml.scan_records(spark, source, mode)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            raise FileNotFoundError(f"export not found: {source}") from e
+        raise
+    if xml.has_nested(workouts):
+        _write(records, layout.bronze_scan)
+        records = xml.outside_workouts(_read(spark, layout.bronze_scan, schemas.BRONZE_RECORDS), workouts)
     _write(records, layout.bronze_records)
     _write(bronze.flatten_workouts(workouts, cfg), layout.bronze_workouts)
+    workouts.unpersist()
     return quality.merge_counters(
         [
             quality.count_rows(_read(spark, layout.bronze_records), "bronze_records"),
@@ -79,7 +96,8 @@ def transform(spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, k
     _write(silver.clean_intervals(b, cfg, keys), layout.silver_sleep)
     _write(silver.clean_workouts(bw, cfg, keys), layout.silver_workouts)
     _write(silver.quarantine(b, cfg, keys), layout.quarantine)
-    rejects = silver.reject_counts(b, cfg, keys)
+    # reject counters from the (small) quarantine rather than another bronze pass
+    rejects = silver.reject_counts_from_quarantine(_read(spark, layout.quarantine), keys)
     return quality.merge_counters(
         [
             quality.count_rows(b, "bronze_records", keys),

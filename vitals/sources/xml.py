@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
+from pyspark import StorageLevel
 
 from vitals.schemas import RECORD_ATTRIBUTES, RECORD_FIELDS, XML_RECORD, XML_WORKOUT
 
@@ -85,6 +86,11 @@ def nested_records(workouts: DataFrame) -> DataFrame:
     return workouts.select(F.explode("Record").alias("r")).select(*_record_columns("r."))
 
 
+def has_nested(workouts: DataFrame) -> bool:
+    """Does any workout hold a record? (Real exports mostly have none.)"""
+    return nested_records(workouts).limit(1).count() > 0
+
+
 def outside_workouts(records: DataFrame, workouts: DataFrame) -> DataFrame:
     """Multiset difference: drop one record per record nested in a workout.
 
@@ -113,7 +119,9 @@ def read_export(spark: SparkSession, path: str, mode: str = "split") -> tuple[Da
     A missing path raises ``FileNotFoundError``.
     """
     try:
-        workouts = scan_workouts(spark, path, mode)
+        # parsed once: the nested-record check, the context filter and the
+        # flattening all read it (workouts are few next to records)
+        workouts = scan_workouts(spark, path, mode).persist(StorageLevel.MEMORY_AND_DISK)
         scanned = scan_records(spark, path, mode)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
