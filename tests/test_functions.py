@@ -199,3 +199,17 @@ def test_best_source_at_most_sum_of_sources(spark):
     best = gold.best_source(per)
     total = per.groupBy("type", "local_date").agg(F.sum("total").alias("all"))
     assert best.join(total, ["type", "local_date"]).where("total > all + 1e-6").count() == 0
+
+
+def test_distributed_levels_equal_window_levels(spark, monkeypatch):
+    from vitals.config import EVENTS
+    from vitals.operators import gold, ranking, silver
+    from vitals.sources import staging
+
+    s = silver.clean_quantities(staging.raw_records(spark, SF_SMALL).drop("user_id"), EVENTS)
+    act = gold.daily_activity(s, EVENTS)
+    window = gold.calendar_levels(act, EVENTS)
+    monkeypatch.setattr(ranking, "SINGLE_TASK_ROWS", 0)
+    distributed = gold.calendar_levels(act, EVENTS)
+    assert window.count() == distributed.count() > 0
+    assert window.exceptAll(distributed).count() == 0

@@ -1,8 +1,10 @@
-"""Quartile levels without a single-task window.
+"""Quartile levels without an unbounded single-task window.
 
 ``ntile`` over an unpartitioned window moves every row into one task. With
 entity keys the window is partitioned by key (one task sees one entity's
-days). Without keys, rows are numbered globally in a distributed way:
+days). Without keys, a counted input of at most ``SINGLE_TASK_ROWS`` days
+uses the plain window; larger inputs are numbered globally in a distributed
+way:
 
 1. range-partition on the sort key, sort within partitions, and number rows
    locally (``monotonically_increasing_id`` minus the partition base);
@@ -20,6 +22,11 @@ from pyspark.sql import functions as F
 from vitals.functions.numeric import ntile_bucket
 from vitals.session import cut_lineage
 
+# Up to this many rows an unkeyed window runs in one task: the rows ranked
+# here are days (one row per day), so 10^6 rows are 2,700 years of data.
+# Beyond it the distributed numbering takes over.
+SINGLE_TASK_ROWS = 1_000_000
+
 
 def global_row_number(df: DataFrame, order: list[Column], flag: Column | None = None) -> DataFrame:
     """``df`` plus ``_rn`` (1-based, in ``order``) and ``_n_flag``, the number
@@ -59,6 +66,10 @@ def positive_ntile(df: DataFrame, value: str, tie: str, buckets: int, keys: tupl
         ranked = df.withColumn("_rn", F.row_number().over(w.orderBy(*order))).withColumn(
             "_n_flag", F.count_if(F.coalesce(pos, F.lit(False))).over(w)
         )
+    elif df.count() <= SINGLE_TASK_ROWS:
+        ranked = df.withColumn("_rn", F.row_number().over(Window.orderBy(*order))).withColumn(
+            "_n_flag", F.count_if(F.coalesce(pos, F.lit(False))).over(Window.partitionBy())
+        )
     else:
         ranked = global_row_number(df, order, pos)
     level = F.when(pos, ntile_bucket(F.col("_rn"), F.col("_n_flag"), buckets)).otherwise(F.lit(0)).cast("bigint")

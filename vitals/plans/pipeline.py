@@ -13,6 +13,8 @@ from __future__ import annotations
 import argparse
 import datetime as _dt
 import json
+import logging
+import time
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -25,6 +27,8 @@ from vitals.operators import bronze, gold, quality, silver
 from vitals.session import apply_settings
 from vitals.sources import xml
 
+log = logging.getLogger("vitals.pipeline")
+
 GOLD_TABLES = (
     "gold_daily_activity",
     "gold_daily_calendar",
@@ -36,10 +40,12 @@ GOLD_TABLES = (
 
 
 def _write(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
+    t0 = time.perf_counter()
     w = df.write.mode("overwrite").option("compression", "zstd")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    log.info("wrote %s in %.2fs", path.rsplit("/", 2)[-2:], time.perf_counter() - t0)
 
 
 def _read(spark: SparkSession, path: str, schema=None) -> DataFrame:
