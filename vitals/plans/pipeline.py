@@ -55,23 +55,33 @@ def _read(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return r.parquet(path)
 
 
-def _with_keys(schema, keys: tuple[str, ...]):
-    from pyspark.sql import types as T
-
+def _layer(spark: SparkSession, path: str, schema, keys: tuple[str, ...] = ()) -> DataFrame:
+    """A written layer with its declared columns; entity keys keep the type
+    they were written with."""
     if not keys:
-        return schema
-    return T.StructType([T.StructField(k, T.LongType()) for k in keys] + list(schema.fields))
+        return _read(spark, path, schema)
+    df = _read(spark, path)
+    return df.select(*keys, *[F.col(f.name).cast(f.dataType) for f in schema.fields])
 
 
 # ------------------------------------------------------------------ stages
 
 
-def ingest(spark: SparkSession, source: str, layout: Layout, cfg: MetricConfig = HEALTH, mode: str = "split") -> DataFrame:
+def ingest(
+    spark: SparkSession,
+    source: str,
+    layout: Layout,
+    cfg: MetricConfig = HEALTH,
+    mode: str = "split",
+    keys: tuple[str, ...] = (),
+) -> DataFrame:
     """Bronze: records outside workouts and flattened workouts, as text.
 
     The XML is parsed once. When workouts hold records, the parsed records
     go to a scan table first and the context filter runs over that Parquet
-    (two cheap columnar reads instead of a second XML parse).
+    (two cheap columnar reads instead of a second XML parse). ``keys`` are
+    columns of a partitioned folder layout (``source/user_id=7/...``): many
+    exports are ingested in one job.
     """
     try:
         workouts = xml.scan_workouts(spark, source, mode).persist(StorageLevel.MEMORY_AND_DISK)
@@ -82,22 +92,23 @@ def ingest(spark: SparkSession, source: str, layout: Layout, cfg: MetricConfig =
         raise
     if xml.has_nested(workouts):
         _write(records, layout.bronze_scan)
-        records = xml.outside_workouts(_read(spark, layout.bronze_scan, schemas.BRONZE_RECORDS), workouts)
+        records = xml.outside_workouts(_layer(spark, layout.bronze_scan, schemas.BRONZE_RECORDS, keys), workouts)
     _write(records, layout.bronze_records)
-    _write(bronze.flatten_workouts(workouts, cfg), layout.bronze_workouts)
+    _write(bronze.flatten_workouts(workouts, cfg, keys), layout.bronze_workouts)
     workouts.unpersist()
     return quality.merge_counters(
         [
-            quality.count_rows(_read(spark, layout.bronze_records), "bronze_records"),
-            quality.count_rows(_read(spark, layout.bronze_workouts), "bronze_workouts"),
-        ]
+            quality.count_rows(_read(spark, layout.bronze_records), "bronze_records", keys),
+            quality.count_rows(_read(spark, layout.bronze_workouts), "bronze_workouts", keys),
+        ],
+        keys,
     )
 
 
 def transform(spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, keys: tuple[str, ...] = ()) -> DataFrame:
     """Silver: typed records, sleep intervals and workouts, and the quarantine."""
-    b = _read(spark, layout.bronze_records, _with_keys(schemas.BRONZE_RECORDS, keys))
-    bw = _read(spark, layout.bronze_workouts, _with_keys(schemas.BRONZE_WORKOUTS, keys))
+    b = _layer(spark, layout.bronze_records, schemas.BRONZE_RECORDS, keys)
+    bw = _layer(spark, layout.bronze_workouts, schemas.BRONZE_WORKOUTS, keys)
     _write(silver.clean_quantities(b, cfg, keys), layout.silver_records)
     _write(silver.clean_intervals(b, cfg, keys), layout.silver_sleep)
     _write(silver.clean_workouts(bw, cfg, keys), layout.silver_workouts)
@@ -124,9 +135,9 @@ def build(spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, keys:
     """Gold: all rollups. Point and sparse metrics come out of one aggregation
     and are stored together, partitioned by metric; each later table reads the
     written tables it depends on."""
-    recs = _read(spark, layout.silver_records, _with_keys(schemas.SILVER_RECORDS, keys))
-    sleep = _read(spark, layout.silver_sleep, _with_keys(schemas.SILVER_SLEEP, keys))
-    wk = _read(spark, layout.silver_workouts, _with_keys(schemas.SILVER_WORKOUTS, keys))
+    recs = _layer(spark, layout.silver_records, schemas.SILVER_RECORDS, keys)
+    sleep = _layer(spark, layout.silver_sleep, schemas.SILVER_SLEEP, keys)
+    wk = _layer(spark, layout.silver_workouts, schemas.SILVER_WORKOUTS, keys)
 
     _write(gold.daily_stats(recs, cfg, keys), layout.gold("daily_metrics"), ("metric",))
     _write(gold.daily_activity(recs, cfg, keys), layout.gold("gold_daily_activity"))
@@ -151,11 +162,11 @@ def build(spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, keys:
     _write(s, layout.gold("gold_summary"))
 
     counts = [
-        quality.count_rows(metric_frame(spark, layout, name, cfg), f"gold_{name}")
+        quality.count_rows(metric_frame(spark, layout, name, cfg), f"gold_{name}", keys)
         for name, _ in (*cfg.point, *cfg.sparse)
     ]
-    counts += [quality.count_rows(_read(spark, layout.gold(t)), t) for t in GOLD_TABLES]
-    return quality.merge_counters(counts)
+    counts += [quality.count_rows(_read(spark, layout.gold(t)), t, keys) for t in GOLD_TABLES]
+    return quality.merge_counters(counts, keys)
 
 
 def metric_frame(spark: SparkSession, layout: Layout, name: str, cfg: MetricConfig = HEALTH) -> DataFrame:
@@ -169,7 +180,7 @@ def metric_frame(spark: SparkSession, layout: Layout, name: str, cfg: MetricConf
 
 def write_report(report_df: DataFrame, layout: Layout, stamp: str, keys: tuple[str, ...] = ()) -> str:
     """JSON report: a time-stamped copy plus ``latest`` (both overwritten on rerun)."""
-    text = quality.report_json(report_df)
+    text = quality.report_json(report_df.select(*keys, *[c for c in report_df.columns if c not in keys]))
     if not keys:
         text = text.coalesce(1)  # one row: a single small file
     path = f"{layout.quality_dir}/dq_{stamp}"
@@ -186,16 +197,32 @@ def run_pipeline(
     cfg: MetricConfig = HEALTH,
     mode: str = "split",
     run_at: str | None = None,
+    keys: tuple[str, ...] = (),
 ) -> dict:
-    """Export -> bronze -> silver -> gold -> report; returns the report."""
+    """Export(s) -> bronze -> silver -> gold -> report; returns the report.
+
+    With ``keys`` (a partitioned folder of exports, one per entity) every
+    layer carries the keys and the report has one row per entity; the
+    return value then says where it is and how many entities warned.
+    """
     apply_settings(spark)
     layout = Layout(root)
     run_at = run_at or _dt.datetime.now(_dt.timezone.utc).isoformat(timespec="seconds")
     counters = quality.merge_counters(
-        [ingest(spark, source, layout, cfg, mode), transform(spark, layout, cfg), build(spark, layout, cfg)]
+        [
+            ingest(spark, source, layout, cfg, mode, keys),
+            transform(spark, layout, cfg, keys),
+            build(spark, layout, cfg, keys),
+        ],
+        keys,
     )
-    rep = quality.report(counters, run_at)
-    write_report(rep, layout, run_at.replace(":", "-"))
+    rep = quality.report(counters, run_at, keys)
+    path = write_report(rep, layout, run_at.replace(":", "-"), keys)
+    if keys:
+        stats = spark.read.schema(schemas.REPORT).json(path).agg(
+            F.count(F.lit(1)).alias("entities"), F.count_if(F.size("warnings") > 0).alias("entities_warned")
+        ).first()
+        return {"run_at": run_at, "report": path, **stats.asDict()}
     row = rep.collect()[0]  # one row: the report of this export
     return {
         "run_at": row["run_at"],

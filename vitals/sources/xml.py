@@ -37,6 +37,12 @@ def _record_columns(prefix: str = "") -> list:
     return [F.col(f"{prefix}_{a}").alias(n) for a, n in zip(RECORD_ATTRIBUTES, RECORD_FIELDS)]
 
 
+def _path_columns(df: DataFrame, known: set[str]) -> list[str]:
+    """Columns the file source adds from a partitioned folder layout
+    (``landing/user_id=7/export.xml`` gives ``user_id``): entity keys."""
+    return [c for c in df.columns if c not in known]
+
+
 def scan_records(spark: SparkSession, path: str, mode: str = "split") -> DataFrame:
     """Every ``<Record>`` element of the export(s) at ``path``: 7 text columns.
 
@@ -50,14 +56,16 @@ def scan_records(spark: SparkSession, path: str, mode: str = "split") -> DataFra
             .schema(XML_RECORD)
             .load(path)
         )
-        return raw.select(*_record_columns())
+        keys = _path_columns(raw, set(XML_RECORD.fieldNames()))
+        return raw.select(*keys, *_record_columns())
     chunks = spark.read.option("lineSep", "<Record").text(path)
+    keys = _path_columns(chunks, {"value"})
     # a tag name followed by a blank, tab or line break; <RecordX is no match
     chunks = chunks.where(F.col("value").rlike(RECORD_CHUNK))
     attrs = F.regexp_replace(F.regexp_extract("value", ATTRIBUTES, 1), r"/\s*$", "")
     tag = F.concat(F.lit("<Record"), attrs, F.lit("/>"))
-    parsed = chunks.select(F.from_xml(tag, XML_RECORD, XML_OPTIONS).alias("r"))
-    return parsed.select(*_record_columns("r."))
+    parsed = chunks.select(*keys, F.from_xml(tag, XML_RECORD, XML_OPTIONS).alias("r"))
+    return parsed.select(*keys, *_record_columns("r."))
 
 
 def scan_workouts(spark: SparkSession, path: str, mode: str = "split") -> DataFrame:
@@ -70,6 +78,7 @@ def scan_workouts(spark: SparkSession, path: str, mode: str = "split") -> DataFr
             .load(path)
         )
     chunks = spark.read.option("lineSep", "<Workout ").text(path)
+    keys = _path_columns(chunks, {"value"})
     chunks = chunks.where(F.col("value").rlike(WORKOUT_CHUNK))
     v = F.col("value")
     attrs = F.regexp_extract(v, ATTRIBUTES, 1)
@@ -77,18 +86,19 @@ def scan_workouts(spark: SparkSession, path: str, mode: str = "split") -> DataFr
     element = F.when(self_closing, F.concat(F.lit("<Workout "), attrs, F.lit(">"))).otherwise(
         F.concat(F.lit("<Workout "), F.substring_index(v, "</Workout>", 1), F.lit("</Workout>"))
     )
-    parsed = chunks.select(F.from_xml(element, XML_WORKOUT, XML_OPTIONS).alias("w"))
-    return parsed.select("w.*")
+    parsed = chunks.select(*keys, F.from_xml(element, XML_WORKOUT, XML_OPTIONS).alias("w"))
+    return parsed.select(*keys, "w.*")
 
 
 def nested_records(workouts: DataFrame) -> DataFrame:
-    """Records that are children of a workout, as 7 text columns."""
-    return workouts.select(F.explode("Record").alias("r")).select(*_record_columns("r."))
+    """Records that are children of a workout, as 7 text columns (plus keys)."""
+    keys = _path_columns(workouts, set(XML_WORKOUT.fieldNames()))
+    return workouts.select(*keys, F.explode("Record").alias("r")).select(*keys, *_record_columns("r."))
 
 
 def has_nested(workouts: DataFrame) -> bool:
     """Does any workout hold a record? (Real exports mostly have none.)"""
-    return nested_records(workouts).limit(1).count() > 0
+    return not nested_records(workouts).isEmpty()
 
 
 def outside_workouts(records: DataFrame, workouts: DataFrame) -> DataFrame:
@@ -100,13 +110,14 @@ def outside_workouts(records: DataFrame, workouts: DataFrame) -> DataFrame:
     go through ``exceptAll``. Beyond the size limit both sides are shuffled.
     """
     nested = nested_records(workouts)
+    fields = [c for c in records.columns]
     n = nested.limit(NESTED_BROADCAST_ROWS + 1).count()
     if n == 0:
         return records
     if n > NESTED_BROADCAST_ROWS:
         return records.exceptAll(nested)
     marks = nested.dropDuplicates().withColumn("_nested", F.lit(True))
-    cond = [records[c].eqNullSafe(marks[c]) for c in RECORD_FIELDS]
+    cond = [records[c].eqNullSafe(marks[c]) for c in fields]
     marked = records.join(F.broadcast(marks), cond, "left").select(records["*"], marks["_nested"])
     keep = marked.where(F.col("_nested").isNull()).drop("_nested")
     candidates = marked.where(F.col("_nested").isNotNull()).drop("_nested")
