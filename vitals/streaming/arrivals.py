@@ -17,10 +17,15 @@ from vitals.config import HEALTH, MetricConfig
 from vitals.session import checkpoint_dir
 
 
+# The fixed schema of the binaryFile source.
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def arrivals(spark: SparkSession, landing: str, pattern: str = "*.xml") -> DataFrame:
     """Streaming DataFrame of newly arrived export files: ``(path, length)``."""
     return (
         spark.readStream.format("binaryFile")
+        .schema(FILE_SCHEMA)
         .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", 1)
         .load(landing)
