@@ -20,10 +20,16 @@ def _quantity_rows(bronze: DataFrame, cfg: MetricConfig, keys: tuple[str, ...])
 
 
 def clean_quantities(bronze: DataFrame, cfg: MetricConfig, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Whitelisted quantity records with a numeric value and a parseable start."""
+    """Whitelisted quantity records with a numeric value and a parseable start.
+
+    The type crosses the de-duplication shuffle as its position in the
+    whitelist (an int instead of a ~35-character identifier) and is decoded
+    after it; the dedup key is unchanged (the mapping is one-to-one).
+    """
+    whitelist = F.array(*[F.lit(t) for t in cfg.quantity_types])
     typed = _quantity_rows(bronze, cfg, keys).select(
         *keys,
-        "type",
+        F.array_position(whitelist, F.col("type")).cast("int").alias("_type"),
         "source_name",
         "unit",
         parse_double("value").alias("value"),
@@ -31,7 +37,18 @@ def clean_quantities(bronze: DataFrame, cfg: MetricConfig, keys: tuple[str, ...]
         local_day("start_date").alias("local_date"),
     )
     valid = typed.where(F.col("value").isNotNull() & F.col("ts_utc").isNotNull() & F.col("local_date").isNotNull())
-    return valid.distinct()
+    decoded = None
+    for i, t in enumerate(cfg.quantity_types, start=1):
+        decoded = (F.when if decoded is None else decoded.when)(F.col("_type") == i, F.lit(t))
+    return valid.distinct().select(
+        *keys,
+        decoded.alias("type"),
+        "source_name",
+        "unit",
+        "value",
+        "ts_utc",
+        "local_date",
+    )
 
 
 def reject_counts(bronze: DataFrame, cfg: MetricConfig, keys: tuple[str, ...] = ()) -> DataFrame:
