@@ -31,7 +31,7 @@ def rec(type_, src, start, value, end=None, unit="u", extra=""):
     )
 
 
-# Planted traits (expected values in tests/test_pipeline.py):
+# Planted traits (expected values in tests/test_export.py):
 #  heart rate 62 and 62.0 with other end dates collapse; "bogus" value and an
 #  unparseable start are counted; 02:00 +0530 stays on its local day; steps
 #  from two devices keep the larger device total; nested workout statistics
@@ -116,9 +116,9 @@ def export_path(scratch):
 
 
 @pytest.fixture(scope="session")
-def pipeline_run(spark, export_path, scratch):
-    from vitals.plans.pipeline import run_pipeline
+def export_run(spark, export_path, scratch):
+    from vitals.plans.jobs import run_export
 
     root = os.path.join(scratch, "data")
-    report = run_pipeline(spark, export_path, root, run_at="2025-12-25T00:00:00+00:00")
+    report = run_export(spark, export_path, root, run_at="2025-12-25T00:00:00+00:00")
     return {"root": root, "report": report}

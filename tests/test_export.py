@@ -15,8 +15,8 @@ D1, D2, D3 = dt.date(2025, 12, 1), dt.date(2025, 12, 2), dt.date(2025, 12, 3)
 
 
 @pytest.fixture(scope="module")
-def layout(pipeline_run):
-    return Layout(pipeline_run["root"])
+def layout(export_run):
+    return Layout(export_run["root"])
 
 
 def one(df):
@@ -26,10 +26,10 @@ def one(df):
 
 
 class TestBronze:
-    def test_record_count_excludes_nested(self, pipeline_run):
+    def test_record_count_excludes_nested(self, export_run):
         # 25 <Record> elements, one of them inside a workout
-        assert pipeline_run["report"]["counters"]["bronze_records"] == 24
-        assert pipeline_run["report"]["counters"]["bronze_workouts"] == 3
+        assert export_run["report"]["counters"]["bronze_records"] == 24
+        assert export_run["report"]["counters"]["bronze_workouts"] == 3
 
     def test_unpromoted_type_kept(self, spark, layout):
         b = spark.read.parquet(layout.bronze_records)
@@ -52,8 +52,8 @@ class TestBronze:
 
 
 class TestSilver:
-    def test_counts(self, pipeline_run):
-        c = pipeline_run["report"]["counters"]
+    def test_counts(self, export_run):
+        c = export_run["report"]["counters"]
         assert c["silver_records"] == 15
         assert c["silver_sleep_intervals"] == 5
         assert c["silver_workouts"] == 3
@@ -122,8 +122,8 @@ class TestGold:
         r = one(serving.summary(spark, layout))
         assert tuple(r) == (3, 250.0, 74.0, 80.5, 2250.0, D1, D3)
 
-    def test_gold_counts(self, pipeline_run):
-        c = pipeline_run["report"]["counters"]
+    def test_gold_counts(self, export_run):
+        c = export_run["report"]["counters"]
         assert c["gold_daily_heart_rate"] == 3
         assert c["gold_daily_resting_hr"] == 0
         assert c["gold_weight"] == 2
@@ -132,8 +132,8 @@ class TestGold:
 
 
 class TestQuality:
-    def test_checks(self, pipeline_run):
-        rep = pipeline_run["report"]
+    def test_checks(self, export_run):
+        rep = export_run["report"]
         st = {c["check"]: c["status"] for c in rep["checks"]}
         assert st["records survived silver"] == "pass"
         assert st["workouts survived silver"] == "pass"
@@ -166,10 +166,10 @@ class TestServing:
         assert (cal["date"], cal["level_steps"]) == ("2025-12-01", 1)
 
     def test_missing_export(self, spark, scratch):
-        from vitals.plans.pipeline import run_pipeline
+        from vitals.plans.jobs import run_export
 
         with pytest.raises(FileNotFoundError):
-            run_pipeline(spark, scratch + "/no-such.xml", scratch + "/x")
+            run_export(spark, scratch + "/no-such.xml", scratch + "/x")
 
 
 class TestFleet:
@@ -180,7 +180,7 @@ class TestFleet:
         import os
 
         from tests.conftest import EXPORT
-        from vitals.plans.pipeline import run_pipeline
+        from vitals.plans.jobs import run_export
 
         landing = os.path.join(scratch, "landing")
         for user in (1, 2):
@@ -188,7 +188,7 @@ class TestFleet:
             with open(os.path.join(landing, f"user_id={user}", "export.xml"), "w") as f:
                 f.write(EXPORT)
         root = os.path.join(scratch, "fleet")
-        out = run_pipeline(spark, landing, root, run_at="2025-12-25T00:00:00+00:00", keys=("user_id",))
+        out = run_export(spark, landing, root, run_at="2025-12-25T00:00:00+00:00", keys=("user_id",))
         return Layout(root), out
 
     def test_report_per_user(self, fleet):
@@ -210,13 +210,13 @@ class TestFleet:
 
 
 class TestRerunAndArrival:
-    def test_rerun_is_idempotent(self, spark, pipeline_run, export_path, layout):
-        from vitals.plans.pipeline import run_pipeline
+    def test_rerun_is_idempotent(self, spark, export_run, export_path, layout):
+        from vitals.plans.jobs import run_export
 
         before = {t: sorted(map(str, spark.read.parquet(layout.gold(t)).collect()))
                   for t in ("gold_daily_calendar", "gold_summary", "gold_workout_summary")}
-        again = run_pipeline(spark, export_path, pipeline_run["root"], run_at="2025-12-26T00:00:00+00:00")
-        assert again["counters"] == pipeline_run["report"]["counters"]
+        again = run_export(spark, export_path, export_run["root"], run_at="2025-12-26T00:00:00+00:00")
+        assert again["counters"] == export_run["report"]["counters"]
         for t, rows in before.items():
             assert sorted(map(str, spark.read.parquet(layout.gold(t)).collect())) == rows
 

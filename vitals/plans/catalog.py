@@ -416,15 +416,15 @@ def q_parquet_roundtrip(spark, d):
     return s.select("type", "source_name", "unit", "value", _epoch("ts_utc"), "local_date")
 
 
-@query("pipeline_run")
-def q_pipeline_run(spark, d):
+@query("medallion_run")
+def q_medallion_run(spark, d):
     """The whole job on the XML export; its counters
     read back from the written report."""
     from vitals.config import Layout
-    from vitals.plans.pipeline import run_pipeline
+    from vitals.plans.jobs import run_export
 
     root = scratch_path(spark, "layers")
-    run_pipeline(spark, staged_export(spark, d), root, CFG, run_at="1970-01-01T00:00:00+00:00")
+    run_export(spark, staged_export(spark, d), root, CFG, run_at="1970-01-01T00:00:00+00:00")
     from vitals.plans.serving import latest_quality
 
     rep = latest_quality(spark, Layout(root))

@@ -5,7 +5,7 @@ with zstd) and writes in overwrite mode, so a rerun rebuilds the same layers
 and a lost executor costs one stage, not the whole lineage. Row counters are
 taken from the written files as DataFrames and folded into the report.
 
-    spark-submit -m vitals.plans.pipeline --input export.xml --root s3://bucket/health
+    spark-submit -m vitals.plans.jobs --input export.xml --root s3://bucket/health
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from vitals.operators import bronze, gold, quality, silver
 from vitals.session import apply_settings
 from vitals.sources import xml
 
-log = logging.getLogger("vitals.pipeline")
+log = logging.getLogger("vitals.jobs")
 
 GOLD_TABLES = (
     "gold_daily_activity",
@@ -190,7 +190,7 @@ def write_report(report_df: DataFrame, layout: Layout, stamp: str, keys: tuple[s
     return path
 
 
-def run_pipeline(
+def run_export(
     spark: SparkSession,
     source: str,
     root: str,
@@ -239,7 +239,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--mode", default="split", choices=("split", "dom"))
     a = p.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
-    print(json.dumps(run_pipeline(spark, a.input, a.root, mode=a.mode), indent=2, default=str))
+    print(json.dumps(run_export(spark, a.input, a.root, mode=a.mode), indent=2, default=str))
 
 
 if __name__ == "__main__":

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vitals.config import HEALTH, METRIC_TABLES, Layout, MetricConfig
 from vitals.functions.text import iso_date
-from vitals.plans.pipeline import metric_frame
+from vitals.plans.jobs import metric_frame
 
 
 def metric_names() -> list[str]:

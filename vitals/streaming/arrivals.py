@@ -45,12 +45,12 @@ def watch_exports(
     """Start the stream; each new export rebuilds bronze, silver, gold and the
     report under ``root``. Errors of one export stop the query and surface on
     ``awaitTermination`` (the upload's error response)."""
-    from vitals.plans.pipeline import run_pipeline
+    from vitals.plans.jobs import run_export
 
     def rebuild(batch: DataFrame, batch_id: int) -> None:
         # at most maxFilesPerTrigger rows: the names of the new files
         for row in batch.orderBy("path").collect():
-            run_pipeline(spark, row["path"], root, cfg, mode)
+            run_export(spark, row["path"], root, cfg, mode)
 
     checkpoint = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/vitals-arrivals"
     writer = arrivals(spark, landing).writeStream.foreachBatch(rebuild).option("checkpointLocation", checkpoint)
