@@ -143,6 +143,9 @@ class TestQuality:
             "invalid timestamps below 1% of bronze",
         ]
 
+    def test_date_range(self, export_run):
+        assert export_run["report"]["date_range"] == ["2025-12-01", "2025-12-03"]
+
     def test_latest_report_readable(self, spark, layout):
         r = one(serving.latest_quality(spark, layout))
         assert r["run_at"] == "2025-12-25T00:00:00+00:00"

@@ -37,7 +37,7 @@ def merge_counters(stages: list[DataFrame], keys: tuple[str, ...] = ()) -> DataF
 def _wide(counters: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """One row per key: the counter map plus one column per checked counter.
     A key has a bounded number of counters (one per stage output)."""
-    names = sorted({c for c, _ in QUALITY_CHECKS} | {"bronze_records"})
+    names = sorted({c for c, _ in QUALITY_CHECKS} | {"bronze_records", "first_local_day", "last_local_day"})
     return counters.groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("counter", "value"))).alias("counters"),
         *[F.max(F.when(F.col("counter") == n, F.col("value"))).alias(n) for n in names],
@@ -80,9 +80,15 @@ def report(counters: DataFrame, run_at, keys: tuple[str, ...] = ()) -> DataFrame
         "counters",
         items.alias("checks"),
         F.transform(F.filter(items, lambda x: x["status"] == "warn"), lambda x: x["check"]).alias("warnings"),
+        F.array(_day_text("first_local_day"), _day_text("last_local_day")).alias("date_range"),
     )
 
 
+def _day_text(counter: str) -> F.Column:
+    """A day counter (days since 1970-01-01) as ``yyyy-MM-dd``; ``None`` if absent."""
+    return F.coalesce(F.date_from_unix_date(F.col(counter)).cast("string"), F.lit("None"))
+
+
 def report_json(report_df: DataFrame) -> DataFrame:
     """The report as JSON text (NULL fields kept)."""
     return report_df.select(

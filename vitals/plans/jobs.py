@@ -115,6 +115,10 @@ def transform(spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, k
     _write(silver.quarantine(b, cfg, keys), layout.quarantine)
     # reject counters from the (small) quarantine rather than another bronze pass
     rejects = silver.reject_counts_from_quarantine(_read(spark, layout.quarantine), keys)
+    days = _read(spark, layout.silver_records).groupBy(*keys).agg(
+        F.unix_date(F.min("local_date")).alias("first_local_day"),
+        F.unix_date(F.max("local_date")).alias("last_local_day"),
+    )
     return quality.merge_counters(
         [
             quality.count_rows(b, "bronze_records", keys),
@@ -126,6 +130,9 @@ def transform(spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, k
                 {"invalid_numeric_value": "invalid_numeric_value", "invalid_timestamp": "invalid_timestamp"},
                 keys,
             ),
+            quality.counter_rows(
+                days, {"first_local_day": "first_local_day", "last_local_day": "last_local_day"}, keys
+            ).where(F.col("value").isNotNull()),
         ],
         keys,
     )
@@ -229,6 +236,7 @@ def run_export(
         "counters": dict(row["counters"]),
         "checks": [c.asDict() for c in row["checks"]],
         "warnings": list(row["warnings"]),
+        "date_range": list(row["date_range"]),
     }
 
 

@@ -92,5 +92,6 @@ REPORT = T.StructType(
             ),
         ),
         T.StructField("warnings", T.ArrayType(S)),
+        T.StructField("date_range", T.ArrayType(S)),
     ]
 )
