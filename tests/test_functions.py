@@ -213,3 +213,13 @@ def test_distributed_levels_equal_window_levels(spark, monkeypatch):
     distributed = gold.calendar_levels(act, EVENTS)
     assert window.count() == distributed.count() > 0
     assert window.exceptAll(distributed).count() == 0
+
+
+def test_drop_copies_spread_over_partitions(spark):
+    from vitals.sources.xml import drop_copies
+
+    # value "a": 40 copies over 4 partitions, 3 to drop; "b": 5 copies, 1 to drop; "c": drop more than exist
+    rows = [("a", 3)] * 40 + [("b", 1)] * 5 + [("c", 9)] * 2
+    df = spark.createDataFrame(rows, "v string, _k long").repartition(4)
+    got = {r["v"]: r["count"] for r in drop_copies(df, ["v"]).groupBy("v").count().collect()}
+    assert got == {"a": 37, "b": 4}

@@ -11,11 +11,12 @@ line break right after a ``<Workout`` tag name.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 from pyspark import StorageLevel
 
+from vitals.session import cut_lineage
 from vitals.schemas import RECORD_ATTRIBUTES, RECORD_FIELDS, XML_RECORD, XML_WORKOUT
 
 XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE"}
@@ -105,23 +106,54 @@ def outside_workouts(records: DataFrame, workouts: DataFrame) -> DataFrame:
     """Multiset difference: drop one record per record nested in a workout.
 
     A record equal to a nested one but outside any workout stays. Nested
-    records are rare, so the big side is not shuffled: a broadcast of the
-    (size-checked) nested set marks the few candidate rows, and only those
-    go through ``exceptAll``. Beyond the size limit both sides are shuffled.
+    records are rare: their distinct values with multiplicity ``k`` (counted,
+    bounded) are broadcast to mark candidate rows, so the big side is not
+    shuffled; above the bound the marking is a shuffle join. Among the
+    candidates of a value, ``k`` copies are dropped without gathering the
+    copies anywhere (a value may have millions): see ``drop_copies``.
     """
     nested = nested_records(workouts)
-    fields = [c for c in records.columns]
-    n = nested.limit(NESTED_BROADCAST_ROWS + 1).count()
+    fields = list(records.columns)
+    counts = nested.groupBy(*fields).agg(F.count(F.lit(1)).alias("_k"))
+    n = counts.limit(NESTED_BROADCAST_ROWS + 1).count()
     if n == 0:
         return records
-    if n > NESTED_BROADCAST_ROWS:
-        return records.exceptAll(nested)
-    marks = nested.dropDuplicates().withColumn("_nested", F.lit(True))
+    marks = F.broadcast(counts) if n <= NESTED_BROADCAST_ROWS else counts
     cond = [records[c].eqNullSafe(marks[c]) for c in fields]
-    marked = records.join(F.broadcast(marks), cond, "left").select(records["*"], marks["_nested"])
-    keep = marked.where(F.col("_nested").isNull()).drop("_nested")
-    candidates = marked.where(F.col("_nested").isNotNull()).drop("_nested")
-    return keep.unionByName(candidates.exceptAll(nested))
+    marked = records.join(marks, cond, "left").select(records["*"], marks["_k"])
+    keep = marked.where(F.col("_k").isNull()).drop("_k")
+    return keep.unionByName(drop_copies(marked.where(F.col("_k").isNotNull()), fields))
+
+
+def drop_copies(candidates: DataFrame, fields: list[str]) -> DataFrame:
+    """Drop ``_k`` copies of every value of ``fields`` (exact, skew-safe).
+
+    Equal rows are made adjacent within each partition and numbered; per
+    (partition, value) a count and the first number are aggregated (one row
+    per partition and value); the ``_k`` copies to drop are spread over the
+    partitions in order by a window over those rows; a row is kept when its
+    offset within its (partition, value) run is at or past that partition's
+    share. No step brings one value's copies into one task.
+    """
+    c = cut_lineage(
+        candidates.sortWithinPartitions(*fields)
+        .withColumn("_id", F.monotonically_increasing_id())
+        .withColumn("_pid", F.spark_partition_id())
+    )
+    runs = c.groupBy("_pid", *fields).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"), F.max("_k").alias("_k")
+    )
+    before = F.coalesce(
+        F.sum("_n").over(Window.partitionBy(*fields).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0),
+    )
+    share = runs.select(
+        "_pid", *fields, "_first", F.least(F.col("_n"), F.greatest(F.col("_k") - before, F.lit(0))).alias("_drop")
+    ).where(F.col("_drop") > 0)
+    on = [c["_pid"] == share["_pid"]] + [c[f].eqNullSafe(share[f]) for f in fields]
+    joined = c.join(share, on, "left").select(c["*"], share["_first"], share["_drop"])
+    kept = joined.where(F.col("_drop").isNull() | (F.col("_id") - F.col("_first") >= F.col("_drop")))
+    return kept.select(*fields)
 
 
 def read_export(spark: SparkSession, path: str, mode: str = "split") -> tuple[DataFrame, DataFrame]:
