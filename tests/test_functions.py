@@ -223,3 +223,43 @@ def test_drop_copies_spread_over_partitions(spark):
     df = spark.createDataFrame(rows, "v string, _k long").repartition(4)
     got = {r["v"]: r["count"] for r in drop_copies(df, ["v"]).groupBy("v").count().collect()}
     assert got == {"a": 37, "b": 4}
+
+
+def test_parse_double_round_trips_python_floats(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.floats(allow_nan=False, allow_infinity=False), min_size=1, max_size=200))
+    def check(xs):
+        texts = [repr(x) for x in xs] + [f"{x:.3e}" for x in xs]
+        got = col1(spark, texts, "string", parse_double)
+        assert got == [float(t) for t in texts]
+
+    check()
+
+
+def test_round_half_away_matches_exact_decimal_rounding(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    def expected(x: float, n: int) -> float:
+        p = x * 10.0**n
+        r = float(Decimal(p).quantize(Decimal(1), rounding=ROUND_HALF_UP))
+        return r / 10.0**n
+
+    values = st.one_of(
+        st.floats(min_value=-1e9, max_value=1e9, allow_nan=False),
+        st.integers(-10**6, 10**6).map(lambda i: i / 200.0),  # many exact ties
+    )
+
+    @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(values, min_size=1, max_size=300))
+    def check(xs):
+        for n in (0, 1, 2):
+            got = col1(spark, xs, "double", lambda c: round_half_away(c, n))
+            assert got == [expected(x, n) for x in xs]
+
+    check()
