@@ -34,6 +34,23 @@ WORKOUT_CHUNK = r"^\s*(/?>|[A-Za-z_:][-\w:.]*\s*=)"
 NESTED_BROADCAST_ROWS = 100_000
 
 
+def _open_tag(v: F.Column) -> F.Column:
+    """Attribute text of the open tag a chunk starts with (up to its ``>``).
+
+    The first ``>`` ends the tag unless it lies inside a quoted value: with
+    no single quote and an even number of double quotes before it, it does
+    not, and a plain cut is exact. Other chunks take the quote-aware regex.
+    """
+    cut = F.substring_index(v, ">", 1)
+    quotes = F.length(cut) - F.length(F.replace(cut, F.lit('"'), F.lit("")))
+    plain = ~cut.contains("'") & (quotes % 2 == 0)
+    return F.when(plain, cut).otherwise(F.regexp_extract(v, ATTRIBUTES, 1))
+
+
+def _self_closing(attrs: F.Column) -> F.Column:
+    return F.rtrim(attrs).endswith("/")
+
+
 def _record_columns(prefix: str = "") -> list:
     return [F.col(f"{prefix}_{a}").alias(n) for a, n in zip(RECORD_ATTRIBUTES, RECORD_FIELDS)]
 
@@ -63,8 +80,8 @@ def scan_records(spark: SparkSession, path: str, mode: str = "split") -> DataFra
     keys = _path_columns(chunks, {"value"})
     # a tag name followed by a blank, tab or line break; <RecordX is no match
     chunks = chunks.where(F.col("value").rlike(RECORD_CHUNK))
-    attrs = F.regexp_replace(F.regexp_extract("value", ATTRIBUTES, 1), r"/\s*$", "")
-    tag = F.concat(F.lit("<Record"), attrs, F.lit("/>"))
+    attrs = _open_tag(F.col("value"))
+    tag = F.concat(F.lit("<Record"), attrs, F.when(_self_closing(attrs), F.lit(">")).otherwise(F.lit("/>")))
     parsed = chunks.select(*keys, F.from_xml(tag, XML_RECORD, XML_OPTIONS).alias("r"))
     return parsed.select(*keys, *_record_columns("r."))
 
@@ -82,9 +99,8 @@ def scan_workouts(spark: SparkSession, path: str, mode: str = "split") -> DataFr
     keys = _path_columns(chunks, {"value"})
     chunks = chunks.where(F.col("value").rlike(WORKOUT_CHUNK))
     v = F.col("value")
-    attrs = F.regexp_extract(v, ATTRIBUTES, 1)
-    self_closing = attrs.rlike(r"/\s*$")
-    element = F.when(self_closing, F.concat(F.lit("<Workout "), attrs, F.lit(">"))).otherwise(
+    attrs = _open_tag(v)
+    element = F.when(_self_closing(attrs), F.concat(F.lit("<Workout "), attrs, F.lit(">"))).otherwise(
         F.concat(F.lit("<Workout "), F.substring_index(v, "</Workout>", 1), F.lit("</Workout>"))
     )
     parsed = chunks.select(*keys, F.from_xml(element, XML_WORKOUT, XML_OPTIONS).alias("w"))
