@@ -263,3 +263,23 @@ def test_round_half_away_matches_exact_decimal_rounding(spark):
             assert got == [expected(x, n) for x in xs]
 
     check()
+
+
+def test_open_tag_with_quoted_gt_and_apostrophe(spark, scratch):
+    from vitals.sources import xml
+
+    doc = "\n".join([
+        "<HealthData>",
+        ' <Record type="T" sourceName="x>y" value="1"/>',
+        """ <Record type="T" sourceName="it's" value="2"/>""",
+        """ <Record type='T' sourceName='q"q' value='3'/>""",
+        ' <Record\ttype="T" sourceName="tab" value="4"></Record>',
+        "</HealthData>",
+        "",
+    ])
+    p = os.path.join(scratch, "quotes.xml")
+    with open(p, "w") as f:
+        f.write(doc)
+    split = sorted((r["source_name"], r["value"]) for r in xml.scan_records(spark, p).collect())
+    dom = sorted((r["source_name"], r["value"]) for r in xml.scan_records(spark, p, "dom").collect())
+    assert split == dom == [("it's", "2"), ('q"q', "3"), ("tab", "4"), ("x>y", "1")]
