@@ -283,3 +283,17 @@ def test_open_tag_with_quoted_gt_and_apostrophe(spark, scratch):
     split = sorted((r["source_name"], r["value"]) for r in xml.scan_records(spark, p).collect())
     dom = sorted((r["source_name"], r["value"]) for r in xml.scan_records(spark, p, "dom").collect())
     assert split == dom == [("it's", "2"), ('q"q', "3"), ("tab", "4"), ("x>y", "1")]
+
+
+def test_dedup_is_idempotent_under_duplicated_input(spark):
+    from vitals.config import EVENTS
+    from vitals.operators import silver
+    from vitals.sources import staging
+
+    b = staging.raw_records(spark, SF_SMALL).drop("user_id")
+    once = silver.clean_quantities(b, EVENTS)
+    twice = silver.clean_quantities(b.unionByName(b), EVENTS)
+    assert once.count() == twice.count()
+    assert once.exceptAll(twice).count() == 0
+    # cleaning silver-shaped text again changes nothing either
+    assert once.distinct().count() == once.count()

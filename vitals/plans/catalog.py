@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitals.config import EVENTS as CFG
+from vitals.functions import round_half_away
 from vitals.operators import bronze, calendar, gold, quality, silver
 from vitals.session import apply_settings, scratch_path
 from vitals.sources import staging, xml
@@ -134,14 +135,14 @@ def q_daily_sparse(spark, d):
 def q_per_source_totals(spark, d):
     """A5: daily total per (type, source)."""
     t = gold.per_source_totals(silver_records(spark, d), CFG)
-    return t.select("type", "local_date", "source_name", gold.round_half_away("total", 2).alias("total"))
+    return t.select("type", "local_date", "source_name", round_half_away("total", 2).alias("total"))
 
 
 @query("best_source")
 def q_best_source(spark, d):
     """Largest single-source total per (type, day)."""
     b = gold.best_source(gold.per_source_totals(silver_records(spark, d), CFG))
-    return b.select("type", "local_date", gold.round_half_away("total", 2).alias("total"))
+    return b.select("type", "local_date", round_half_away("total", 2).alias("total"))
 
 
 @query("daily_activity")
