@@ -237,19 +237,20 @@ HEADER = '<?xml version="1.0" encoding="UTF-8"?>\n<HealthData locale="en_US">\n
 FOOTER = "</HealthData>"
 
 
-def _as_documents(batches):
-    """Per partition: prolog and root element around the partition's blocks,
-    so that every part file is a well-formed export document."""
-    import pandas as pd
-
-    yield pd.DataFrame({"value": [HEADER]})
-    for b in batches:
-        yield b
-    yield pd.DataFrame({"value": [FOOTER]})
-
-
 def write_export(spark: SparkSession, sf_dir: str, dest: str) -> str:
     """Write the export as text part files under ``dest`` (overwritten); each
     part file is one complete document."""
-    export_lines(spark, sf_dir).mapInPandas(_as_documents, "value string").write.mode("overwrite").text(dest)
+    header, footer = HEADER, FOOTER
+
+    def as_documents(batches):
+        # per partition: prolog and root element around the partition's blocks
+        # (a nested function travels to the workers by value)
+        import pandas as pd
+
+        yield pd.DataFrame({"value": [header]})
+        for b in batches:
+            yield b
+        yield pd.DataFrame({"value": [footer]})
+
+    export_lines(spark, sf_dir).mapInPandas(as_documents, "value string").write.mode("overwrite").text(dest)
     return dest
