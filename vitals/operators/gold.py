@@ -29,7 +29,7 @@ def daily_stats(silver: DataFrame, cfg: MetricConfig, keys: tuple[str, ...] = ()
     """One pass for all point and sparse metrics: per (metric, day) the rounded
     avg/min/max/count (point tables) and the 2-decimal average (sparse tables).
 
-    Long form with a ``metric`` column; ``point_table``/``sparse_table`` cut it.
+    Long form with a ``metric`` column; ``metric_table`` cuts one table out.
     """
     pairs = _metric_names(cfg, ("point", "sparse"))
     types = sorted({t for _, t in pairs})
@@ -116,8 +116,9 @@ def calendar_levels(activity: DataFrame, cfg: MetricConfig, keys: tuple[str, ...
     metric (the reference's unmatched left join) gets level 0.
     """
     out = activity.select(*keys, "local_date", *cfg.calendar_columns)
+    rows = None if keys else out.count()  # one row per day; sizes the unkeyed ranking
     for level, column in cfg.levels:
-        out = positive_ntile(out, column, "local_date", 4, keys, level)
+        out = positive_ntile(out, column, "local_date", 4, keys, level, rows)
     return out.select(*keys, "local_date", *cfg.calendar_columns, *[lvl for lvl, _ in cfg.levels])
 
 

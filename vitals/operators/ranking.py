@@ -56,9 +56,12 @@ def global_row_number(df: DataFrame, order: list[Column], flag: Column | None =
     return out.withColumn("_rn", F.col("_offset") + F.col("_local") + 1).drop("_pid", "_local", "_offset", "_flag")
 
 
-def positive_ntile(df: DataFrame, value: str, tie: str, buckets: int, keys: tuple[str, ...], out: str) -> DataFrame:
+def positive_ntile(
+    df: DataFrame, value: str, tie: str, buckets: int, keys: tuple[str, ...], out: str, rows: int | None = None
+) -> DataFrame:
     """``out`` = ntile(``buckets``) of ``value`` among rows with ``value > 0``
-    (ordered by ``value``, then ``tie``), 0 for other rows; per ``keys``."""
+    (ordered by ``value``, then ``tie``), 0 for other rows; per ``keys``.
+    ``rows`` is the row count of ``df`` when the caller knows it."""
     pos = F.col(value) > 0
     order = [F.when(pos, F.lit(0)).otherwise(F.lit(1)), F.col(value), F.col(tie)]
     if keys:
@@ -66,7 +69,7 @@ def positive_ntile(df: DataFrame, value: str, tie: str, buckets: int, keys: tupl
         ranked = df.withColumn("_rn", F.row_number().over(w.orderBy(*order))).withColumn(
             "_n_flag", F.count_if(F.coalesce(pos, F.lit(False))).over(w)
         )
-    elif df.count() <= SINGLE_TASK_ROWS:
+    elif (df.count() if rows is None else rows) <= SINGLE_TASK_ROWS:
         ranked = df.withColumn("_rn", F.row_number().over(Window.orderBy(*order))).withColumn(
             "_n_flag", F.count_if(F.coalesce(pos, F.lit(False))).over(Window.partitionBy())
         )

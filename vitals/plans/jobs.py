@@ -90,9 +90,11 @@ def ingest(
         if "PATH_NOT_FOUND" in str(e):
             raise FileNotFoundError(f"export not found: {source}") from e
         raise
-    if xml.has_nested(workouts):
+    nested = xml.nested_counts(workouts)
+    if nested[1] > 0:
         _write(records, layout.bronze_scan)
-        records = xml.outside_workouts(_layer(spark, layout.bronze_scan, schemas.BRONZE_RECORDS, keys), workouts)
+        scanned = _layer(spark, layout.bronze_scan, schemas.BRONZE_RECORDS, keys)
+        records = xml.outside_workouts(scanned, workouts, nested)
     _write(records, layout.bronze_records)
     _write(bronze.flatten_workouts(workouts, cfg, keys), layout.bronze_workouts)
     workouts.unpersist()
@@ -230,7 +232,7 @@ def run_export(
             F.count(F.lit(1)).alias("entities"), F.count_if(F.size("warnings") > 0).alias("entities_warned")
         ).first()
         return {"run_at": run_at, "report": path, **stats.asDict()}
-    row = rep.collect()[0]  # one row: the report of this export
+    row = spark.read.schema(schemas.REPORT).json(path).first()  # the one written row
     return {
         "run_at": row["run_at"],
         "counters": dict(row["counters"]),

@@ -113,12 +113,16 @@ def nested_records(workouts: DataFrame) -> DataFrame:
     return workouts.select(*keys, F.explode("Record").alias("r")).select(*keys, *_record_columns("r."))
 
 
-def has_nested(workouts: DataFrame) -> bool:
-    """Does any workout hold a record? (Real exports mostly have none.)"""
-    return not nested_records(workouts).isEmpty()
+def nested_counts(workouts: DataFrame) -> tuple[DataFrame, int]:
+    """Distinct records nested in workouts with their multiplicity ``_k``, and
+    how many distinct ones there are (counted up to the broadcast bound + 1).
+    Real exports mostly have none."""
+    nested = nested_records(workouts)
+    counts = nested.groupBy(*nested.columns).agg(F.count(F.lit(1)).alias("_k"))
+    return counts, counts.limit(NESTED_BROADCAST_ROWS + 1).count()
 
 
-def outside_workouts(records: DataFrame, workouts: DataFrame) -> DataFrame:
+def outside_workouts(records: DataFrame, workouts: DataFrame, nested: tuple[DataFrame, int] | None = None) -> DataFrame:
     """Multiset difference: drop one record per record nested in a workout.
 
     A record equal to a nested one but outside any workout stays. Nested
@@ -128,10 +132,9 @@ def outside_workouts(records: DataFrame, workouts: DataFrame) -> DataFrame:
     candidates of a value, ``k`` copies are dropped without gathering the
     copies anywhere (a value may have millions): see ``drop_copies``.
     """
-    nested = nested_records(workouts)
     fields = list(records.columns)
-    counts = nested.groupBy(*fields).agg(F.count(F.lit(1)).alias("_k"))
-    n = counts.limit(NESTED_BROADCAST_ROWS + 1).count()
+    counts, n = nested if nested is not None else nested_counts(workouts)
+    counts = counts.select(*fields, "_k")
     if n == 0:
         return records
     marks = F.broadcast(counts) if n <= NESTED_BROADCAST_ROWS else counts
