@@ -11,6 +11,7 @@ taken from the written files as DataFrames and folded into the report.
 from __future__ import annotations
 
 import argparse
+from concurrent.futures import ThreadPoolExecutor
 import datetime as _dt
 import json
 import logging
@@ -28,6 +29,8 @@ from vitals.session import apply_settings
 from vitals.sources import xml
 
 log = logging.getLogger("vitals.jobs")
+# independent table writes submitted at once
+WRITE_THREADS = 4
 
 GOLD_TABLES = (
     "gold_daily_activity",
@@ -48,6 +51,18 @@ def _write(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None
     log.info("wrote %s in %.2fs", path.rsplit("/", 2)[-2:], time.perf_counter() - t0)
 
 
+def _write_all(outputs: list[tuple]) -> None:
+    """Write independent outputs as concurrent Spark jobs (one driver thread
+    each); the scheduler interleaves their tasks, so small jobs do not leave
+    cores idle. Errors surface here."""
+    if len(outputs) == 1:
+        _write(*outputs[0])
+        return
+    with ThreadPoolExecutor(max_workers=min(len(outputs), WRITE_THREADS)) as pool:
+        for f in [pool.submit(_write, *o) for o in outputs]:
+            f.result()
+
+
 def _read(spark: SparkSession, path: str, schema=None) -> DataFrame:
     r = spark.read
     if schema is not None:
@@ -95,8 +110,7 @@ def ingest(
         _write(records, layout.bronze_scan)
         scanned = _layer(spark, layout.bronze_scan, schemas.BRONZE_RECORDS, keys)
         records = xml.outside_workouts(scanned, workouts, nested)
-    _write(records, layout.bronze_records)
-    _write(bronze.flatten_workouts(workouts, cfg, keys), layout.bronze_workouts)
+    _write_all([(records, layout.bronze_records), (bronze.flatten_workouts(workouts, cfg, keys), layout.bronze_workouts)])
     workouts.unpersist()
     return quality.merge_counters(
         [
@@ -111,10 +125,14 @@ def transform(spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, k
     """Silver: typed records, sleep intervals and workouts, and the quarantine."""
     b = _layer(spark, layout.bronze_records, schemas.BRONZE_RECORDS, keys)
     bw = _layer(spark, layout.bronze_workouts, schemas.BRONZE_WORKOUTS, keys)
-    _write(silver.clean_quantities(b, cfg, keys), layout.silver_records)
-    _write(silver.clean_intervals(b, cfg, keys), layout.silver_sleep)
-    _write(silver.clean_workouts(bw, cfg, keys), layout.silver_workouts)
-    _write(silver.quarantine(b, cfg, keys), layout.quarantine)
+    _write_all(
+        [
+            (silver.clean_quantities(b, cfg, keys), layout.silver_records),
+            (silver.clean_intervals(b, cfg, keys), layout.silver_sleep),
+            (silver.clean_workouts(bw, cfg, keys), layout.silver_workouts),
+            (silver.quarantine(b, cfg, keys), layout.quarantine),
+        ]
+    )
     # reject counters from the (small) quarantine rather than another bronze pass
     rejects = silver.reject_counts_from_quarantine(_read(spark, layout.quarantine), keys)
     days = _read(spark, layout.silver_records).groupBy(*keys).agg(
@@ -148,13 +166,16 @@ def build(spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, keys:
     sleep = _layer(spark, layout.silver_sleep, schemas.SILVER_SLEEP, keys)
     wk = _layer(spark, layout.silver_workouts, schemas.SILVER_WORKOUTS, keys)
 
-    _write(gold.daily_stats(recs, cfg, keys), layout.gold("daily_metrics"), ("metric",))
-    _write(gold.daily_activity(recs, cfg, keys), layout.gold("gold_daily_activity"))
+    _write_all(
+        [
+            (gold.daily_stats(recs, cfg, keys), layout.gold("daily_metrics"), ("metric",)),
+            (gold.daily_activity(recs, cfg, keys), layout.gold("gold_daily_activity")),
+            (gold.daily_sleep(sleep, cfg, keys), layout.gold("gold_daily_sleep")),
+            (gold.gold_workouts(wk, keys), layout.gold("gold_workouts")),
+            (gold.workout_summary(wk, keys), layout.gold("gold_workout_summary")),
+        ]
+    )
     activity = _read(spark, layout.gold("gold_daily_activity"))
-    _write(gold.calendar_levels(activity, cfg, keys), layout.gold("gold_daily_calendar"))
-    _write(gold.daily_sleep(sleep, cfg, keys), layout.gold("gold_daily_sleep"))
-    _write(gold.gold_workouts(wk, keys), layout.gold("gold_workouts"))
-    _write(gold.workout_summary(wk, keys), layout.gold("gold_workout_summary"))
 
     daily = _read(spark, layout.gold("daily_metrics"))
     hr = gold.metric_table(daily.drop("value"), cfg.summary_point, keys)
@@ -168,7 +189,9 @@ def build(spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, keys:
         cfg,
         keys,
     )
-    _write(s, layout.gold("gold_summary"))
+    _write_all(
+        [(gold.calendar_levels(activity, cfg, keys), layout.gold("gold_daily_calendar")), (s, layout.gold("gold_summary"))]
+    )
 
     counts = [
         quality.count_rows(metric_frame(spark, layout, name, cfg), f"gold_{name}", keys)
