@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
-from pyspark import StorageLevel
 
 from vitals.session import cut_lineage
 from vitals.schemas import RECORD_ATTRIBUTES, RECORD_FIELDS, XML_RECORD, XML_WORKOUT
@@ -29,8 +28,9 @@ ATTRIBUTES = r"""^((?:[^"'<>]|"[^"]*"|'[^']*')*)"""
 RECORD_CHUNK = r"^\s+(/?>|[A-Za-z_:][-\w:.]*\s*=)"
 WORKOUT_CHUNK = r"^\s*(/?>|[A-Za-z_:][-\w:.]*\s*=)"
 
-# Records inside a workout are collected here before the multiset difference;
-# above this many the difference runs as a plain shuffle on both sides.
+# Distinct records nested in workouts, counted before the context filter: up
+# to this many they are broadcast to mark candidates; above it the marking is
+# a shuffle join (AQE splits a skewed side).
 NESTED_BROADCAST_ROWS = 100_000
 
 
@@ -181,9 +181,7 @@ def read_export(spark: SparkSession, path: str, mode: str = "split") -> tuple[Da
     A missing path raises ``FileNotFoundError``.
     """
     try:
-        # parsed once: the nested-record check, the context filter and the
-        # flattening all read it (workouts are few next to records)
-        workouts = scan_workouts(spark, path, mode).persist(StorageLevel.MEMORY_AND_DISK)
+        workouts = scan_workouts(spark, path, mode)
         scanned = scan_records(spark, path, mode)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
