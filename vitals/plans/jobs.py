@@ -105,13 +105,16 @@ def ingest(
         if "PATH_NOT_FOUND" in str(e):
             raise FileNotFoundError(f"export not found: {source}") from e
         raise
-    nested = xml.nested_counts(workouts)
-    if nested[1] > 0:
-        _write(records, layout.bronze_scan)
-        scanned = _layer(spark, layout.bronze_scan, schemas.BRONZE_RECORDS, keys)
-        records = xml.outside_workouts(scanned, workouts, nested)
-    _write_all([(records, layout.bronze_records), (bronze.flatten_workouts(workouts, cfg, keys), layout.bronze_workouts)])
-    workouts.unpersist()
+    try:
+        nested = xml.nested_counts(workouts)
+        if nested[1] > 0:
+            _write(records, layout.bronze_scan)
+            scanned = _layer(spark, layout.bronze_scan, schemas.BRONZE_RECORDS, keys)
+            records = xml.outside_workouts(scanned, workouts, nested)
+        flat = bronze.flatten_workouts(workouts, cfg, keys)
+        _write_all([(records, layout.bronze_records), (flat, layout.bronze_workouts)])
+    finally:
+        workouts.unpersist()
     return quality.merge_counters(
         [
             quality.count_rows(_read(spark, layout.bronze_records), "bronze_records", keys),
