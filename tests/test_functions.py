@@ -297,3 +297,22 @@ def test_dedup_is_idempotent_under_duplicated_input(spark):
     assert once.exceptAll(twice).count() == 0
     # cleaning silver-shaped text again changes nothing either
     assert once.distinct().count() == once.count()
+
+
+def test_checks_skip_missing_counters(spark):
+    from vitals.operators import quality
+
+    counters = spark.createDataFrame(
+        [("bronze_records", 1000), ("silver_records", 5), ("invalid_numeric_value", 9), ("invalid_timestamp", 10)],
+        "counter string, value long",
+    )
+    got = {r["check"]: (r["value"], r["status"]) for r in quality.checks(counters).collect()}
+    assert got == {
+        "records survived silver": (5, "pass"),
+        "workouts survived silver": (None, "skipped"),
+        "invalid numeric values below 1% of bronze": (9, "pass"),
+        "invalid timestamps below 1% of bronze": (10, "warn"),
+    }
+    rep = quality.report(counters, "t").first()
+    assert rep["warnings"] == ["invalid timestamps below 1% of bronze"]
+    assert rep["date_range"] == ["None", "None"]

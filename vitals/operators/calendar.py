@@ -71,8 +71,9 @@ def active_days(grid: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
 
 
 def active_years(calendar: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Distinct years with data (sort newest first when serving)."""
-    return calendar.select(*keys, F.year("local_date").alias("year")).distinct()
+    """Distinct years with data, newest first."""
+    years = calendar.select(*keys, F.year("local_date").alias("year")).distinct()
+    return years.orderBy(*keys, F.desc("year"))
 
 
 def month_labels(grid: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
