@@ -432,3 +432,18 @@ def q_medallion_run(spark, d):
     return rep.select(F.explode("counters").alias("counter", "value")).select(
         "counter", F.col("value").cast("bigint").alias("value")
     )
+
+
+@query("daily_sparse_by_user")
+def q_daily_sparse_by_user(spark, d):
+    return gold.daily_sparse(silver_records(spark, d, USER), CFG, USER)
+
+
+@query("workout_summary_by_user")
+def q_workout_summary_by_user(spark, d):
+    return gold.workout_summary(silver_workouts(spark, d, USER), USER)
+
+
+@query("calendar_grid_by_user")
+def q_calendar_grid_by_user(spark, d):
+    return calendar.calendar_grid(_calendar(spark, d, USER), "last-year", "steps", USER)
