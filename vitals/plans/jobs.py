@@ -92,11 +92,12 @@ def ingest(
 ) -> DataFrame:
     """Bronze: records outside workouts and flattened workouts, as text.
 
-    The XML is parsed once. When workouts hold records, the parsed records
-    go to a scan table first and the context filter runs over that Parquet
-    (two cheap columnar reads instead of a second XML parse). ``keys`` are
-    columns of a partitioned folder layout (``source/user_id=7/...``): many
-    exports are ingested in one job.
+    The XML is parsed once. Records are written to bronze while workouts
+    are parsed and their nested records counted (two concurrent jobs). Only
+    when workouts hold records (rare) is the context filter applied: over
+    the written Parquet into a staging table, which then replaces bronze, so
+    the common case pays no extra pass. ``keys`` are columns of a partitioned
+    folder layout (``source/user_id=7/...``): many exports in one job.
     """
     try:
         workouts = xml.scan_workouts(spark, source, mode).persist(StorageLevel.MEMORY_AND_DISK)
@@ -106,13 +107,17 @@ def ingest(
             raise FileNotFoundError(f"export not found: {source}") from e
         raise
     try:
-        nested = xml.nested_counts(workouts)
+        with ThreadPoolExecutor(max_workers=1) as pool:
+            written = pool.submit(_write, records, layout.bronze_records)
+            nested = xml.nested_counts(workouts)  # parses and caches the workouts meanwhile
+            written.result()
+        outputs = [(bronze.flatten_workouts(workouts, cfg, keys), layout.bronze_workouts)]
         if nested[1] > 0:
-            _write(records, layout.bronze_scan)
-            scanned = _layer(spark, layout.bronze_scan, schemas.BRONZE_RECORDS, keys)
-            records = xml.outside_workouts(scanned, workouts, nested)
-        flat = bronze.flatten_workouts(workouts, cfg, keys)
-        _write_all([(records, layout.bronze_records), (flat, layout.bronze_workouts)])
+            scanned = _layer(spark, layout.bronze_records, schemas.BRONZE_RECORDS, keys)
+            outputs.append((xml.outside_workouts(scanned, workouts, nested), layout.bronze_scan))
+        _write_all(outputs)
+        if nested[1] > 0:
+            _write(_layer(spark, layout.bronze_scan, schemas.BRONZE_RECORDS, keys), layout.bronze_records)
     finally:
         workouts.unpersist()
     return quality.merge_counters(
