@@ -274,6 +274,7 @@ def test_open_tag_with_quoted_gt_and_apostrophe(spark, scratch):
         """ <Record type="T" sourceName="it's" value="2"/>""",
         """ <Record type='T' sourceName='q"q' value='3'/>""",
         ' <Record\ttype="T" sourceName="tab" value="4"></Record>',
+        ' <Record type="T" sourceName=" spaced " value=" 5 "/>',
         "</HealthData>",
         "",
     ])
@@ -282,7 +283,7 @@ def test_open_tag_with_quoted_gt_and_apostrophe(spark, scratch):
         f.write(doc)
     split = sorted((r["source_name"], r["value"]) for r in xml.scan_records(spark, p).collect())
     dom = sorted((r["source_name"], r["value"]) for r in xml.scan_records(spark, p, "dom").collect())
-    assert split == dom == [("it's", "2"), ('q"q', "3"), ("tab", "4"), ("x>y", "1")]
+    assert split == dom == [(" spaced ", " 5 "), ("it's", "2"), ('q"q', "3"), ("tab", "4"), ("x>y", "1")]
 
 
 def test_dedup_is_idempotent_under_duplicated_input(spark):
