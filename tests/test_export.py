@@ -240,3 +240,14 @@ class TestRerunAndArrival:
         assert q.exception() is None
         s = serving.summary(spark, Layout(root)).collect()
         assert tuple(s[0]) == (3, 250.0, 74.0, 80.5, 2250.0, D1, D3)
+
+
+def test_fleet_serving_orders_by_entity(spark, scratch):
+    import os
+
+    root = os.path.join(scratch, "fleet")
+    if not os.path.isdir(root):
+        pytest.skip("fleet layout is built by TestFleet")
+    rows = serving.metric(spark, Layout(root), "workouts", keys=("user_id",)).collect()
+    assert [r["user_id"] for r in rows] == [1, 1, 1, 2, 2, 2]
+    assert [r["activity"] for r in rows[:3]] == ["Walking", "Cycling", "Walking"]

@@ -24,20 +24,24 @@ def _table(spark: SparkSession, layout: Layout, table: str, cfg: MetricConfig) -
     return spark.read.parquet(layout.gold(table))
 
 
-def order_for_serving(table: str, df: DataFrame) -> DataFrame:
+def order_for_serving(table: str, df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """The order the reference serves in (stored order is no contract);
+    with entity keys, each entity's rows together."""
     if table == "gold_workouts":
-        return df.orderBy("ts_utc").drop("ts_utc")
+        return df.orderBy(*keys, "ts_utc").drop("ts_utc")
     if table == "gold_workout_summary":
-        return df.orderBy(F.desc("n_workouts"), "activity")
-    return df.orderBy("local_date")
+        return df.orderBy(*keys, F.desc("n_workouts"), "activity")
+    return df.orderBy(*keys, "local_date")
 
 
-def metric(spark: SparkSession, layout: Layout, name: str, cfg: MetricConfig = HEALTH) -> DataFrame | None:
+def metric(
+    spark: SparkSession, layout: Layout, name: str, cfg: MetricConfig = HEALTH, keys: tuple[str, ...] = ()
+) -> DataFrame | None:
     """All rows of one whitelisted gold table, or None for an unknown name."""
     table = METRIC_TABLES.get(name)
     if table is None:
         return None
-    return order_for_serving(table, _table(spark, layout, table, cfg))
+    return order_for_serving(table, _table(spark, layout, table, cfg), keys)
 
 
 def summary(spark: SparkSession, layout: Layout) -> DataFrame:
