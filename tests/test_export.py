@@ -251,3 +251,28 @@ def test_fleet_serving_orders_by_entity(spark, scratch):
     rows = serving.metric(spark, Layout(root), "workouts", keys=("user_id",)).collect()
     assert [r["user_id"] for r in rows] == [1, 1, 1, 2, 2, 2]
     assert [r["activity"] for r in rows[:3]] == ["Walking", "Cycling", "Walking"]
+
+
+def test_malformed_elements_are_left_out_and_counted(spark, scratch):
+    import os
+
+    from vitals.plans.jobs import run_export
+
+    doc = "\n".join([
+        "<HealthData>",
+        ' <Record type="HKQuantityTypeIdentifierHeartRate" sourceName="W" startDate="2025-12-01 08:00:00 +0000" value="61"/>',
+        ' <Record type="HKQuantityTypeIdentifierHeartRate value="62"/>',
+        ' <Workout workoutActivityType="HKWorkoutActivityTypeWalking" duration="10" startDate="2025-12-01 09:00:00 +0000"/>',
+        ' <Workout workoutActivityType="Broken duration="5">',
+        "  <WorkoutStatistics sum=\"1\"/>",
+        " </Workout>",
+        "</HealthData>",
+        "",
+    ])
+    p = os.path.join(scratch, "malformed.xml")
+    with open(p, "w") as f:
+        f.write(doc)
+    rep = run_export(spark, p, os.path.join(scratch, "malformed-layers"), run_at="t")
+    c = rep["counters"]
+    assert (c["bronze_records"], c["malformed_records"]) == (1, 1)
+    assert (c["bronze_workouts"], c["malformed_workouts"]) == (1, 1)

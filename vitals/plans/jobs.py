@@ -19,7 +19,7 @@ import time
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vitals import schemas
@@ -100,17 +100,23 @@ def ingest(
     folder layout (``source/user_id=7/...``): many exports in one job.
     """
     try:
-        workouts = xml.scan_workouts(spark, source, mode).persist(StorageLevel.MEMORY_AND_DISK)
-        records = xml.scan_records(spark, source, mode)
+        parsed_workouts = xml.scan_workouts(spark, source, mode, flag_malformed=True).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed_records = xml.scan_records(spark, source, mode, flag_malformed=True)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             raise FileNotFoundError(f"export not found: {source}") from e
         raise
+    # malformed elements are left out of bronze and counted in the same pass
+    seen = Observation("malformed_records")
+    records = parsed_records.observe(seen, F.count_if("_malformed").alias("n")).where(~F.col("_malformed"))
+    records = records.drop("_malformed")
+    workouts = parsed_workouts.where(~F.col("_malformed")).drop("_malformed")
     try:
         with ThreadPoolExecutor(max_workers=1) as pool:
             written = pool.submit(_write, records, layout.bronze_records)
             nested = xml.nested_counts(workouts)  # parses and caches the workouts meanwhile
             written.result()
+        bad_workouts = parsed_workouts.where(F.col("_malformed")).count()  # from the cache
         outputs = [(bronze.flatten_workouts(workouts, cfg, keys), layout.bronze_workouts)]
         if nested[1] > 0:
             scanned = _layer(spark, layout.bronze_records, schemas.BRONZE_RECORDS, keys)
@@ -119,14 +125,17 @@ def ingest(
         if nested[1] > 0:
             _write(_layer(spark, layout.bronze_scan, schemas.BRONZE_RECORDS, keys), layout.bronze_records)
     finally:
-        workouts.unpersist()
-    return quality.merge_counters(
-        [
-            quality.count_rows(_read(spark, layout.bronze_records), "bronze_records", keys),
-            quality.count_rows(_read(spark, layout.bronze_workouts), "bronze_workouts", keys),
-        ],
-        keys,
-    )
+        parsed_workouts.unpersist()
+    malformed = {"malformed_records": int(seen.get["n"]), "malformed_workouts": int(bad_workouts)}
+    if any(malformed.values()):
+        log.warning("export %s: malformed elements left out: %s", source, malformed)
+    stages = [
+        quality.count_rows(_read(spark, layout.bronze_records), "bronze_records", keys),
+        quality.count_rows(_read(spark, layout.bronze_workouts), "bronze_workouts", keys),
+    ]
+    if not keys:  # run-level counts; a fleet report has one row per entity
+        stages.append(spark.createDataFrame(list(malformed.items()), "counter string, value bigint"))
+    return quality.merge_counters(stages, keys)
 
 
 def transform(spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, keys: tuple[str, ...] = ()) -> DataFrame:

@@ -24,6 +24,10 @@ BRONZE_WORKOUTS = T.StructType([T.StructField(n, S) for n in WORKOUT_FIELDS])
 RECORD_ATTRIBUTES = ("type", "sourceName", "unit", "creationDate", "startDate", "endDate", "value")
 XML_RECORD = T.StructType([T.StructField("_" + a, S) for a in RECORD_ATTRIBUTES])
 
+# Parse schemas: the record/workout fields plus the raw text of a malformed element.
+CORRUPT = "_corrupt_record"
+XML_RECORD_PARSE = T.StructType(list(XML_RECORD.fields) + [T.StructField(CORRUPT, S)])
+
 XML_WORKOUT = T.StructType(
     [
         T.StructField("_workoutActivityType", S),
@@ -44,6 +48,8 @@ XML_WORKOUT = T.StructType(
     ]
 )
 
+XML_WORKOUT_PARSE = T.StructType(list(XML_WORKOUT.fields) + [T.StructField(CORRUPT, S)])
+
 # Silver.
 SILVER_RECORDS = T.StructType(
     [

@@ -16,9 +16,17 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from vitals.session import cut_lineage
-from vitals.schemas import RECORD_ATTRIBUTES, RECORD_FIELDS, XML_RECORD, XML_WORKOUT
-
-XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE"}
+from vitals.schemas import (
+    CORRUPT,
+    RECORD_ATTRIBUTES,
+    RECORD_FIELDS,
+    XML_RECORD,
+    XML_RECORD_PARSE,
+    XML_WORKOUT,
+    XML_WORKOUT_PARSE,
+)
+
+XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 # An open tag's attribute text: anything up to the first '<' or '>' that is
 # not inside a quoted attribute value.
 ATTRIBUTES = r"""^((?:[^"'<>]|"[^"]*"|'[^']*')*)"""
@@ -61,7 +69,19 @@ def _path_columns(df: DataFrame, known: set[str]) -> list[str]:
     return [c for c in df.columns if c not in known]
 
 
-def scan_records(spark: SparkSession, path: str, mode: str = "split") -> DataFrame:
+def _malformed(df: DataFrame, flag: bool, field: str) -> DataFrame:
+    """Malformed elements (text the parser cannot read) are dropped, or kept
+    with ``_malformed = true`` so the caller can count them. A malformed
+    element has every field NULL; testing ``field`` as well keeps a data
+    column in the scan (a raw-file query on the corrupt column alone is
+    refused)."""
+    bad = F.col(CORRUPT).isNotNull() & F.col(field).isNull()
+    if flag:
+        return df.withColumn("_malformed", bad).drop(CORRUPT)
+    return df.where(~bad).drop(CORRUPT)
+
+
+def scan_records(spark: SparkSession, path: str, mode: str = "split", flag_malformed: bool = False) -> DataFrame:
     """Every ``<Record>`` element of the export(s) at ``path``: 7 text columns.
 
     Missing attributes are NULL; the ``device`` attribute is not read.
@@ -71,30 +91,32 @@ def scan_records(spark: SparkSession, path: str, mode: str = "split") -> DataFra
         raw = (
             spark.read.format("xml")
             .options(rowTag="Record", **XML_OPTIONS)
-            .schema(XML_RECORD)
+            .schema(XML_RECORD_PARSE)
             .load(path)
         )
-        keys = _path_columns(raw, set(XML_RECORD.fieldNames()))
-        return raw.select(*keys, *_record_columns())
+        keys = _path_columns(raw, set(XML_RECORD_PARSE.fieldNames()))
+        return _malformed(raw.select(*keys, *_record_columns(), CORRUPT), flag_malformed, "type")
     chunks = spark.read.option("lineSep", "<Record").text(path)
     keys = _path_columns(chunks, {"value"})
     # a tag name followed by a blank, tab or line break; <RecordX is no match
     chunks = chunks.where(F.col("value").rlike(RECORD_CHUNK))
     attrs = _open_tag(F.col("value"))
     tag = F.concat(F.lit("<Record"), attrs, F.when(_self_closing(attrs), F.lit(">")).otherwise(F.lit("/>")))
-    parsed = chunks.select(*keys, F.from_xml(tag, XML_RECORD, XML_OPTIONS).alias("r"))
-    return parsed.select(*keys, *_record_columns("r."))
+    parsed = chunks.select(*keys, F.from_xml(tag, XML_RECORD_PARSE, XML_OPTIONS).alias("r"))
+    records = parsed.select(*keys, *_record_columns("r."), F.col(f"r.{CORRUPT}").alias(CORRUPT))
+    return _malformed(records, flag_malformed, "type")
 
 
-def scan_workouts(spark: SparkSession, path: str, mode: str = "split") -> DataFrame:
+def scan_workouts(spark: SparkSession, path: str, mode: str = "split", flag_malformed: bool = False) -> DataFrame:
     """Every ``<Workout>`` with its attributes and child arrays (``XML_WORKOUT``)."""
     if mode == "dom":
-        return (
+        raw = (
             spark.read.format("xml")
             .options(rowTag="Workout", **XML_OPTIONS)
-            .schema(XML_WORKOUT)
+            .schema(XML_WORKOUT_PARSE)
             .load(path)
         )
+        return _malformed(raw, flag_malformed, "_workoutActivityType")
     chunks = spark.read.option("lineSep", "<Workout ").text(path)
     keys = _path_columns(chunks, {"value"})
     chunks = chunks.where(F.col("value").rlike(WORKOUT_CHUNK))
@@ -103,13 +125,13 @@ def scan_workouts(spark: SparkSession, path: str, mode: str = "split") -> DataFr
     element = F.when(_self_closing(attrs), F.concat(F.lit("<Workout "), attrs, F.lit(">"))).otherwise(
         F.concat(F.lit("<Workout "), F.substring_index(v, "</Workout>", 1), F.lit("</Workout>"))
     )
-    parsed = chunks.select(*keys, F.from_xml(element, XML_WORKOUT, XML_OPTIONS).alias("w"))
-    return parsed.select(*keys, "w.*")
+    parsed = chunks.select(*keys, F.from_xml(element, XML_WORKOUT_PARSE, XML_OPTIONS).alias("w"))
+    return _malformed(parsed.select(*keys, "w.*"), flag_malformed, "_workoutActivityType")
 
 
 def nested_records(workouts: DataFrame) -> DataFrame:
     """Records that are children of a workout, as 7 text columns (plus keys)."""
-    keys = _path_columns(workouts, set(XML_WORKOUT.fieldNames()))
+    keys = _path_columns(workouts, set(XML_WORKOUT.fieldNames()) | {"_malformed"})
     return workouts.select(*keys, F.explode("Record").alias("r")).select(*keys, *_record_columns("r."))
 
 
