@@ -276,3 +276,14 @@ def test_malformed_elements_are_left_out_and_counted(spark, scratch):
     c = rep["counters"]
     assert (c["bronze_records"], c["malformed_records"]) == (1, 1)
     assert (c["bronze_workouts"], c["malformed_workouts"]) == (1, 1)
+
+
+def test_dom_mode_gives_the_same_gold(spark, scratch, export_path, export_run):
+    import os
+
+    from vitals.plans.jobs import run_export
+
+    root = os.path.join(scratch, "dom-layers")
+    rep = run_export(spark, export_path, root, mode="dom", run_at="2025-12-25T00:00:00+00:00")
+    assert rep["counters"] == export_run["report"]["counters"]
+    assert tuple(serving.summary(spark, Layout(root)).first()) == (3, 250.0, 74.0, 80.5, 2250.0, D1, D3)
