@@ -175,24 +175,26 @@ class TestServing:
             run_export(spark, scratch + "/no-such.xml", scratch + "/x")
 
 
-class TestFleet:
+@pytest.fixture(scope="module")
+def fleet(spark, scratch):
     """Two users' exports in a partitioned folder, one job, keys=("user_id",)."""
+    import os
 
-    @pytest.fixture(scope="class")
-    def fleet(self, spark, scratch):
-        import os
+    from tests.conftest import EXPORT
+    from vitals.plans.jobs import run_export
+
+    landing = os.path.join(scratch, "landing")
+    for user in (1, 2):
+        os.makedirs(os.path.join(landing, f"user_id={user}"), exist_ok=True)
+        with open(os.path.join(landing, f"user_id={user}", "export.xml"), "w") as f:
+            f.write(EXPORT)
+    root = os.path.join(scratch, "fleet")
+    out = run_export(spark, landing, root, run_at="2025-12-25T00:00:00+00:00", keys=("user_id",))
+    return Layout(root), out
 
-        from tests.conftest import EXPORT
-        from vitals.plans.jobs import run_export
 
-        landing = os.path.join(scratch, "landing")
-        for user in (1, 2):
-            os.makedirs(os.path.join(landing, f"user_id={user}"), exist_ok=True)
-            with open(os.path.join(landing, f"user_id={user}", "export.xml"), "w") as f:
-                f.write(EXPORT)
-        root = os.path.join(scratch, "fleet")
-        out = run_export(spark, landing, root, run_at="2025-12-25T00:00:00+00:00", keys=("user_id",))
-        return Layout(root), out
+class TestFleet:
+    """Two users' exports in a partitioned folder, one job, keys=("user_id",)."""
 
     def test_report_per_user(self, fleet):
         _, out = fleet
@@ -242,13 +244,9 @@ class TestRerunAndArrival:
         assert tuple(s[0]) == (3, 250.0, 74.0, 80.5, 2250.0, D1, D3)
 
 
-def test_fleet_serving_orders_by_entity(spark, scratch):
-    import os
-
-    root = os.path.join(scratch, "fleet")
-    if not os.path.isdir(root):
-        pytest.skip("fleet layout is built by TestFleet")
-    rows = serving.metric(spark, Layout(root), "workouts", keys=("user_id",)).collect()
+def test_fleet_serving_orders_by_entity(spark, fleet):
+    layout, _ = fleet
+    rows = serving.metric(spark, layout, "workouts", keys=("user_id",)).collect()
     assert [r["user_id"] for r in rows] == [1, 1, 1, 2, 2, 2]
     assert [r["activity"] for r in rows[:3]] == ["Walking", "Cycling", "Walking"]
 
