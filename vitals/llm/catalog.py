@@ -5,11 +5,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from vitals.llm.bpe import op8_bpe
+from vitals.llm.langid import op2_language
 from vitals.llm.secret_scan import op4_secrets
 from vitals.llm.simhash import op1_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_language": op2_language,
     "op4_secrets": op4_secrets,
     "op8_bpe": op8_bpe,
 }
