@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from vitals.llm.bpe import op8_bpe
+from vitals.llm.chat import OP7_SQL, op7_chat
 from vitals.llm.langid import op2_language
 from vitals.llm.secret_scan import op4_secrets
 from vitals.llm.simhash import op1_simhash
@@ -13,7 +14,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_language": op2_language,
     "op4_secrets": op4_secrets,
+    "op7_chat": op7_chat,
     "op8_bpe": op8_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_chat": OP7_SQL,
+}
