@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vitals.llm.bpe import op8_bpe
 from vitals.llm.chat import OP7_SQL, op7_chat
 from vitals.llm.langid import op2_language
+from vitals.llm.rules import OP9_SQL, op9_rules
 from vitals.llm.secret_scan import op4_secrets
 from vitals.llm.simhash import op1_simhash
 
@@ -16,8 +17,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secrets": op4_secrets,
     "op7_chat": op7_chat,
     "op8_bpe": op8_bpe,
+    "op9_rules": op9_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op7_chat": OP7_SQL,
+    "op9_rules": OP9_SQL,
 }
