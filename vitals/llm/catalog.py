@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vitals.llm.bpe import op8_bpe
 from vitals.llm.chat import OP7_SQL, op7_chat
+from vitals.llm.decontaminate import op10_decontaminate
 from vitals.llm.langid import op2_language
+from vitals.llm.quality import op6_quality
 from vitals.llm.rules import OP9_SQL, op9_rules
 from vitals.llm.secret_scan import op4_secrets
 from vitals.llm.simhash import op1_simhash
@@ -15,9 +17,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_language": op2_language,
     "op4_secrets": op4_secrets,
+    "op6_quality": op6_quality,
     "op7_chat": op7_chat,
     "op8_bpe": op8_bpe,
     "op9_rules": op9_rules,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE_SQL: dict[str, str] = {
