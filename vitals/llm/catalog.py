@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vitals.llm.bpe import op8_bpe
 from vitals.llm.chat import OP7_SQL, op7_chat
 from vitals.llm.decontaminate import op10_decontaminate
+from vitals.llm.html_text import op3_main_text
 from vitals.llm.langid import op2_language
 from vitals.llm.quality import op6_quality
 from vitals.llm.rules import OP9_SQL, op9_rules
@@ -16,6 +17,7 @@ from vitals.llm.simhash import op1_simhash
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_language": op2_language,
+    "op3_main_text": op3_main_text,
     "op4_secrets": op4_secrets,
     "op6_quality": op6_quality,
     "op7_chat": op7_chat,

@@ -36,11 +36,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def text_map(spark: SparkSession, schema: str, make):
-    """A pandas UDF over one text column that returns a struct of ``schema``.
+    """A pandas UDF over one column that returns a struct of ``schema``.
 
-    ``make()`` runs once in a task and returns a function from a text (None for
-    null) to a tuple in the order of ``schema``; its caches live as long as the
-    task. The UDF sees only the text column, so ids, nulls in them and columns of
+    ``make()`` runs once in a task and returns a function from a value (None for a
+    null text) to a tuple in the order of ``schema``; its caches live as long as the
+    task. The UDF sees only that column, so ids, nulls in them and columns of
     any name stay on the JVM side.
     """
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
@@ -50,7 +50,7 @@ def text_map(spark: SparkSession, schema: str, make):
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         one = make()
         for texts in batches:
-            rows = [one(t if isinstance(t, str) else None) for t in texts]
+            rows = [one(None if isinstance(t, float) else t) for t in texts]  # pandas may make a null a NaN
             columns = list(zip(*rows)) if rows else [()] * len(names)
             yield pd.DataFrame({n: pd.Series(list(c), dtype=object) for n, c in zip(names, columns)}, columns=names)
 
