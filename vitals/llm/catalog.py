@@ -9,6 +9,7 @@ from vitals.llm.chat import OP7_SQL, op7_chat
 from vitals.llm.decontaminate import op10_decontaminate
 from vitals.llm.html_text import op3_main_text
 from vitals.llm.langid import op2_language
+from vitals.llm.personal import op5_personal
 from vitals.llm.quality import op6_quality
 from vitals.llm.rules import OP9_SQL, op9_rules
 from vitals.llm.secret_scan import op4_secrets
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op3_main_text": op3_main_text,
     "op4_secrets": op4_secrets,
+    "op5_personal": op5_personal,
     "op6_quality": op6_quality,
     "op7_chat": op7_chat,
     "op8_bpe": op8_bpe,
