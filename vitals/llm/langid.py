@@ -105,7 +105,7 @@ def train(rows: list[tuple[str, list[int], list[float]]], epochs: int = 12, rate
             back = softmax.T @ error
             softmax -= slope * np.outer(error, mean)
             bias -= slope * 0.1 * error
-            vectors[at] -= 20 * slope * np.outer(weights, back)
+            vectors[at] -= slope / (weights @ weights + 0.05) * np.outer(weights, back)  # short texts weigh each subword more
     logits = vectors @ softmax.T
     seen = [data[i] for i in (held or range(len(data)))]
     scores = np.array([weights @ logits[at] + bias for _, at, weights in seen])
