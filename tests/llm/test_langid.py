@@ -49,7 +49,7 @@ def test_blocks_do_not_change_a_long_word(monkeypatch):
 def test_rejection_is_calibrated_on_noisy_labels():
     random = np.random.default_rng(1)
     rows = []
-    for _ in range(300):
+    for _ in range(800):
         kind = random.integers(0, 2)
         label = "xy"[kind] if random.random() < 0.9 else "xy"[1 - kind]  # a tenth of the labels is wrong
         words = ["".join(random.choice(list(("abcd", "wxyz")[kind]), 5)) for _ in range(20)]
