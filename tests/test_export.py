@@ -1,17 +1,35 @@
-"""End to end over the fixture export: every stage, hand-computed values."""
+"""The whole job over exports written for it: one person, odd exports, a fleet, arrivals."""
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import HR, MASS
+from tests.conftest import BURNT, EXPORT, PULSE, RECORDS, SCALE, SESSIONS, WALKED, document, measured, put, session, slept
 from vitals.config import Layout
-from vitals.plans import serving
+from vitals.plans import jobs, serving
+from vitals.streaming import arrivals
 
-D1, D2, D3 = dt.date(2025, 12, 1), dt.date(2025, 12, 2), dt.date(2025, 12, 3)
+FEB28, FEB29, MAR1 = dt.date(2024, 2, 28), dt.date(2024, 2, 29), dt.date(2024, 3, 1)
+OVERVIEW = (3, 250.0, 57.0, 69.9, 2533.0, FEB28, MAR1)
+COUNTERS = {
+    "bronze_records": 29, "bronze_workouts": 4, "malformed_records": 0, "malformed_workouts": 0,
+    "silver_records": 17, "silver_sleep_intervals": 6, "silver_workouts": 3, "invalid_numeric_value": 2, "invalid_timestamp": 2,
+    "gold_daily_heart_rate": 3, "gold_daily_resting_hr": 0, "gold_daily_hrv": 0, "gold_daily_respiratory_rate": 0, "gold_vo2max": 0,
+    "gold_weight": 3, "gold_daily_activity": 3, "gold_daily_calendar": 3, "gold_daily_sleep": 2, "gold_workouts": 3,
+    "gold_workout_summary": 3, "gold_summary": 1,
+}
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def counters(report):
+    return {k: v for k, v in report["counters"].items() if not k.endswith("_local_day")}
 
 
 @pytest.fixture(scope="module")
@@ -19,269 +37,196 @@ def layout(export_run):
     return Layout(export_run["root"])
 
 
-def one(df):
-    rows = df.collect()
-    assert len(rows) == 1, rows
-    return rows[0]
-
-
-class TestBronze:
-    def test_record_count_excludes_nested(self, export_run):
-        # 25 <Record> elements, one of them inside a workout
-        assert export_run["report"]["counters"]["bronze_records"] == 24
-        assert export_run["report"]["counters"]["bronze_workouts"] == 3
-
-    def test_unpromoted_type_kept(self, spark, layout):
-        b = spark.read.parquet(layout.bronze_records)
-        assert b.where(F.col("type").endswith("HeadphoneAudioExposure")).count() == 1
-
-    def test_entities_decoded_and_other_parent_kept(self, spark, layout):
-        b = spark.read.parquet(layout.bronze_records)
-        assert b.where(F.col("source_name") == "Me & Watch").count() == 1
-        assert b.where((F.col("type") == MASS) & (F.col("value") == "80.75")).count() == 1
-
-    def test_sleep_unit_absent_is_null(self, spark, layout):
-        b = spark.read.parquet(layout.bronze_records)
-        assert b.where(F.col("type").endswith("SleepAnalysis") & F.col("unit").isNull()).count() == 5
-
-    def test_workout_statistics_flattened(self, spark, layout):
-        w = {r["duration_min"]: r for r in spark.read.parquet(layout.bronze_workouts).collect()}
-        assert (w["30.5"]["active_energy_kcal"], w["30.5"]["distance_km"], w["30.5"]["indoor"]) == ("150.5", "2.5", "0")
-        assert (w["20.0"]["active_energy_kcal"], w["20.0"]["distance_km"], w["20.0"]["indoor"]) == ("99.5", "10.25", "1")
-        assert (w["15"]["active_energy_kcal"], w["15"]["distance_km"], w["15"]["indoor"]) == (None, None, None)
-
-
-class TestSilver:
-    def test_counts(self, export_run):
-        c = export_run["report"]["counters"]
-        assert c["silver_records"] == 15
-        assert c["silver_sleep_intervals"] == 5
-        assert c["silver_workouts"] == 3
-        assert c["invalid_numeric_value"] == 1
-        assert c["invalid_timestamp"] == 1
-
-    def test_duplicates_collapsed_after_parse(self, spark, layout):
-        s = spark.read.parquet(layout.silver_records)
-        assert s.where((F.col("type") == HR) & (F.col("local_date") == D1)).count() == 2
-
-    def test_local_day_is_wall_clock(self, spark, layout):
-        s = spark.read.parquet(layout.silver_records)
-        r = one(s.where((F.col("type") == HR) & (F.col("value") == 55.0)))
-        assert r["local_date"] == D3
-        assert r["ts_utc"].strftime("%Y-%m-%d %H:%M") == "2025-12-02 20:30"
-
-    def test_minute_boundaries(self, spark, layout):
-        s = spark.read.parquet(layout.silver_sleep)
-        assert sorted(r["minutes"] for r in s.collect()) == [2, 10, 30, 120, 420]
-
-    def test_quarantine_reasons(self, spark, layout):
-        q = spark.read.parquet(layout.quarantine).collect()
-        assert sorted(r["reasons"][0] for r in q) == ["invalid_numeric_value", "invalid_timestamp"]
-
-
-class TestGold:
-    def test_daily_heart_rate(self, spark, layout):
-        hr = {r["local_date"]: r for r in serving.metric(spark, layout, "heart-rate").collect()}
-        assert tuple(hr[D1][1:]) == (70.0, 62.0, 78.0, 2)
-        assert hr[D2]["n_samples"] == 1
-        assert (hr[D3]["avg_value"], hr[D3]["n_samples"]) == (63.3, 3)
-
-    def test_steps_best_source(self, spark, layout):
-        a = {r["local_date"]: r for r in serving.metric(spark, layout, "activity").collect()}
-        assert a[D1]["steps"] == 1000.0
-        assert a[D2]["steps"] == 3500.0
-        assert a[D2]["active_kcal"] == 251.0
-        assert a[D1]["active_kcal"] is None
-
-    def test_weight(self, spark, layout):
-        w = [tuple(r) for r in serving.metric(spark, layout, "weight").collect()]
-        assert w == [(D1, 81.5), (D3, 80.5)]
-
-    def test_calendar_levels(self, spark, layout):
-        c = {r["local_date"]: r for r in serving.metric(spark, layout, "calendar").collect()}
-        assert (c[D1]["level_steps"], c[D1]["level_kcal"]) == (1, 0)
-        assert (c[D2]["level_steps"], c[D2]["level_kcal"]) == (2, 1)
-
-    def test_sleep(self, spark, layout):
-        s = [tuple(r) for r in serving.metric(spark, layout, "sleep").collect()]
-        assert s == [(D2, 150, 30, None, 10), (D3, 2, None, None, None)]
-
-    def test_workouts_in_time_order(self, spark, layout):
-        w = [tuple(r) for r in serving.metric(spark, layout, "workouts").collect()]
-        assert w == [
-            ("Walking", D1, 30.5, 150.5, 2.5, False),
-            ("Cycling", D2, 20.0, 99.5, 10.25, True),
-            ("Walking", D3, 15.0, None, None, None),
-        ]
-
-    def test_workout_summary(self, spark, layout):
-        s = [tuple(r) for r in serving.metric(spark, layout, "workout-summary").collect()]
-        assert s == [("Walking", 2, 45.5, 150.5, 2.5), ("Cycling", 1, 20.0, 99.5, 10.25)]
-
-    def test_summary(self, spark, layout):
-        r = one(serving.summary(spark, layout))
-        assert tuple(r) == (3, 250.0, 74.0, 80.5, 2250.0, D1, D3)
-
-    def test_gold_counts(self, export_run):
-        c = export_run["report"]["counters"]
-        assert c["gold_daily_heart_rate"] == 3
-        assert c["gold_daily_resting_hr"] == 0
-        assert c["gold_weight"] == 2
-        assert c["gold_summary"] == 1
-        assert sum(1 for k in c if k.startswith("gold_")) == 12
-
-
-class TestQuality:
-    def test_checks(self, export_run):
-        rep = export_run["report"]
-        st = {c["check"]: c["status"] for c in rep["checks"]}
-        assert st["records survived silver"] == "pass"
-        assert st["workouts survived silver"] == "pass"
-        assert st["invalid numeric values below 1% of bronze"] == "warn"
-        assert rep["warnings"] == [
-            "invalid numeric values below 1% of bronze",
-            "invalid timestamps below 1% of bronze",
-        ]
-
-    def test_date_range(self, export_run):
-        assert export_run["report"]["date_range"] == ["2025-12-01", "2025-12-03"]
-
-    def test_latest_report_readable(self, spark, layout):
-        r = one(serving.latest_quality(spark, layout))
-        assert r["run_at"] == "2025-12-25T00:00:00+00:00"
-        assert len(r["checks"]) == 4
-
-
-class TestServing:
-    def test_whitelist(self, spark, layout):
-        assert serving.metric(spark, layout, "evil") is None
-        assert "calendar" in serving.metric_names() and len(serving.metric_names()) == 11
-
-    def test_ready(self, spark, layout, scratch):
-        assert serving.ready(spark, layout)
-        assert not serving.ready(spark, Layout(scratch + "/nothing"))
-
-    def test_dashboard(self, spark, layout):
-        d = serving.dashboard(spark, layout)
-        assert tuple(d["heartRate"].first()) == ("2025-12-01", 70.0)
-        assert {r["name"] for r in d["workouts"].collect()} == {"Walking", "Cycling"}
-        cal = d["calendar"].first()
-        assert (cal["date"], cal["level_steps"]) == ("2025-12-01", 1)
-
-    def test_missing_export(self, spark, scratch):
-        from vitals.plans.jobs import run_export
-
-        with pytest.raises(FileNotFoundError):
-            run_export(spark, scratch + "/no-such.xml", scratch + "/x")
+def test_counters_report_and_checks(spark, export_run, layout):
+    report = export_run["report"]
+    assert counters(report) == COUNTERS
+    assert report["date_range"] == ["2024-02-28", "2024-03-01"]
+    bad = ["invalid numeric values below 1% of bronze", "invalid timestamps below 1% of bronze"]
+    assert report["warnings"] == bad
+    assert [c["status"] for c in report["checks"]] == ["pass", "pass", "warn", "warn"]
+    stored = serving.latest_quality(spark, layout).collect()
+    assert [(r["run_at"], r["warnings"]) for r in stored] == [("2024-03-02T00:00:00+00:00", bad)]
+
+
+def test_bronze_keeps_text_and_drops_what_is_inside_workouts(spark, layout):
+    bronze = jobs.bronze_records(spark, layout).collect()
+    values = [r["value"] for r in bronze if r["type"] == PULSE]
+    assert sorted(values) == sorted(["58", "58.0", "64", "64", "49", " 61 ", "n/a", "71", "?"])  # no 150, 151, 999
+    assert {r["source_name"] for r in bronze} == {"Band", "Ring", "Pocket & Co", "a > b"}
+    assert sum(r["unit"] is None for r in bronze) == 7  # the nights
+    assert "55" in [r["value"] for r in jobs.bronze_records(spark, layout, (), "other").collect()]
+    workouts = {r["duration_min"]: r for r in spark.read.parquet(layout.bronze_workouts).collect()}
+    swim, yoga, odd = workouts["41.25"], workouts["20"], workouts["5.05"]
+    assert (swim["active_energy_kcal"], swim["distance_km"], swim["indoor"]) == ("250.0", "1.75", "1")
+    assert (yoga["active_energy_kcal"], yoga["distance_km"], yoga["indoor"]) == (None, None, None)
+    assert (odd["active_energy_kcal"], odd["distance_km"], odd["source_name"]) == (None, None, "Ring")
+
+
+def test_silver_types_and_days(spark, layout):
+    silver = spark.read.parquet(layout.silver_records)
+    pulses = sorted((r["local_date"], r["value"], r["ts_utc"]) for r in silver.where(F.col("type") == PULSE).collect())
+    assert [(d, v) for d, v, _ in pulses] == [(FEB28, 58.0), (FEB28, 64.0), (FEB28, 64.0), (FEB29, 49.0), (MAR1, 61.0)]
+    assert pulses[3][2] == dt.datetime(2024, 2, 28, 15, 30)  # half past midnight in +0900
+    assert pulses[4][2] == dt.datetime(2024, 2, 29, 21, 5)
+    assert sorted(r["minutes"] for r in spark.read.parquet(layout.silver_sleep).collect()) == [-2, 10, 30, 30, 90, 420]
+    reasons = sorted(tuple(r["reasons"]) for r in spark.read.parquet(layout.quarantine).collect())
+    assert reasons == [("invalid_numeric_value",), ("invalid_numeric_value", "invalid_timestamp"), ("invalid_timestamp",)]
+
+
+@pytest.mark.parametrize(
+    "name, want",
+    [
+        ("heart-rate", [(FEB28, 62.0, 58.0, 64.0, 3), (FEB29, 49.0, 49.0, 49.0, 1), (MAR1, 61.0, 61.0, 61.0, 1)]),
+        ("weight", [(FEB28, 70.1), (FEB29, 70.15), (MAR1, 69.9)]),
+        ("hrv", []),
+        ("activity", [(FEB28, 5100.0, 120.0, None, None), (FEB29, 0.0, 311.0, None, None), (MAR1, 2500.0, None, None, None)]),
+        ("calendar", [(FEB28, 5100.0, 120.0, None, 1, 2), (FEB29, 0.0, 311.0, None, 2, 0), (MAR1, 2500.0, None, None, 0, 1)]),
+        ("sleep", [(FEB28, 30, None, None, None), (FEB29, 118, -2, 30, 10)]),
+        ("workouts", [("Swimming", FEB28, 41.3, 250.0, 1.75, True), ("Yoga", FEB29, 20.0, None, None, None), ("", MAR1, 5.1, None, None, None)]),
+        ("workout-summary", [("", 1, 5.1, None, None), ("Swimming", 1, 41.3, 250.0, 1.75), ("Yoga", 1, 20.0, None, None)]),
+    ],
+)
+def test_gold_tables_as_served(spark, layout, name, want):
+    assert rows(serving.metric(spark, layout, name)) == want
+
+
+def test_served_overview_and_bundle(spark, layout, scratch):
+    assert rows(serving.summary(spark, layout)) == [OVERVIEW]
+    bundle = serving.dashboard(spark, layout)
+    assert sorted(bundle) == ["calendar", "heartRate", "summary", "weight", "workouts"]
+    assert rows(bundle["heartRate"])[0] == ("2024-02-28", 62.0) and rows(bundle["weight"])[-1] == ("2024-03-01", 69.9)
+    assert ("Swimming", 1, 250.0) in rows(bundle["workouts"]) and rows(bundle["calendar"])[1][:2] == ("2024-02-29", 0.0)
+    assert serving.metric(spark, layout, "no such table") is None and len(serving.metric_names()) == 11
+    assert serving.ready(spark, layout) and not serving.ready(spark, Layout(f"{scratch}/nowhere"))
+
+
+def test_rerun_changes_nothing(spark, export_path, export_run, layout):
+    before = {t: sorted(map(str, spark.read.parquet(layout.gold(t)).collect())) for t in jobs.GOLD_TABLES}
+    again = jobs.run_export(spark, export_path, export_run["root"], run_at="2024-03-03T00:00:00+00:00")
+    assert again["counters"] == export_run["report"]["counters"]
+    assert {t: sorted(map(str, spark.read.parquet(layout.gold(t)).collect())) for t in jobs.GOLD_TABLES} == before
+
+
+def test_built_in_source_gives_the_same_gold(spark, export_path, scratch):
+    root = f"{scratch}/dom"
+    assert counters(jobs.run_export(spark, export_path, root, mode="dom")) == COUNTERS
+    assert rows(serving.summary(spark, Layout(root))) == [OVERVIEW]
+
+
+def test_missing_export(spark, scratch):
+    with pytest.raises(FileNotFoundError):
+        jobs.run_export(spark, f"{scratch}/no-such.xml", f"{scratch}/x")
+
+
+@pytest.mark.parametrize(
+    "elements, some",
+    [
+        ([], {}),
+        ([measured(WALKED, "10", "2024-05-05 10:00:00")], {"bronze_records": 1, "silver_records": 1, "gold_daily_activity": 1, "gold_daily_calendar": 1}),
+        ([slept("AsleepCore", "2024-05-05 01:00:00", "2024-05-05 02:00:00")], {"bronze_records": 1, "silver_sleep_intervals": 1, "gold_daily_sleep": 1}),
+        ([session("Golf", "90", "2024-05-05 10:00:00")], {"bronze_workouts": 1, "silver_workouts": 1, "gold_workouts": 1, "gold_workout_summary": 1}),
+    ],
+    ids=["empty", "steps", "sleep", "workouts"],
+)
+def test_exports_without_most_kinds(spark, scratch, elements, some, request):
+    root = f"{scratch}/{request.node.callspec.id}"
+    report = jobs.run_export(spark, put(f"{root}.xml", document(*elements)), root)
+    assert counters(report) == {**dict.fromkeys(COUNTERS, 0), **some, "gold_summary": 1}
+    assert sum(k.startswith("gold_") for k in report["counters"]) == 12
+    (overview,) = rows(serving.summary(spark, Layout(root)))
+    assert overview[0] == some.get("gold_workouts", 0) and overview[2:4] == (None, None)
+    for name in serving.metric_names():
+        assert serving.metric(spark, Layout(root), name).count() == some.get(serving.METRIC_TABLES[name], 0)
+
+
+def test_malformed_elements_are_kept_apart_and_counted(spark, scratch):
+    text = document(
+        measured(PULSE, "61", "2024-05-05 10:00:00"), f'<Record type="{PULSE} value="62"/>', '<Record type="a" type="b" value="1"/>',
+        '<Record type="a&nbsp;" value="1"/>', session("Golf", "9", "2024-05-05 10:00:00"), '<Workout duration="5 a="b"><WorkoutStatistics sum="1"/></Workout>',
+    )
+    root = f"{scratch}/malformed"
+    found = counters(jobs.run_export(spark, put(f"{root}.xml", text), root))
+    assert (found["bronze_records"], found["malformed_records"], found["bronze_workouts"], found["malformed_workouts"]) == (1, 3, 1, 1)
+    kept = jobs.elements(spark, Layout(root)).where(F.col("kind") == "malformed_record").select("value").collect()
+    assert any('value="62"/>' in r["value"] for r in kept)
+
+
+def test_sums_keep_every_digit(spark, scratch):
+    tiny = [measured(WALKED, "1e-7", f"2024-05-05 10:{i // 60:02}:{i % 60:02}") for i in range(1000)]
+    text = document(*tiny, measured(BURNT, "1e35", "2024-05-06 10:00:00"), measured(SCALE, "+nan", "2024-05-07 10:00:00"), measured(SCALE, "-inf", "2024-05-08 10:00:00"))
+    root = f"{scratch}/sums"
+    jobs.run_export(spark, put(f"{root}.xml", text), root)
+    from vitals.config import HEALTH
+    from vitals.operators import gold
+
+    totals = gold.per_source_totals(spark.read.parquet(Layout(root).silver_records), HEALTH).collect()
+    assert sorted(r["total"] for r in totals) == [pytest.approx(1e-4, rel=1e-12), 1e35]
+    assert [str(r["value"]) for r in serving.metric(spark, Layout(root), "weight").collect()] == ["nan", "-inf"]
+
+
+USER = ("user_id",)
 
 
 @pytest.fixture(scope="module")
 def fleet(spark, scratch):
-    """Two users' exports in a partitioned folder, one job, keys=("user_id",)."""
-    import os
-
-    from tests.conftest import EXPORT
-    from vitals.plans.jobs import run_export
-
-    landing = os.path.join(scratch, "landing")
-    for user in (1, 2):
-        os.makedirs(os.path.join(landing, f"user_id={user}"), exist_ok=True)
-        with open(os.path.join(landing, f"user_id={user}", "export.xml"), "w") as f:
-            f.write(EXPORT)
-    root = os.path.join(scratch, "fleet")
-    out = run_export(spark, landing, root, run_at="2025-12-25T00:00:00+00:00", keys=("user_id",))
-    return Layout(root), out
-
-
-class TestFleet:
-    """Two users' exports in a partitioned folder, one job, keys=("user_id",)."""
-
-    def test_report_per_user(self, fleet):
-        _, out = fleet
-        assert (out["entities"], out["entities_warned"]) == (2, 2)
-
-    def test_summary_per_user_equals_single_export(self, spark, fleet):
-        layout, _ = fleet
-        rows = sorted(tuple(r) for r in serving.summary(spark, layout).collect())
-        assert rows == [(u, 3, 250.0, 74.0, 80.5, 2250.0, D1, D3) for u in (1, 2)]
-
-    def test_levels_and_nested_records_per_user(self, spark, fleet):
-        layout, _ = fleet
-        cal = spark.read.parquet(layout.gold("gold_daily_calendar"))
-        got = sorted((r["user_id"], r["local_date"], r["level_steps"], r["level_kcal"]) for r in cal.collect())
-        assert got == [(u, d, s, k) for u in (1, 2) for d, s, k in ((D1, 1, 0), (D2, 2, 1))]
-        b = spark.read.parquet(layout.bronze_records)
-        assert sorted(tuple(r) for r in b.groupBy("user_id").count().collect()) == [(1, 24), (2, 24)]
-
-
-class TestRerunAndArrival:
-    def test_rerun_is_idempotent(self, spark, export_run, export_path, layout):
-        from vitals.plans.jobs import run_export
-
-        before = {t: sorted(map(str, spark.read.parquet(layout.gold(t)).collect()))
-                  for t in ("gold_daily_calendar", "gold_summary", "gold_workout_summary")}
-        again = run_export(spark, export_path, export_run["root"], run_at="2025-12-26T00:00:00+00:00")
-        assert again["counters"] == export_run["report"]["counters"]
-        for t, rows in before.items():
-            assert sorted(map(str, spark.read.parquet(layout.gold(t)).collect())) == rows
-
-    def test_new_export_triggers_rebuild(self, spark, scratch):
-        import os
-
-        from tests.conftest import EXPORT
-        from vitals.streaming.arrivals import watch_exports
-
-        landing = os.path.join(scratch, "arrivals")
-        os.makedirs(landing, exist_ok=True)
-        with open(os.path.join(landing, "upload-1.xml"), "w") as f:
-            f.write(EXPORT)
-        root = os.path.join(scratch, "arrived")
-        q = watch_exports(spark, landing, root, checkpoint=os.path.join(scratch, "arrivals-ckpt"),
-                          trigger={"availableNow": True})
-        q.awaitTermination(600)
-        assert q.exception() is None
-        s = serving.summary(spark, Layout(root)).collect()
-        assert tuple(s[0]) == (3, 250.0, 74.0, 80.5, 2250.0, D1, D3)
-
-
-def test_fleet_serving_orders_by_entity(spark, fleet):
+    """Four people in key folders, one job: a full export, one without workouts and rejects, one more, an empty one."""
+    landing = f"{scratch}/landing"
+    put(f"{landing}/user_id=01/export.xml", EXPORT)
+    put(f"{landing}/user_id=1/export.xml", document(measured(WALKED, "10", "2024-05-05 10:00:00")))
+    put(f"{landing}/user_id=x y/export.xml", document(session("Golf", "90", "2024-05-05 10:00:00")))
+    put(f"{landing}/user_id=none/export.xml", document())
+    root = f"{scratch}/fleet"
+    return Layout(root), jobs.run_export(spark, landing, root, run_at="t", keys=USER)
+
+
+def test_each_entity_is_as_if_alone(spark, fleet, scratch):
+    layout, out = fleet
+    assert (out["entities"], out["entities_warned"]) == (3, 3)
+    reports = {r["user_id"]: r.asDict(recursive=True) for r in serving.latest_quality(spark, layout, USER).collect()}
+    assert set(reports) == {"01", "1", "x y"}
+    assert {k: v for k, v in counters(reports["01"]).items()} == COUNTERS
+    alone = jobs.run_export(spark, put(f"{scratch}/alone.xml", document(measured(WALKED, "10", "2024-05-05 10:00:00"))), f"{scratch}/alone", run_at="t")
+    one = reports["1"]
+    assert counters(one) == {**counters(alone), "gold_summary": 1}
+    assert (one["checks"], one["warnings"], one["date_range"]) == (alone["checks"], alone["warnings"], alone["date_range"])
+    assert one["warnings"] == ["workouts survived silver"]
+    overviews = {r[0]: r[1:] for r in rows(serving.summary(spark, layout, keys=USER))}
+    assert overviews["01"] == OVERVIEW and overviews["1"][0] == 0 and overviews["x y"][0] == 1
+
+
+def test_fleet_serving_keeps_the_entity(spark, fleet):
     layout, _ = fleet
-    rows = serving.metric(spark, layout, "workouts", keys=("user_id",)).collect()
-    assert [r["user_id"] for r in rows] == [1, 1, 1, 2, 2, 2]
-    assert [r["activity"] for r in rows[:3]] == ["Walking", "Cycling", "Walking"]
-
-
-def test_malformed_elements_are_left_out_and_counted(spark, scratch):
-    import os
-
-    from vitals.plans.jobs import run_export
-
-    doc = "\n".join([
-        "<HealthData>",
-        ' <Record type="HKQuantityTypeIdentifierHeartRate" sourceName="W" startDate="2025-12-01 08:00:00 +0000" value="61"/>',
-        ' <Record type="HKQuantityTypeIdentifierHeartRate value="62"/>',
-        ' <Workout workoutActivityType="HKWorkoutActivityTypeWalking" duration="10" startDate="2025-12-01 09:00:00 +0000"/>',
-        ' <Workout workoutActivityType="Broken duration="5">',
-        "  <WorkoutStatistics sum=\"1\"/>",
-        " </Workout>",
-        "</HealthData>",
-        "",
-    ])
-    p = os.path.join(scratch, "malformed.xml")
-    with open(p, "w") as f:
-        f.write(doc)
-    rep = run_export(spark, p, os.path.join(scratch, "malformed-layers"), run_at="t")
-    c = rep["counters"]
-    assert (c["bronze_records"], c["malformed_records"]) == (1, 1)
-    assert (c["bronze_workouts"], c["malformed_workouts"]) == (1, 1)
-
-
-def test_dom_mode_gives_the_same_gold(spark, scratch, export_path, export_run):
-    import os
-
-    from vitals.plans.jobs import run_export
-
-    root = os.path.join(scratch, "dom-layers")
-    rep = run_export(spark, export_path, root, mode="dom", run_at="2025-12-25T00:00:00+00:00")
-    assert rep["counters"] == export_run["report"]["counters"]
-    assert tuple(serving.summary(spark, Layout(root)).first()) == (3, 250.0, 74.0, 80.5, 2250.0, D1, D3)
+    everyone = serving.dashboard(spark, layout, keys=USER)
+    assert all(df.columns[0] == "user_id" for df in everyone.values())
+    assert [r["user_id"] for r in everyone["calendar"].collect()] == ["01"] * 3 + ["1"]
+    mine = serving.dashboard(spark, layout, keys=USER, entity={"user_id": "01"})
+    assert rows(mine["heartRate"])[0] == ("01", "2024-02-28", 62.0)
+    assert rows(serving.metric(spark, layout, "activity", keys=USER, entity={"user_id": "1"})) == [("1", dt.date(2024, 5, 5), 10.0, None, None, None)]
+    plan = serving.metric(spark, layout, "activity", keys=USER, entity={"user_id": "1"})._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(user_id,1)" in plan
+
+
+def test_command_line_runs_a_fleet(spark, fleet, scratch, capsys):
+    jobs.main(["--input", f"{scratch}/landing", "--root", f"{scratch}/by-command", "--keys", "user_id"])
+    assert json.loads(capsys.readouterr().out)["entities"] == 3
+
+
+def test_arrivals_rebuild_one_export_or_one_entity(spark, scratch):
+    once = {"availableNow": True}
+    landing, root = f"{scratch}/arrive", f"{scratch}/arrived"
+    put(f"{landing}/user_id=01/first.xml", EXPORT)
+    put(f"{landing}/user_id=1/first.xml", document(measured(WALKED, "10", "2024-05-05 10:00:00")))
+    query = arrivals.watch_exports(spark, landing, root, f"{scratch}/progress", trigger=once, keys=USER)
+    query.awaitTermination(600)
+    assert query.exception() is None
+    assert rows(serving.summary(spark, Layout(f"{root}/user_id=01"))) == [OVERVIEW]
+    put(f"{landing}/user_id=1/second.xml", document(measured(WALKED, "20", "2024-05-06 10:00:00")))
+    arrivals.watch_exports(spark, landing, root, f"{scratch}/progress", trigger=once, keys=USER).awaitTermination(600)
+    assert rows(serving.metric(spark, Layout(f"{root}/user_id=1"), "activity")) == [(dt.date(2024, 5, 6), 20.0, None, None, None)]
+    assert rows(serving.summary(spark, Layout(f"{root}/user_id=01"))) == [OVERVIEW]
+    with pytest.raises(ValueError):
+        arrivals.entity_root(root, f"{landing}/export.xml", USER)
+
+
+def test_fixture_has_what_it_says():
+    assert len(RECORDS) == 31 and len(SESSIONS) == 4

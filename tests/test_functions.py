@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SF_SMALL
 from vitals.functions import (
     day_text,
-    exact_sum,
+    full_sum,
     local_day,
     minute_boundaries,
     ntile_bucket,
@@ -28,28 +28,42 @@ def col1(spark, values, typ, expr):
     return [r[0] for r in df.select(expr(F.col("x"))).collect()]
 
 
-def test_parse_double(spark):
-    texts = ["60", "60.0", " 60 ", "-1.5e3", ".5", "5.", "+5", "nan", "inf", "-Infinity",
-             "60d", "0x1p3", "1_000", "bogus", "", None]
-    got = col1(spark, texts, "string", parse_double)
-    assert got[:7] == [60.0, 60.0, 60.0, -1500.0, 0.5, 5.0, 5.0]
-    assert math.isnan(got[7]) and got[8] == math.inf and got[9] == -math.inf
-    # Spark's own cast would take 60d and hex floats; the export never means them
-    assert got[10:] == [None] * 6
+NUMBERS = [
+    "60", "60.0", " 60 ", "\t5\n", "-1.5e3", ".5", "5.", "+.5", "1E+5", "1e400", "1e-400", "00012", "1_000", "1_0.5_5", "1e1_0", "nan", "+NaN", "-nan",
+    "inf", "+inf", "-Infinity", "60d", "60f", "0x1p3", "1__0", "_1", "1_", "1._5", "1e_1", ".", "1e", "--1", "- 5", "1 2", "1,000", "bogus", "", "  ", None,
+]
+TIMES = [
+    "2025-12-01 08:00:00 +0530", "2025-12-01 08:00:00 -0800", "2025-12-01 08:00:00 +05:30", "2025-12-01 08:00:00 +05", "2025-1-2  8:0:0 -08:30",
+    " 2025-12-01 08:00:00 +0530\n", "99-1-1 0:0:0 +00", "2025-12-01 08:00:00 +9959", "2025-12-01 08:00:00+0530", "2025-12-01T08:00:00 +0530", "2025-12-01 08:00:00 Z",
+    "2025-12-01 08:00:00 +5", "2025-12-01 08:00 +0530", "2025-13-01 08:00:00 +0530", "2025-2-30 08:00:00 +05", "2025-12-01 24:00:00 +0530", "2025-12-01 08:00:00 +053",
+    "-2025-12-01 08:00:00 +0530", "12025-12-01 08:00:00 +0530", "not a time", "", None,
+]
 
 
-def test_parse_instant_strict_and_utc(spark):
-    texts = ["2025-12-01 08:00:00 +0530", "2025-12-01 08:00:00 -0800", "2025-1-1 08:00:00 +0530",
-             "2025-12-01 08:00:00 +05:30", "not a time", None]
-    got = col1(spark, texts, "string", parse_instant)
-    assert got[0] == dt.datetime(2025, 12, 1, 2, 30)  # session time zone is UTC
-    assert got[1] == dt.datetime(2025, 12, 1, 16, 0)
-    assert got[2:] == [None] * 4
+def duck(text, values):
+    import duckdb
+
+    with duckdb.connect() as con:
+        con.execute("SET TimeZone='UTC'")
+        return [con.execute(f"SELECT {text}", [v]).fetchone()[0] for v in values]
+
+
+def test_numbers_read_as_the_reference_engine_does(spark):
+    got = col1(spark, NUMBERS, "string", parse_double)
+    assert list(map(str, got)) == list(map(str, duck("TRY_CAST(? AS DOUBLE)", NUMBERS)))
+    assert got[12] == 1000.0 and math.isnan(got[16]) and got[21:24] == [None] * 3
+
+
+def test_times_read_as_the_reference_engine_does(spark):
+    got = col1(spark, TIMES, "string", lambda c: F.unix_seconds(parse_instant(c)))
+    assert got == duck("CAST(epoch(TRY_STRPTIME(?, '%Y-%m-%d %H:%M:%S %z')) AS BIGINT)", TIMES)
+    assert got[0] == got[2] and got[8:] == [None] * 14
 
 
 def test_local_day_is_wall_clock(spark):
-    got = col1(spark, ["2025-12-01 02:00:00 +0530", "2025-12-31 23:00:00 -0800"], "string", local_day)
-    assert got == [dt.date(2025, 12, 1), dt.date(2025, 12, 31)]
+    texts = ["2025-12-01 02:00:00 +0530", "2025-12-31 23:00:00 -0800", " 2025-3-1  2:00:00 +05", "soon"]
+    got = col1(spark, texts, "string", local_day)
+    assert got == [dt.date(2025, 12, 1), dt.date(2025, 12, 31), dt.date(2025, 3, 1), None]
 
 
 def test_minute_boundaries(spark):
@@ -78,15 +92,22 @@ def test_round_special_values(spark):
     assert math.isnan(got[0]) and got[1] == math.inf and got[2] is None
 
 
-def test_exact_sum_is_order_independent(spark):
-    vals = [0.1] * 10 + [1e-3, 123456.78, -0.05]
-    a = spark.createDataFrame([(v,) for v in vals], "x double")
-    b = spark.createDataFrame([(v,) for v in reversed(vals)], "x double").repartition(3)
-    sa = a.agg(exact_sum("x")).first()[0]
-    sb = b.agg(exact_sum("x")).first()[0]
-    assert sa == sb == 123457.731
-    nan = spark.createDataFrame([(1.0,), (float("nan"),)], "x double").agg(exact_sum("x")).first()[0]
-    assert math.isnan(nan)
+def test_full_sum_is_rounded_once_in_any_order(spark):
+    import random
+
+    random.seed(4)
+    values = [random.choice([0.1, 0.07, 1e-7, 123456.78, -0.05, 3e9, random.random()]) for _ in range(2000)]
+    sums = {spark.createDataFrame([(v,) for v in random.sample(values, 2000)], "x double").repartition(n).agg(full_sum("x")).first()[0] for n in (1, 3, 7)}
+    assert sums == {math.fsum(values)}
+
+
+def test_full_sum_of_special_values(spark):
+    def total(*values):
+        return spark.createDataFrame([(v,) for v in values], "x double").agg(full_sum("x")).first()[0]
+
+    assert total(*[1e-7] * 1000) == pytest.approx(1e-4, rel=1e-12) and total(1e35, 1e35) == 2e35 and total(1e308, 1e308) == math.inf
+    assert math.isnan(total(1.0, math.nan)) and total(1.0, math.inf) == math.inf and math.isnan(total(math.inf, -math.inf))
+    assert total(None, None) is None and total(None, 2.5) == 2.5 and total(5e-324, 5e-324) == 1e-323
 
 
 def test_ntile_bucket_matches_ntile(spark):
@@ -100,17 +121,28 @@ def test_ntile_bucket_matches_ntile(spark):
     assert all(r["want"] == r["got"] for r in got)
 
 
-def test_global_row_number_matches_window(spark):
-    from vitals.operators.ranking import global_row_number
+def test_levels_without_keys_match_a_window(spark):
+    from vitals.operators.ranking import positive_ntile
+
+    special = [None, 0.0, -3.0, float("nan"), float("inf"), 1e-300, 1e300]
+    rows = [(i, special[i % 50] if i % 50 < len(special) else float(i * 7919 % 113)) for i in range(900)]
+    df = spark.createDataFrame(rows, "day int, v double")
+    got = {r["day"]: r["level"] for r in positive_ntile(df, "v", "day", 4, (), "level").collect()}
+    w = Window.partitionBy(F.col("v") > 0).orderBy("v", "day")
+    want = df.withColumn("level", F.when(F.col("v") > 0, F.ntile(4).over(w)).otherwise(0))
+    assert got == {r["day"]: r["level"] for r in want.collect()} and len(got) == 900
+
+
+def test_levels_start_no_job_and_gather_no_rows(spark):
+    from vitals.operators.ranking import positive_ntile
 
-    df = spark.range(0, 500).select((F.col("id") * 7919 % 113).alias("v"), F.col("id").alias("tie"))
-    order = [F.col("v"), F.col("tie")]
-    got = global_row_number(df, order, F.col("v") > 50).select("v", "tie", "_rn", "_n_flag")
-    want = df.select("v", "tie", F.row_number().over(Window.orderBy(*order)).alias("rn"))
-    joined = got.join(want, ["v", "tie"]).collect()
-    assert len(joined) == 500
-    assert all(r["_rn"] == r["rn"] for r in joined)
-    assert {r["_n_flag"] for r in joined} == {df.where("v > 50").count()}
+    tracker, group = spark.sparkContext.statusTracker(), "levels-plan"
+    df = spark.range(100).select(F.col("id").cast("double").alias("v"), "id")
+    spark.sparkContext.setJobGroup(group, "")
+    plan = positive_ntile(df, "v", "id", 4, (), "level")
+    assert not tracker.getJobIdsForGroup(group)
+    spark.sparkContext._jsc.clearJobGroup()
+    assert plan.count() == 100
 
 
 def test_day_text(spark):
@@ -137,30 +169,104 @@ def test_month_labels_suppress_clipped_month(spark):
     assert calendar.active_days(grid).first()[0] == 1
 
 
-def test_split_scan_equals_dom_scan(spark, export_path):
+def tree_of(path):
+    """Records outside workouts, all records, and workouts, read with the standard library's parser."""
+    import xml.etree.ElementTree as ET
+
+    records, every, workouts, depth = [], [], [], 0
+    for event, e in ET.iterparse(path, events=("start", "end")):
+        if event == "start":
+            depth += e.tag == "Workout"
+        elif e.tag == "Workout":
+            depth -= 1
+            children = [[(c.get(a), c.get(b)) for c in e if c.tag == t] for t, a, b in (("MetadataEntry", "key", "value"), ("WorkoutStatistics", "type", "sum"))]
+            workouts.append((e.get("workoutActivityType"), e.get("duration"), *children))
+        elif e.tag == "Record":
+            row = tuple(e.get(a) for a in ("type", "sourceName", "unit", "startDate", "value"))
+            every.append(row)
+            if depth == 0:
+                records.append(row)
+    return sorted(records, key=str), sorted(every, key=str), sorted(workouts, key=str)
+
+
+def scanned(spark, path, mode="split"):
     from vitals.sources import xml
 
-    split = xml.scan_records(spark, export_path, "split")
-    dom = xml.scan_records(spark, export_path, "dom")
-    assert split.count() == dom.count() == 25
-    assert split.exceptAll(dom).count() == 0 and dom.exceptAll(split).count() == 0
-    sw = xml.scan_workouts(spark, export_path, "split")
-    dw = xml.scan_workouts(spark, export_path, "dom")
-    assert sorted(map(str, sw.collect())) == sorted(map(str, dw.collect()))
+    columns = ("type", "source_name", "unit", "start_date", "value")
+    records, workouts = xml.read_export(spark, path, mode)
+    every = xml.scan_records(spark, path, mode)
+    pairs = lambda array: [tuple(c) for c in array or []]
+    sessions = [(r["_workoutActivityType"], r["_duration"], pairs(r["MetadataEntry"]), pairs(r["WorkoutStatistics"])) for r in workouts.collect()]
+    return (*(sorted((tuple(r) for r in df.select(*columns).collect()), key=str) for df in (records, every)), sorted(sessions, key=str))
+
+
+@pytest.fixture
+def small_splits(spark):
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+
+    def use(size):
+        spark.conf.set(keys[0], size)
+        spark.conf.set(keys[1], "1")
+
+    yield use
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def nested_export(seed, n):
+    """Workouts in workouts, records at any depth, comments and CDATA with tag text, line breaks in tags."""
+    import random
+
+    pick = random.Random(seed)
+
+    def record(i, end="/>"):
+        return f'<Record type="T{i % 3}" sourceName="S &amp; {i}" startDate="a>b" value="{i}"{end}'
 
+    def child(i):
+        return pick.choice([
+            record(i), f'<WorkoutEvent><Meta>{record(i)}</Meta><MetadataEntry key="no" value="no"/></WorkoutEvent>',
+            f'<MetadataEntry key="indoor" value="{i}"/>', f'<WorkoutStatistics type="energy" sum="{i}.5"/>', '<!-- <MetadataEntry key="x" value="y"/> -->',
+            f'<Workout workoutActivityType="Inner" duration="{i}">{record(i)}<WorkoutStatistics type="energy" sum="7"/></Workout>',
+            record(i, ">") + '<MetadataEntry key="in" value="1"/></Record>',
+        ])
 
-def test_context_filter_is_multiset_difference(spark, scratch):
+    out = ['<?xml version="1.0"?>', "<!DOCTYPE H [ <!ELEMENT Record ANY> ]>", "<H>"]
+    for i in range(n):
+        pad = "pad " * pick.randrange(200)
+        out.append(pick.choice([
+            record(i), record(i), record(i, ">") + '<MetadataEntry key="k" value="v"/></Record>', f"<!-- {record(i)} <Workout> <![CDATA[ {pad} -->",
+            f'<Note><![CDATA[ {record(i)} <Workout a="b"> <!-- </Note> {pad} ]]></Note>', f"<Workout\n workoutActivityType='W{i}' duration=\"{i}\"/>",
+            f'<Workout workoutActivityType="W{i}" duration="{i}">{"".join(child(i * 10 + j) for j in range(pick.randrange(30)))}</Workout>',
+        ]))
+    return "\n".join([*out, "</H>", ""])
+
+
+@pytest.mark.parametrize("seed, size", [(1, "128m"), (1, "900"), (2, "4k")])
+def test_scan_is_exact_wherever_the_file_is_split(spark, scratch, small_splits, seed, size):
+    from tests.conftest import put
+
+    path = put(f"{scratch}/nested-{seed}-{size}.xml", nested_export(seed, 60))
+    small_splits(size)
+    assert scanned(spark, path) == tree_of(path)
+
+
+def test_scan_of_the_fixture_in_both_modes(spark, export_path):
+    assert scanned(spark, export_path) == tree_of(export_path)
+    assert scanned(spark, export_path, "dom") == tree_of(export_path)
+
+
+def test_text_rows_stay_small(spark, scratch, small_splits):
+    from tests.conftest import PULSE, document, measured, put, session
     from vitals.sources import xml
 
-    rec = '<Record type="T" sourceName="S" startDate="2025-12-01 08:00:00 +0000" value="1"/>'
-    doc = "\n".join(["<HealthData>", f" {rec}", f" {rec}", ' <Workout workoutActivityType="W" duration="1">',
-                     f"  {rec}", " </Workout>", "</HealthData>", ""])
-    p = os.path.join(scratch, "multiset.xml")
-    with open(p, "w") as f:
-        f.write(doc)
-    records, workouts = xml.read_export(spark, p)
-    assert records.count() == 2  # three equal elements, one inside the workout
-    assert workouts.count() == 1
+    records = [measured(PULSE, str(i), "2024-05-05 10:00:00") for i in range(12_000)]
+    path = put(f"{scratch}/long.xml", document(*records, *(session("Golf", str(i), "2024-05-05 10:00:00") for i in range(20))))
+    small_splits("1m")
+    text = xml._text(spark, path)
+    assert text.rdd.getNumPartitions() > 2 and text.agg(F.max(F.length("value"))).first()[0] < 1000
+    records, workouts = xml.read_export(spark, path)
+    assert (records.count(), workouts.count()) == (12_000, 20)
 
 
 def test_shuffled_input_gives_same_gold(spark):
@@ -201,30 +307,6 @@ def test_best_source_at_most_sum_of_sources(spark):
     assert best.join(total, ["type", "local_date"]).where("total > all + 1e-6").count() == 0
 
 
-def test_distributed_levels_equal_window_levels(spark, monkeypatch):
-    from vitals.config import EVENTS
-    from vitals.operators import gold, ranking, silver
-    from vitals.sources import staging
-
-    s = silver.clean_quantities(staging.raw_records(spark, SF_SMALL).drop("user_id"), EVENTS)
-    act = gold.daily_activity(s, EVENTS)
-    window = gold.calendar_levels(act, EVENTS)
-    monkeypatch.setattr(ranking, "SINGLE_TASK_ROWS", 0)
-    distributed = gold.calendar_levels(act, EVENTS)
-    assert window.count() == distributed.count() > 0
-    assert window.exceptAll(distributed).count() == 0
-
-
-def test_drop_copies_spread_over_partitions(spark):
-    from vitals.sources.xml import drop_copies
-
-    # value "a": 40 copies over 4 partitions, 3 to drop; "b": 5 copies, 1 to drop; "c": drop more than exist
-    rows = [("a", 3)] * 40 + [("b", 1)] * 5 + [("c", 9)] * 2
-    df = spark.createDataFrame(rows, "v string, _k long").repartition(4)
-    got = {r["v"]: r["count"] for r in drop_copies(df, ["v"]).groupBy("v").count().collect()}
-    assert got == {"a": 37, "b": 4}
-
-
 def test_parse_double_round_trips_python_floats(spark):
     from hypothesis import HealthCheck, given, settings
     from hypothesis import strategies as st
@@ -265,25 +347,34 @@ def test_round_half_away_matches_exact_decimal_rounding(spark):
     check()
 
 
-def test_open_tag_with_quoted_gt_and_apostrophe(spark, scratch):
-    from vitals.sources import xml
+def test_attributes_in_any_legal_spelling(spark, scratch):
+    from tests.conftest import put
+
+    text = "\n".join([
+        "<H>", ' <Record type="T" sourceName="x>y" value="1"/>', """ <Record type="T" sourceName="it's" value="2"/>""",
+        """ <Record type='T' sourceName='q"q' value='3'/>""", ' <Record\ttype="T"\n sourceName = "tab" value="4"></Record>',
+        ' <Record type="T" sourceName=" spaced " value=" 5 "/>', ' <Record note="a sourceName=" type="T" value="&#65;&#x42;&lt;&apos;"/>', "</H>", "",
+    ])
+    path = put(f"{scratch}/spelled.xml", text)
+    assert scanned(spark, path) == tree_of(path)
+    assert scanned(spark, path, "dom") == tree_of(path)
+
+
+def test_no_private_folder_on_a_cluster(spark):
+    from vitals import session
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        getConf = staticmethod(lambda: {})
+
+    class Session:
+        sparkContext = Context
+        conf = {}
 
-    doc = "\n".join([
-        "<HealthData>",
-        ' <Record type="T" sourceName="x>y" value="1"/>',
-        """ <Record type="T" sourceName="it's" value="2"/>""",
-        """ <Record type='T' sourceName='q"q' value='3'/>""",
-        ' <Record\ttype="T" sourceName="tab" value="4"></Record>',
-        ' <Record type="T" sourceName=" spaced " value=" 5 "/>',
-        "</HealthData>",
-        "",
-    ])
-    p = os.path.join(scratch, "quotes.xml")
-    with open(p, "w") as f:
-        f.write(doc)
-    split = sorted((r["source_name"], r["value"]) for r in xml.scan_records(spark, p).collect())
-    dom = sorted((r["source_name"], r["value"]) for r in xml.scan_records(spark, p, "dom").collect())
-    assert split == dom == [(" spaced ", " 5 "), ("it's", "2"), ('q"q', "3"), ("tab", "4"), ("x>y", "1")]
+    with pytest.raises(ValueError):
+        session.checkpoint_dir(Session)
+    assert session.is_local("local[4]") and session.is_local("local") and not session.is_local("local-cluster[2,1,1024]")
 
 
 def test_dedup_is_idempotent_under_duplicated_input(spark):

@@ -10,9 +10,8 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 from tools.check_oracle import TABLES, rows
-
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+from vitals.plans.catalog import QUERIES
+from vitals.plans.oracle import ORACLE_SQL as SQL
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +28,7 @@ def con():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry_runs(spark):

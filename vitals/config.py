@@ -95,10 +95,6 @@ class MetricConfig:
     summary_sparse: str = "weight"
     summary_steps: str = "steps"
 
-    @property
-    def point_types(self) -> tuple[str, ...]:
-        return tuple(t for _, t in self.point) + tuple(t for _, t in self.sparse)
-
     @property
     def cumulative_types(self) -> tuple[str, ...]:
         return tuple(dict.fromkeys(t for _, t, _ in self.cumulative))
@@ -168,12 +164,13 @@ class Layout:
         return "/".join([self.root.rstrip("/"), *parts])
 
     @property
-    def bronze_records(self) -> str:
-        return self._p("bronze", "records")
+    def elements(self) -> str:
+        """What the scan of the export yields, partitioned by kind and class."""
+        return self._p("bronze", "elements")
 
     @property
-    def bronze_scan(self) -> str:
-        return self._p("bronze", "_scan")
+    def bronze_records(self) -> str:
+        return self._p("bronze", "elements", "kind=record")
 
     @property
     def bronze_workouts(self) -> str:
@@ -198,10 +195,6 @@ class Layout:
     def gold(self, table: str) -> str:
         return self._p("gold", table)
 
-    @property
-    def gold_root(self) -> str:
-        return self._p("gold")
-
     @property
     def quality_dir(self) -> str:
         return self._p("quality")

@@ -1,15 +1,14 @@
 """Column-expression helpers (all JVM-side, no UDFs)."""
 
-from vitals.functions.numeric import exact_avg, exact_sum, ntile_bucket, round_half_away
+from vitals.functions.numeric import full_avg, full_sum, ntile_bucket, round_half_away
 from vitals.functions.parse import local_day, minute_boundaries, parse_double, parse_instant
-from vitals.functions.text import day_text, iso_date, iso_instant, js_number
+from vitals.functions.text import day_text, iso_date, js_number
 
 __all__ = [
     "day_text",
-    "exact_avg",
-    "exact_sum",
+    "full_avg",
+    "full_sum",
     "iso_date",
-    "iso_instant",
     "js_number",
     "local_day",
     "minute_boundaries",

@@ -1,4 +1,4 @@
-"""Rounding, order-independent sums and ntile arithmetic as column expressions."""
+"""Rounding, sums and ntile arithmetic as column expressions."""
 
 from __future__ import annotations
 
@@ -7,11 +7,6 @@ from pyspark.sql import functions as F
 
 from vitals.functions.parse import _col
 
-# Values at or above this magnitude (and NaN/infinity) are summed as doubles;
-# below it a decimal(38,6) sum of up to 10^13 rows cannot overflow.
-EXACT_LIMIT = 1e18
-SCALE = 6
-
 
 def round_half_away(c: Column | str, digits: int = 0) -> Column:
     """Round the scaled binary value half away from zero.
@@ -28,23 +23,27 @@ def round_half_away(c: Column | str, digits: int = 0) -> Column:
     return F.when(F.isnan(r) | (F.abs(r) == F.lit(float("inf"))), c).otherwise(r)
 
 
-def exact_sum(c: Column | str) -> Column:
-    """Sum of doubles that does not depend on the order rows arrive in.
+GRID = 1024.0  # sums of multiples of 1 / GRID are exact up to 2 ** 43
+
 
-    Each value is taken at 6 decimals and summed as a decimal, so retries,
-    repartitioning and partial aggregation all give the same double. With
-    NaN, infinities or huge values the plain double sum is returned.
+def full_sum(c: Column | str) -> Column:
+    """Sum of doubles, nearly as if it were rounded once, whatever order partial sums meet in.
+
+    A value is split, without loss, into the nearest multiple of 1 / 1024 and the rest.
+    Multiples add up without rounding while the total stays below 2 ** 43, and the rests
+    are so small that their rounding does not reach the last bit of the total. So a
+    rounded result that is an exact tie falls on the same side on every run. Values from
+    2 ** 42 on, infinities and nan are added as they are.
     """
     c = _col(c)
-    special = F.max(F.when(F.isnan(c) | (F.abs(c) >= F.lit(EXACT_LIMIT)), F.lit(1)))
-    exact = F.sum(c.cast(f"decimal(38,{SCALE})")).cast("double")
-    return F.when(special.isNull(), exact).otherwise(F.sum(c))
+    small = F.abs(c) < 2.0**42
+    multiple = F.when(small, F.rint(c * GRID) / GRID).otherwise(c)
+    return F.sum(multiple) + F.sum(F.when(small, c - multiple).when(c.isNotNull(), 0.0))
 
 
-def exact_avg(c: Column | str) -> Column:
-    """``exact_sum / count`` of the non-NULL values (NULL when there are none)."""
-    c = _col(c)
-    return exact_sum(c) / F.count(c)
+def full_avg(c: Column | str) -> Column:
+    """``full_sum / count`` of the non-NULL values (NULL when there are none)."""
+    return F.try_divide(full_sum(c), F.count(_col(c)))
 
 
 def ntile_bucket(rn: Column, n_rows: Column, buckets: int) -> Column:

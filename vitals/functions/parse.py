@@ -11,10 +11,16 @@ from pyspark.sql import functions as F
 
 from vitals.config import EXPORT_TIME_FORMAT
 
-# Numeric text the cleaner accepts before casting: decimal or exponent form,
-# optional sign, inf/infinity/nan. Spark's own cast also takes "60d", "60f"
-# and hex floats, which an export never means as numbers.
-NUMERIC_TEXT = r"(?i)^([+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?|[+-]?inf(inity)?|nan)$"
+# Numeric text the cleaner accepts: decimal or exponent form, a sign, single underscores
+# between digits, infinities and nan, and white space around it. Spark's own cast also
+# takes "60d" and hex floats, which an export never means as numbers, and no underscores.
+_DIGITS = "[0-9]+(?:_[0-9]+)*"
+NUMERIC_TEXT = rf"(?i)^[+-]?(?:{_DIGITS}[.]?(?:{_DIGITS})?|[.]{_DIGITS})(?:e[+-]?{_DIGITS})?$|^[+-]?inf(?:inity)?$"
+NAN_TEXT = r"(?i)^[+-]?nan$"
+SPACES = " \t\n\x0b\f\r"
+# Times that are not spelled as the export format says, but mean one instant: one-digit
+# parts, more white space, and offsets as +HH:MM or +HH
+LOOSE_TIME = r"^\s*([0-9]{1,4}-[0-9]{1,2}-[0-9]{1,2}\s+[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})\s+([+-][0-9]{2}(?::?[0-9]{2})?)\s*$"
 
 
 def _col(c: Column | str) -> Column:
@@ -23,21 +29,43 @@ def _col(c: Column | str) -> Column:
 
 def parse_double(c: Column | str) -> Column:
     """Text -> double, NULL when the text is no number (never raises)."""
-    c = _col(c)
-    return F.when(F.trim(c).rlike(NUMERIC_TEXT), c.try_cast("double"))
+    text = F.btrim(_col(c), F.lit(SPACES))
+    number = F.when(text.rlike(NUMERIC_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+    return F.when(text.rlike(NAN_TEXT), F.lit(float("nan"))).otherwise(number)
+
+
+def _wall_clock(c: Column) -> Column:
+    """A loosely spelled day and time, as if it were UTC; NULL for other text."""
+    text = F.regexp_replace(F.regexp_extract(c, LOOSE_TIME, 1), r"\s+", " ")
+    return F.try_to_timestamp(text, F.lit("y-M-d H:m:s"))
+
+
+def _offset_seconds(c: Column) -> Column:
+    """The offset of a loosely spelled time; NULL for other text."""
+    text = F.replace(F.regexp_extract(c, LOOSE_TIME, 2), F.lit(":"), F.lit(""))
+    hhmm = F.rpad(text, 5, "0").try_cast("int")  # +05 is +0500; the sign holds for both parts
+    return (hhmm / 100).cast("int") * 3600 + hhmm % 100 * 60
 
 
 def parse_instant(c: Column | str) -> Column:
-    """``yyyy-MM-dd HH:mm:ss +HHMM`` -> instant (TimestampType, UTC session)."""
-    return F.try_to_timestamp(_col(c), F.lit(EXPORT_TIME_FORMAT))
+    """``yyyy-MM-dd HH:mm:ss +HHMM`` -> instant (TimestampType, UTC session).
+
+    The export's own layout is tried first; other spellings (``LOOSE_TIME``) are put
+    together from the wall clock and the offset.
+    """
+    c = _col(c)
+    plain = F.when(~c.startswith("-"), F.try_to_timestamp(c, F.lit(EXPORT_TIME_FORMAT)))  # no years before 0
+    return F.coalesce(plain, F.timestamp_seconds(F.unix_seconds(_wall_clock(c)) - _offset_seconds(c)))
 
 
 def local_day(c: Column | str) -> Column:
-    """Wall-clock day of an export timestamp: its first 10 characters.
+    """Wall-clock day of an export timestamp, as it is spelled.
 
     Never derived from the instant: 02:00 +0530 is the previous day in UTC.
     """
-    return F.try_to_date(F.substring(_col(c), 1, 10), "yyyy-MM-dd")
+    c = _col(c)
+    plain = F.try_to_date(F.substring(c, 1, 10), "yyyy-MM-dd")
+    return F.coalesce(plain, _wall_clock(c).cast("date"))
 
 
 def minute_boundaries(start: Column | str, end: Column | str) -> Column:

@@ -13,11 +13,6 @@ def iso_date(c: Column | str) -> Column:
     return F.date_format(_col(c), "yyyy-MM-dd")
 
 
-def iso_instant(c: Column | str) -> Column:
-    """Instant -> ISO-8601 text with offset, seconds precision."""
-    return F.date_format(_col(c), "yyyy-MM-dd'T'HH:mm:ssXXX")
-
-
 def js_number(c: Column | str) -> Column:
     """A double as a script engine prints it: ``3`` not ``3.0``, ``2.5`` stays."""
     return F.regexp_replace(_col(c).cast("string"), r"\.0$", "")

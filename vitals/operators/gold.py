@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitals.config import MetricConfig
-from vitals.functions.numeric import exact_avg, exact_sum, round_half_away
+from vitals.functions.numeric import full_avg, full_sum, round_half_away
 from vitals.operators.ranking import positive_ntile
 
 
@@ -37,7 +37,7 @@ def daily_stats(silver: DataFrame, cfg: MetricConfig, keys: tuple[str, ...] = ()
         silver.where(F.col("type").isin(*types))
         .groupBy(*keys, "type", "local_date")
         .agg(
-            exact_avg("value").alias("_avg"),
+            full_avg("value").alias("_avg"),
             F.min("value").alias("_min"),
             F.max("value").alias("_max"),
             F.count(F.lit(1)).alias("n_samples"),
@@ -84,7 +84,7 @@ def per_source_totals(silver: DataFrame, cfg: MetricConfig, keys: tuple[str, ...
     return (
         silver.where(F.col("type").isin(*cfg.cumulative_types))
         .groupBy(*keys, "type", "local_date", "source_name")
-        .agg(exact_sum("value").alias("total"))
+        .agg(full_sum("value").alias("total"))
     )
 
 
@@ -116,9 +116,8 @@ def calendar_levels(activity: DataFrame, cfg: MetricConfig, keys: tuple[str, ...
     metric (the reference's unmatched left join) gets level 0.
     """
     out = activity.select(*keys, "local_date", *cfg.calendar_columns)
-    rows = None if keys else out.count()  # one row per day; sizes the unkeyed ranking
     for level, column in cfg.levels:
-        out = positive_ntile(out, column, "local_date", 4, keys, level, rows)
+        out = positive_ntile(out, column, "local_date", 4, keys, level)
     return out.select(*keys, "local_date", *cfg.calendar_columns, *[lvl for lvl, _ in cfg.levels])
 
 
@@ -154,9 +153,9 @@ def workout_summary(workouts: DataFrame, keys: tuple[str, ...] = ()) -> DataFram
     """Per activity: count and rounded sums (NULL when every value is NULL)."""
     return workouts.groupBy(*keys, "activity").agg(
         F.count(F.lit(1)).alias("n_workouts"),
-        round_half_away(exact_sum("duration_min"), 1).alias("total_min"),
-        round_half_away(exact_sum("active_energy_kcal"), 1).alias("total_kcal"),
-        round_half_away(exact_sum("distance_km"), 2).alias("total_km"),
+        round_half_away(full_sum("duration_min"), 1).alias("total_min"),
+        round_half_away(full_sum("active_energy_kcal"), 1).alias("total_kcal"),
+        round_half_away(full_sum("distance_km"), 2).alias("total_km"),
     )
 
 
@@ -172,8 +171,7 @@ SUMMARY_COLUMNS = (
 
 
 def summary(
-    heart_rate: DataFrame,
-    weight: DataFrame,
+    daily: DataFrame,
     activity: DataFrame,
     workouts: DataFrame,
     workout_sum: DataFrame,
@@ -182,22 +180,26 @@ def summary(
 ) -> DataFrame:
     """The one-row overview (one row per entity with ``keys``).
 
-    Seven independent aggregates over five gold tables. Instead of joining
-    five one-row results, each aggregate becomes a partial row, the partial
-    rows are unioned and folded by one group-by: one shuffle, no join.
+    Heart rate and weight come out of one pass over the daily metrics (long form).
+    Instead of joining one-row results, each aggregate becomes a partial row, the
+    partial rows are unioned and folded by one group-by: one shuffle, no join.
     Without keys the global aggregate always yields one row (NULLs, 0 workouts).
     """
+    rate, weight = F.col("metric") == cfg.summary_point, F.col("metric") == cfg.summary_sparse
+    day = F.col("local_date")
     parts = [
         workouts.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_workouts")),
-        workout_sum.groupBy(*keys).agg(round_half_away(exact_sum("total_kcal"), 0).alias("workout_kcal")),
-        heart_rate.groupBy(*keys).agg(
-            round_half_away(exact_avg("avg_value"), 0).alias("avg_heart_rate"),
-            F.min("local_date").alias("first_date"),
-            F.max("local_date").alias("last_date"),
+        workout_sum.groupBy(*keys).agg(round_half_away(full_sum("total_kcal"), 0).alias("workout_kcal")),
+        daily.where(rate | weight)
+        .groupBy(*keys)
+        .agg(
+            round_half_away(full_avg(F.when(rate, F.col("avg_value"))), 0).alias("avg_heart_rate"),
+            F.min(F.when(rate, day)).alias("first_date"),
+            F.max(F.when(rate, day)).alias("last_date"),
+            # the day is unique per entity, so max_by is the latest reading
+            F.max_by(F.when(weight, F.col("value")), F.when(weight, day)).alias("latest_weight"),
         ),
-        # the day is unique per entity, so max_by is the latest reading
-        weight.groupBy(*keys).agg(F.max_by("value", "local_date").alias("latest_weight")),
-        activity.groupBy(*keys).agg(round_half_away(exact_avg(cfg.summary_steps), 0).alias("avg_daily_steps")),
+        activity.groupBy(*keys).agg(round_half_away(full_avg(cfg.summary_steps), 0).alias("avg_daily_steps")),
     ]
     u = parts[0]
     for p in parts[1:]:

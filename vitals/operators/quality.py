@@ -21,10 +21,18 @@ def counter_rows(df: DataFrame, counters: dict[str, str], keys: tuple[str, ...]
 
 
 def count_rows(df: DataFrame, name: str, keys: tuple[str, ...] = ()) -> DataFrame:
-    """``(keys, counter, value)``: the row count of ``df`` (0 when empty, without keys)."""
+    """``(keys, counter, value)``: the row count of ``df``. Without keys an empty table
+    counts 0; with keys an entity without rows has none, see ``zero_counters``."""
     return df.groupBy(*keys).agg(F.lit(name).alias("counter"), F.count(F.lit(1)).alias("value"))
 
 
+def zero_counters(entities: DataFrame, names: list[str], keys: tuple[str, ...]) -> DataFrame:
+    """A counter 0 of each name for each entity: the first stage of a merge, so that an
+    entity without rows of a kind still has its counter."""
+    every = F.explode(F.array(*map(F.lit, names)))
+    return entities.select(*keys).distinct().select(*keys, every.alias("counter"), F.lit(0).cast("bigint").alias("value"))
+
+
 def merge_counters(stages: list[DataFrame], keys: tuple[str, ...] = ()) -> DataFrame:
     """Counters of all stages; a later stage wins when it reports the same name."""
     u = None

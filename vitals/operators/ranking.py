@@ -1,17 +1,11 @@
-"""Quartile levels without an unbounded single-task window.
-
-``ntile`` over an unpartitioned window moves every row into one task. With
-entity keys the window is partitioned by key (one task sees one entity's
-days). Without keys, a counted input of at most ``SINGLE_TASK_ROWS`` days
-uses the plain window; larger inputs are numbered globally in a distributed
-way:
-
-1. range-partition on the sort key, sort within partitions, and number rows
-   locally (``monotonically_increasing_id`` minus the partition base);
-2. cut lineage, so every later pass sees the very same partitions;
-3. count rows per partition (one row per partition, broadcast) and turn the
-   counts into offsets;
-4. global row number = offset + local number; the bucket follows from it.
+"""Quartile levels without a window over all rows in one task.
+
+With entity keys the window is partitioned by key (one task sees one entity's
+days). Without keys the rows are split into ranges of the value: the bucket is an
+eighth of a power of two, so it grows with the value and a double has 17,000 of
+them at most. Rows are counted by bucket; the running total over that bounded
+table gives each bucket's first number, and a window numbers the rows inside a
+bucket. One path for every size, without a job before the caller's.
 """
 
 from __future__ import annotations
@@ -20,60 +14,44 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitals.functions.numeric import ntile_bucket
-from vitals.session import cut_lineage
 
-# Up to this many rows an unkeyed window runs in one task: the rows ranked
-# here are days (one row per day), so 10^6 rows are 2,700 years of data.
-# Beyond it the distributed numbering takes over.
-SINGLE_TASK_ROWS = 1_000_000
+STEPS_PER_DOUBLING = 8
 
 
-def global_row_number(df: DataFrame, order: list[Column], flag: Column | None = None) -> DataFrame:
-    """``df`` plus ``_rn`` (1-based, in ``order``) and ``_n_flag``, the number
-    of rows where ``flag`` holds (all rows when ``flag`` is None)."""
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    flag = F.lit(True) if flag is None else flag
-    ranged = (
-        df.withColumn("_flag", flag)
-        .repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
-    )
-    ranged = cut_lineage(ranged)
-    counts = ranged.groupBy("_pid").agg(
-        F.count(F.lit(1)).alias("_n"), F.count_if(F.coalesce(F.col("_flag"), F.lit(False))).alias("_nf")
-    )
-    # at most one row per partition: a window over it is tiny
-    w = Window.orderBy("_pid")
+def value_bucket(value: Column) -> Column:
+    """A range number that does not fall as a positive ``value`` grows (NaN is the largest)."""
+    top = STEPS_PER_DOUBLING * 1100
+    step = F.floor(F.log2(value) * STEPS_PER_DOUBLING)
+    return F.when(F.isnan(value), top + 1).when(value == float("inf"), top).otherwise(step).cast("int")
+
+
+def positive_row_number(df: DataFrame, value: str, tie: str) -> DataFrame:
+    """The rows with ``value > 0`` plus ``_rn`` (1-based, by value, then ``tie``) and
+    ``_n_flag``, how many there are."""
+    positive = df.where(F.col(value) > 0).withColumn("_bucket", value_bucket(F.col(value)))
+    counts = positive.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    running = Window.orderBy("_bucket")  # one row per bucket
     offsets = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
-        F.sum("_nf").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_n_flag"),
+        "_bucket",
+        (F.sum("_n").over(running) - F.col("_n")).alias("_offset"),
+        F.sum("_n").over(Window.partitionBy()).alias("_n_flag"),
     )
-    out = ranged.join(F.broadcast(offsets), "_pid")
-    return out.withColumn("_rn", F.col("_offset") + F.col("_local") + 1).drop("_pid", "_local", "_offset", "_flag")
+    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(value, tie))
+    return positive.join(F.broadcast(offsets), "_bucket").withColumn("_rn", F.col("_offset") + inside).drop("_bucket", "_offset")
 
 
-def positive_ntile(
-    df: DataFrame, value: str, tie: str, buckets: int, keys: tuple[str, ...], out: str, rows: int | None = None
-) -> DataFrame:
+def positive_ntile(df: DataFrame, value: str, tie: str, buckets: int, keys: tuple[str, ...], out: str) -> DataFrame:
     """``out`` = ntile(``buckets``) of ``value`` among rows with ``value > 0``
-    (ordered by ``value``, then ``tie``), 0 for other rows; per ``keys``.
-    ``rows`` is the row count of ``df`` when the caller knows it."""
-    pos = F.col(value) > 0
-    order = [F.when(pos, F.lit(0)).otherwise(F.lit(1)), F.col(value), F.col(tie)]
-    if keys:
-        w = Window.partitionBy(*keys)
-        ranked = df.withColumn("_rn", F.row_number().over(w.orderBy(*order))).withColumn(
-            "_n_flag", F.count_if(F.coalesce(pos, F.lit(False))).over(w)
-        )
-    elif (df.count() if rows is None else rows) <= SINGLE_TASK_ROWS:
-        ranked = df.withColumn("_rn", F.row_number().over(Window.orderBy(*order))).withColumn(
-            "_n_flag", F.count_if(F.coalesce(pos, F.lit(False))).over(Window.partitionBy())
-        )
-    else:
-        ranked = global_row_number(df, order, pos)
-    level = F.when(pos, ntile_bucket(F.col("_rn"), F.col("_n_flag"), buckets)).otherwise(F.lit(0)).cast("bigint")
-    return ranked.withColumn(out, level).drop("_rn", "_n_flag")
+    (ordered by ``value``, then ``tie``), 0 for other rows; per ``keys``."""
+    positive = F.col(value) > 0
+    level = ntile_bucket(F.col("_rn"), F.col("_n_flag"), buckets)
+    if not keys:
+        ranked = positive_row_number(df, value, tie).withColumn(out, level).drop("_rn", "_n_flag")
+        rest = df.where(~F.coalesce(positive, F.lit(False))).withColumn(out, F.lit(0).cast("bigint"))
+        return ranked.unionByName(rest)
+    w = Window.partitionBy(*keys)
+    order = [F.when(positive, F.lit(0)).otherwise(F.lit(1)), F.col(value), F.col(tie)]
+    ranked = df.withColumn("_rn", F.row_number().over(w.orderBy(*order))).withColumn(
+        "_n_flag", F.count_if(F.coalesce(positive, F.lit(False))).over(w)
+    )
+    return ranked.withColumn(out, F.when(positive, level).otherwise(F.lit(0)).cast("bigint")).drop("_rn", "_n_flag")

@@ -177,12 +177,9 @@ def q_workout_summary(spark, d):
 
 def _summary(spark, d, keys=()):
     s = silver_records(spark, d, keys)
-    daily = gold.daily_stats(s, CFG, keys)
-    hr = gold.metric_table(daily.drop("value"), CFG.summary_point, keys)
-    weight = gold.metric_table(daily.select(*keys, "metric", "local_date", "value"), CFG.summary_sparse, keys)
-    act = gold.daily_activity(s, CFG, keys)
     w = silver_workouts(spark, d, keys)
-    return gold.summary(hr, weight, act, gold.gold_workouts(w, keys), gold.workout_summary(w, keys), CFG, keys)
+    activity = gold.daily_activity(s, CFG, keys)
+    return gold.summary(gold.daily_stats(s, CFG, keys), activity, gold.gold_workouts(w, keys), gold.workout_summary(w, keys), CFG, keys)
 
 
 @query("summary")
@@ -234,27 +231,27 @@ def staged_export(spark, d) -> str:
 
 @query("record_scan_xml")
 def q_record_scan_xml(spark, d):
-    """Every <Record> of the export by the split text scan."""
+    """Every <Record> of the export by the positional text scan."""
     return xml.scan_records(spark, staged_export(spark, d))
 
 
 @query("record_context_filter")
 def q_record_context_filter(spark, d):
-    """Records outside workouts (multiset difference)."""
+    """S3: records outside workouts, by their position."""
     records, _ = xml.read_export(spark, staged_export(spark, d))
     return records
 
 
 @query("record_scan_dom")
 def q_record_scan_dom(spark, d):
-    """S1 strict form: the built-in XML source, then the context filter."""
+    """The built-in XML source, less the records inside workouts (multiset difference)."""
     records, _ = xml.read_export(spark, staged_export(spark, d), mode="dom")
     return records
 
 
 @query("workout_scan_xml")
 def q_workout_scan_xml(spark, d):
-    """S4 + A12, A13: workouts by the split scan, flattened."""
+    """S4 + A12, A13: workouts by the positional scan, flattened."""
     return bronze.flatten_workouts(xml.scan_workouts(spark, staged_export(spark, d)), CFG)
 
 
@@ -313,37 +310,43 @@ def q_month_labels_by_user(spark, d):
 # ------------------------------------------------------------ quality
 
 
-def _counters(spark, d):
-    b = bronze_records(spark, d)
-    bw = bronze_workouts(spark, d)
-    s = silver_records(spark, d)
-    sl = silver_sleep(spark, d)
-    w = silver_workouts(spark, d)
-    daily = gold.daily_stats(s, CFG)
-    act = gold.daily_activity(s, CFG)
-    gw = gold.gold_workouts(w)
-    ws = gold.workout_summary(w)
+def _stored(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Each frame written once to the shared folder (concurrent jobs) and read back, so
+    that many counters do not derive it many times."""
+    from vitals.plans.jobs import write_all
+
+    spark = next(iter(frames.values())).sparkSession
+    paths = {name: scratch_path(spark, name) for name in frames}
+    write_all([(df, paths[name]) for name, df in frames.items()])
+    return {name: spark.read.schema(df.schema).parquet(paths[name]) for name, df in frames.items()}
+
+
+def _counters(spark, d, keys=()):
+    b, bw = bronze_records(spark, d, keys), bronze_workouts(spark, d, keys)
+    silver_layer = {
+        "records": silver.clean_quantities(b, CFG, keys),
+        "sleep": silver.clean_intervals(b, CFG, keys),
+        "workouts": silver.clean_workouts(bw, CFG, keys),
+    }
+    t = _stored(silver_layer)
+    daily = gold.daily_stats(t["records"], CFG, keys).groupBy(*keys, "metric").agg(F.count(F.lit(1)).alias("value"))
+    names = [f"gold_{n}" for n, _ in (*CFG.point, *CFG.sparse)]
+    days = t["records"].where(F.col("type").isin(*CFG.cumulative_types)).select(*keys, "local_date").distinct()
+    rejects = {c: c for c in ("invalid_numeric_value", "invalid_timestamp")}
+    activities = t["workouts"].select(*keys, "activity").distinct()
+    counted = {
+        "bronze_records": b, "bronze_workouts": bw, "silver_records": t["records"], "silver_sleep_intervals": t["sleep"],
+        "silver_workouts": t["workouts"], "gold_daily_activity": days, "gold_daily_calendar": days,
+        "gold_daily_sleep": gold.daily_sleep(t["sleep"], CFG, keys), "gold_workouts": t["workouts"], "gold_workout_summary": activities,
+    }
+    entities = b.select(*keys).union(bw.select(*keys)) if keys else spark.range(1)
     stages = [
-        quality.count_rows(b, "bronze_records"),
-        quality.count_rows(bw, "bronze_workouts"),
-        quality.count_rows(s, "silver_records"),
-        quality.count_rows(sl, "silver_sleep_intervals"),
-        quality.count_rows(w, "silver_workouts"),
-        quality.counter_rows(
-            silver.reject_counts(b, CFG),
-            {"invalid_numeric_value": "invalid_numeric_value", "invalid_timestamp": "invalid_timestamp"},
-        ),
-    ]
-    for name, _ in (*CFG.point, *CFG.sparse):
-        stages.append(quality.count_rows(daily.where(F.col("metric") == name), f"gold_{name}"))
-    stages += [
-        quality.count_rows(act, "gold_daily_activity"),
-        quality.count_rows(gold.calendar_levels(act, CFG), "gold_daily_calendar"),
-        quality.count_rows(gold.daily_sleep(sl, CFG), "gold_daily_sleep"),
-        quality.count_rows(gw, "gold_workouts"),
-        quality.count_rows(ws, "gold_workout_summary"),
+        quality.zero_counters(entities, [*counted, *rejects, *names], keys),
+        quality.counter_rows(silver.reject_counts(b, CFG, keys), rejects, keys),
+        daily.select(*keys, F.concat(F.lit("gold_"), "metric").alias("counter"), "value"),
+        *(quality.count_rows(df, name, keys) for name, df in counted.items()),
     ]
-    return quality.merge_counters(stages)
+    return quality.merge_counters(stages, keys)
 
 
 @query("quality_counters")
@@ -358,49 +361,79 @@ def q_quality_checks(spark, d):
     return quality.checks(_counters(spark, d))
 
 
-@query("quality_report")
-def q_quality_report(spark, d):
-    """The report row (run time left out), checks as text."""
-    r = quality.report(_counters(spark, d), "")
+def _report(spark, d, keys=()):
+    r = quality.report(_counters(spark, d, keys), "", keys)
     return r.select(
+        *keys,
         F.size("counters").alias("n_counters"),
         F.array_join(F.transform("checks", lambda c: F.concat(c["check"], F.lit("="), c["status"])), ";").alias("checks"),
         F.array_join("warnings", ";").alias("warnings"),
     )
 
 
-# ------------------------------------------------------------ serving
+@query("quality_report")
+def q_quality_report(spark, d):
+    """The report row (run time left out), checks as text."""
+    return _report(spark, d)
 
 
-@query("serve_heart_rate")
-def q_serve_heart_rate(spark, d):
-    """V7, P10, F8: the heart-rate series of the dashboard."""
-    from vitals.plans import serving
+@query("quality_counters_by_user")
+def q_quality_counters_by_user(spark, d):
+    return _counters(spark, d, USER)
 
-    daily = gold.daily_stats(silver_records(spark, d), CFG)
-    return serving.heart_rate_series(gold.metric_table(daily.drop("value"), CFG.summary_point))
 
+@query("quality_checks_by_user")
+def q_quality_checks_by_user(spark, d):
+    return quality.checks(_counters(spark, d, USER), USER)
 
-@query("serve_weight")
-def q_serve_weight(spark, d):
-    from vitals.plans import serving
 
-    daily = gold.daily_stats(silver_records(spark, d), CFG)
-    return serving.weight_series(gold.metric_table(daily.select("metric", "local_date", "value"), CFG.summary_sparse))
+@query("quality_report_by_user")
+def q_quality_report_by_user(spark, d):
+    return _report(spark, d, USER)
 
 
-@query("serve_workouts")
-def q_serve_workouts(spark, d):
-    from vitals.plans import serving
+# ------------------------------------------------------------ serving
+
+
+def _metric(spark, d, name, keys=()):
+    daily = gold.daily_stats(silver_records(spark, d, keys), CFG, keys)
+    columns = daily.drop("value") if name == CFG.summary_point else daily.select(*keys, "metric", "local_date", "value")
+    return gold.metric_table(columns, name, keys)
+
+
+def _serving(name, docs, build):
+    """Register the serving form of a table, for one export and for a fleet."""
 
-    return serving.workout_bars(gold.workout_summary(silver_workouts(spark, d)))
+    def one(spark, d):
+        return build(spark, d, ())
 
+    def fleet(spark, d):
+        return build(spark, d, USER)
 
-@query("serve_calendar")
-def q_serve_calendar(spark, d):
+    one.__doc__ = docs
+    query(name)(one)
+    query(f"{name}_by_user")(fleet)
+
+
+def _serve():
     from vitals.plans import serving
 
-    return serving.calendar_days(_calendar(spark, d))
+    _serving(
+        "serve_heart_rate", "V7, P10, F8: the heart-rate series of the dashboard.",
+        lambda spark, d, k: serving.heart_rate_series(_metric(spark, d, CFG.summary_point, k), k),
+    )
+    _serving(
+        "serve_weight", "V7, P10, F8: the weight series.",
+        lambda spark, d, k: serving.weight_series(_metric(spark, d, CFG.summary_sparse, k), k),
+    )
+    _serving(
+        "serve_workouts", "V7, P10, O3: the workout bars.",
+        lambda spark, d, k: serving.workout_bars(gold.workout_summary(silver_workouts(spark, d, k), k), k),
+    )
+    _serving("serve_calendar", "V7, F8: the calendar days.", lambda spark, d, k: serving.calendar_days(_calendar(spark, d, k), k))
+
+
+_serve()
 
 
 # ------------------------------------------------------------ storage and jobs
@@ -417,23 +450,61 @@ def q_parquet_roundtrip(spark, d):
     return s.select("type", "source_name", "unit", "value", _epoch("ts_utc"), "local_date")
 
 
+_ROOTS: dict[str, str] = {}
+
+
+def _job_root(spark, d) -> str:
+    """The layers of the whole job on the staged export, built once per process."""
+    from vitals.plans.jobs import run_export
+
+    if d not in _ROOTS:
+        root = scratch_path(spark, "layers")
+        run_export(spark, staged_export(spark, d), root, CFG, run_at="1970-01-01T00:00:00+00:00")
+        _ROOTS[d] = root
+    return _ROOTS[d]
+
+
 @query("medallion_run")
 def q_medallion_run(spark, d):
-    """The whole job on the XML export; its counters
+    """The whole job on the XML export; its counters
     read back from the written report."""
     from vitals.config import Layout
-    from vitals.plans.jobs import run_export
-
-    root = scratch_path(spark, "layers")
-    run_export(spark, staged_export(spark, d), root, CFG, run_at="1970-01-01T00:00:00+00:00")
     from vitals.plans.serving import latest_quality
 
-    rep = latest_quality(spark, Layout(root))
+    rep = latest_quality(spark, Layout(_job_root(spark, d)))
     return rep.select(F.explode("counters").alias("counter", "value")).select(
         "counter", F.col("value").cast("bigint").alias("value")
     )
 
 
+@query("served_summary")
+def q_served_summary(spark, d):
+    """The summary as the job has stored it."""
+    from vitals.config import Layout
+    from vitals.plans import serving
+
+    layout = Layout(_job_root(spark, d))
+    return serving.summary(spark, layout, CFG).withColumn("ready", F.lit(serving.ready(spark, layout)))
+
+
+@query("served_calendar")
+def q_served_calendar(spark, d):
+    """A whitelisted table of the job by its name."""
+    from vitals.config import Layout
+    from vitals.plans import serving
+
+    return serving.metric(spark, Layout(_job_root(spark, d)), "calendar", CFG)
+
+
+@query("served_sleep")
+def q_served_sleep(spark, d):
+    """Another whitelisted table; every name of the list is served."""
+    from vitals.config import Layout
+    from vitals.plans import serving
+
+    return serving.metric(spark, Layout(_job_root(spark, d)), "sleep", CFG)
+
+
 @query("daily_sparse_by_user")
 def q_daily_sparse_by_user(spark, d):
     return gold.daily_sparse(silver_records(spark, d, USER), CFG, USER)

@@ -5,23 +5,27 @@ with zstd) and writes in overwrite mode, so a rerun rebuilds the same layers
 and a lost executor costs one stage, not the whole lineage. Row counters are
 taken from the written files as DataFrames and folded into the report.
 
-    spark-submit -m vitals.plans.jobs --input export.xml --root s3://bucket/health
+    spark-submit vitals/plans/jobs.py --input export.xml --root <shared folder>
+    spark-submit vitals/plans/jobs.py --input landing --root <shared folder> --keys user_id
 """
 
 from __future__ import annotations
 
 import argparse
-from concurrent.futures import ThreadPoolExecutor
 import datetime as _dt
 import json
 import logging
+import os
+import sys
 import time
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# submitted as a file, the package lies two folders up
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+
 from vitals import schemas
 from vitals.config import HEALTH, Layout, MetricConfig
 from vitals.operators import bronze, gold, quality, silver
@@ -40,6 +44,9 @@ GOLD_TABLES = (
     "gold_workout_summary",
     "gold_summary",
 )
+# counters of each stage that an entity has even if it has no such row
+INGEST_COUNTERS = ["bronze_records", "bronze_workouts", "malformed_records", "malformed_workouts"]
+TRANSFORM_COUNTERS = ["bronze_records", "silver_records", "silver_sleep_intervals", "silver_workouts", "invalid_numeric_value", "invalid_timestamp"]
 
 
 def _write(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
@@ -51,7 +58,7 @@ def _write(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None
     log.info("wrote %s in %.2fs", path.rsplit("/", 2)[-2:], time.perf_counter() - t0)
 
 
-def _write_all(outputs: list[tuple]) -> None:
+def write_all(outputs: list[tuple]) -> None:
     """Write independent outputs as concurrent Spark jobs (one driver thread
     each); the scheduler interleaves their tasks, so small jobs do not leave
     cores idle. Errors surface here."""
@@ -63,105 +70,95 @@ def _write_all(outputs: list[tuple]) -> None:
             f.result()
 
 
-def _read(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(path)
+def _layer(spark: SparkSession, path: str, schema, keys: tuple[str, ...] = ()) -> DataFrame:
+    """A written layer with its declared columns; entity keys are text."""
+    return spark.read.schema(schemas.keyed(schema, keys)).parquet(path)
 
 
-def _layer(spark: SparkSession, path: str, schema, keys: tuple[str, ...] = ()) -> DataFrame:
-    """A written layer with its declared columns; entity keys keep the type
-    they were written with."""
-    if not keys:
-        return _read(spark, path, schema)
-    df = _read(spark, path)
-    return df.select(*keys, *[F.col(f.name).cast(f.dataType) for f in schema.fields])
+def elements(spark: SparkSession, layout: Layout, keys: tuple[str, ...] = ()) -> DataFrame:
+    """What the scan of the export has left in bronze, all kinds."""
+    return _layer(spark, layout.elements, schemas.ELEMENTS, keys)
+
+
+def bronze_records(spark: SparkSession, layout: Layout, keys: tuple[str, ...] = (), wanted: str | None = None) -> DataFrame:
+    """Bronze records, of one class (``quantity``, ``interval`` or ``other``) if given:
+    a filter on partition columns, so other files are not read."""
+    own = elements(spark, layout, keys).where(F.col("kind") == "record")
+    if wanted is not None:
+        own = own.where(F.col("class") == wanted)
+    return own.select(*keys, *schemas.RECORD_FIELDS)
+
+
+def gold_table(spark: SparkSession, layout: Layout, table: str, cfg: MetricConfig = HEALTH, keys: tuple[str, ...] = ()) -> DataFrame:
+    return _layer(spark, layout.gold(table), schemas.gold_tables(cfg)[table], keys)
 
 
 # ------------------------------------------------------------------ stages
 
 
 def ingest(
-    spark: SparkSession,
-    source: str,
-    layout: Layout,
-    cfg: MetricConfig = HEALTH,
-    mode: str = "split",
-    keys: tuple[str, ...] = (),
+    spark: SparkSession, source: str, layout: Layout, cfg: MetricConfig = HEALTH, mode: str = "split", keys: tuple[str, ...] = ()
 ) -> DataFrame:
     """Bronze: records outside workouts and flattened workouts, as text.
 
-    The XML is parsed once. Records are written to bronze while workouts
-    are parsed and their nested records counted (two concurrent jobs). Only
-    when workouts hold records (rare) is the context filter applied: over
-    the written Parquet into a staging table, which then replaces bronze, so
-    the common case pays no extra pass. ``keys`` are columns of a partitioned
-    folder layout (``source/user_id=7/...``): many exports in one job.
+    The scan's elements are written once, partitioned by kind and, for records, by the
+    class that the cleaners ask for. Workouts are put together from the written rows.
+    Malformed elements are a kind of their own: kept with their text, counted, and left
+    out of the layers above. ``keys`` are columns of a partitioned folder layout
+    (``source/user_id=7/...``): many exports in one job. ``mode="dom"`` takes the records
+    from the built-in XML source.
     """
-    try:
-        parsed_workouts = xml.scan_workouts(spark, source, mode, flag_malformed=True).persist(StorageLevel.MEMORY_AND_DISK)
-        parsed_records = xml.scan_records(spark, source, mode, flag_malformed=True)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            raise FileNotFoundError(f"export not found: {source}") from e
-        raise
-    # malformed elements are left out of bronze and counted in the same pass
-    seen = Observation("malformed_records")
-    records = parsed_records.observe(seen, F.count_if("_malformed").alias("n")).where(~F.col("_malformed"))
-    records = records.drop("_malformed")
-    workouts = parsed_workouts.where(~F.col("_malformed")).drop("_malformed")
-    try:
-        with ThreadPoolExecutor(max_workers=1) as pool:
-            written = pool.submit(_write, records, layout.bronze_records)
-            nested = xml.nested_counts(workouts)  # parses and caches the workouts meanwhile
-            written.result()
-        bad_workouts = parsed_workouts.where(F.col("_malformed")).count()  # from the cache
-        outputs = [(bronze.flatten_workouts(workouts, cfg, keys), layout.bronze_workouts)]
-        if nested[1] > 0:
-            scanned = _layer(spark, layout.bronze_records, schemas.BRONZE_RECORDS, keys)
-            outputs.append((xml.outside_workouts(scanned, workouts, nested), layout.bronze_scan))
-        _write_all(outputs)
-        if nested[1] > 0:
-            _write(_layer(spark, layout.bronze_scan, schemas.BRONZE_RECORDS, keys), layout.bronze_records)
-    finally:
-        parsed_workouts.unpersist()
-    malformed = {"malformed_records": int(seen.get["n"]), "malformed_workouts": int(bad_workouts)}
-    if any(malformed.values()):
-        log.warning("export %s: malformed elements left out: %s", source, malformed)
-    stages = [
-        quality.count_rows(_read(spark, layout.bronze_records), "bronze_records", keys),
-        quality.count_rows(_read(spark, layout.bronze_workouts), "bronze_workouts", keys),
-    ]
-    if not keys:  # run-level counts; a fleet report has one row per entity
-        stages.append(spark.createDataFrame(list(malformed.items()), "counter string, value bigint"))
-    return quality.merge_counters(stages, keys)
+    found = xml.scan_elements(spark, source)
+    if mode == "dom":
+        records, _ = xml.read_export(spark, source, "dom")
+        rest = found.where(~F.col("kind").isin("record", "nested"))
+        found = rest.unionByName(records.withColumn("kind", F.lit("record")), allowMissingColumns=True)
+    interval, quantity = F.col("type") == cfg.sleep_type, F.col("type").isin(*cfg.quantity_types)
+    place = F.when(F.col("kind") != "record", "none").when(quantity, "quantity").when(interval, "interval").otherwise("other")
+    stored = found.withColumn("class", place).select(schemas.keyed(schemas.ELEMENTS, keys).names)
+    _write(stored, layout.elements, ("kind", "class"))
+    written = elements(spark, layout, keys)
+    _write(bronze.flatten_workouts(xml.workouts_of(written), cfg, keys), layout.bronze_workouts)
+    names = {"record": "bronze_records", "malformed_record": "malformed_records", "malformed_workout": "malformed_workouts"}
+    counter = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[F.col("kind")]
+    by_kind = written.where(F.col("kind").isin(*names)).groupBy(*keys, counter.alias("counter")).agg(F.count(F.lit(1)).alias("value"))
+    workouts = quality.count_rows(_layer(spark, layout.bronze_workouts, schemas.BRONZE_WORKOUTS, keys), "bronze_workouts", keys)
+    return quality.merge_counters([_zeros(spark, layout, INGEST_COUNTERS, keys), by_kind, workouts], keys)
+
+
+def _zeros(spark: SparkSession, layout: Layout, names: list[str], keys: tuple[str, ...]) -> DataFrame:
+    """The counters of a stage at 0, for the export or for each entity with an element."""
+    entities = elements(spark, layout, keys).select(*keys) if keys else spark.range(1)
+    return quality.zero_counters(entities, names, keys)
 
 
 def transform(spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, keys: tuple[str, ...] = ()) -> DataFrame:
     """Silver: typed records, sleep intervals and workouts, and the quarantine."""
-    b = _layer(spark, layout.bronze_records, schemas.BRONZE_RECORDS, keys)
+    quantities = bronze_records(spark, layout, keys, "quantity")
+    intervals = bronze_records(spark, layout, keys, "interval")
     bw = _layer(spark, layout.bronze_workouts, schemas.BRONZE_WORKOUTS, keys)
-    _write_all(
+    write_all(
         [
-            (silver.clean_quantities(b, cfg, keys), layout.silver_records),
-            (silver.clean_intervals(b, cfg, keys), layout.silver_sleep),
+            (silver.clean_quantities(quantities, cfg, keys), layout.silver_records),
+            (silver.clean_intervals(intervals, cfg, keys), layout.silver_sleep),
             (silver.clean_workouts(bw, cfg, keys), layout.silver_workouts),
-            (silver.quarantine(b, cfg, keys), layout.quarantine),
+            (silver.quarantine(quantities, cfg, keys), layout.quarantine),
         ]
     )
     # reject counters from the (small) quarantine rather than another bronze pass
-    rejects = silver.reject_counts_from_quarantine(_read(spark, layout.quarantine), keys)
-    days = _read(spark, layout.silver_records).groupBy(*keys).agg(
+    rejects = silver.reject_counts_from_quarantine(_layer(spark, layout.quarantine, schemas.QUARANTINE, keys), keys)
+    records = _layer(spark, layout.silver_records, schemas.SILVER_RECORDS, keys)
+    days = records.groupBy(*keys).agg(
         F.unix_date(F.min("local_date")).alias("first_local_day"),
         F.unix_date(F.max("local_date")).alias("last_local_day"),
     )
     return quality.merge_counters(
         [
-            quality.count_rows(b, "bronze_records", keys),
-            quality.count_rows(_read(spark, layout.silver_records), "silver_records", keys),
-            quality.count_rows(_read(spark, layout.silver_sleep), "silver_sleep_intervals", keys),
-            quality.count_rows(_read(spark, layout.silver_workouts), "silver_workouts", keys),
+            _zeros(spark, layout, TRANSFORM_COUNTERS, keys),
+            quality.count_rows(bronze_records(spark, layout, keys), "bronze_records", keys),
+            quality.count_rows(records, "silver_records", keys),
+            quality.count_rows(_layer(spark, layout.silver_sleep, schemas.SILVER_SLEEP, keys), "silver_sleep_intervals", keys),
+            quality.count_rows(_layer(spark, layout.silver_workouts, schemas.SILVER_WORKOUTS, keys), "silver_workouts", keys),
             quality.counter_rows(
                 rejects,
                 {"invalid_numeric_value": "invalid_numeric_value", "invalid_timestamp": "invalid_timestamp"},
@@ -178,12 +175,12 @@ def transform(spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, k
 def build(spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, keys: tuple[str, ...] = ()) -> DataFrame:
     """Gold: all rollups. Point and sparse metrics come out of one aggregation
     and are stored together, partitioned by metric; each later table reads the
-    written tables it depends on."""
+    written tables it depends on, by their declared schemas (a table may be empty)."""
     recs = _layer(spark, layout.silver_records, schemas.SILVER_RECORDS, keys)
     sleep = _layer(spark, layout.silver_sleep, schemas.SILVER_SLEEP, keys)
     wk = _layer(spark, layout.silver_workouts, schemas.SILVER_WORKOUTS, keys)
 
-    _write_all(
+    write_all(
         [
             (gold.daily_stats(recs, cfg, keys), layout.gold("daily_metrics"), ("metric",)),
             (gold.daily_activity(recs, cfg, keys), layout.gold("gold_daily_activity")),
@@ -192,36 +189,23 @@ def build(spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, keys:
             (gold.workout_summary(wk, keys), layout.gold("gold_workout_summary")),
         ]
     )
-    activity = _read(spark, layout.gold("gold_daily_activity"))
-
-    daily = _read(spark, layout.gold("daily_metrics"))
-    hr = gold.metric_table(daily.drop("value"), cfg.summary_point, keys)
-    weight = gold.metric_table(daily.select(*keys, "metric", "local_date", "value"), cfg.summary_sparse, keys)
-    s = gold.summary(
-        hr,
-        weight,
-        activity,
-        _read(spark, layout.gold("gold_workouts")),
-        _read(spark, layout.gold("gold_workout_summary")),
-        cfg,
-        keys,
-    )
-    _write_all(
-        [(gold.calendar_levels(activity, cfg, keys), layout.gold("gold_daily_calendar")), (s, layout.gold("gold_summary"))]
-    )
+    inputs = ("daily_metrics", "gold_daily_activity", "gold_workouts", "gold_workout_summary")
+    daily, activity, workouts, totals = (gold_table(spark, layout, t, cfg, keys) for t in inputs)
+    s = gold.summary(daily, activity, workouts, totals, cfg, keys)
+    levels = gold.calendar_levels(activity, cfg, keys)
+    write_all([(levels, layout.gold("gold_daily_calendar")), (s, layout.gold("gold_summary"))])
 
-    counts = [
-        quality.count_rows(metric_frame(spark, layout, name, cfg), f"gold_{name}", keys)
-        for name, _ in (*cfg.point, *cfg.sparse)
-    ]
-    counts += [quality.count_rows(_read(spark, layout.gold(t)), t, keys) for t in GOLD_TABLES]
-    return quality.merge_counters(counts, keys)
+    names = [name for name, _ in (*cfg.point, *cfg.sparse)]
+    zeros = _zeros(spark, layout, [f"gold_{n}" for n in names] + list(GOLD_TABLES), keys)
+    by_metric = daily.where(F.col("metric").isin(*names)).groupBy(*keys, "metric").agg(F.count(F.lit(1)).alias("value"))
+    metrics = by_metric.select(*keys, F.concat(F.lit("gold_"), "metric").alias("counter"), "value")
+    counts = [quality.count_rows(gold_table(spark, layout, t, cfg, keys), t, keys) for t in GOLD_TABLES]
+    return quality.merge_counters([zeros, metrics, *counts], keys)
 
 
-def metric_frame(spark: SparkSession, layout: Layout, name: str, cfg: MetricConfig = HEALTH) -> DataFrame:
+def metric_frame(spark: SparkSession, layout: Layout, name: str, cfg: MetricConfig = HEALTH, keys: tuple[str, ...] = ()) -> DataFrame:
     """One point/sparse gold table out of the metric-partitioned store."""
-    daily = _read(spark, layout.gold("daily_metrics")).where(F.col("metric") == name)
-    keys = [c for c in daily.columns if c not in ("metric", "local_date", "avg_value", "min_value", "max_value", "n_samples", "value")]
+    daily = gold_table(spark, layout, "daily_metrics", cfg, keys).where(F.col("metric") == name)
     if name in dict(cfg.point):
         return daily.select(*keys, "local_date", "avg_value", "min_value", "max_value", "n_samples")
     return daily.select(*keys, "local_date", "value")
@@ -268,7 +252,7 @@ def run_export(
     rep = quality.report(counters, run_at, keys)
     path = write_report(rep, layout, run_at.replace(":", "-"), keys)
     if keys:
-        stats = spark.read.schema(schemas.REPORT).json(path).agg(
+        stats = spark.read.schema(schemas.keyed(schemas.REPORT, keys)).json(path).agg(
             F.count(F.lit(1)).alias("entities"), F.count_if(F.size("warnings") > 0).alias("entities_warned")
         ).first()
         return {"run_at": run_at, "report": path, **stats.asDict()}
@@ -287,9 +271,11 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--input", required=True)
     p.add_argument("--root", required=True)
     p.add_argument("--mode", default="split", choices=("split", "dom"))
+    p.add_argument("--keys", default="", help="comma-separated key folders of --input, one export per entity")
     a = p.parse_args(argv)
+    keys = tuple(k for k in a.keys.split(",") if k)
     spark = SparkSession.builder.getOrCreate()
-    print(json.dumps(run_export(spark, a.input, a.root, mode=a.mode), indent=2, default=str))
+    print(json.dumps(run_export(spark, a.input, a.root, mode=a.mode, keys=keys), indent=2, default=str))
 
 
 if __name__ == "__main__":

@@ -1,6 +1,10 @@
 """Read side: whitelisted metric tables, the summary, the dashboard bundle and
 the latest quality report. Nothing is aggregated at read time; order is
-applied here because stored order is no contract."""
+applied here because stored order is no contract.
+
+On a fleet's root every function takes the entity ``keys``, which stay in the
+result, and an ``entity`` (key -> value) to read one entity's rows only.
+"""
 
 from __future__ import annotations
 
@@ -8,24 +12,35 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitals import schemas
 from vitals.config import HEALTH, METRIC_TABLES, Layout, MetricConfig
 from vitals.functions.text import iso_date
-from vitals.plans.jobs import metric_frame
+from vitals.plans.jobs import gold_table, metric_frame
+
+Keys = tuple[str, ...]
+Entity = dict[str, str]
 
 
 def metric_names() -> list[str]:
     return sorted(METRIC_TABLES)
 
 
-def _table(spark: SparkSession, layout: Layout, table: str, cfg: MetricConfig) -> DataFrame:
+def _of(df: DataFrame, entity: Entity | None) -> DataFrame:
+    """The rows of one entity; the comparison is pushed down to the files."""
+    for key, value in (entity or {}).items():
+        df = df.where(F.col(key) == str(value))
+    return df
+
+
+def _table(spark: SparkSession, layout: Layout, table: str, cfg: MetricConfig, keys: Keys) -> DataFrame:
     name = table.removeprefix("gold_")
     if name in dict(cfg.point) or name in dict(cfg.sparse):
-        return metric_frame(spark, layout, name, cfg)
-    return spark.read.parquet(layout.gold(table))
+        return metric_frame(spark, layout, name, cfg, keys)
+    return gold_table(spark, layout, table, cfg, keys)
 
 
-def order_for_serving(table: str, df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """The order the reference serves in (stored order is no contract);
+def order_for_serving(table: str, df: DataFrame, keys: Keys = ()) -> DataFrame:
+    """The order that the reference serves in (stored order is no contract);
     with entity keys, each entity's rows together."""
     if table == "gold_workouts":
         return df.orderBy(*keys, "ts_utc").drop("ts_utc")
@@ -35,60 +50,65 @@ def order_for_serving(table: str, df: DataFrame, keys: tuple[str, ...] = ()) ->
 
 
 def metric(
-    spark: SparkSession, layout: Layout, name: str, cfg: MetricConfig = HEALTH, keys: tuple[str, ...] = ()
+    spark: SparkSession, layout: Layout, name: str, cfg: MetricConfig = HEALTH, keys: Keys = (), entity: Entity | None = None
 ) -> DataFrame | None:
     """All rows of one whitelisted gold table, or None for an unknown name."""
     table = METRIC_TABLES.get(name)
     if table is None:
         return None
-    return order_for_serving(table, _table(spark, layout, table, cfg), keys)
+    return order_for_serving(table, _of(_table(spark, layout, table, cfg, keys), entity), keys)
 
 
-def summary(spark: SparkSession, layout: Layout) -> DataFrame:
-    return spark.read.parquet(layout.gold("gold_summary"))
+def summary(spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, keys: Keys = (), entity: Entity | None = None) -> DataFrame:
+    return _of(gold_table(spark, layout, "gold_summary", cfg, keys), entity)
 
 
-def heart_rate_series(heart_rate: DataFrame) -> DataFrame:
-    return heart_rate.orderBy("local_date").select(iso_date("local_date").alias("date"), F.col("avg_value").alias("value"))
+def heart_rate_series(heart_rate: DataFrame, keys: Keys = ()) -> DataFrame:
+    return heart_rate.orderBy(*keys, "local_date").select(
+        *keys, iso_date("local_date").alias("date"), F.col("avg_value").alias("value")
+    )
 
 
-def weight_series(weight: DataFrame) -> DataFrame:
-    return weight.orderBy("local_date").select(iso_date("local_date").alias("date"), "value")
+def weight_series(weight: DataFrame, keys: Keys = ()) -> DataFrame:
+    return weight.orderBy(*keys, "local_date").select(*keys, iso_date("local_date").alias("date"), "value")
 
 
-def workout_bars(workout_summary: DataFrame) -> DataFrame:
-    return workout_summary.orderBy(F.desc("n_workouts"), "activity").select(
-        F.col("activity").alias("name"), F.col("n_workouts").alias("value"), "total_kcal"
+def workout_bars(workout_summary: DataFrame, keys: Keys = ()) -> DataFrame:
+    return workout_summary.orderBy(*keys, F.desc("n_workouts"), "activity").select(
+        *keys, F.col("activity").alias("name"), F.col("n_workouts").alias("value"), "total_kcal"
     )
 
 
-def calendar_days(calendar: DataFrame) -> DataFrame:
-    return calendar.orderBy("local_date").select(
-        iso_date("local_date").alias("date"), "steps", "active_kcal", "distance_km", "level_kcal", "level_steps"
+def calendar_days(calendar: DataFrame, keys: Keys = ()) -> DataFrame:
+    return calendar.orderBy(*keys, "local_date").select(
+        *keys, iso_date("local_date").alias("date"), "steps", "active_kcal", "distance_km", "level_kcal", "level_steps"
     )
 
 
-def dashboard(spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH) -> dict[str, DataFrame]:
+def dashboard(
+    spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, keys: Keys = (), entity: Entity | None = None
+) -> dict[str, DataFrame]:
     """The five parts of the dashboard bundle, lazily."""
+
+    def read(table: str) -> DataFrame:
+        return _of(_table(spark, layout, table, cfg, keys), entity)
+
     return {
-        "summary": summary(spark, layout),
-        "heartRate": heart_rate_series(metric_frame(spark, layout, cfg.summary_point, cfg)),
-        "weight": weight_series(metric_frame(spark, layout, cfg.summary_sparse, cfg)),
-        "workouts": workout_bars(spark.read.parquet(layout.gold("gold_workout_summary"))),
-        "calendar": calendar_days(spark.read.parquet(layout.gold("gold_daily_calendar"))),
+        "summary": summary(spark, layout, cfg, keys, entity),
+        "heartRate": heart_rate_series(read(cfg.summary_point), keys),
+        "weight": weight_series(read(cfg.summary_sparse), keys),
+        "workouts": workout_bars(read("gold_workout_summary"), keys),
+        "calendar": calendar_days(read("gold_daily_calendar"), keys),
     }
 
 
 def ready(spark: SparkSession, layout: Layout) -> bool:
     """Is there a gold layer to serve?"""
     try:
-        spark.read.parquet(layout.gold("gold_summary")).schema
-        return True
+        return bool(spark.read.parquet(layout.gold("gold_summary")).columns)
     except AnalysisException:
         return False
 
 
-def latest_quality(spark: SparkSession, layout: Layout) -> DataFrame:
-    from vitals.schemas import REPORT
-
-    return spark.read.schema(REPORT).json(layout.latest_report)
+def latest_quality(spark: SparkSession, layout: Layout, keys: Keys = (), entity: Entity | None = None) -> DataFrame:
+    return _of(spark.read.schema(schemas.keyed(schemas.REPORT, keys)).json(layout.latest_report), entity)

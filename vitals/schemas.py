@@ -1,7 +1,9 @@
-"""Declared schemas of every layer; nothing is inferred."""
+"""Declared schemas of every layer, keyed or not; nothing is inferred."""
 
 from pyspark.sql import types as T
 
+from vitals.config import MetricConfig
+
 S = T.StringType()
 
 # Bronze: exactly what the export says, as text.
@@ -24,7 +26,7 @@ BRONZE_WORKOUTS = T.StructType([T.StructField(n, S) for n in WORKOUT_FIELDS])
 RECORD_ATTRIBUTES = ("type", "sourceName", "unit", "creationDate", "startDate", "endDate", "value")
 XML_RECORD = T.StructType([T.StructField("_" + a, S) for a in RECORD_ATTRIBUTES])
 
-# Parse schemas: the record/workout fields plus the raw text of a malformed element.
+# Parse schema of the built-in XML source: the fields plus the raw text of a malformed element.
 CORRUPT = "_corrupt_record"
 XML_RECORD_PARSE = T.StructType(list(XML_RECORD.fields) + [T.StructField(CORRUPT, S)])
 
@@ -44,11 +46,22 @@ XML_WORKOUT = T.StructType(
             "WorkoutStatistics",
             T.ArrayType(T.StructType([T.StructField("_type", S), T.StructField("_sum", S)])),
         ),
-        T.StructField("Record", T.ArrayType(XML_RECORD)),
     ]
 )
 
-XML_WORKOUT_PARSE = T.StructType(list(XML_WORKOUT.fields) + [T.StructField(CORRUPT, S)])
+# The scanned elements as stored: the record columns shared by all kinds, their place,
+# and the partition columns.
+ELEMENTS = T.StructType(
+    [
+        *BRONZE_RECORDS.fields,
+        T.StructField("workout", S),
+        T.StructField("block", T.LongType()),
+        T.StructField("row", T.LongType()),
+        T.StructField("file", S),
+        T.StructField("kind", S),
+        T.StructField("class", S),
+    ]
+)
 
 # Silver.
 SILVER_RECORDS = T.StructType(
@@ -84,6 +97,44 @@ SILVER_WORKOUTS = T.StructType(
     ]
 )
 
+QUARANTINE = T.StructType([*BRONZE_RECORDS.fields, T.StructField("reasons", T.ArrayType(S))])
+
+
+def _table(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
+# Gold: the point and sparse metrics in one table, partitioned by metric, and the others.
+D, L = T.DoubleType(), T.LongType()
+DAILY_METRICS = _table(local_date=T.DateType(), avg_value=D, min_value=D, max_value=D, n_samples=L, value=D, metric=S)
+
+
+def gold_tables(cfg: MetricConfig) -> dict[str, T.StructType]:
+    """Schemas of the gold tables; activity and calendar take their columns from the catalogue."""
+    return {
+        "daily_metrics": DAILY_METRICS,
+        "gold_daily_activity": _table(local_date=T.DateType(), **{name: D for name, _, _ in cfg.cumulative}),
+        "gold_daily_calendar": _table(
+            local_date=T.DateType(), **dict.fromkeys(cfg.calendar_columns, D), **{level: L for level, _ in cfg.levels}
+        ),
+        "gold_daily_sleep": _table(local_date=T.DateType(), asleep_min=L, deep_min=L, rem_min=L, awake_min=L),
+        "gold_workouts": _table(
+            activity=S, local_date=T.DateType(), duration_min=D, active_energy_kcal=D, distance_km=D,
+            indoor=T.BooleanType(), ts_utc=T.TimestampType(),
+        ),
+        "gold_workout_summary": _table(activity=S, n_workouts=L, total_min=D, total_kcal=D, total_km=D),
+        "gold_summary": _table(
+            total_workouts=L, workout_kcal=D, avg_heart_rate=D, latest_weight=D, avg_daily_steps=D,
+            first_date=T.DateType(), last_date=T.DateType(),
+        ),
+    }
+
+
+def keyed(schema: T.StructType, keys: tuple[str, ...]) -> T.StructType:
+    """``schema`` of a fleet's table: entity keys, as text, and the columns."""
+    return T.StructType([*(T.StructField(k, S) for k in keys), *schema.fields])
+
+
 # Quality report as written to JSON.
 REPORT = T.StructType(
     [

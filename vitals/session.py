@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +36,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
     )
     for k, v in {**RESULT_SETTINGS, **PLAN_SETTINGS}.items():
@@ -47,17 +49,35 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a private folder set.
+    A session that names none gets a private folder if its master is local (tests,
+    bench), and an error on a cluster, whose executors would not see such a folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not conf:
-        conf = tempfile.mkdtemp(prefix="vitals-ckpt-")
-    sc.setCheckpointDir(conf)
-    return sc.getCheckpointDir() or conf
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not named:
+        if not is_local(sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="vitals-ckpt-")
+        _delete_at_end(spark, named)
+    sc.setCheckpointDir(named)
+    return sc.getCheckpointDir() or named
+
+
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local-cluster`` is not)."""
+    return master == "local" or master.startswith("local[")
+
+
+def _delete_at_end(spark: SparkSession, path: str) -> None:
+    """Make ``path`` and have it deleted when the driver's JVM ends."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(folder)
+    system.deleteOnExit(folder)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -66,8 +86,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_SCRATCH: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared checkpoint folder for intermediate tables."""
-    import uuid
+    """A fresh folder below the shared checkpoint folder for intermediate tables.
 
-    return f"{checkpoint_dir(spark).rstrip('/')}/vitals-{name}-{uuid.uuid4().hex[:12]}"
+    All of them lie in one folder of the application, which goes when the driver ends.
+    """
+    base = checkpoint_dir(spark).rstrip("/")
+    if base not in _SCRATCH:
+        _SCRATCH[base] = f"{base}/vitals-scratch-{uuid.uuid4().hex[:12]}"
+        _delete_at_end(spark, _SCRATCH[base])
+    return f"{_SCRATCH[base]}/{name}-{uuid.uuid4().hex[:12]}"

@@ -8,11 +8,14 @@ expressions, and every oracle query repeats the same expressions in SQL:
 * workouts  <- ``orders`` with ``lineitem`` statistics as nested children.
 * XML text  <- both of the above, written as an export document.
 
-Planted faults (chosen by id arithmetic so that both engines agree): a value
+Planted traits (chosen by id arithmetic so that both engines agree): a value
 ``bogus``, a start ``not a time``, an end ``unparseable``, exact duplicates, a
-statistic ``n/a``, workouts without statistics or metadata, records nested in
-workouts and one source name with an XML entity. Every row of the inputs is
-used; nothing is sampled.
+statistic ``n/a``, workouts without statistics or metadata; times and numbers in
+other spellings that are still read (blanks, one-digit parts, short and colon offsets,
+signs, underscores); tiny, huge, infinite and nan values on days of their own; in the
+XML, records at depth 1 and 2 inside workouts, comments and CDATA sections that hold
+tag text, a line break after a tag's name, and source names with an entity. Every row of
+the inputs is used; nothing is sampled.
 """
 
 from __future__ import annotations
@@ -38,25 +41,51 @@ def _source(user: Column) -> Column:
     return F.concat(F.lit("src_"), (user % 3).cast("string"))
 
 
+def _spelled(ts: Column, event: Column) -> Column:
+    """A time as the export spells it; some events are spelled in another way."""
+    off = _offset(event)
+    plain = F.date_format(ts, WALL_CLOCK)
+    return (
+        F.when(event % 59 == 0, F.concat(F.lit("  "), plain, off, F.lit(" ")))
+        .when(event % 47 == 0, F.concat(F.date_format(ts, "yyyy-M-d  H:m:s"), off))
+        .when(event % 43 == 0, F.concat(plain, F.substring(off, 1, 4), F.lit(":"), F.substring(off, 5, 2)))
+        .when(event % 41 == 0, F.concat(plain, F.substring(off, 1, 4)))
+        .otherwise(F.concat(plain, off))
+    )
+
+
+# Values of the days 2001-01-01 to 2001-01-04
+SPECIAL_VALUES = ("1e-7", "1e35", "+nan", "-inf")
+
+
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped records: ``user_id`` plus the 7 text columns."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    off = _offset(F.col("event_id"))
-    start = F.concat(F.date_format("ts", WALL_CLOCK), off)
-    end = F.concat(
-        F.date_format(F.timestamp_add("SECOND", F.floor(F.col("value") * 60), F.col("ts")), WALL_CLOCK), off
-    )
+    event = F.col("event_id")
+    start = _spelled(F.col("ts"), event)
+    end = _spelled(F.timestamp_add("SECOND", F.floor(F.col("value") * 60), F.col("ts")), event)
     source = _source(F.col("user_id"))
+    special = (event % 401 == 0) & (F.col("event_type") == "view")
+    which = F.floor(event / 401) % len(SPECIAL_VALUES)
+    own_day = F.concat(F.lit("2001-01-0"), (which + 1).cast("string"), F.date_format("ts", " HH:mm:ss"), _offset(event))
+    time = F.when(special, own_day).when(event % 89 == 0, F.lit("not a time")).otherwise(start)
+    number = F.col("value").cast("string")
+    value = (
+        F.when(special, F.get(F.array(*map(F.lit, SPECIAL_VALUES)), which.cast("int")))
+        .when(event % 97 == 0, F.lit("bogus"))
+        .when(event % 61 == 0, F.concat(F.lit(" "), number, F.lit(" ")))
+        .when(event % 67 == 0, F.concat(F.lit("+"), number))
+        .when(event % 71 == 0, F.regexp_replace(number, "^([0-9])([0-9])", "$1_$2"))
+        .otherwise(number)
+    )
     quantity = ev.select(
         "event_id",
         "user_id",
         F.col("event_type").alias("type"),
         source.alias("source_name"),
         F.lit("count").alias("unit"),
-        F.when(F.col("event_id") % 89 == 0, F.lit("not a time")).otherwise(start).alias("creation_date"),
-        F.when(F.col("event_id") % 89 == 0, F.lit("not a time")).otherwise(start).alias("start_date"),
-        F.when(F.col("event_id") % 89 == 0, F.lit("not a time")).otherwise(start).alias("end_date"),
-        F.when(F.col("event_id") % 97 == 0, F.lit("bogus")).otherwise(F.col("value").cast("string")).alias("value"),
+        *(time.alias(name) for name in ("creation_date", "start_date", "end_date")),
+        value.alias("value"),
     )
     sleep = ev.select(
         "event_id",
@@ -66,7 +95,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("unit"),
         start.alias("creation_date"),
         start.alias("start_date"),
-        F.when(F.col("event_id") % 83 == 0, F.lit("unparseable")).otherwise(end).alias("end_date"),
+        F.when(event % 83 == 0, F.lit("unparseable")).otherwise(end).alias("end_date"),
         F.col("event_type").alias("value"),
     )
     both = quantity.unionByName(sleep)
@@ -210,15 +239,19 @@ def export_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("\n  <WorkoutStatistics"), _attr("type", s["_type"]), _attr("sum", s["_sum"]), F.lit(' unit="x"/>')
         ),
     )
+    key = F.col("workout_id")
     nested = F.transform(
         F.coalesce(F.col("Record"), F.array().cast(w.schema["Record"].dataType)),
-        lambda r: F.concat(
-            F.lit("\n  "),
-            _record_tag([r[f"_{a}"] for a in ("type", "sourceName", "unit", "creationDate", "startDate", "endDate", "value")]),
+        lambda r: _record_tag([r[f"_{a}"] for a in ("type", "sourceName", "unit", "creationDate", "startDate", "endDate", "value")]),
+    )
+    inner = F.transform(
+        nested,
+        lambda tag: F.when(key % 26 == 0, F.concat(F.lit("\n  "), tag)).otherwise(
+            F.concat(F.lit('\n  <WorkoutEvent type="lap"><Lap>'), tag, F.lit('<MetadataEntry key="indoor" value="9"/></Lap></WorkoutEvent>'))
         ),
     )
     head = F.concat(
-        F.lit(" <Workout"),
+        F.when(key % 5 == 0, F.lit(" <Workout\n ")).otherwise(F.lit(" <Workout")),
         _attr("workoutActivityType", F.col("_workoutActivityType")),
         _attr("duration", F.col("_duration")),
         _attr("durationUnit", F.col("_durationUnit")),
@@ -226,10 +259,17 @@ def export_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         _attr("startDate", F.col("_startDate")),
         _attr("endDate", F.col("_endDate")),
     )
-    body = F.concat(F.array_join(meta, ""), F.array_join(stats, ""), F.array_join(nested, ""))
+    commented = F.when(key % 4 == 0, F.lit('\n  <!-- <WorkoutStatistics type="energy" sum="1"/> </Workout> -->')).otherwise("")
+    body = F.concat(F.array_join(meta, ""), F.array_join(stats, ""), F.array_join(inner, ""))
     block = F.when(body == "", F.concat(head, F.lit("/>"))).otherwise(
-        F.concat(head, F.lit(">"), body, F.lit("\n </Workout>"))
+        F.concat(head, F.lit(">"), commented, body, F.lit("\n </Workout>"))
+    )
+    before = (
+        F.when(key % 7 == 0, F.lit(' <!-- <Record type="click" value="1"/> <Workout duration="1"> -->\n'))
+        .when(key % 17 == 0, F.lit(' <Note><![CDATA[ <Workout duration="1"> <Record type="click" value="1"/> <!-- ]]></Note>\n'))
+        .otherwise("")
     )
+    block = F.concat(before, block)
     return recs.unionByName(w.select(block.alias("value")))
 
 

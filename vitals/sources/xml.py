@@ -1,213 +1,306 @@
-"""Export XML sources.
-
-``mode="split"`` (default) reads the file as text chunks cut at every
-``<Record`` (or ``<Workout ``) with ``lineSep``: the text source splits a file
-into many partitions, so one large export is read by many tasks. Each chunk's
-open tag is cut out and parsed with ``from_xml``, which decodes entities.
-``mode="dom"`` uses the built-in XML source (one task per file); it is the
-strict option, for exports with comments or CDATA holding tag text, or with a
-line break right after a ``<Workout`` tag name.
+"""Export XML as rows: one positional scan for records and workouts.
+
+The file is read as text cut at every ``<`` (a raw ``<`` cannot stand inside an
+attribute), so a row is one tag and the text behind it: a few hundred characters,
+wherever the file is split. Rows of a split arrive in document order. A task keeps the
+stack of open elements and the comment or CDATA state, so it knows for each tag whether
+it is real, and which workout it lies in, at any depth.
+
+What a split begins inside of is decided first, by a boundary pass: each split is
+summed up to what it does to the state (three rows, one for each state it may begin
+in), and the few rows of a file are folded in order. Only the splits that begin inside a
+workout, a comment or a CDATA section keep a row; that table is broadcast to the scan
+and holds one row per split at most. Nothing else crosses splits: records are not
+shuffled, and only the rows of workouts are, to be put together.
+
+``mode="dom"`` reads records with the built-in XML source instead (one task per file).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vitals.session import cut_lineage
-from vitals.schemas import (
-    CORRUPT,
-    RECORD_ATTRIBUTES,
-    RECORD_FIELDS,
-    XML_RECORD,
-    XML_RECORD_PARSE,
-    XML_WORKOUT,
-    XML_WORKOUT_PARSE,
-)
+from vitals.schemas import CORRUPT, RECORD_ATTRIBUTES, RECORD_FIELDS, XML_RECORD_PARSE, XML_WORKOUT
 
 XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-# An open tag's attribute text: anything up to the first '<' or '>' that is
-# not inside a quoted attribute value.
-ATTRIBUTES = r"""^((?:[^"'<>]|"[^"]*"|'[^']*')*)"""
-# A record chunk follows the tag name with white space, then an attribute or
-# the end of the tag; a workout chunk starts right at an attribute. The first
-# chunk of a file (prolog, root tag, other elements) matches neither.
-RECORD_CHUNK = r"^\s+(/?>|[A-Za-z_:][-\w:.]*\s*=)"
-WORKOUT_CHUNK = r"^\s*(/?>|[A-Za-z_:][-\w:.]*\s*=)"
-
-# Distinct records nested in workouts, counted before the context filter: up
-# to this many they are broadcast to mark candidates; above it the marking is
-# a shuffle join (AQE splits a skewed side).
-NESTED_BROADCAST_ROWS = 100_000
-
-
-def _open_tag(v: F.Column) -> F.Column:
-    """Attribute text of the open tag a chunk starts with (up to its ``>``).
-
-    The first ``>`` ends the tag unless it lies inside a quoted value: with
-    no single quote and an even number of double quotes before it, it does
-    not, and a plain cut is exact. Other chunks take the quote-aware regex.
-    """
-    cut = F.substring_index(v, ">", 1)
-    quotes = F.length(cut) - F.length(F.replace(cut, F.lit('"'), F.lit("")))
-    plain = ~cut.contains("'") & (quotes % 2 == 0)
-    return F.when(plain, cut).otherwise(F.regexp_extract(v, ATTRIBUTES, 1))
 
+# What the scan yields: the seven record columns, which the other elements share
+ELEMENT_FIELDS = {
+    "Record": dict(zip(RECORD_ATTRIBUTES, RECORD_FIELDS)),
+    "Workout": {
+        "workoutActivityType": "type", "sourceName": "source_name", "durationUnit": "unit", "startDate": "start_date",
+        "endDate": "end_date", "duration": "value",
+    },
+    "MetadataEntry": {"key": "type", "value": "value"},
+    "WorkoutStatistics": {"type": "type", "sum": "value"},
+}
+KINDS = {"Workout": "workout", "MetadataEntry": "metadata", "WorkoutStatistics": "statistics"}
+PLACE = "workout string, block bigint, row bigint"
+ELEMENTS = ", ".join([*(f"{f} string" for f in RECORD_FIELDS), PLACE, "kind string"])
+
+
+def _functions():
+    """The functions that run in tasks (nested, so that they travel by value)."""
+    attribute = re.compile(r"""\s+([A-Za-z_:][-\w:.]*)\s*=\s*("[^"<]*"|'[^'<]*')""")
+    open_tag = re.compile(r"""([A-Za-z_:][-\w:.]*)((?:\s+[A-Za-z_:][-\w:.]*\s*=\s*(?:"[^"]*"|'[^']*'))*)\s*(/?)>""")
+    entity = re.compile(r"&(?:#(\d+)|#x([0-9a-fA-F]+)|(lt|gt|amp|quot|apos));|&")
+    named = {"lt": "<", "gt": ">", "amp": "&", "quot": '"', "apos": "'"}
+    blanks = str.maketrans("\t\n\r", "   ")
+    elements = ELEMENT_FIELDS
+
+    def decoded(found: re.Match) -> str:
+        if found[3]:
+            return named[found[3]]
+        if found[1] or found[2]:
+            return chr(int(found[1] or found[2], 10 if found[1] else 16))
+        raise ValueError("a raw & in an attribute")
+
+    class State:
+        """The open elements (a workout's id, or an empty text) and ``mode``: N plain, C comment, D CDATA."""
+
+        def __init__(self, mode: str = "N", stack: list[str] | None = None):
+            self.mode, self.stack, self.popped = mode, list(stack or []), 0
+            self.inside = sum(map(bool, self.stack))
+
+        def tag(self, text: str, number: int, block: int):
+            """Take the row ``text``; the name of the element it opens, or None. ``number``
+            counts the rows of the split that look like a workout's open tag."""
+            if self.mode != "N":
+                if ("-->" if self.mode == "C" else "]]>") in text:
+                    self.mode = "N"
+                return None
+            first = text[:1]
+            if first == "/":
+                if self.stack:
+                    self.inside -= bool(self.stack.pop())
+                else:
+                    self.popped += 1
+                return None
+            if first == "!":
+                if text.startswith("!--"):
+                    self.mode = "N" if "-->" in text[3:] else "C"
+                elif text.startswith("![CDATA["):
+                    self.mode = "N" if "]]>" in text else "D"
+                return None
+            if not (first.isalpha() or first in "_:" and first):
+                return None
+            name = re.split(r"[\s/>]", text, maxsplit=1)[0] if not text.startswith("Record ") else "Record"
+            if text.count(">") == 1:
+                closed = text[text.index(">") - 1] == "/"
+            else:
+                found = open_tag.match(text)
+                closed = bool(found[3]) if found else text.partition(">")[0].endswith("/")
+            if not closed:
+                self.stack.append(f"{block}:{number}" if name == "Workout" else "")
+                self.inside += name == "Workout"
+            return name
+
+    def attributes(text: str) -> dict[str, str]:
+        """The attributes of an open tag; ValueError if it is malformed."""
+        found = open_tag.match(text)
+        if not found:
+            raise ValueError("no open tag")
+        pairs = attribute.findall(found[2])
+        values = {k: v[1:-1].translate(blanks) for k, v in pairs}
+        if len(values) < len(pairs) or sum(len(k) + len(v) for k, v in pairs) > len(found[2]) or "<" in found[2]:
+            raise ValueError("malformed attributes")
+        return {k: entity.sub(decoded, v) if "&" in v else v for k, v in values.items()}
+
+    def splits(batches: Iterator[pa.RecordBatch]):
+        """(keys, file, block, rows) for the runs of rows of one split, in order."""
+        for batch in batches:
+            columns = batch.to_pydict()
+            files, blocks, texts = columns.pop("file"), columns.pop("block"), columns.pop("value")
+            modes, stacks = columns.pop("mode", None), columns.pop("stack", None)
+            start = 0
+            while start < len(files):
+                end = start + 1
+                while end < len(files) and blocks[end] == blocks[start] and files[end] == files[start]:
+                    end += 1
+                keys = {k: v[start] for k, v in columns.items()}
+                begin = (modes[start] or "N", stacks[start] or []) if modes else ("N", [])
+                yield keys, files[start], blocks[start], texts[start:end], begin
+                start = end
+
+    def is_workout(text: str) -> bool:
+        return text.startswith("Workout") and text[7:8] in (" ", "\t", "\n", "\r", "/", ">", "")
+
+    def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """What each split does to the state that it begins in."""
+        done, place, number = {}, None, 0
+        for _, file, block, texts, _ in splits(batches):
+            if place != (file, block):
+                place, number = (file, block), 0
+                done[place] = [State("N"), State("C"), State("D")]
+            states = done[place]
+            for text in texts:
+                number += is_workout(text)
+                for state in states:
+                    state.tag(text, number, block)
+        rows = [(f, b, s, x.mode, x.popped, x.stack) for (f, b), found in done.items() for s, x in zip("NCD", found)]
+        columns = list(zip(*rows)) if rows else [[]] * 6
+        types = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.string())]
+        names = ["file", "block", "begin", "finish", "popped", "pushed"]
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=names)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The elements of interest, with the workout that they lie in."""
+        place, number, row, state = None, 0, 0, State()
+        for keys, file, block, texts, begin in splits(batches):
+            if place != (file, block):
+                place, number, row, state = (file, block), 0, 0, State(*begin)
+            out = []
+            for text in texts:
+                row += 1
+                number += is_workout(text)
+                parent = state.stack[-1] if state.stack else ""
+                inside = state.inside
+                name = state.tag(text, number, block)
+                if name not in elements or (name in KINDS and name != "Workout" and not parent):
+                    continue
+                try:
+                    found = attributes(text)
+                    kind = KINDS.get(name) or ("nested" if inside else "record")
+                except ValueError:
+                    if name not in ("Record", "Workout"):
+                        continue
+                    found, kind = {"value": text}, f"malformed_{name.lower()}"
+                values = {f: found.get(a) for a, f in elements[name].items()}
+                if kind.startswith("malformed"):
+                    values = {"value": text}
+                workout = f"{block}:{number}" if name == "Workout" else parent
+                out.append((*(values.get(f) for f in RECORD_FIELDS), workout, block, row, kind))
+            columns = list(zip(*out)) if out else [[]] * (len(RECORD_FIELDS) + 4)
+            types = [*[pa.string()] * (len(RECORD_FIELDS) + 1), pa.int64(), pa.int64(), pa.string()]
+            arrays = [pa.array(list(c), t) for c, t in zip(columns, types)]
+            own = [pa.array([v] * len(out), pa.string()) for v in (*keys.values(), file)]
+            names = [*RECORD_FIELDS, "workout", "block", "row", "kind", *keys, "file"]
+            yield pa.RecordBatch.from_arrays([*arrays, *own], names=names)
+
+    def folded(rows: pd.DataFrame) -> pd.DataFrame:
+        """What each split of one file begins inside of, if anything."""
+        out, mode, stack = [], "N", []
+        for block, own in rows.sort_values("block").groupby("block", sort=True):
+            if mode != "N" or any(stack):
+                out.append((own["file"].iloc[0], block, mode, list(stack)))
+            did = own[own["begin"] == mode].iloc[0]
+            stack = stack[: max(0, len(stack) - int(did["popped"]))] + list(did["pushed"])
+            mode = did["finish"]
+        return pd.DataFrame(out, columns=["file", "block", "mode", "stack"])
+
+    return summaries, scan, folded
+
+
+def _keys(df: DataFrame, known: set[str]) -> list[str]:
+    """Columns that a partitioned folder layout adds (``landing/user_id=7/...``)."""
+    return [c for c in df.columns if c not in known]
 
-def _self_closing(attrs: F.Column) -> F.Column:
-    return F.rtrim(attrs).endswith("/")
 
+def _text(spark: SparkSession, path: str) -> DataFrame:
+    """Rows cut at ``<`` with their file and the place of their split; folder keys as text."""
+    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")  # 01 and 1 are two entities
+    try:
+        chunks = spark.read.option("lineSep", "<").text(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            raise FileNotFoundError(f"export not found: {path}") from e
+        raise
+    keys = _keys(chunks, {"value"})
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    return chunks.select(*[F.col(k).cast("string").alias(k) for k in keys], *place, "value")
 
-def _record_columns(prefix: str = "") -> list:
-    return [F.col(f"{prefix}_{a}").alias(n) for a, n in zip(RECORD_ATTRIBUTES, RECORD_FIELDS)]
 
+def scan_elements(spark: SparkSession, path: str) -> DataFrame:
+    """Every record, workout, and child of a workout, in one pass over the text.
 
-def _path_columns(df: DataFrame, known: set[str]) -> list[str]:
-    """Columns the file source adds from a partitioned folder layout
-    (``landing/user_id=7/export.xml`` gives ``user_id``): entity keys."""
-    return [c for c in df.columns if c not in known]
+    ``kind`` is ``record`` (outside workouts), ``nested`` (a record inside one, at any
+    depth), ``workout``, ``metadata`` or ``statistics`` (direct children of a workout), or
+    ``malformed_record`` / ``malformed_workout`` (``value`` is then the text as it stands).
+    ``workout`` names the workout within its file, ``block`` and ``row`` the place.
+    """
+    summaries, scan, folded = _functions()
+    text = _text(spark, path)
+    keys = _keys(text, {"file", "block", "value"})
+    summary = "file string, block bigint, begin string, finish string, popped bigint, pushed array<string>"
+    did = text.select("file", "block", "value").mapInArrow(summaries, summary)
+    starts = did.groupBy("file").applyInPandas(folded, "file string, block bigint, mode string, stack array<string>")
+    placed = text.join(F.broadcast(starts), ["file", "block"], "left").select(*keys, "file", "block", "value", "mode", "stack")
+    schema = ", ".join([ELEMENTS, *(f"{k} string" for k in keys), "file string"])
+    return placed.mapInArrow(scan, schema)
 
 
-def _malformed(df: DataFrame, flag: bool, field: str) -> DataFrame:
-    """Malformed elements (text the parser cannot read) are dropped, or kept
-    with ``_malformed = true`` so the caller can count them. A malformed
-    element has every field NULL; testing ``field`` as well keeps a data
-    column in the scan (a raw-file query on the corrupt column alone is
-    refused)."""
-    bad = F.col(CORRUPT).isNotNull() & F.col(field).isNull()
-    if flag:
-        return df.withColumn("_malformed", bad).drop(CORRUPT)
-    return df.where(~bad).drop(CORRUPT)
+def records_of(elements: DataFrame, kinds: tuple[str, ...] = ("record",)) -> DataFrame:
+    """The records among ``elements``: the keys and seven text columns."""
+    keys = _keys(elements, {*RECORD_FIELDS, "workout", "block", "row", "kind", "file"})
+    return elements.where(F.col("kind").isin(*kinds)).select(*keys, *RECORD_FIELDS)
 
 
-def scan_records(spark: SparkSession, path: str, mode: str = "split", flag_malformed: bool = False) -> DataFrame:
-    """Every ``<Record>`` element of the export(s) at ``path``: 7 text columns.
+def workouts_of(elements: DataFrame) -> DataFrame:
+    """The workouts among ``elements`` with their children (``XML_WORKOUT``, records left out).
 
-    Missing attributes are NULL; the ``device`` attribute is not read.
-    Records nested in workouts are included; see ``outside_workouts``.
+    Only rows of workouts are shuffled; a group is one workout of one file.
     """
-    if mode == "dom":
-        raw = (
-            spark.read.format("xml")
-            .options(rowTag="Record", **XML_OPTIONS)
-            .schema(XML_RECORD_PARSE)
-            .load(path)
-        )
-        keys = _path_columns(raw, set(XML_RECORD_PARSE.fieldNames()))
-        return _malformed(raw.select(*keys, *_record_columns(), CORRUPT), flag_malformed, "type")
-    chunks = spark.read.option("lineSep", "<Record").text(path)
-    keys = _path_columns(chunks, {"value"})
-    # a tag name followed by a blank, tab or line break; <RecordX is no match
-    chunks = chunks.where(F.col("value").rlike(RECORD_CHUNK))
-    attrs = _open_tag(F.col("value"))
-    tag = F.concat(F.lit("<Record"), attrs, F.when(_self_closing(attrs), F.lit(">")).otherwise(F.lit("/>")))
-    parsed = chunks.select(*keys, F.from_xml(tag, XML_RECORD_PARSE, XML_OPTIONS).alias("r"))
-    records = parsed.select(*keys, *_record_columns("r."), F.col(f"r.{CORRUPT}").alias(CORRUPT))
-    return _malformed(records, flag_malformed, "type")
-
-
-def scan_workouts(spark: SparkSession, path: str, mode: str = "split", flag_malformed: bool = False) -> DataFrame:
-    """Every ``<Workout>`` with its attributes and child arrays (``XML_WORKOUT``)."""
-    if mode == "dom":
-        raw = (
-            spark.read.format("xml")
-            .options(rowTag="Workout", **XML_OPTIONS)
-            .schema(XML_WORKOUT_PARSE)
-            .load(path)
-        )
-        return _malformed(raw, flag_malformed, "_workoutActivityType")
-    chunks = spark.read.option("lineSep", "<Workout ").text(path)
-    keys = _path_columns(chunks, {"value"})
-    chunks = chunks.where(F.col("value").rlike(WORKOUT_CHUNK))
-    v = F.col("value")
-    attrs = _open_tag(v)
-    element = F.when(_self_closing(attrs), F.concat(F.lit("<Workout "), attrs, F.lit(">"))).otherwise(
-        F.concat(F.lit("<Workout "), F.substring_index(v, "</Workout>", 1), F.lit("</Workout>"))
+    keys = _keys(elements, {*RECORD_FIELDS, "workout", "block", "row", "kind", "file"})
+    own = elements.where(F.col("kind").isin("workout", "malformed_workout", "metadata", "statistics"))
+    kind = F.col("kind")
+    attributes = F.struct("type", "value", "unit", "source_name", "start_date", "end_date")
+
+    def children(name: str, second: str, wanted: str):
+        one = F.when(kind == wanted, F.struct("block", "row", F.col("type").alias(name), F.col("value").alias(second)))
+        array = F.sort_array(F.collect_list(one))
+        return F.when(F.size(array) > 0, F.transform(array, lambda c: F.struct(c[name].alias(name), c[second].alias(second))))
+
+    grouped = own.groupBy(*keys, "file", "workout").agg(
+        F.max(F.when(kind == "workout", attributes)).alias("w"),
+        children("_key", "_value", "metadata").alias("MetadataEntry"),
+        children("_type", "_sum", "statistics").alias("WorkoutStatistics"),
+    )
+    return grouped.where(F.col("w").isNotNull()).select(
+        *keys,
+        F.col("w.type").alias("_workoutActivityType"),
+        F.col("w.value").alias("_duration"),
+        F.col("w.unit").alias("_durationUnit"),
+        F.col("w.source_name").alias("_sourceName"),
+        F.col("w.start_date").alias("_startDate"),
+        F.col("w.end_date").alias("_endDate"),
+        F.col("MetadataEntry").cast(XML_WORKOUT["MetadataEntry"].dataType).alias("MetadataEntry"),
+        F.col("WorkoutStatistics").cast(XML_WORKOUT["WorkoutStatistics"].dataType).alias("WorkoutStatistics"),
     )
-    parsed = chunks.select(*keys, F.from_xml(element, XML_WORKOUT_PARSE, XML_OPTIONS).alias("w"))
-    return _malformed(parsed.select(*keys, "w.*"), flag_malformed, "_workoutActivityType")
-
-
-def nested_records(workouts: DataFrame) -> DataFrame:
-    """Records that are children of a workout, as 7 text columns (plus keys)."""
-    keys = _path_columns(workouts, set(XML_WORKOUT.fieldNames()) | {"_malformed"})
-    return workouts.select(*keys, F.explode("Record").alias("r")).select(*keys, *_record_columns("r."))
 
 
-def nested_counts(workouts: DataFrame) -> tuple[DataFrame, int]:
-    """Distinct records nested in workouts with their multiplicity ``_k``, and
-    how many distinct ones there are (counted up to the broadcast bound + 1).
-    Real exports mostly have none."""
-    nested = nested_records(workouts)
-    counts = nested.groupBy(*nested.columns).agg(F.count(F.lit(1)).alias("_k"))
-    return counts, counts.limit(NESTED_BROADCAST_ROWS + 1).count()
+def scan_records(spark: SparkSession, path: str, mode: str = "split") -> DataFrame:
+    """Every well-formed ``<Record>`` of the export(s) at ``path``, inside workouts or not:
+    7 text columns. Missing attributes are NULL; the ``device`` attribute is not read."""
+    if mode == "dom":
+        raw = spark.read.format("xml").options(rowTag="Record", **XML_OPTIONS).schema(XML_RECORD_PARSE).load(path)
+        keys = _keys(raw, set(XML_RECORD_PARSE.fieldNames()))
+        # a malformed element has every field NULL; the test of a data column keeps one in the scan
+        good = raw.where(~(F.col(CORRUPT).isNotNull() & F.col("_type").isNull()))
+        columns = [F.col(f"_{a}").alias(f) for a, f in zip(RECORD_ATTRIBUTES, RECORD_FIELDS)]
+        return good.select(*[F.col(k).cast("string").alias(k) for k in keys], *columns)
+    return records_of(scan_elements(spark, path), ("record", "nested"))
 
 
-def outside_workouts(records: DataFrame, workouts: DataFrame, nested: tuple[DataFrame, int] | None = None) -> DataFrame:
-    """Multiset difference: drop one record per record nested in a workout.
-
-    A record equal to a nested one but outside any workout stays. Nested
-    records are rare: their distinct values with multiplicity ``k`` (counted,
-    bounded) are broadcast to mark candidate rows, so the big side is not
-    shuffled; above the bound the marking is a shuffle join. Among the
-    candidates of a value, ``k`` copies are dropped without gathering the
-    copies anywhere (a value may have millions): see ``drop_copies``.
-    """
-    fields = list(records.columns)
-    counts, n = nested if nested is not None else nested_counts(workouts)
-    counts = counts.select(*fields, "_k")
-    if n == 0:
-        return records
-    marks = F.broadcast(counts) if n <= NESTED_BROADCAST_ROWS else counts
-    cond = [records[c].eqNullSafe(marks[c]) for c in fields]
-    marked = records.join(marks, cond, "left").select(records["*"], marks["_k"])
-    keep = marked.where(F.col("_k").isNull()).drop("_k")
-    return keep.unionByName(drop_copies(marked.where(F.col("_k").isNotNull()), fields))
-
-
-def drop_copies(candidates: DataFrame, fields: list[str]) -> DataFrame:
-    """Drop ``_k`` copies of every value of ``fields`` (exact, skew-safe).
-
-    Equal rows are made adjacent within each partition and numbered; per
-    (partition, value) a count and the first number are aggregated (one row
-    per partition and value); the ``_k`` copies to drop are spread over the
-    partitions in order by a window over those rows; a row is kept when its
-    offset within its (partition, value) run is at or past that partition's
-    share. No step brings one value's copies into one task.
-    """
-    c = cut_lineage(
-        candidates.sortWithinPartitions(*fields)
-        .withColumn("_id", F.monotonically_increasing_id())
-        .withColumn("_pid", F.spark_partition_id())
-    )
-    runs = c.groupBy("_pid", *fields).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"), F.max("_k").alias("_k")
-    )
-    before = F.coalesce(
-        F.sum("_n").over(Window.partitionBy(*fields).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0),
-    )
-    share = runs.select(
-        "_pid", *fields, "_first", F.least(F.col("_n"), F.greatest(F.col("_k") - before, F.lit(0))).alias("_drop")
-    ).where(F.col("_drop") > 0)
-    on = [c["_pid"] == share["_pid"]] + [c[f].eqNullSafe(share[f]) for f in fields]
-    joined = c.join(share, on, "left").select(c["*"], share["_first"], share["_drop"])
-    kept = joined.where(F.col("_drop").isNull() | (F.col("_id") - F.col("_first") >= F.col("_drop")))
-    return kept.select(*fields)
+def scan_workouts(spark: SparkSession, path: str) -> DataFrame:
+    """Every well-formed ``<Workout>`` with its attributes and child arrays."""
+    return workouts_of(scan_elements(spark, path))
 
 
 def read_export(spark: SparkSession, path: str, mode: str = "split") -> tuple[DataFrame, DataFrame]:
     """(records outside workouts, workouts) of the export(s) at ``path``.
 
-    A missing path raises ``FileNotFoundError``.
+    With ``mode="dom"`` the records come from the built-in XML source, and the records
+    inside workouts are taken off as a multiset difference. A missing path raises
+    ``FileNotFoundError``.
     """
-    try:
-        workouts = scan_workouts(spark, path, mode)
-        scanned = scan_records(spark, path, mode)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            raise FileNotFoundError(f"export not found: {path}") from e
-        raise
-    records = outside_workouts(scanned, workouts)
-    return records, workouts
+    elements = scan_elements(spark, path)
+    if mode == "dom":
+        return scan_records(spark, path, "dom").exceptAll(records_of(elements, ("nested",))), workouts_of(elements)
+    return records_of(elements), workouts_of(elements)

@@ -10,49 +10,63 @@ restarted driver neither skips nor repeats an export.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from vitals.config import HEALTH, MetricConfig
-from vitals.session import checkpoint_dir
-
 
 # The fixed schema of the binaryFile source.
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def arrivals(spark: SparkSession, landing: str, pattern: str = "*.xml") -> DataFrame:
-    """Streaming DataFrame of newly arrived export files: ``(path, length)``."""
+    """Streaming DataFrame of newly arrived export files, in key folders or not: ``(path, length)``."""
     return (
         spark.readStream.format("binaryFile")
         .schema(FILE_SCHEMA)
         .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", 1)
         .load(landing)
         .select("path", "length")
     )
 
 
+def entity_root(root: str, path: str, keys: tuple[str, ...]) -> str:
+    """Where the layers of the entity lie whose export is at ``path``:
+    ``<root>/user_id=7`` for a file in a folder ``user_id=7``."""
+    folders = dict(part.split("=", 1) for part in path.split("/")[:-1] if "=" in part)
+    missing = [k for k in keys if k not in folders]
+    if missing:
+        raise ValueError(f"{path} lies in no folder for {', '.join(missing)}")
+    return "/".join([root.rstrip("/"), *(f"{k}={folders[k]}" for k in keys)])
+
+
 def watch_exports(
     spark: SparkSession,
     landing: str,
     root: str,
+    checkpoint: str,
     cfg: MetricConfig = HEALTH,
     mode: str = "split",
-    checkpoint: str | None = None,
     trigger: dict | None = None,
+    keys: tuple[str, ...] = (),
 ) -> StreamingQuery:
     """Start the stream; each new export rebuilds bronze, silver, gold and the
-    report under ``root``. Errors of one export stop the query and surface on
-    ``awaitTermination`` (the upload's error response)."""
+    report under ``root``, or with ``keys`` under its own entity's folder there, so
+    that an upload leaves the other entities alone. ``checkpoint`` keeps the stream's
+    progress and has to be the same folder after a restart. Errors of one export stop
+    the query and surface on ``awaitTermination`` (the upload's error response)."""
     from vitals.plans.jobs import run_export
 
     def rebuild(batch: DataFrame, batch_id: int) -> None:
         # at most maxFilesPerTrigger rows: the names of the new files
         for row in batch.orderBy("path").collect():
-            run_export(spark, row["path"], root, cfg, mode)
+            path = unquote(row["path"]) if "%" in row["path"] else row["path"]
+            run_export(spark, path, entity_root(root, path, keys) if keys else root, cfg, mode)
 
-    checkpoint = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/vitals-arrivals"
     writer = arrivals(spark, landing).writeStream.foreachBatch(rebuild).option("checkpointLocation", checkpoint)
     writer = writer.trigger(**(trigger or {"processingTime": "30 seconds"}))
     return writer.start()
