@@ -115,9 +115,9 @@ def calendar_levels(activity: DataFrame, cfg: MetricConfig, keys: tuple[str, ...
     Ties in the value are broken by the day. A day without a value for the
     metric (the reference's unmatched left join) gets level 0.
     """
-    out = activity.select(*keys, "local_date", *cfg.calendar_columns)
+    days = out = activity.select(*keys, "local_date", *cfg.calendar_columns)
     for level, column in cfg.levels:
-        out = positive_ntile(out, column, "local_date", 4, keys, level)
+        out = positive_ntile(out, column, "local_date", 4, keys, level, days)
     return out.select(*keys, "local_date", *cfg.calendar_columns, *[lvl for lvl, _ in cfg.levels])
 
 

@@ -25,33 +25,34 @@ def value_bucket(value: Column) -> Column:
     return F.when(F.isnan(value), top + 1).when(value == float("inf"), top).otherwise(step).cast("int")
 
 
-def positive_row_number(df: DataFrame, value: str, tie: str) -> DataFrame:
-    """The rows with ``value > 0`` plus ``_rn`` (1-based, by value, then ``tie``) and
-    ``_n_flag``, how many there are."""
-    positive = df.where(F.col(value) > 0).withColumn("_bucket", value_bucket(F.col(value)))
-    counts = positive.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.orderBy("_bucket")  # one row per bucket
-    offsets = counts.select(
-        "_bucket",
-        (F.sum("_n").over(running) - F.col("_n")).alias("_offset"),
-        F.sum("_n").over(Window.partitionBy()).alias("_n_flag"),
-    )
-    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(value, tie))
-    return positive.join(F.broadcast(offsets), "_bucket").withColumn("_rn", F.col("_offset") + inside).drop("_bucket", "_offset")
-
-
-def positive_ntile(df: DataFrame, value: str, tie: str, buckets: int, keys: tuple[str, ...], out: str) -> DataFrame:
+SPREAD = 64  # ranges for the rows that have no level
+
+
+def positive_ntile(
+    df: DataFrame, value: str, tie: str, buckets: int, keys: tuple[str, ...], out: str, source: DataFrame | None = None
+) -> DataFrame:
     """``out`` = ntile(``buckets``) of ``value`` among rows with ``value > 0``
-    (ordered by ``value``, then ``tie``), 0 for other rows; per ``keys``."""
-    positive = F.col(value) > 0
-    level = ntile_bucket(F.col("_rn"), F.col("_n_flag"), buckets)
-    if not keys:
-        ranked = positive_row_number(df, value, tie).withColumn(out, level).drop("_rn", "_n_flag")
-        rest = df.where(~F.coalesce(positive, F.lit(False))).withColumn(out, F.lit(0).cast("bigint"))
-        return ranked.unionByName(rest)
-    w = Window.partitionBy(*keys)
-    order = [F.when(positive, F.lit(0)).otherwise(F.lit(1)), F.col(value), F.col(tie)]
-    ranked = df.withColumn("_rn", F.row_number().over(w.orderBy(*order))).withColumn(
-        "_n_flag", F.count_if(F.coalesce(positive, F.lit(False))).over(w)
-    )
-    return ranked.withColumn(out, F.when(positive, level).otherwise(F.lit(0)).cast("bigint")).drop("_rn", "_n_flag")
+    (ordered by ``value``, then ``tie``), 0 for other rows; per ``keys``. ``source`` is a
+    frame with the same values that is cheaper to derive than ``df``; the counts come from it."""
+    positive = F.coalesce(F.col(value) > 0, F.lit(False))
+    if keys:
+        w = Window.partitionBy(*keys)
+        order = [F.when(positive, F.lit(0)).otherwise(F.lit(1)), F.col(value), F.col(tie)]
+        ranked = df.withColumns(
+            {"_rn": F.row_number().over(w.orderBy(*order)), "_n_flag": F.count_if(positive).over(w)}
+        )
+    else:
+        spread = -SPREAD * 1000 - F.pmod(F.xxhash64(tie), F.lit(SPREAD)).cast("int")
+        bucket = F.when(positive, value_bucket(F.col(value))).otherwise(spread)
+        counts = (df if source is None else source).where(positive).groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+        running = Window.orderBy("_bucket")  # one row per bucket
+        offsets = counts.select(
+            "_bucket",
+            (F.sum("_n").over(running) - F.col("_n")).alias("_offset"),
+            F.sum("_n").over(Window.partitionBy()).alias("_n_flag"),
+        )
+        inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(value, tie))
+        numbered = df.withColumn("_bucket", bucket).withColumn("_inside", inside)
+        ranked = numbered.join(F.broadcast(offsets), "_bucket", "left").withColumn("_rn", F.col("_offset") + F.col("_inside"))
+    level = F.when(positive, ntile_bucket(F.col("_rn"), F.col("_n_flag"), buckets)).otherwise(F.lit(0)).cast("bigint")
+    return ranked.withColumn(out, level).drop("_rn", "_n_flag", "_bucket", "_inside", "_offset")
