@@ -51,9 +51,14 @@ def _functions():
     attribute = re.compile(r"""\s+([A-Za-z_:][-\w:.]*)\s*=\s*("[^"<]*"|'[^'<]*')""")
     open_tag = re.compile(r"""([A-Za-z_:][-\w:.]*)((?:\s+[A-Za-z_:][-\w:.]*\s*=\s*(?:"[^"]*"|'[^']*'))*)\s*(/?)>""")
     entity = re.compile(r"&(?:#(\d+)|#x([0-9a-fA-F]+)|(lt|gt|amp|quot|apos));|&")
+    before_value = re.compile(r"\s+([A-Za-z_:][-\w:.]*)\s*=\s*")
+    tag_end = re.compile(r"\s*/?>")
     named = {"lt": "<", "gt": ">", "amp": "&", "quot": '"', "apos": "'"}
     blanks = str.maketrans("\t\n\r", "   ")
     elements = ELEMENT_FIELDS
+    # the attribute that goes to each output column, for each element; a malformed one's text goes to the last
+    order = {e: [{f: a for a, f in own.items()}.get(f) for f in RECORD_FIELDS] for e, own in elements.items()}
+    malformed = [None] * (len(RECORD_FIELDS) - 1) + ["value"]
 
     def decoded(found: re.Match) -> str:
         if found[3]:
@@ -91,7 +96,9 @@ def _functions():
                 return None
             if not (first.isalpha() or first in "_:" and first):
                 return None
-            name = re.split(r"[\s/>]", text, maxsplit=1)[0] if not text.startswith("Record ") else "Record"
+            name = text[: text.find(" ")]
+            if not name.isalpha():  # no blank, or another character before it
+                name = re.split(r"[\s/>]", text, maxsplit=1)[0]
             if text.count(">") == 1:
                 closed = text[text.index(">") - 1] == "/"
             else:
@@ -102,16 +109,43 @@ def _functions():
                 self.inside += name == "Workout"
             return name
 
+    known: dict[str, str | None] = {}  # what stands before a quoted value -> the attribute's name
+
+    def name_before(text: str) -> str | None:
+        if text not in known:
+            if len(known) > 1000:
+                known.clear()
+            found = before_value.fullmatch(text)
+            known[text] = found and found[1]
+        return known[text]
+
+    def value_of(text: str) -> str:
+        if not text.isprintable():
+            text = text.translate(blanks)
+        return entity.sub(decoded, text) if "&" in text else text
+
     def attributes(text: str) -> dict[str, str]:
         """The attributes of an open tag; ValueError if it is malformed."""
-        found = open_tag.match(text)
-        if not found:
-            raise ValueError("no open tag")
-        pairs = attribute.findall(found[2])
-        values = {k: v[1:-1].translate(blanks) for k, v in pairs}
-        if len(values) < len(pairs) or sum(len(k) + len(v) for k, v in pairs) > len(found[2]) or "<" in found[2]:
+        tag, pieces = {}, text.split('"')
+        head = re.match(r"[^\s/>'\"]+", text)
+        pieces[0] = pieces[0][head.end() :] if head else ""
+        for i in range(0, len(pieces), 2):  # between values: a name and '=', or the tag's end
+            piece = pieces[i]
+            if ">" in piece or "'" in piece:
+                break
+            name = known.get(piece) or name_before(piece)
+            if name is None or name in tag or i + 2 >= len(pieces):
+                raise ValueError("malformed attributes")
+            value = pieces[i + 1]
+            tag[name] = value if "&" not in value and value.isprintable() else value_of(value)
+        if tag_end.match(piece):
+            return tag
+        found = open_tag.match(text)  # values in apostrophes
+        pairs = attribute.findall(found[2]) if found else []
+        tag = {k: value_of(v[1:-1]) for k, v in pairs}
+        if not found or len(tag) < len(pairs) or "<" in found[2]:
             raise ValueError("malformed attributes")
-        return {k: entity.sub(decoded, v) if "&" in v else v for k, v in values.items()}
+        return tag
 
     def splits(batches: Iterator[pa.RecordBatch]):
         """(keys, file, block, rows) for the runs of rows of one split, in order."""
@@ -172,11 +206,9 @@ def _functions():
                     if name not in ("Record", "Workout"):
                         continue
                     found, kind = {"value": text}, f"malformed_{name.lower()}"
-                values = {f: found.get(a) for a, f in elements[name].items()}
-                if kind.startswith("malformed"):
-                    values = {"value": text}
+                columns_of = malformed if kind.startswith("malformed") else order[name]
                 workout = f"{block}:{number}" if name == "Workout" else parent
-                out.append((*(values.get(f) for f in RECORD_FIELDS), workout, block, row, kind))
+                out.append((*map(found.get, columns_of), workout, block, row, kind))
             columns = list(zip(*out)) if out else [[]] * (len(RECORD_FIELDS) + 4)
             types = [*[pa.string()] * (len(RECORD_FIELDS) + 1), pa.int64(), pa.int64(), pa.string()]
             arrays = [pa.array(list(c), t) for c, t in zip(columns, types)]
@@ -229,7 +261,9 @@ def scan_elements(spark: SparkSession, path: str) -> DataFrame:
     text = _text(spark, path)
     keys = _keys(text, {"file", "block", "value"})
     summary = "file string, block bigint, begin string, finish string, popped bigint, pushed array<string>"
-    did = text.select("file", "block", "value").mapInArrow(summaries, summary)
+    # one closed tag changes no state, except that workouts are counted
+    counts = F.col("value").rlike(r"^Workout[\s/>]") | ~F.col("value").rlike(r"^[A-Za-z_:][^>]*/>[^>]*$")
+    did = text.select("file", "block", "value").where(counts).mapInArrow(summaries, summary)
     starts = did.groupBy("file").applyInPandas(folded, "file string, block bigint, mode string, stack array<string>")
     placed = text.join(F.broadcast(starts), ["file", "block"], "left").select(*keys, "file", "block", "value", "mode", "stack")
     schema = ", ".join([ELEMENTS, *(f"{k} string" for k in keys), "file string"])
