@@ -57,7 +57,7 @@ ELEMENTS = T.StructType(
         T.StructField("workout", S),
         T.StructField("block", T.LongType()),
         T.StructField("row", T.LongType()),
-        T.StructField("file", S),
+        T.StructField("file", T.LongType()),
         T.StructField("kind", S),
         T.StructField("class", S),
     ]

@@ -180,7 +180,7 @@ def _functions():
                     state.tag(text, number, block)
         rows = [(f, b, s, x.mode, x.popped, x.stack) for (f, b), found in done.items() for s, x in zip("NCD", found)]
         columns = list(zip(*rows)) if rows else [[]] * 6
-        types = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.string())]
+        types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.string())]
         names = ["file", "block", "begin", "finish", "popped", "pushed"]
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=names)
 
@@ -212,7 +212,7 @@ def _functions():
             columns = list(zip(*out)) if out else [[]] * (len(RECORD_FIELDS) + 4)
             types = [*[pa.string()] * (len(RECORD_FIELDS) + 1), pa.int64(), pa.int64(), pa.string()]
             arrays = [pa.array(list(c), t) for c, t in zip(columns, types)]
-            own = [pa.array([v] * len(out), pa.string()) for v in (*keys.values(), file)]
+            own = [*(pa.array([v] * len(out), pa.string()) for v in keys.values()), pa.array([file] * len(out), pa.int64())]
             names = [*RECORD_FIELDS, "workout", "block", "row", "kind", *keys, "file"]
             yield pa.RecordBatch.from_arrays([*arrays, *own], names=names)
 
@@ -245,7 +245,8 @@ def _text(spark: SparkSession, path: str) -> DataFrame:
             raise FileNotFoundError(f"export not found: {path}") from e
         raise
     keys = _keys(chunks, {"value"})
-    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    # a file goes by the hash of its path: eight bytes a row instead of the path
+    place = [F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
     return chunks.select(*[F.col(k).cast("string").alias(k) for k in keys], *place, "value")
 
 
@@ -260,13 +261,13 @@ def scan_elements(spark: SparkSession, path: str) -> DataFrame:
     summaries, scan, folded = _functions()
     text = _text(spark, path)
     keys = _keys(text, {"file", "block", "value"})
-    summary = "file string, block bigint, begin string, finish string, popped bigint, pushed array<string>"
+    summary = "file bigint, block bigint, begin string, finish string, popped bigint, pushed array<string>"
     # one closed tag changes no state, except that workouts are counted
     counts = F.col("value").rlike(r"^Workout[\s/>]") | ~F.col("value").rlike(r"^[A-Za-z_:][^>]*/>[^>]*$")
     did = text.select("file", "block", "value").where(counts).mapInArrow(summaries, summary)
-    starts = did.groupBy("file").applyInPandas(folded, "file string, block bigint, mode string, stack array<string>")
+    starts = did.groupBy("file").applyInPandas(folded, "file bigint, block bigint, mode string, stack array<string>")
     placed = text.join(F.broadcast(starts), ["file", "block"], "left").select(*keys, "file", "block", "value", "mode", "stack")
-    schema = ", ".join([ELEMENTS, *(f"{k} string" for k in keys), "file string"])
+    schema = ", ".join([ELEMENTS, *(f"{k} string" for k in keys), "file bigint"])
     return placed.mapInArrow(scan, schema)
 
 
