@@ -72,3 +72,29 @@ def test_odd_rows(spark):
     got = h.main_text(spark.createDataFrame(rows, schema)).collect()
     assert sorted((r["page_id"] or 0, len(r["text"])) for r in got) == [(0, 1), (1, 0), (2, 0), (2, 0), (3, 250_004)]
     assert h.main_text(spark.createDataFrame([], schema)).count() == 0
+
+
+STORY = "".join(f"<p>Paragraph {i} of the story, with words, and more words.</p>" for i in range(9))
+TOLD = " ".join(f"Paragraph {i} of the story, with words, and more words." for i in range(9))
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        "<div class=top>Blog</div><article class='post-7 hentry category-advertising tag-social category-search'>{}</article>",
+        "<div class=top>Blog</div><div class='hentry category-advertising'>{}</div>",
+        "<div class='elementor'><div class='elementor-widget elementor-widget-nav-menu'>Our menu, long, and longer.</div>"
+        "<div class='elementor-widget elementor-widget-text-editor'>{}</div></div>",
+        "<div class=content-sidebar><div id=sidebar>Side, with words.</div><div class=entry>{}</div></div>",
+        "<div class=right-sidebar><div class='elementor-widget'>{}</div><div id=comments>I like it, I really do. Yes.</div></div>",
+        "<div class=top>Shop</div><form method=post action=x.aspx id=aspnetForm><div class=cookie-bar>We use cookies.</div><div id=c>{}</div></form>",
+        "<article class='post category-social'>{}<article class=user-comment>So nice, so good.</article></article>",
+    ],
+)
+def test_names_that_sound_like_boilerplate_do_not_lose_the_article(body):
+    assert h.extract(f"<html><body>{body.format(STORY)}</body></html>", []) == TOLD
+
+
+def test_long_comments_and_notices_do_not_replace_a_short_article():
+    for name in ("comments", "cookie-notice", "user-replies"):
+        assert h.extract(f"<body><div class=post>{ARTICLE}</div><form><div id={name}>{STORY * 9}</div></form></body>", []) == WANT

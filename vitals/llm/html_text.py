@@ -10,7 +10,9 @@ containers are empty, gives the text of its own best container.
 
 Menus, headers, footers, side bars, notices, adverts, forms, comments, scripts and
 styles are left out wherever they stand, by tag, role, or class. Inside the main
-container a header's headings stay.
+container a header's headings stay. A form, or a class or id that only sounds like one of
+these, stays if the page's text lies in it: if all else has at most a quarter of its score,
+or, for what may well be longer than an article (comments, notices), no sentence.
 
 The parser is tolerant: end tags may be missing, quotes open, the page cut off.
 
@@ -49,8 +51,8 @@ CLOSES = {
 TEXT_LEVEL = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "dl", "dt", "dd", "blockquote", "pre", "tr", "td", "th", "table", "tbody", "thead", "figure", "figcaption", "center"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 # What is left out: tags, roles, and words of classes and ids
-SKIPPED_TAGS = {"head", "nav", "footer", "aside", "form", "button", "select", "svg", "canvas", "template", "dialog", "menu", "object", "audio", "video", "map", *RAW}
-SKIPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "alertdialog", "dialog", "menu", "menubar", "toolbar"}
+SKIPPED_TAGS = {"head", "nav", "footer", "aside", "button", "select", "svg", "canvas", "template", "dialog", "menu", "object", "audio", "video", "map", *RAW}
+SKIPPED_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "alertdialog", "dialog", "menu", "menubar", "toolbar"}
 SKIPPED_WORDS = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "alert", "aside", "banner", "breadcrumb", "breadcrumbs",
     "comment", "comments", "consent", "cookie", "cookies", "copyright", "disclaimer", "discussion", "disqus", "footer", "gdpr",
@@ -59,6 +61,12 @@ SKIPPED_WORDS = {
     "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "topbar",
     "warning", "widget", "widgets",
 }
+# Of these, what may be much longer than the article beside it
+LONG_WORDS = {
+    "comment", "comments", "consent", "cookie", "cookies", "copyright", "disclaimer", "discussion", "disqus", "gdpr", "modal",
+    "newsletter", "notice", "notices", "overlay", "popup", "replies", "reply", "respond", "signup", "subscribe", "subscription",
+}
+HOLDS_MOST = 4  # times the score of all text that is surely kept
 HEADER_WORDS = {"header", "head", "hero"}
 NOT_ABOUT = {"has", "with", "no", "without", "is"}
 
@@ -67,6 +75,7 @@ _TOKEN = re.compile(
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""",
     re.DOTALL,
 )
+_SENTENCE = re.compile(r".{24,}[.!?…。！？][\"'”’»)\]]*$", re.DOTALL)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 
 
@@ -90,16 +99,40 @@ def _kind(tag: str, attributes: dict[str, str]) -> str:
             return "skip"
         if re.search(r"display\s*:\s*none", attributes.get("style", "")):
             return "skip"
-        for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
-            words = [w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+", name)]
-            if words and words[0] not in NOT_ABOUT:
-                if words[0] in SKIPPED_WORDS or words[-1] in SKIPPED_WORDS:
-                    return "skip"
-                if words[-1] in HEADER_WORDS and tag != "body":
-                    return "header"
+        for _, words in _names(attributes):
+            if words[-1] in HEADER_WORDS:
+                return "header"
     return "header" if tag == "header" else ""
 
 
+def _names(attributes: dict[str, str]) -> list[tuple[str, list[str]]]:
+    """The classes and the id with their words, without those that only tell what an element has."""
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
+    split = [(name, [w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+", name)]) for name in names]
+    return [(name, words) for name, words in split if words and words[0] not in NOT_ABOUT]
+
+
+def _doubts(tag: str, attributes: dict[str, str], number: int, nested: bool) -> frozenset[tuple[str, bool]]:
+    """Why an element may be boilerplate: names that sound so, and whether such a part may be long.
+
+    The last word of an article's names may be its topic, unless it is ``nested`` in another.
+    """
+    if tag in ("html", "body"):
+        return frozenset()
+    found = {(f"form {number}", False)} if tag == "form" or attributes.get("role", "").lower() == "form" else set()
+    topic = tag == "main" or tag == "article" and not nested
+    for name, words in _names(attributes):
+        said = {words[0]} if topic else {words[0], words[-1]}
+        if said & SKIPPED_WORDS:
+            # names that begin with the same word are one kind, whatever number or code follows
+            found.add((words[0] if words[0] in SKIPPED_WORDS else re.sub(r"\d+", "#", name.lower()), bool(said & LONG_WORDS)))
+    return frozenset(found)
+
+
+def _worth(text: str, linked: int) -> int:
+    return len(text) - 2 * min(linked, len(text)) + 20 * sum(text.count(c) for c in ".,;!?")
+
+
 class Page:
     """The blocks of a page: (text, link characters, numbers of the elements around it).
 
@@ -109,10 +142,13 @@ class Page:
     def __init__(self, html: str):
         self.elements: list[tuple[str, str, int]] = []
         self.blocks: list[tuple[str, int, int]] = []  # text, link characters, container
+        self._doubted: list[frozenset[tuple[str, bool]]] = []  # of each block, why it may be boilerplate
         self._parse(html)
+        if any(self._doubted):
+            self._decide()
 
     def _parse(self, html: str) -> None:
-        stack: list[list] = []  # tag, container number, kind
+        stack: list[tuple] = []  # tag, container number, kind, doubts of it and all around it
         parts: list[str] = []
         links = linked = at = skipping = headers = headed = 0
 
@@ -123,11 +159,12 @@ class Page:
                 parts.clear()
                 if text:
                     self.blocks.append((text, linked, stack[-1][1] if stack else -1))
+                    self._doubted.append(stack[-1][3] if stack else frozenset())
             linked = 0
 
         def pop() -> None:
             nonlocal skipping, headers, headed
-            tag, _, kind = stack.pop()
+            tag, _, kind, _ = stack.pop()
             skipping -= kind == "skip"
             headers -= kind == "header"
             headed -= tag in HEADINGS
@@ -159,7 +196,10 @@ class Page:
                     links = 0 if closing else 1
                 elif closing or not text:
                     continue
-                if not closing and tag not in VOID and tag != "a" and _kind(tag, _attributes(text)) == "skip":
+                if closing or tag in VOID or tag == "a":
+                    continue
+                attributes = _attributes(text)
+                if _kind(tag, attributes) == "skip" or _doubts(tag, attributes, at, False):
                     # an inline element to leave out: its text ends with its own end tag
                     close = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(html, at)
                     at = close.end() if close else at
@@ -199,18 +239,42 @@ class Page:
                 path = f"{self.elements[above][1]}>{_generalised(tag, attributes)}" if above >= 0 else _generalised(tag, attributes)
                 self.elements.append((tag, path, above))
                 above = len(self.elements) - 1
-            stack.append([tag, above, kind])
+            doubts = stack[-1][3] if stack else frozenset()
+            if attributes or tag == "form":
+                doubts |= _doubts(tag, attributes, at, any(entry[0] == "article" for entry in stack) if tag == "article" else False)
+            stack.append((tag, above, kind, doubts))
             skipping += kind == "skip"
             headers += kind == "header"
             headed += tag in HEADINGS
         flush()
 
+    def _decide(self) -> None:
+        """Leave out the doubtful blocks, but not the names in which the page's text lies."""
+        held: dict[frozenset[tuple[str, bool]], int] = {}
+        prose = set()
+        for (text, linked, _), doubts in zip(self.blocks, self._doubted):
+            held[doubts] = held.get(doubts, 0) + max(_worth(text, linked), 1)
+            if 2 * linked < len(text) and _SENTENCE.match(text):
+                prose.add(doubts)
+        trusted: frozenset[tuple[str, bool]] = frozenset()
+        while True:
+            kept = sum(worth for doubts, worth in held.items() if doubts <= trusted)
+            told = any(doubts <= trusted for doubts in prose)
+            left = sorted((d for d in held if not d <= trusted), key=lambda d: (len(d), sorted(d)))
+            gain = {d: sum(worth for other, worth in held.items() if other <= trusted | d) - kept for d in left}
+            most = [d for d in left if gain[d] >= HOLDS_MOST * kept and not (told and any(long for _, long in d - trusted))]
+            if not most:
+                break
+            chosen = min(most, key=lambda d: (len(d), -gain[d]))
+            # first the parts around it, so that what they hold themselves is weighed against the rest
+            trusted |= next(d for d in left if d <= chosen | trusted)
+        self.blocks = [block for block, d in zip(self.blocks, self._doubted) if d <= trusted]
+
     def best(self) -> int:
         """The number of the container with the best score; -1 for the whole page."""
         score: dict[int, float] = {}
         for text, linked, container in self.blocks:
-            worth = len(text) - 2 * min(linked, len(text)) + 20 * sum(text.count(c) for c in ".,;!?")
-            score[container] = score.get(container, 0.0) + worth
+            score[container] = score.get(container, 0.0) + _worth(text, linked)
         if not score:
             return -1
         total: dict[int, float] = dict.fromkeys(range(-1, len(self.elements)), 0.0)
