@@ -98,3 +98,22 @@ def test_names_that_sound_like_boilerplate_do_not_lose_the_article(body):
 def test_long_comments_and_notices_do_not_replace_a_short_article():
     for name in ("comments", "cookie-notice", "user-replies"):
         assert h.extract(f"<body><div class=post>{ARTICLE}</div><form><div id={name}>{STORY * 9}</div></form></body>", []) == WANT
+
+
+def test_a_page_keeps_the_winner_it_voted_for(spark):
+    plain, boxed = "<body><div>{}</div></body>", "<body><div>Some box.</div><article>{}</article></body>"
+    rows = [(i, "http://h.example/x", (plain if i < 7 else boxed).format(STORY)) for i in range(10)]
+    # has both winners and votes for neither: the one with more text on the page
+    rows.append((10, "http://h.example/y", f"<body><div>Some box.</div><article>Short, but more, and told.</article><section>{STORY}</section></body>"))
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = {r["page_id"]: r["text"] for r in h.main_text(pages).collect()}
+    assert got.pop(10) == "Short, but more, and told."
+    assert set(got.values()) == {TOLD}
+
+
+def test_pages_without_a_host_do_not_vote_together(spark):
+    rows = [(i, None, f"<body><div><p>{STORY}</p></div></body>") for i in range(7)]
+    rows.append((7, "/relative", f"<body><div>Some box.</div><section>{STORY}</section></body>"))
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    assert {r["text"] for r in h.main_text(pages).collect()} == {TOLD}
+    assert h.winning_paths(pages).count() == 0

@@ -4,9 +4,10 @@ A page's containers are scored: text counts for its container, link text against
 The page votes for the generalised path of its best container, tags and classes from
 the root with digits replaced. Votes are counted per host and path in Spark; a path
 wins if at least a tenth of the host's pages vote for it, so a host has ten at most.
-Each page is then extracted again: its text is what lies in the containers of the
-first winning path that it has, in page order. A page that has none, or whose winning
-containers are empty, gives the text of its own best container.
+Each page is then extracted again: its text is what lies in the containers of one
+winning path, in page order: the path it voted for if that won, else of the winning paths
+that it has the one with the best score on the page. A page that has none, or whose
+winning containers are empty, gives the text of its own best container.
 
 Menus, headers, footers, side bars, notices, adverts, forms, comments, scripts and
 styles are left out wherever they stand, by tag, role, or class. Inside the main
@@ -17,7 +18,7 @@ or, for what may well be longer than an article (comments, notices), no sentence
 The parser is tolerant: end tags may be missing, quotes open, the page cut off.
 
 Defined results: a null or empty html, or a page without text, gives an empty text;
-pages with no or a broken url vote together as one host; repeated rows vote and are
+pages with no or a broken url do not vote and give their own best container; repeated rows vote and are
 returned as often as they come; ties go to the path that sorts first; an empty table
 gives an empty result. A host may hold most of the pages: votes are combined before the
 shuffle, and the winners (ten rows a host at most) are joined to the pages by a broadcast
@@ -300,12 +301,15 @@ class Page:
             number = self.elements[number][2]
         return False
 
-    def text(self, roots: set[int]) -> str:
+    def within(self, roots: set[int]) -> list[tuple[str, int, int]]:
         """The blocks inside the containers ``roots`` (all blocks if -1 is one)."""
         inside = {-1: -1 in roots}
         for number, (_, _, above) in enumerate(self.elements):
             inside[number] = number in roots or inside[above]
-        return " ".join([text for text, _, container in self.blocks if inside[container]])
+        return [block for block in self.blocks if inside[block[2]]]
+
+    def text(self, roots: set[int]) -> str:
+        return " ".join([text for text, _, _ in self.within(roots)])
 
 
 def vote(html: str | None) -> str | None:
@@ -317,11 +321,16 @@ def vote(html: str | None) -> str | None:
 
 def extract(html: str, winners: list[str]) -> str:
     page = Page(html)
-    for path in winners:
+    best = page.best()
+    own = page.elements[best][1] if best >= 0 else None
+    chosen, most = {best}, None
+    for path in [own] if own in winners else winners:
         roots = {n for n, element in enumerate(page.elements) if element[1] == path}
-        if roots and (text := page.text(roots)):
-            return text
-    return page.text({page.best()})
+        blocks = page.within(roots)
+        score = sum(_worth(text, linked) for text, linked, _ in blocks)
+        if blocks and (most is None or score > most):
+            chosen, most = roots, score
+    return page.text(chosen)
 
 
 def host_of(url: Column) -> Column:
@@ -333,6 +342,7 @@ def winning_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html"
     """``host`` and ``paths``, the winners by votes, of each host that has any."""
     udf = text_map(pages.sparkSession, "path string", lambda: lambda html: (vote(html),))
     voted = pages.select(host_of(F.col(url_col)).alias("host"), udf(F.col(html_col))["path"].alias("path"))
+    voted = voted.filter(F.col("host") != "")
     counts = written(voted.groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes")), "votes")
     totals = counts.groupBy("host").agg(F.sum("votes").alias("pages"))
     won = counts.filter(F.col("path").isNotNull()).join(totals, "host").filter(F.col("votes") >= share * F.col("pages"))
