@@ -117,3 +117,28 @@ def test_pages_without_a_host_do_not_vote_together(spark):
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
     assert {r["text"] for r in h.main_text(pages).collect()} == {TOLD}
     assert h.winning_paths(pages).count() == 0
+
+
+@pytest.mark.parametrize(
+    "body, want",
+    [
+        ("<div class=post><h1>Title</h1><p>The lead</p><div class=body>{}</div></div>", "Title The lead " + TOLD),
+        ("<div class=post><header><h1>Title</h1></header><div class=lead>The lead is told in its own box.</div><div>{}</div></div>",
+         "Title The lead is told in its own box. " + TOLD),
+        ("<div class=post><h1>Title</h1><div class=wrap><div class=body>{}</div></div></div>", "Title " + TOLD),
+        ("<div class=left><div class=in>{0}{0}</div></div><div class=right><div class=in>{0}</div></div>", " ".join([TOLD] * 3)),
+        ("<div class=post><div class=a><div>{0}{0}</div></div><div class=b><div>{0}</div></div></div><div class=x>x</div>", " ".join([TOLD] * 3)),
+        ("<div class=top>Blog</div><div class=post><div>{}</div></div><div class=links><a>One, two.</a> <a>Three.</a></div>", TOLD),
+    ],
+)
+@pytest.mark.parametrize("frame", ["<html><body>{}</body></html>", "<title>t</title>{}"])
+def test_titles_leads_and_columns_stay(body, want, frame):
+    page = frame.format(body.format(STORY))
+    assert h.extract(page, []) == want
+    assert h.extract(page, [h.vote(page)]) == want
+
+
+def test_a_winning_body_keeps_each_page_s_title(spark):
+    page = "<body><div class=post><h1>Title {0}</h1><p>Lead {0}</p><div class=body>{1}</div></div></body>"
+    pages = spark.createDataFrame([(i, "http://h.example/x", page.format(i, STORY)) for i in range(5)], "page_id bigint, url string, html string")
+    assert {r["page_id"]: r["text"] for r in h.main_text(pages).collect()} == {i: f"Title {i} Lead {i} {TOLD}" for i in range(5)}

@@ -7,7 +7,8 @@ wins if at least a tenth of the host's pages vote for it, so a host has ten at m
 Each page is then extracted again: its text is what lies in the containers of one
 winning path, in page order: the path it voted for if that won, else of the winning paths
 that it has the one with the best score on the page. A page that has none, or whose
-winning containers are empty, gives the text of its own best container.
+winning containers are empty, gives the text of its own best container. Headings and
+paragraphs that stand beside the chosen container, not in it, are kept with it.
 
 Menus, headers, footers, side bars, notices, adverts, forms, comments, scripts and
 styles are left out wherever they stand, by tag, role, or class. Inside the main
@@ -135,14 +136,15 @@ def _worth(text: str, linked: int) -> int:
 
 
 class Page:
-    """The blocks of a page: (text, link characters, numbers of the elements around it).
+    """The blocks of a page: (text, link characters, number of its container, place).
 
+    The place is ``header`` (its headings), ``heading`` or ``text``.
     ``elements`` has for each container its tag, its path and the number of its parent.
     """
 
     def __init__(self, html: str):
         self.elements: list[tuple[str, str, int]] = []
-        self.blocks: list[tuple[str, int, int]] = []  # text, link characters, container
+        self.blocks: list[tuple[str, int, int, str]] = []  # text, link characters, container, place
         self._doubted: list[frozenset[tuple[str, bool]]] = []  # of each block, why it may be boilerplate
         self._parse(html)
         if any(self._doubted):
@@ -159,7 +161,8 @@ class Page:
                 text = " ".join("".join(parts).split())
                 parts.clear()
                 if text:
-                    self.blocks.append((text, linked, stack[-1][1] if stack else -1))
+                    place = "header" if headers else "heading" if headed else "text"
+                    self.blocks.append((text, linked, stack[-1][1] if stack else -1, place))
                     self._doubted.append(stack[-1][3] if stack else frozenset())
             linked = 0
 
@@ -253,7 +256,7 @@ class Page:
         """Leave out the doubtful blocks, but not the names in which the page's text lies."""
         held: dict[frozenset[tuple[str, bool]], int] = {}
         prose = set()
-        for (text, linked, _), doubts in zip(self.blocks, self._doubted):
+        for (text, linked, *_), doubts in zip(self.blocks, self._doubted):
             held[doubts] = held.get(doubts, 0) + max(_worth(text, linked), 1)
             if 2 * linked < len(text) and _SENTENCE.match(text):
                 prose.add(doubts)
@@ -271,45 +274,77 @@ class Page:
             trusted |= next(d for d in left if d <= chosen | trusted)
         self.blocks = [block for block, d in zip(self.blocks, self._doubted) if d <= trusted]
 
-    def best(self) -> int:
-        """The number of the container with the best score; -1 for the whole page."""
+    def _totals(self) -> tuple[dict[int, float], dict[int, float]]:
+        """The scores of containers by the text directly in them, and with what lies deeper."""
         score: dict[int, float] = {}
-        for text, linked, container in self.blocks:
+        for text, linked, container, _ in self.blocks:
             score[container] = score.get(container, 0.0) + _worth(text, linked)
-        if not score:
-            return -1
         total: dict[int, float] = dict.fromkeys(range(-1, len(self.elements)), 0.0)
         for number in range(len(self.elements) - 1, -1, -1):  # children come after their parents
             total[number] += score.get(number, 0.0)
             total[self.elements[number][2]] += max(total[number], 0.0)
-        best = max(score, key=lambda n: (score[n], -n))
-        while best >= 0:
-            up = self.elements[best][2]
-            # the container's own article, or a parent that has more text of this kind besides
-            if up >= 0 and self.elements[best][0] not in ("article", "main", "body") and (
-                self._inside(up, ("article", "main")) or total[up] >= 1.1 * total[best] and self.elements[up][0] != "html"
-            ):
+        total[-1] += score.get(-1, 0.0)
+        return score, total
+
+    def best(self) -> int:
+        """The number of the container with the best score; -1 for the whole page."""
+        score, total = self._totals()
+        if not score:
+            return -1
+        best = up = max(score, key=lambda n: (score[n], -n))
+        article: list[bool] = []  # of each container, whether it is or lies in an article
+        for tag, _, above in self.elements:
+            article.append(tag in ("article", "main") or above >= 0 and article[above])
+        # the container's own article, or the outermost container that has more text of this kind
+        # than what is inside; those that only wrap are looked past
+        while up >= 0 and self.elements[up][0] not in ("article", "main", "body"):
+            up = self.elements[up][2]
+            if up >= 0 and article[up] or total[up] >= 1.1 * total[best]:
                 best = up
-            else:
-                break
         return best
 
-    def _inside(self, number: int, tags: tuple[str, ...]) -> bool:
-        while number >= 0:
-            if self.elements[number][0] in tags:
-                return True
-            number = self.elements[number][2]
-        return False
-
-    def within(self, roots: set[int]) -> list[tuple[str, int, int]]:
+    def within(self, roots: set[int]) -> list[tuple[str, int, int, str]]:
         """The blocks inside the containers ``roots`` (all blocks if -1 is one)."""
+        inside = self._inside(roots)
+        return [block for block in self.blocks if inside[block[2]]]
+
+    def _inside(self, roots: set[int]) -> dict[int, bool]:
         inside = {-1: -1 in roots}
         for number, (_, _, above) in enumerate(self.elements):
             inside[number] = number in roots or inside[above]
-        return [block for block in self.blocks if inside[block[2]]]
+        return inside
 
     def text(self, roots: set[int]) -> str:
-        return " ".join([text for text, _, _ in self.within(roots)])
+        """The text inside the containers ``roots``, with the headings and paragraphs beside them."""
+        inside = self._inside(roots)
+        if inside[-1] or not any(inside.values()):
+            return " ".join([block[0] for block in self.blocks if inside[block[2]]])
+        _, total = self._totals()
+        beside = {up for up in (self._around(root, total) for root in roots) if up is not None}
+        most = sum(total[n] for n in roots)
+        side: dict[int, int] = {}  # of what lies deeper beside the roots, the outermost container
+        for number, (_, _, above) in enumerate(self.elements):
+            if not inside[number] and (above in beside or above in side):
+                side[number] = number if above in beside else side[above]
+        kept = []
+        for text, linked, container, place in self.blocks:
+            if inside[container] or container in beside and _worth(text, linked) > 0:
+                kept.append(text)
+            elif container in side and 0 < total[side[container]] < most and _worth(text, linked) > 0:
+                above = self.elements[side[container]][2]
+                site = above < 0 or self.elements[above][0] in ("body", "html")
+                if _SENTENCE.match(text) or place == "heading" or place == "header" and not site:
+                    kept.append(text)
+        return " ".join(kept)
+
+    def _around(self, root: int, total: dict[int, float]) -> int | None:
+        """The nearest container around ``root`` with other text; none around articles and bodies."""
+        up = root
+        while up >= 0 and self.elements[up][0] not in ("article", "main", "body"):
+            up = self.elements[up][2]
+            if total[up] > total[root]:
+                return up
+        return None
 
 
 def vote(html: str | None) -> str | None:
@@ -327,7 +362,7 @@ def extract(html: str, winners: list[str]) -> str:
     for path in [own] if own in winners else winners:
         roots = {n for n, element in enumerate(page.elements) if element[1] == path}
         blocks = page.within(roots)
-        score = sum(_worth(text, linked) for text, linked, _ in blocks)
+        score = sum(_worth(text, linked) for text, linked, *_ in blocks)
         if blocks and (most is None or score > most):
             chosen, most = roots, score
     return page.text(chosen)
