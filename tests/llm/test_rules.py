@@ -64,3 +64,12 @@ def test_odd_rows(odd_docs, empty_docs):
 def test_main_path_is_native(spark):
     plan = rules.op9_rules(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_windows_with_clashing_hashes_are_told_apart(spark, monkeypatch):
+    real = rules.F.xxhash64
+    # two hashes only, in the bits that the place does not take
+    monkeypatch.setattr(rules.F, "xxhash64", lambda *words: rules.F.shiftleft(rules.F.pmod(real(*words), rules.F.lit(2)), 40))
+    texts = [" ".join(f"w{i}" for i in range(300)), "a b c d e f g h a b c d e x y z", "one two three four five six " * 9 + "and so on to the end"]
+    for r in rules.ledger(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect():
+        assert r["n_repeat_words"] == plain(texts[r["doc_id"]])["n_repeat_words"]

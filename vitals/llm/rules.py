@@ -9,7 +9,9 @@ Words are runs of characters other than the six ASCII white-space characters. A
 counts as repeated if it lies in a window of five words that the text has twice or
 more. Windows are compared by 64-bit hashes; where a text has equal ones, hash and
 place are packed into one integer and sorted as primitive numbers, in which the hash
-keeps all bits that the place leaves (44 for a million words).
+keeps all bits that the place leaves (44 for a million words). Windows that this makes
+neighbours are compared word by word; where any differ, the windows found are sorted
+and compared by their words instead.
 
 Everything is computed inside a row, so nothing is shuffled and no key can be hot;
 the work grows with a text's length times its logarithm.
@@ -68,7 +70,7 @@ def ledger(df: DataFrame, text_col: str = "text", keep: list[str] | None = None)
     if clash:
         raise ValueError(f"columns would clash: {sorted(clash)}")
     text, words, hashes, packed, places = (fresh(df, x) for x in ("text_", "words_", "hashes_", "packed_", "places_"))
-    lines, bits = fresh(df, "lines_"), fresh(df, "place_bits_")
+    lines, bits, hits, clashed = (fresh(df, x) for x in ("lines_", "place_bits_", "hits_", "clashed_"))
 
     step = df.select(*kept, F.coalesce(F.col(text_col), F.lit("")).alias(text))
     trimmed = F.btrim(text, F.lit(SPACES))
@@ -94,8 +96,36 @@ def ledger(df: DataFrame, text_col: str = "text", keep: list[str] | None = None)
     def same(a: Column, b: Column) -> Column:
         return F.coalesce(a.bitwiseXOR(b).bitwiseAND(F.bitwise_not(low)) == 0, F.lit(False))
 
+    def at(x: Column) -> Column:
+        return x.bitwiseAND(low)
+
+    def differ(a: Column, b: Column) -> Column:
+        unlike = F.lit(False)
+        for k in range(WINDOW):
+            unlike = unlike | (F.get(F.col(words), (at(a) + k).cast("int")) != F.get(F.col(words), (at(b) + k).cast("int")))
+        return F.when(same(a, b), unlike).otherwise(False)
+
     again = F.filter(packed, lambda x, i: same(F.get(packed, i - 1), x) | same(F.get(packed, i + 1), x))
-    step = step.withColumn(places, F.sort_array(F.transform(again, lambda x: x.bitwiseAND(low))))
+    step = step.withColumns(
+        {hits: F.transform(again, at), clashed: F.size(F.filter(packed, lambda x, i: differ(F.get(packed, i - 1), x))) > 0}
+    )
+    spelled = F.sort_array(
+        F.transform(hits, lambda p: F.struct(F.slice(F.col(words), (p + 1).cast("int"), WINDOW).alias("w"), p.alias("p")))
+    )
+
+    def equal(a: Column, b: Column) -> Column:
+        return F.coalesce(a["w"] == b["w"], F.lit(False))
+
+    # the sorted array is bound once for the row, not made again for each of its elements
+    exact = F.flatten(
+        F.transform(
+            F.array(spelled),
+            lambda s: F.transform(
+                F.filter(s, lambda x, i: equal(F.get(s, i - 1), x) | equal(F.get(s, i + 1), x)), lambda x: x["p"]
+            ),
+        )
+    )
+    step = step.withColumn(places, F.sort_array(F.when(F.col(clashed), exact).otherwise(F.col(hits))))
     covered = F.transform(places, lambda p, i: F.least(F.lit(WINDOW).cast("bigint"), F.coalesce(F.get(places, i + 1) - p, F.lit(WINDOW).cast("bigint"))))
     measured = step.select(
         *kept,
