@@ -77,3 +77,17 @@ def test_odd_rows(spark, odd_docs, empty_docs):
     assert left.columns == odd_docs.columns and left.count() == odd_docs.count()
     assert d.leaks(empty_docs, benchmark).count() == 0
     assert d.leaks(odd_docs, benchmark.limit(0)).count() == 0
+
+
+def test_short_items_and_scripts_without_blanks(spark):
+    benchmark = spark.createDataFrame(
+        [(1, "Too short, really"), (2, "今日は天気がいいですね"), (3, "..."), (4, "one"), (5, ITEM), (6, "สวัสดีครับ")], "item_id bigint, text string"
+    )
+    docs = spark.createDataFrame(
+        [(1, "It is too short; really too short really."), (2, "Too really short."), (3, "昨日、今日は天気がいいですね、と言った"), (4, "One, and one more"),
+         (5, "x " + ITEM), (6, "someone"), (7, "เขาพูดว่าสวัสดีครับแล้วไป"), (8, "too short")],
+        "doc_id bigint, text string",
+    )
+    got = sorted((r["doc_id"], r["item_id"], r["cover"], r["n_tiles"]) for r in d.leaks(docs, benchmark).collect())
+    assert got == [(1, 1, 1.0, 1), (3, 2, 1.0, 1), (4, 4, 1.0, 1), (5, 5, 1.0, 1), (7, 6, 1.0, 1)]
+    assert sorted(r["doc_id"] for r in d.decontaminated(docs, benchmark).collect()) == [2, 6, 8]

@@ -1,11 +1,12 @@
 """Benchmark decontamination by greedy string tiling.
 
 Benchmark items and documents are cut into lower-case words (runs of letters and
-digits). A running Karp-Rabin hash over five words finds the seeds, the places of a
+digits; single characters in scripts written without blanks). A running Karp-Rabin hash over five words finds the seeds, the places of a
 document whose five words also stand in an item; equal hashes are verified word by
 word. Seeds that follow each other make the longest matches. Then, for each item that
 shares a seed, the longest match that is left is marked, matches are cut back to what
-is still unmarked on both sides, and so on while five words remain. The tiles do not
+is still unmarked on both sides, and so on while five words remain. An item of fewer
+than five words has all its words as its only seed. The tiles do not
 overlap, and their order does not matter, so reordered passages count in full. A
 document leaks an item if its tiles cover at least ``least_cover`` of the item's words.
 
@@ -13,8 +14,7 @@ The document side is never shuffled: the seed join looks words and hashes up in
 broadcast table of the benchmark. Its size is summed first; a benchmark larger than
 ``block_bytes`` is joined in several blocks of that size, each against all documents.
 
-Defined results: null and empty texts match nothing, nor do items of fewer than five
-words; an item repeated in the benchmark is reported each time, and so is a repeated
+Defined results: null and empty texts match nothing, nor do items without a word; an item repeated in the benchmark is reported each time, and so is a repeated
 document; a document may leak several items; empty tables give empty results; other
 columns are neither read nor touched.
 """
@@ -32,7 +32,9 @@ from vitals.llm.common import applied, fresh, table, text_map
 SEED_WORDS = 5
 LEAST_COVER = 0.8
 BLOCK_BYTES = 32 << 20
-_WORDS = r"[^\W_]+"
+# Thai, Lao, Burmese, Khmer, kana and Chinese characters
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+_WORDS = rf"[^\W_{_UNSPACED}]+|(?!\W)[{_UNSPACED}]"
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -91,33 +93,37 @@ class Benchmark:
         self.width = width
         self.number: dict[str, int] = {}
         self.items = []
-        self.seeds: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        self.seeds: dict[int, dict[int, list[tuple[int, int]]]] = {}  # by seed width: fewer words for short items
         for item_id, text in items:
             words = re.findall(_WORDS, (text or "").lower())
             ids = np.array([self.number.setdefault(w, len(self.number) + 1) for w in words], np.int64)
-            for place, value in enumerate(running_hashes(ids, width).tolist()):
-                self.seeds[value].append((len(self.items), place))
+            if words:
+                own = min(width, len(words))
+                seeds = self.seeds.setdefault(own, {})
+                for place, value in enumerate(running_hashes(ids, own).tolist()):
+                    seeds.setdefault(value, []).append((len(self.items), place))
             self.items.append((item_id, ids))
-        self.seeds = dict(self.seeds)
 
     def tiled(self, text: str) -> list[tuple[int, float, int, int]]:
         """Item id, share of its words covered, tiles and longest tile, for items with a tile."""
-        get, width = self.number.get, self.width
+        get = self.number.get
         ids = np.array([get(w, 0) for w in re.findall(_WORDS, text.lower())], np.int64)
-        if len(ids) < width:
-            return []
         known = np.concatenate([[0], np.cumsum(ids > 0)])
-        places = np.flatnonzero(known[width:] - known[:-width] == width)
-        if not len(places):
-            return []
         shared: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for place, value in zip(places.tolist(), running_hashes(ids, width)[places].tolist()):
-            for item, at in self.seeds.get(value, ()):
-                if np.array_equal(ids[place : place + width], self.items[item][1][at : at + width]):
-                    shared[item].append((place, at))
+        for width, seeds in self.seeds.items():
+            if len(ids) < width:
+                continue
+            places = np.flatnonzero(known[width:] - known[:-width] == width)
+            if not len(places):
+                continue
+            for place, value in zip(places.tolist(), running_hashes(ids, width)[places].tolist()):
+                for item, at in seeds.get(value, ()):
+                    if np.array_equal(ids[place : place + width], self.items[item][1][at : at + width]):
+                        shared[item].append((place, at))
         out = []
         for item, seeds in sorted(shared.items()):
             item_id, words = self.items[item]
+            width = min(self.width, len(words))
             lengths = [n for _, _, n in tiles(matches(seeds, width), width)]
             out.append((item_id, sum(lengths) / len(words), len(lengths), max(lengths)))
         return out
