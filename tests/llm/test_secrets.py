@@ -70,3 +70,19 @@ def test_odd_rows(spark, odd_docs, empty_docs):
     assert s.secrets(empty_docs).count() == 0 and s.without_secrets(empty_docs).columns == empty_docs.columns
     docs = spark.createDataFrame([(1, "AKIA" + "A" * 16, 20), (2, "fine", 4)], "doc_id bigint, text string, n_chars bigint")
     assert [tuple(r) for r in s.without_secrets(docs).collect()] == [(1, "[secret]", 8), (2, "fine", 4)]
+
+
+def test_private_keys_with_headers_and_in_strings():
+    body = "\nMIIEpAIBAAKCAQEA7\nq+/Z0==\n"
+    blocks = [
+        f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0F3A\n{body}-----END RSA PRIVATE KEY-----",
+        f"-----BEGIN PGP PRIVATE KEY BLOCK-----\r\nVersion: GnuPG v2.0.22 (GNU/Linux)\r\nComment: a_b <c@d>\r\n{body}=aB3x\n-----END PGP PRIVATE KEY BLOCK-----",
+        f"-----BEGIN PRIVATE KEY-----{body}-----END PRIVATE KEY-----",
+    ]
+    blocks += [b.replace("\r", "\\r").replace("\n", "\\n") for b in blocks]
+    blocks.append('-----BEGIN EC PRIVATE KEY-----\\n" +\n  "MIIE/q0\\n" +\n  "-----END EC PRIVATE KEY-----')
+    for block in blocks:
+        text = f'key = "{block}\\n" and -----END PRIVATE KEY-----'
+        assert [x for x in SCAN(text) if x[1] == s.KINDS.index("pem")] == [(7, s.KINDS.index("pem"), 7 + len(block))]
+    for other in ("-----BEGIN PUBLIC KEY-----\nMIIB\n-----END PUBLIC KEY-----", "-----BEGIN PRIVATE KEY-----\nno end - and so on", "-----BEGIN PRIVATE KEY-----" + body * 50_000):
+        assert [x for x in SCAN(other) if x[1] == s.KINDS.index("pem")] == []

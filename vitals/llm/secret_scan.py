@@ -9,7 +9,8 @@ sixteenth character is probed, and the pattern runs at the start of the run ther
 Kinds: ``assign``, ``access`` and ``hex`` are matched as their contract says, the
 leftmost without overlap of a kind, failing matches dropped without another try.
 ``github`` and ``npm`` tokens carry a checksum, the CRC-32 of their random part in six
-base-62 digits: a match counts only if it holds. ``pem`` is a private key block.
+base-62 digits: a match counts only if it holds. ``pem`` is a private key block, with any header
+lines ("DEK-Info: ..."), also inside a string literal, where line breaks are escaped.
 
 Defined results: a null or empty text has no spans; spans are half-open in code
 points, by start, then kind; repeated rows give repeated results; an empty table
@@ -31,7 +32,9 @@ KINDS = (*BASE, "github", "npm", "pem")
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
 CHECKED = r"[A-Za-z0-9]+_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])"
-PEM = r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----[A-Za-z0-9+/=\s:,]+-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----"
+_PEM_HEADER = r"""(?:[\r\n]|\\[rn])[\x20\t"']*[A-Za-z][A-Za-z0-9]*(?:-[A-Za-z0-9]+)*:[\x20\t](?:(?!-----)[^\r\n\\])*"""
+_PEM_NAME = r"(?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----"
+PEM = rf"""-----BEGIN {_PEM_NAME}(?:{_PEM_HEADER}|[A-Za-z0-9+/=\s:,\\"'])++-----END {_PEM_NAME}"""
 KEYWORDS = {
     "assign": ("password", "passwd", "secret", "token", "apikey", "api_key"),
     "access": ("akia",),
