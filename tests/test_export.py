@@ -230,3 +230,15 @@ def test_arrivals_rebuild_one_export_or_one_entity(spark, scratch):
 
 def test_fixture_has_what_it_says():
     assert len(RECORDS) == 31 and len(SESSIONS) == 4
+
+
+def test_malformed_children_of_workouts_are_kept_apart_and_counted(spark, scratch):
+    bad = ['<WorkoutStatistics type="a & b" sum="1"/>', '<MetadataEntry key="k" key="l" value="1"/>', '<WorkoutStatistics type="t sum="1"/>']
+    text = document(session("Golf", "9", "2024-05-05 10:00:00", "".join(bad)), session("Golf", "8", "2024-05-06 10:00:00"))
+    root = f"{scratch}/malformed_children"
+    found = counters(jobs.run_export(spark, put(f"{root}.xml", text), root))
+    kept = jobs.elements(spark, Layout(root)).where(F.col("kind").startswith("malformed")).select("kind", "value").collect()
+    want = [r["value"].strip() for r in kept if r["kind"] == "malformed_statistics"]
+    assert found["bronze_workouts"] == 2 and found["malformed_workouts"] == 0
+    assert (found.get("malformed_statistics"), found.get("malformed_metadata")) == (len(want), 1) and want
+    assert any('sum="1"/>' in v for v in want) and len(kept) == len(want) + 1

@@ -104,7 +104,8 @@ def ingest(
     The scan's elements are written once, partitioned by kind and, for records, by the
     class that the cleaners ask for. Workouts are put together from the written rows.
     Malformed elements are a kind of their own: kept with their text, counted, and left
-    out of the layers above. ``keys`` are columns of a partitioned folder layout
+    out of the layers above (children of workouts have a counter only where there are any).
+    ``keys`` are columns of a partitioned folder layout
     (``source/user_id=7/...``): many exports in one job. ``mode="dom"`` takes the records
     from the built-in XML source.
     """
@@ -119,7 +120,10 @@ def ingest(
     _write(stored, layout.elements, ("kind", "class"))
     written = elements(spark, layout, keys)
     _write(bronze.flatten_workouts(xml.workouts_of(written), cfg, keys), layout.bronze_workouts)
-    names = {"record": "bronze_records", "malformed_record": "malformed_records", "malformed_workout": "malformed_workouts"}
+    names = {
+        "record": "bronze_records", "malformed_record": "malformed_records", "malformed_workout": "malformed_workouts",
+        "malformed_metadata": "malformed_metadata", "malformed_statistics": "malformed_statistics",
+    }
     counter = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[F.col("kind")]
     by_kind = written.where(F.col("kind").isin(*names)).groupBy(*keys, counter.alias("counter")).agg(F.count(F.lit(1)).alias("value"))
     workouts = quality.count_rows(_layer(spark, layout.bronze_workouts, schemas.BRONZE_WORKOUTS, keys), "bronze_workouts", keys)

@@ -203,9 +203,7 @@ def _functions():
                     found = attributes(text)
                     kind = KINDS.get(name) or ("nested" if inside else "record")
                 except ValueError:
-                    if name not in ("Record", "Workout"):
-                        continue
-                    found, kind = {"value": text}, f"malformed_{name.lower()}"
+                    found, kind = {"value": text}, f"malformed_{KINDS.get(name, 'record')}"
                 columns_of = malformed if kind.startswith("malformed") else order[name]
                 workout = f"{block}:{number}" if name == "Workout" else parent
                 out.append((*map(found.get, columns_of), workout, block, row, kind))
@@ -255,7 +253,7 @@ def scan_elements(spark: SparkSession, path: str) -> DataFrame:
 
     ``kind`` is ``record`` (outside workouts), ``nested`` (a record inside one, at any
     depth), ``workout``, ``metadata`` or ``statistics`` (direct children of a workout), or
-    ``malformed_record`` / ``malformed_workout`` (``value`` is then the text as it stands).
+    one of these four that is ``malformed_`` (``value`` is then the text as it stands).
     ``workout`` names the workout within its file, ``block`` and ``row`` the place.
     """
     summaries, scan, folded = _functions()
