@@ -11,6 +11,7 @@ from vitals.llm.html_text import op3_main_text
 from vitals.llm.langid import op2_language
 from vitals.llm.personal import op5_personal
 from vitals.llm.quality import op6_quality
+from vitals.llm.repair import OP11_SQL, op11_repair
 from vitals.llm.rules import OP9_SQL, op9_rules
 from vitals.llm.secret_scan import op4_secrets
 from vitals.llm.simhash import op1_simhash
@@ -26,9 +27,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_rules": op9_rules,
     "op10_decontaminate": op10_decontaminate,
+    "op11_repair": op11_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op7_chat": OP7_SQL,
     "op9_rules": OP9_SQL,
+    "op11_repair": OP11_SQL,
 }
