@@ -1,26 +1,15 @@
 """Word hashes, window hashes and membership maps for the operators on word sequences."""
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-KNOWN_WORDS = 1_000_000  # entries of a task's table of word hashes
-
-
-class WordHashes(dict):
-    """XXH64 of words (bytes), computed once for each word of a task."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word)
-        return found
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+SLICE = 1_000_000  # bytes that are hashed at once
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -31,23 +20,80 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Windows:
-    """Hashes of all windows of a width, by differences of one running sum."""
+    """Hashes of stretches of a sequence, by differences of one running sum."""
 
     def __init__(self):
         self.up = self.down = np.ones(1, np.uint64)
 
-    def __call__(self, hashes: np.ndarray, width: int) -> np.ndarray:
-        n = len(hashes)
-        if n < width:
-            return np.zeros(0, np.uint64)
-        if len(self.up) < n:
+    def _running(self, values: np.ndarray) -> np.ndarray:
+        n = len(values)
+        if len(self.up) <= n:
             inverse = pow(BASE, -1, 2**64)
             self.up = np.cumprod(np.r_[np.uint64(1), np.full(n, BASE, np.uint64)], dtype=np.uint64)
             self.down = np.cumprod(np.r_[np.uint64(1), np.full(n, inverse, np.uint64)], dtype=np.uint64)
         total = np.zeros(n + 1, np.uint64)
-        np.cumsum(hashes * self.down[:n], out=total[1:])
+        np.cumsum(values * self.down[:n], out=total[1:])
+        return total
+
+    def __call__(self, hashes: np.ndarray, width: int) -> np.ndarray:
+        """Hashes of all windows of ``width`` values."""
+        n = len(hashes)
+        if n < width:
+            return np.zeros(0, np.uint64)
+        total = self._running(hashes)
         return mixed((total[width:] - total[:-width]) * self.up[: n - width + 1])
 
+    def words(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of the bytes ``data[start:end]`` of each word; words are in order."""
+        out, i = np.empty(len(starts), np.uint64), 0
+        while i < len(starts):
+            origin = starts[i]
+            j = max(i + 1, int(np.searchsorted(ends, origin + SLICE, "right")))
+            total = self._running(data[origin : ends[j - 1]].astype(np.uint64) + np.uint64(1))
+            a, b = starts[i:j] - origin, ends[i:j] - origin
+            out[i:j] = mixed((total[b] - total[a]) * self.up[a] + (b - a).astype(np.uint64))
+            i = j
+        return out
+
+
+def byte_set(members: bytes) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(members)] = True
+    return out
+
+
+SPACES = byte_set(b" \t\n\x0b\x0c\r")
+
+
+def word_bounds(texts: list[bytes], between: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts as one array of bytes, the bounds of their words (runs of bytes that are not in
+    ``between``), and the number of words of each text."""
+    data = np.frombuffer(b" ".join([b"", *texts, b""]), np.uint8)
+    outside = between[data]
+    starts = np.flatnonzero(outside[:-1] & ~outside[1:]) + 1
+    ends = np.flatnonzero(~outside[:-1] & outside[1:]) + 1
+    borders = np.cumsum([1, *(len(t) + 1 for t in texts)])
+    return data, starts, ends, np.diff(np.searchsorted(starts, borders))
+
+
+def gathered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the words one after the other, and their offsets."""
+    lengths = ends - starts
+    offsets = np.r_[0, np.cumsum(lengths)]
+    return data[np.repeat(starts - offsets[:-1], lengths) + np.arange(offsets[-1])], offsets
+
+
+def pieces(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Runs of rows with their texts (column ``text``, null as empty), of about ``size`` bytes."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False)
+        cuts = np.cumsum(lengths, dtype=np.int64) // size
+        borders = np.flatnonzero(np.diff(cuts)) + 1
+        for a, b in zip([0, *borders], [*borders, batch.num_rows]):
+            if b > a:
+                own = batch.slice(a, b - a)
+                yield own, [t or b"" for t in own["text"].to_pylist()]
+
 
 def sliding(x: np.ndarray, width: int, least=np.minimum) -> np.ndarray:
     """The least (or by ``np.maximum`` the largest) of each ``width`` neighbours."""

@@ -18,7 +18,7 @@ more are scored by their weakest cut: of all ways to part the words in two, the
    and those below the support go. Then they are scored, and phrases that lie inside a longer
    one as frequent as they are go too.
 
-Mining works on 64-bit hashes, which can only add candidates. What tasks need to know of
+Mining works on 64-bit hashes, which can only add candidates; exact counts compare the words. What tasks need to know of
 frequent words, pairs and candidates is broadcast as membership maps of a fixed size: they
 leave out what cannot count, and never anything else. All counts are combined in the tasks
 before the shuffle, so a hot word, text or language is a few rows of each task. Scores are
@@ -34,69 +34,91 @@ language are read, so columns of any name do no harm.
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitals.llm.common import table, written
-from vitals.llm.hashing import contained, membership, mixed
+from vitals.llm.hashing import Windows, byte_set, contained, gathered, membership, mixed, pieces, word_bounds
 
 SUPPORT = 100
 LONGEST = 5
 TOP = 2000
 SHARDS = 8
 MAP_BITS = 27  # 16 MB
-CHUNK_WORDS = 400_000  # words that are looked at together
-KNOWN_WORDS = 500_000  # words of a task's numbering
+CHUNK_BYTES = 2_000_000  # bytes of texts that are looked at together
 
-# What ends a piece; upper-case letters are made lower-case
-PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
-LETTERS = bytes(range(ord("A"), ord("Z") + 1))
-# 0xFF never occurs in UTF-8
-_CUT = bytes.maketrans(PIECE_ENDS + LETTERS, b"\xff" * len(PIECE_ENDS) + LETTERS.lower())
+# What ends a piece, what is between words
+PIECE_ENDS = byte_set(b".,;:!?\n\x0b\x0c\r")
+BETWEEN = PIECE_ENDS | byte_set(b" \t")
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-class Numbering(dict):
-    """Numbers for the words of a task, and their hashes; 0 ends a piece."""
+def salt_of(lang: str) -> int:
+    import xxhash
 
-    def __init__(self):
-        import xxhash
+    return xxhash.xxh64_intdigest(lang.encode())
 
-        self.digest = xxhash.xxh64_intdigest
-        self.reset()
 
-    def reset(self) -> None:
-        self.clear()
-        self.words = [b"\xff"]
-        self.hashes = [0]
-        self[b"\xff"] = 0
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self.words)
-        self.words.append(word)
-        self.hashes.append(self.digest(word))
-        return number
+class Chunk:
+    """Words of texts: hashes (different in each language), their texts' languages and shards, and
+    whether a word goes on with the piece of the word before it."""
+
+    def __init__(self, rows: pa.RecordBatch, texts: list[bytes], windows: Windows, salts: dict[str, int]):
+        data, self.starts, self.ends, counts = word_bounds(texts, BETWEEN)
+        self.data = LOWER[data]
+        langs = rows["lang"].dictionary_encode()
+        self.langs, codes = langs.dictionary, langs.indices.to_numpy()
+        for lang in self.langs.to_pylist():
+            if lang not in salts:
+                salts[lang] = salt_of(lang)
+        own = np.array([salts[x] for x in self.langs.to_pylist()], np.uint64)
+        self.lang = np.repeat(codes, counts)
+        shards = rows["shard"].to_numpy()
+        self.places = np.repeat(places_of(own[codes], shards), counts)
+        self.shards = np.repeat(shards, counts)
+        self.hashes = mixed(windows.words(self.data, self.starts, self.ends) ^ own[self.lang])
+        cuts = np.cumsum(PIECE_ENDS[data], dtype=np.int32)[self.starts]
+        text = np.repeat(np.arange(len(texts)), counts)
+        self.joined = np.r_[False, (cuts[1:] == cuts[:-1]) & (text[1:] == text[:-1])] if len(cuts) else np.zeros(0, bool)
+
+    def pairs(self, good: np.ndarray) -> np.ndarray:
+        """Where a pair of ``good`` words of one piece begins."""
+        return good & np.r_[(self.joined & good)[1:], False]
 
+    def grown(self, keys: np.ndarray, size: int) -> np.ndarray:
+        """Keys of the phrases of ``size`` words from those of one word less."""
+        return mixed(keys * np.uint64(0x9E3779B97F4A7C15) + np.r_[self.hashes[size - 1 :], np.zeros(min(size - 1, len(keys)), np.uint64)])
 
-class Chunk:
-    """Words of texts of one language. ``ids`` has a 0 behind each piece and each text."""
+    def lang_names(self, at: np.ndarray) -> pa.Array:
+        return pa.DictionaryArray.from_arrays(pa.array(self.lang[at], pa.int32()), self.langs).cast(pa.string())
 
-    def __init__(self, lang: str, ids: list[np.ndarray], shards: list[int], words: Numbering):
-        import xxhash
+    def phrases(self, at: np.ndarray, size: int) -> pa.Array:
+        """The words of the phrases that begin ``at`` words, joined by a space."""
+        each = (at[:, None] + np.arange(size)).ravel()
+        # a word and the byte behind it, which becomes the space; the last one of a phrase without
+        last = np.tile(np.arange(size) == size - 1, len(at))
+        data, offsets = gathered(self.data, self.starts[each], self.ends[each] + ~last)
+        data[offsets[1:][~last] - 1] = ord(" ")
+        return pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets[::size].astype(np.int32)), pa.py_buffer(data))
 
-        self.lang, self.words = lang, words
-        self.ids = np.concatenate([*ids, np.zeros(LONGEST, np.int64)])
-        self.shards = np.r_[np.repeat(np.array(shards, np.int64), [len(x) for x in ids]), np.zeros(LONGEST, np.int64)]
-        self.salt = np.uint64(xxhash.xxh64_intdigest(lang.encode()))
-        self.hashes = mixed(np.array(words.hashes, np.uint64)[self.ids] ^ self.salt)
-        self.word = self.ids > 0
+    def numbers(self) -> tuple[np.ndarray, np.ndarray]:
+        """A number for each word, equal for equal words of one language only, and each number's first word."""
+        _, first, number = np.unique(self.hashes, return_index=True, return_inverse=True)
+        same, _ = gathered(self.data, self.starts, self.ends)
+        other, _ = gathered(self.data, self.starts[first[number]], self.ends[first[number]])
+        if len(same) == len(other) and np.array_equal(self.ends - self.starts, (self.ends - self.starts)[first[number]]) and np.array_equal(same, other):
+            return number, first
+        known: dict = {}  # two words of one hash
+        number = np.array([known.setdefault((c, self.data[a:b].tobytes()), len(known)) for c, a, b in zip(self.lang.tolist(), self.starts, self.ends)], np.int64)
+        return number, np.unique(number, return_index=True)[1]
 
-    def grown(self, keys: np.ndarray, size: int) -> np.ndarray:
-        """Keys of the phrases of ``size`` words from those of one word less."""
-        return mixed(keys * np.uint64(0x9E3779B97F4A7C15) + np.r_[self.hashes[size - 1 :], np.zeros(size - 1, np.uint64)])
 
-    def sharded(self, keys: np.ndarray) -> np.ndarray:
-        return mixed(keys + self.shards.astype(np.uint64))
+def places_of(salts: np.ndarray, shards: np.ndarray) -> np.ndarray:
+    """One number for a language and a shard."""
+    return (salts & ~np.uint64(SHARDS - 1) | shards.astype(np.uint64)).view(np.int64)
 
 
 def _both(x: np.ndarray) -> np.ndarray:
@@ -105,23 +127,11 @@ def _both(x: np.ndarray) -> np.ndarray:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
-    words, waiting, total = Numbering(), {}, 0
-    for batch in batches:
-        for lang, shard, text in zip(*(batch[c].to_pylist() for c in ("lang", "shard", "text"))):
-            pieces = (text or b"").translate(_CUT).replace(b"\xff", b" \xff ").split()
-            pieces.append(b"\xff")
-            ids, shards = waiting.setdefault(lang, ([], []))
-            ids.append(np.fromiter(map(words.__getitem__, pieces), np.int64, len(pieces)))
-            shards.append(shard)
-            total += len(pieces)
-            if total >= CHUNK_WORDS:
-                for one, (ids, shards) in waiting.items():
-                    yield Chunk(one, ids, shards, words)
-                waiting, total = {}, 0
-                if len(words) > KNOWN_WORDS:
-                    words.reset()
-    for one, (ids, shards) in waiting.items():
-        yield Chunk(one, ids, shards, words)
+    windows, salts = Windows(), {}
+    for rows, texts in pieces(batches, CHUNK_BYTES):
+        chunk = Chunk(rows, texts, windows, salts)
+        if len(chunk.starts):
+            yield chunk
 
 
 def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -130,25 +140,19 @@ def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), shard.alias("shard"), text.alias("text"))
 
 
-def _langs(lang: str, n: int) -> pa.Array:
-    return pa.DictionaryArray.from_arrays(pa.array(np.zeros(n, np.int32)), [lang]).cast(pa.string())
-
-
 def word_counts(texts: DataFrame) -> DataFrame:
     """``lang``, ``word``, ``shard``, ``n``: occurrences of each word (``shard`` null), and the number
     of words of each shard (``word`` null)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches):
-            n = np.bincount(chunk.ids)
-            n[0] = 0
-            found = np.flatnonzero(n)
-            shards = np.bincount(chunk.shards[chunk.word], minlength=SHARDS)
-            own = [chunk.words.words[i].decode() for i in found] + [None] * SHARDS
-            columns = [
-                _langs(chunk.lang, len(own)), pa.array(own, pa.string()), pa.array([None] * len(found) + list(range(SHARDS)), pa.int64()),
-                pa.array(np.r_[n[found], shards].astype(np.int64)),
-            ]
+            number, first = chunk.numbers()
+            data, offsets = gathered(chunk.data, chunk.starts[first], chunk.ends[first])
+            words = pa.StringArray.from_buffers(len(first), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data))
+            columns = [chunk.lang_names(first), words, pa.nulls(len(first), pa.int64()), pa.array(np.bincount(number))]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "word", "shard", "n"])
+            _, first, n = np.unique(chunk.places, return_index=True, return_counts=True)
+            columns = [chunk.lang_names(first), pa.nulls(len(n), pa.string()), pa.array(chunk.shards[first]), pa.array(n)]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "word", "shard", "n"])
 
     listed = texts.mapInArrow(count, "lang string, word string, shard bigint, n bigint")
@@ -158,51 +162,76 @@ def word_counts(texts: DataFrame) -> DataFrame:
 def word_keys(words: DataFrame) -> DataFrame:
     """``key``: the hash that tasks use for a word of a language."""
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
+    @F.pandas_udf("bigint")
+    def key(words: pd.Series, langs: pd.Series) -> pd.Series:
+        windows, salts = Windows(), {x: salt_of(x) for x in langs.unique()}
+        data = b" ".join([b"", *(w.encode() for w in words), b""])
+        lengths = np.array([len(w.encode()) for w in words], np.int64)
+        starts = np.cumsum(lengths + 1) - lengths
+        hashes = windows.words(np.frombuffer(data, np.uint8), starts, starts + lengths)
+        return pd.Series(mixed(hashes ^ np.array([salts[x] for x in langs], np.uint64)).view(np.int64))
 
-        for batch in batches:
-            own = [xxhash.xxh64_intdigest(w.encode()) for w in batch["word"].to_pylist()]
-            salt = [xxhash.xxh64_intdigest(x.encode()) for x in batch["lang"].to_pylist()]
-            keys = mixed(np.array(own, np.uint64) ^ np.array(salt, np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], ["key"])
+    return words.select(key("word", "lang").alias("key"))
 
-    return words.select("lang", "word").mapInArrow(hashed, "key bigint")
 
+def local_support(shards: DataFrame, totals: DataFrame, support: int) -> DataFrame:
+    """``place`` (language and shard) and ``need``: the occurrences that are frequent there."""
 
-def _counted(chunk: Chunk, keys: list[np.ndarray], places: list[np.ndarray]) -> pa.RecordBatch:
-    """Rows (lang, shard, key, shard_key, n) for the phrases with ``keys`` at ``places``."""
-    own, at = np.concatenate([k[p] for k, p in zip(keys, places)]), np.concatenate(places)
-    found, first, n = np.unique(mixed(own + chunk.shards[at].astype(np.uint64)), return_index=True, return_counts=True)
+    @F.pandas_udf("bigint")
+    def place(langs: pd.Series, shards: pd.Series) -> pd.Series:
+        return pd.Series(places_of(np.array([salt_of(x) for x in langs], np.uint64), shards.to_numpy()))
+
+    need = F.ceil(F.lit(support).cast("decimal(18,0)") * F.col("shard_words") / F.col("n")).cast("bigint")
+    return shards.join(totals, "lang").select(place("lang", "shard").alias("place"), need.alias("need"))
+
+
+def _counted(chunk: Chunk, keys: list[np.ndarray], at: list[np.ndarray]) -> pa.RecordBatch:
+    """Rows (place, key, n) for the phrases with ``keys`` that begin ``at`` words."""
+    own, places = np.concatenate([k[i] for k, i in zip(keys, at)]), chunk.places[np.concatenate(at)]
+    # one language and shard at a time: few, and then a sort of plain numbers
+    out = [(p, *np.unique(own[places == p], return_counts=True)) for p in np.unique(places)]
     columns = [
-        _langs(chunk.lang, len(found)), pa.array(chunk.shards[at][first]), pa.array(own[first].view(np.int64)), pa.array(found.view(np.int64)), pa.array(n),
-    ]
-    return pa.RecordBatch.from_arrays(columns, ["lang", "shard", "key", "shard_key", "n"])
+        pa.array(np.concatenate([np.full(len(k), p) for p, k, _ in out]) if out else [], pa.int64()),
+        pa.array(np.concatenate([k for _, k, _ in out]).view(np.int64) if out else [], pa.int64()),
+        pa.array(np.concatenate([n for _, _, n in out]) if out else [], pa.int64()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["place", "key", "n"])
 
 
-def locally_frequent(texts: DataFrame, shares: DataFrame, support: int, frequent_words, frequent_pairs=None) -> DataFrame:
-    """``key``, ``shard_key`` of the phrases that are frequent in a shard: pairs of frequent words, or,
+def locally_frequent(texts: DataFrame, need: DataFrame, frequent_words, frequent_pairs=None) -> DataFrame:
+    """``place``, ``key`` of the phrases that are frequent in a shard: pairs of frequent words, or,
     with ``frequent_pairs``, phrases of three words and more whose pairs are in that map."""
 
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches):
-            good = chunk.word & contained(frequent_words.value, chunk.hashes)
-            keys, good = chunk.grown(chunk.hashes, 2), _both(good)
+            good = chunk.pairs(contained(frequent_words.value, chunk.hashes))
+            keys = chunk.grown(chunk.hashes, 2)
             if frequent_pairs is None:
                 yield _counted(chunk, [keys], [np.flatnonzero(good)])
                 continue
-            good[good] = contained(frequent_pairs.value, chunk.sharded(keys)[good])
-            all_keys, places = [], []
+            good[good] = contained(frequent_pairs.value, in_place(keys[good], chunk.places[good]))
+            all_keys, at = [], []
             for size in range(3, LONGEST + 1):
                 keys, good = chunk.grown(keys, size), _both(good)
                 all_keys.append(keys)
-                places.append(np.flatnonzero(good))
-            yield _counted(chunk, all_keys, places)
+                at.append(np.flatnonzero(good))
+            yield _counted(chunk, all_keys, at)
+
+    counted = texts.mapInArrow(mine, "place bigint, key bigint, n bigint").groupBy("place", "key").agg(F.sum("n").alias("n"))
+    return counted.join(need, "place").where("n >= need").select("place", "key")
+
 
-    listed = texts.mapInArrow(mine, "lang string, shard bigint, key bigint, shard_key bigint, n bigint")
-    counted = listed.groupBy("lang", "shard", "key", "shard_key").agg(F.sum("n").alias("n"))
-    enough = F.col("n") * F.col("all_words") >= F.lit(support) * F.col("shard_words")
-    return counted.join(shares, ["lang", "shard"]).where(enough).select("key", "shard_key")
+def in_place(keys: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """One key for a phrase in a shard."""
+    return mixed(keys ^ mixed(places.view(np.uint64)))
+
+
+def place_keys(pairs: DataFrame) -> DataFrame:
+    @F.pandas_udf("bigint")
+    def both(keys: pd.Series, places: pd.Series) -> pd.Series:
+        return pd.Series(in_place(keys.to_numpy().view(np.uint64), places.to_numpy()).view(np.int64))
+
+    return pairs.select(both("key", "place").alias("key"))
 
 
 def exact_counts(texts: DataFrame, candidates, support: int) -> DataFrame:
@@ -210,20 +239,19 @@ def exact_counts(texts: DataFrame, candidates, support: int) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches):
-            keys, good, names = chunk.hashes, chunk.word, chunk.ids
+            words, _ = chunk.numbers()
+            keys, names, good = chunk.hashes, words, np.ones(len(words), bool)
             for size in range(2, LONGEST + 1):
-                keys, good = chunk.grown(keys, size), _both(good)
+                keys, good = chunk.grown(keys, size), chunk.pairs(good) if size == 2 else _both(good)
                 good[good] = contained(candidates.value, keys[good])
                 at = np.flatnonzero(good)
                 if not len(at):
                     break
                 # a phrase is numbered by its words but the last, and the last: equal numbers, equal words
-                _, first, number, n = np.unique(names[at] << 32 | chunk.ids[at + size - 1], return_index=True, return_inverse=True, return_counts=True)
-                own = chunk.words.words
-                phrases = [b" ".join([own[i] for i in chunk.ids[p : p + size]]).decode() for p in at[first]]
-                columns = [_langs(chunk.lang, len(n)), pa.array(phrases, pa.string()), pa.array(np.full(len(n), size)), pa.array(n)]
+                _, first, number, n = np.unique(names[at] << 32 | words[at + size - 1], return_index=True, return_inverse=True, return_counts=True)
+                columns = [chunk.lang_names(at[first]), chunk.phrases(at[first], size), pa.array(np.full(len(n), size)), pa.array(n)]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "size", "n"])
-                names = np.zeros(len(chunk.ids), np.int64)
+                names = np.zeros(len(words), np.int64)
                 names[at] = number
 
     listed = texts.mapInArrow(count, "lang string, phrase string, size bigint, n bigint")
@@ -278,10 +306,10 @@ def collocations(
     words = counted.where(F.col("word").isNotNull() & (F.col("n") >= support)).select("lang", "word", "n")
     shards = counted.where(F.col("word").isNull()).select("lang", "shard", F.col("n").alias("shard_words"))
     totals = shards.groupBy("lang").agg(F.sum("shard_words").alias("n"))
-    shares = shards.join(totals.withColumnRenamed("n", "all_words"), "lang")
+    need = written(local_support(shards, totals, support), "need")
     frequent_words = membership(word_keys(words), "key", bits)
-    pairs = written(locally_frequent(texts, shares, support, frequent_words), "pairs")
-    longer = locally_frequent(texts, shares, support, frequent_words, membership(pairs, "shard_key", bits))
+    pairs = written(locally_frequent(texts, need, frequent_words), "pairs")
+    longer = locally_frequent(texts, need, frequent_words, membership(place_keys(pairs), "key", bits))
     candidates = pairs.select("key").union(longer.select("key"))
     counts = written(exact_counts(texts, membership(candidates, "key", bits), support), "counts")
     ranked = scored(without_contained(counts), counts, words, totals)

@@ -36,27 +36,29 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitals.llm.common import table, written
-from vitals.llm.hashing import WordHashes, Windows, contained, membership, mixed, sliding
+from vitals.llm.hashing import Windows, contained, membership, mixed, pieces, sliding, word_bounds
 
 WINDOW = 35
 SEED = 12  # words of the pieces whose least hash stands for a window
 MAP_BITS = 27  # 16 MB
-CHUNK_WORDS = 500_000  # words that are hashed at once
+PLACE_BITS = 40  # words of a task at most
+STRETCH_BITS = 16  # places whose paths are followed together
+CHUNK_BYTES = 2_000_000  # bytes of texts that are hashed at once
 
 
 class Chunk:
-    """Word hashes of consecutive texts; ``first`` and ``last`` are a word's text's bounds."""
+    """Word hashes of consecutive texts; ``starts`` and ``ends`` are the bounds of each text."""
 
-    def __init__(self, texts: list[bytes], table: WordHashes):
-        self.words = [t.split() for t in texts]  # bytes split at ASCII white space only
-        self.counts = np.array([len(w) for w in self.words], np.int64)
+    def __init__(self, texts: list[bytes], windows: Windows):
+        data, starts, ends, self.counts = word_bounds(texts)
+        self.hashes = windows.words(data, starts, ends)
         self.ends = np.cumsum(self.counts)
         self.starts = self.ends - self.counts
-        self.hashes = np.concatenate([table.of(w) for w in self.words]) if texts else np.zeros(0, np.uint64)
         self.text = np.repeat(np.arange(len(texts)), self.counts)
 
     def minimizers(self, window: int, windows: Windows) -> tuple[np.ndarray, np.ndarray]:
@@ -75,20 +77,6 @@ class Chunk:
         return np.flatnonzero((least != 0) & contained(repeated, least))
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    """(rows, texts) of the columns ``row`` and ``text`` (binary), up to a size in bytes."""
-    for batch in batches:
-        rows, texts = batch["row"].to_numpy(), [t or b"" for t in batch["text"].to_pylist()]
-        start = size = 0
-        for i, t in enumerate(texts):
-            size += len(t)
-            if size >= CHUNK_WORDS * 6:
-                yield rows[start : i + 1], texts[start : i + 1]
-                start, size = i + 1, 0
-        if start < len(texts):
-            yield rows[start:], texts[start:]
-
-
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
@@ -97,9 +85,9 @@ def repeated_seeds(docs: DataFrame, text_col: str, window: int) -> DataFrame:
     """``seed``: hashes of the minimizers that occur at two places or more."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, windows = WordHashes(), Windows()
-        for _, texts in _chunks(batches):
-            seeds, least = Chunk(texts, known).minimizers(window, windows)
+        windows = Windows()
+        for _, texts in pieces(batches, CHUNK_BYTES):
+            seeds, least = Chunk(texts, windows).minimizers(window, windows)
             if len(least):
                 reach = window - min(SEED, window)
                 edge = np.zeros(reach, np.uint64)
@@ -107,42 +95,43 @@ def repeated_seeds(docs: DataFrame, text_col: str, window: int) -> DataFrame:
                 keys, n = np.unique(found, return_counts=True)
                 yield pa.RecordBatch.from_arrays([_signed(keys), pa.array(n)], ["seed", "n"])
 
-    texts = docs.select(F.lit(0).cast("bigint").alias("row"), F.col(text_col).cast("binary").alias("text"))
+    texts = docs.select(F.col(text_col).cast("binary").alias("text"))
     counted = texts.mapInArrow(count, "seed bigint, n bigint")
     return counted.groupBy("seed").agg(F.sum("n").alias("n")).where("n > 1").select("seed")
 
 
 def numbered(docs: DataFrame, id_col: str, text_col: str, window: int, repeated) -> DataFrame:
-    """``row`` (a number that the written table fixes), ``id``, ``n_words``, ``digest`` (of all words)
-    and, only where a window may be repeated, ``text``."""
+    """``id``, ``n_words``, ``digest`` (of all words), ``row`` (the number of words before it, from a start of
+    each task's own, which the written table fixes) and, only where a window may be repeated, ``text``."""
 
-    @F.pandas_udf("n_words bigint, digest string, open boolean")
+    @F.pandas_udf("row bigint, n_words bigint, digest string, open boolean")
     def look(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known, windows = WordHashes(), Windows()
+        windows, row = Windows(), TaskContext.get().partitionId() << PLACE_BITS
         for texts in batches:
             parts = []
-            arrow = pa.RecordBatch.from_arrays([pa.array(np.zeros(len(texts), np.int64)), pa.array(list(texts), pa.binary())], ["row", "text"])
-            for _, own in _chunks(iter([arrow])):
-                chunk = Chunk(own, known)
+            for _, own in pieces([pa.RecordBatch.from_arrays([pa.array(texts, pa.binary(), from_pandas=True)], ["text"])], CHUNK_BYTES):
+                chunk = Chunk(own, windows)
                 open_ = np.zeros(len(own), bool)
                 open_[chunk.text[chunk.candidates(window, windows, repeated.value)]] = True
-                digests = ["" if o else hashlib.sha256(b" ".join(w)).hexdigest() for w, o in zip(chunk.words, open_)]
-                parts.append(pd.DataFrame({"n_words": chunk.counts, "digest": digests, "open": open_}))
-            yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"n_words": [], "digest": [], "open": []})
+                digests = ["" if o else hashlib.sha256(b" ".join(t.split())).hexdigest() for t, o in zip(own, open_)]
+                parts.append(pd.DataFrame({"row": row + chunk.starts, "n_words": chunk.counts, "digest": digests, "open": open_}))
+                row += int(chunk.counts.sum())
+            yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"row": [], "n_words": [], "digest": [], "open": []})
 
     text = F.col(text_col).cast("binary")
-    seen = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), text.alias("text"), look(text).alias("seen"))
-    return seen.select("row", "id", "seen.n_words", "seen.digest", F.when(F.col("seen.open"), F.col("text")).alias("text"))
+    seen = docs.select(F.col(id_col).alias("id"), text.alias("text"), look(text).alias("seen"))
+    return seen.select("seen.row", "id", "seen.n_words", "seen.digest", F.when(F.col("seen.open"), F.col("text")).alias("text"))
 
 
 def repeated_edges(opened: DataFrame, window: int, repeated) -> DataFrame:
     """``edge`` (hash of a window that occurs twice or more), ``steady`` (the words before and
-    after it are always the same) and its first coordinates ``row``, ``pos``."""
+    after it are always the same) and its first coordinate ``place`` (row and position, added)."""
 
     def list_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, windows = WordHashes(), Windows()
-        for rows, texts in _chunks(batches):
-            chunk = Chunk(texts, known)
+        windows = Windows()
+        for own, texts in pieces(batches, CHUNK_BYTES):
+            rows = own["row"].to_numpy()
+            chunk = Chunk(texts, windows)
             at = chunk.candidates(window, windows, repeated.value)
             if not len(at):
                 continue
@@ -152,31 +141,34 @@ def repeated_edges(opened: DataFrame, window: int, repeated) -> DataFrame:
             after = np.where(at + window < chunk.ends[text], h[np.minimum(at + window, len(h) - 1)], np.uint64(2))
             around = mixed(mixed(before) + np.uint64(3) * after)
             edges = windows(chunk.hashes, window)[at]
-            order = np.lexsort((at, edges))  # equal edges by place: the first is the least
-            edges, around, at, text = edges[order], around[order], at[order], text[order]
+            place = rows[text] + at - chunk.starts[text]
+            order = np.argsort(edges, kind="stable")  # equal edges by place: the first is the least
+            edges, around, place = edges[order], around[order].view(np.int64), place[order]
             starts = np.flatnonzero(np.r_[True, edges[1:] != edges[:-1]])
             n = np.diff(np.r_[starts, len(edges)])
-            signed = around.view(np.int64)
             columns = [
-                _signed(edges[starts]), pa.array(n), pa.array(np.minimum.reduceat(signed, starts)), pa.array(np.maximum.reduceat(signed, starts)),
-                pa.array(rows[text[starts]]), pa.array(at[starts] - chunk.starts[text[starts]]),
+                _signed(edges[starts]), pa.array(n), pa.array(np.minimum.reduceat(around, starts)),
+                pa.array(np.maximum.reduceat(around, starts)), pa.array(place[starts]),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["edge", "n", "low", "high", "row", "pos"])
+            yield pa.RecordBatch.from_arrays(columns, ["edge", "n", "low", "high", "place"])
 
-    listed = opened.select("row", "text").mapInArrow(list_edges, "edge bigint, n bigint, low bigint, high bigint, row bigint, pos bigint")
+    listed = opened.select("row", "text").mapInArrow(list_edges, "edge bigint, n bigint, low bigint, high bigint, place bigint")
     counted = listed.groupBy("edge").agg(
-        F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.min(F.struct("row", "pos")).alias("first")
+        F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.min("place").alias("place")
     )
-    return counted.where("n > 1").select("edge", (F.col("low") == F.col("high")).alias("steady"), "first.row", "first.pos")
+    return counted.where("n > 1").select("edge", (F.col("low") == F.col("high")).alias("steady"), "place")
 
 
 def paths(edges: DataFrame) -> DataFrame:
-    """``path`` (its first edge) and ``n`` (its edges) of the paths without branches."""
-    along = Window.partitionBy("row").orderBy("pos")
-    inner = F.col("steady") & F.lag("steady").over(along) & (F.lag("pos").over(along) == F.col("pos") - 1)
+    """``path`` (its first edge) and ``n`` (its edges) of the paths without branches. Places are looked
+    at in stretches of a fixed length, at whose ends a path is cut."""
+    edges = edges.withColumn("stretch", F.shiftright("place", STRETCH_BITS))
+    along = Window.partitionBy("stretch").orderBy("place")
+    inner = F.col("steady") & F.lag("steady").over(along) & (F.lag("place").over(along) == F.col("place") - 1)
     marked = edges.withColumn("begins", F.when(F.coalesce(inner, F.lit(False)), 0).otherwise(1))
     own = marked.withColumn("number", F.sum("begins").over(along))
-    return own.groupBy("row", "number").agg(F.min_by("edge", "pos").alias("path"), F.count(F.lit(1)).alias("n")).select("path", "n")
+    first = F.max(F.when(F.col("begins") == 1, F.col("edge")))
+    return own.groupBy("stretch", "number").agg(first.alias("path"), F.count(F.lit(1)).alias("n")).select("path", "n")
 
 
 def traversals(opened: DataFrame, found: DataFrame, window: int, repeated, bits: int) -> DataFrame:
@@ -184,9 +176,10 @@ def traversals(opened: DataFrame, found: DataFrame, window: int, repeated, bits:
     heads = membership(found, "path", bits)
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, windows = WordHashes(), Windows()
-        for rows, texts in _chunks(batches):
-            chunk = Chunk(texts, known)
+        windows = Windows()
+        for own, texts in pieces(batches, CHUNK_BYTES):
+            rows = own["row"].to_numpy()
+            chunk = Chunk(texts, windows)
             at = chunk.candidates(window, windows, repeated.value)
             edges = windows(chunk.hashes, window)[at]
             hit = contained(heads.value, edges)
@@ -216,9 +209,8 @@ def verified(opened: DataFrame, spans: DataFrame) -> DataFrame:
     own = spans.groupBy("row").agg(F.collect_list(F.struct("pos", "n_words", "path")).alias("own"))
     read = opened.select("row", "text").join(own, "row").select("row", "own", digests("text", "own.pos", "own.n_words").alias("digests"))
     each = written(read.select("row", F.explode(F.arrays_zip("own", "digests")).alias("one")).select("row", "one.own.*", F.col("one.digests").alias("digest")), "spans")
-    again = each.groupBy("path", "digest").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("path", "digest")
-    sure = each.join(again, ["path", "digest"]).groupBy("row")
-    return sure.agg(F.sort_array(F.collect_list(F.struct("pos", "n_words"))).alias("spans"))
+    single = written(each.groupBy("path", "digest").agg(F.count(F.lit(1)).alias("times")).where("times = 1").select("path", "digest"), "single")
+    return each.join(single, ["path", "digest"], "left_anti").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("pos", "n_words"))).alias("spans"))
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", bits: int = MAP_BITS) -> DataFrame:
