@@ -46,6 +46,37 @@ def test_any_text(codec, library, text):
     agree(codec, library, text)
 
 
+def test_every_code_point(codec, library):
+    codes = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"a{chr(c)}1{chr(c)}b" for c in codes[i : i + 500]) for i in range(0, len(codes), 500)]
+    mine = bpe.TextCodec(codec).batch(texts)
+    for text, found, want in zip(texts, mine, library.encode_batch(texts, add_special_tokens=False)):
+        if found[1] != " ".join(map(str, want.ids)):
+            odd = [hex(ord(w[1])) for w in text.split(" ") if codec.encode(w) != library.encode(w, add_special_tokens=False).ids]
+            assert not odd, odd
+
+
+def test_words_merged_together_or_alone_are_the_same(codec):
+    import random
+
+    draw = random.Random(8)
+    words = ["".join(draw.choice("abcdeilnorstu'é日") for _ in range(draw.randrange(1, 50))) for _ in range(3000)]
+    for word, ids in zip(words, codec.words(words)):
+        data = word.encode()
+        alone = codec.inner[list(data)].tolist()
+        alone[-1] = int(codec.final[data[-1]])
+        assert ids == bpe.merged(alone, codec.ranks, codec.results)
+
+
+def test_cache_keeps_its_bound(codec, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED", 50)
+    one = bpe.TextCodec(codec)
+    for i in range(30):
+        text = " ".join(f"w{i}x{j}," for j in range(20)) + " the <|endoftext|>"
+        assert one(text)[1] == " ".join(map(str, codec.encode(text)))
+        assert len(one.known) <= 50 and len(one.old) <= 50
+
+
 def test_merges_take_the_leftmost_lowest_rank():
     ranks = {1 << 20 | 1: 0, 2 << 20 | 2: 1, 1 << 20 | 2: 2}  # 11 -> 2, 22 -> 3, 12 -> 4
     assert bpe.merged([1, 1, 1], ranks, [2, 3, 4]) == [2, 1]
