@@ -181,9 +181,9 @@ def fleet(spark, scratch):
 
 def test_each_entity_is_as_if_alone(spark, fleet, scratch):
     layout, out = fleet
-    assert (out["entities"], out["entities_warned"]) == (3, 3)
+    assert (out["entities"], out["entities_warned"]) == (4, 4)
     reports = {r["user_id"]: r.asDict(recursive=True) for r in serving.latest_quality(spark, layout, USER).collect()}
-    assert set(reports) == {"01", "1", "x y"}
+    assert set(reports) == {"01", "1", "x y", "none"}  # an empty export has its report, too
     assert {k: v for k, v in counters(reports["01"]).items()} == COUNTERS
     alone = jobs.run_export(spark, put(f"{scratch}/alone.xml", document(measured(WALKED, "10", "2024-05-05 10:00:00"))), f"{scratch}/alone", run_at="t")
     one = reports["1"]
@@ -208,7 +208,7 @@ def test_fleet_serving_keeps_the_entity(spark, fleet):
 
 def test_command_line_runs_a_fleet(spark, fleet, scratch, capsys):
     jobs.main(["--input", f"{scratch}/landing", "--root", f"{scratch}/by-command", "--keys", "user_id"])
-    assert json.loads(capsys.readouterr().out)["entities"] == 3
+    assert json.loads(capsys.readouterr().out)["entities"] == 4
 
 
 def test_arrivals_rebuild_one_export_or_one_entity(spark, scratch):

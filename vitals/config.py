@@ -156,9 +156,14 @@ EVENTS = MetricConfig(
 
 @dataclass(frozen=True)
 class Layout:
-    """Medallion layout below one root (a shared file system URI on a cluster)."""
+    """Medallion layout below one root (a shared file system URI on a cluster).
+
+    The gold tables of a run lie together in a folder of that run; ``run`` names it, or else
+    the pointer that a run switches when all its tables are written (``vitals.plans.snapshots``).
+    """
 
     root: str
+    run: str | None = None
 
     def _p(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -192,8 +197,20 @@ class Layout:
     def quarantine(self) -> str:
         return self._p("silver", "quarantine")
 
+    @property
+    def manifest(self) -> str:
+        """The input files with their key folders."""
+        return self._p("bronze", "manifest")
+
+    @property
+    def gold_dir(self) -> str:
+        return self._p("gold")
+
     def gold(self, table: str) -> str:
-        return self._p("gold", table)
+        from vitals.plans.snapshots import current_run
+
+        run = self.run or current_run(self)
+        return self._p("gold", run, table) if run else self._p("gold", table)
 
     @property
     def quality_dir(self) -> str:

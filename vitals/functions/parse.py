@@ -31,7 +31,7 @@ def parse_double(c: Column | str) -> Column:
     """Text -> double, NULL when the text is no number (never raises)."""
     text = F.btrim(_col(c), F.lit(SPACES))
     number = F.when(text.rlike(NUMERIC_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
-    return F.when(text.rlike(NAN_TEXT), F.lit(float("nan"))).otherwise(number)
+    return F.coalesce(number, F.when(text.rlike(NAN_TEXT), F.lit(float("nan"))))
 
 
 def _wall_clock(c: Column) -> Column:
@@ -68,6 +68,34 @@ def local_day(c: Column | str) -> Column:
     return F.coalesce(plain, _wall_clock(c).cast("date"))
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` made once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def parse_time(c: Column | str) -> Column:
+    """``instant`` and ``day`` of an export timestamp: ``parse_instant`` and ``local_day`` of one reading.
+
+    The loose spellings are looked at only where the export's own layout does not fit.
+    """
+    c = _col(c)
+    plain = F.when(~c.startswith("-"), F.try_to_timestamp(c, F.lit(EXPORT_TIME_FORMAT)))
+    loose = _let(
+        _wall_clock(c),
+        lambda wall: F.struct(
+            F.timestamp_seconds(F.unix_seconds(wall) - _offset_seconds(c)).alias("instant"), wall.cast("date").alias("day")
+        ),
+    )
+    day = F.substring(c, 1, 10).try_cast("date")  # the layout begins with it
+    return _let(plain, lambda p: F.when(p.isNotNull(), F.struct(p.alias("instant"), day.alias("day"))).otherwise(loose))
+
+
+def once(*columns: Column) -> Column:
+    """For ``select``: the named ``columns``, made once. The generator is a step of its own in the plan,
+    so a filter on them, or a projection, does not make them again."""
+    return F.inline(F.array(F.struct(*columns)))
+
+
 def minute_boundaries(start: Column | str, end: Column | str) -> Column:
     """Number of minute boundaries crossed from ``start`` to ``end`` (bigint).
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitals.config import MetricConfig
-from vitals.functions.parse import local_day, minute_boundaries, parse_double, parse_instant
+from vitals.functions.parse import minute_boundaries, once, parse_double, parse_instant, parse_time
 
 
 def _quantity_rows(bronze: DataFrame, cfg: MetricConfig, keys: tuple[str, ...]) -> DataFrame:
@@ -32,11 +32,12 @@ def clean_quantities(bronze: DataFrame, cfg: MetricConfig, keys: tuple[str, ...]
         F.array_position(whitelist, F.col("type")).cast("int").alias("_type"),
         "source_name",
         "unit",
-        parse_double("value").alias("value"),
-        parse_instant("start_date").alias("ts_utc"),
-        local_day("start_date").alias("local_date"),
+        once(parse_double("value").alias("value"), parse_time("start_date").alias("_start")),
+    )
+    start = F.col("_start")
+    valid = typed.where(F.col("value").isNotNull() & start["instant"].isNotNull() & start["day"].isNotNull()).select(
+        *keys, "_type", "source_name", "unit", "value", start["instant"].alias("ts_utc"), start["day"].alias("local_date")
     )
-    valid = typed.where(F.col("value").isNotNull() & F.col("ts_utc").isNotNull() & F.col("local_date").isNotNull())
     decoded = None
     for i, t in enumerate(cfg.quantity_types, start=1):
         decoded = (F.when if decoded is None else decoded.when)(F.col("_type") == i, F.lit(t))
@@ -75,14 +76,13 @@ def reject_counts_from_quarantine(quarantined: DataFrame, keys: tuple[str, ...]
 def quarantine(bronze: DataFrame, cfg: MetricConfig, keys: tuple[str, ...] = ()) -> DataFrame:
     """The rejected quantity rows themselves, with an array of reasons."""
     q = _quantity_rows(bronze, cfg, keys)
-    reasons = F.filter(
+    reasons = F.array_compact(
         F.array(
             F.when(parse_double("value").isNull(), F.lit("invalid_numeric_value")),
             F.when(parse_instant("start_date").isNull(), F.lit("invalid_timestamp")),
-        ),
-        lambda r: r.isNotNull(),
+        )
     )
-    return q.select(*bronze.columns, reasons.alias("reasons")).where(F.size("reasons") > 0)
+    return q.select(*bronze.columns, once(reasons.alias("reasons"))).where(F.size("reasons") > 0)
 
 
 def clean_intervals(bronze: DataFrame, cfg: MetricConfig, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -91,12 +91,14 @@ def clean_intervals(bronze: DataFrame, cfg: MetricConfig, keys: tuple[str, ...]
         *keys,
         F.col("value").alias("stage"),
         "source_name",
-        parse_instant("start_date").alias("start_utc"),
-        parse_instant("end_date").alias("end_utc"),
-        local_day("end_date").alias("local_date"),
+        once(parse_time("start_date").alias("_start"), parse_time("end_date").alias("_end")),
+    )
+    begin, end = F.col("_start.instant"), F.col("_end.instant")
+    valid = typed.where(begin.isNotNull() & end.isNotNull()).select(
+        *keys, "stage", "source_name", begin.alias("start_utc"), end.alias("end_utc"), F.col("_end.day").alias("local_date")
     )
-    valid = typed.where(F.col("start_utc").isNotNull() & F.col("end_utc").isNotNull())
-    return valid.withColumn("minutes", minute_boundaries("start_utc", "end_utc")).distinct()
+    # the minutes follow from the ends, so they need not be part of the key
+    return valid.distinct().withColumn("minutes", minute_boundaries("start_utc", "end_utc"))
 
 
 def clean_workouts(bronze_workouts: DataFrame, cfg: MetricConfig, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -109,10 +111,14 @@ def clean_workouts(bronze_workouts: DataFrame, cfg: MetricConfig, keys: tuple[st
         parse_double("active_energy_kcal").alias("active_energy_kcal"),
         parse_double("distance_km").alias("distance_km"),
         (F.col("indoor") == "1").alias("indoor"),
-        parse_instant("start_date").alias("ts_utc"),
-        local_day("start_date").alias("local_date"),
+        once(parse_time("start_date").alias("_start")),
     )
-    return typed.where(F.col("activity").isNotNull() & F.col("ts_utc").isNotNull()).distinct()
+    start = F.col("_start")
+    valid = typed.where(F.col("activity").isNotNull() & start["instant"].isNotNull())
+    return valid.select(
+        *keys, "activity", "source_name", "duration_min", "active_energy_kcal", "distance_km", "indoor",
+        start["instant"].alias("ts_utc"), start["day"].alias("local_date"),
+    ).distinct()
 
 
 def date_range(silver_records: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:

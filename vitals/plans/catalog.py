@@ -505,6 +505,28 @@ def q_served_sleep(spark, d):
     return serving.metric(spark, Layout(_job_root(spark, d)), "sleep", CFG)
 
 
+@query("served_metrics")
+def q_served_metrics(spark, d):
+    """The list of names, with the rows that each table of the job has."""
+    from vitals.config import Layout
+    from vitals.plans import serving
+
+    return serving.metric_list(spark, Layout(_job_root(spark, d)), CFG)
+
+
+@query("views_over_layers")
+def q_views_over_layers(spark, d):
+    """The job's layers as named views, joined in SQL."""
+    from vitals.config import Layout
+    from vitals.plans import serving
+
+    serving.register_views(spark, Layout(_job_root(spark, d)), CFG)
+    return spark.sql("""
+        SELECT r.type, count(*) AS n_records, count(DISTINCT r.local_date) AS n_days, count(DISTINCT a.local_date) AS walked_days
+        FROM silver_records r LEFT JOIN (SELECT local_date FROM gold_daily_activity WHERE steps > 0) a ON a.local_date = r.local_date
+        GROUP BY r.type""")
+
+
 @query("daily_sparse_by_user")
 def q_daily_sparse_by_user(spark, d):
     return gold.daily_sparse(silver_records(spark, d, USER), CFG, USER)

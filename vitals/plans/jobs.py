@@ -2,8 +2,8 @@
 
 Every stage reads what the previous stage wrote (declared schemas, Parquet
 with zstd) and writes in overwrite mode, so a rerun rebuilds the same layers
-and a lost executor costs one stage, not the whole lineage. Row counters are
-taken from the written files as DataFrames and folded into the report.
+and a lost executor costs one stage, not the whole lineage. Row counters of one export
+come with its writes; those of a fleet are counted by entity from the written files.
 
     spark-submit vitals/plans/jobs.py --input export.xml --root <shared folder>
     spark-submit vitals/plans/jobs.py --input landing --root <shared folder> --keys user_id
@@ -19,8 +19,9 @@ import os
 import sys
 import time
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # submitted as a file, the package lies two folders up
@@ -29,6 +30,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspa
 from vitals import schemas
 from vitals.config import HEALTH, Layout, MetricConfig
 from vitals.operators import bronze, gold, quality, silver
+from vitals.plans import snapshots
 from vitals.session import apply_settings
 from vitals.sources import xml
 
@@ -49,6 +51,26 @@ INGEST_COUNTERS = ["bronze_records", "bronze_workouts", "malformed_records", "ma
 TRANSFORM_COUNTERS = ["bronze_records", "silver_records", "silver_sleep_intervals", "silver_workouts", "invalid_numeric_value", "invalid_timestamp"]
 
 
+class Counted:
+    """Row counters that come with the writes of one export, as observed metrics of the last stage, where
+    each partition counts once however often its task is tried. Nothing is read again."""
+
+    def __init__(self):
+        self.observed: list[Observation] = []
+
+    def on(self, df: DataFrame, **counters: Column) -> DataFrame:
+        """``df``, whose write will give the ``counters`` (aggregates; None if there is no value)."""
+        one = Observation()
+        self.observed.append(one)
+        return df.observe(one, *[c.cast("bigint").alias(name) for name, c in counters.items()])
+
+    def rows(self, spark: SparkSession, names: list[str]) -> DataFrame:
+        """(counter, value) of the writes so far; ``names`` are 0 if a write had no task to count in."""
+        found = dict.fromkeys(names, 0) | {name: value for one in self.observed for name, value in one.get.items() if value is not None}
+        items = [F.struct(F.lit(name).alias("counter"), F.lit(value).cast("bigint").alias("value")) for name, value in found.items()]
+        return spark.range(1).select(F.inline(F.array(*items)))
+
+
 def _write(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     t0 = time.perf_counter()
     w = df.write.mode("overwrite").option("compression", "zstd")
@@ -109,6 +131,7 @@ def ingest(
     (``source/user_id=7/...``): many exports in one job. ``mode="dom"`` takes the records
     from the built-in XML source.
     """
+    _write(xml.manifest(spark, source).select(schemas.keyed(schemas.MANIFEST, keys).names), layout.manifest)
     found = xml.scan_elements(spark, source)
     if mode == "dom":
         records, _ = xml.read_export(spark, source, "dom")
@@ -117,13 +140,22 @@ def ingest(
     interval, quantity = F.col("type") == cfg.sleep_type, F.col("type").isin(*cfg.quantity_types)
     place = F.when(F.col("kind") != "record", "none").when(quantity, "quantity").when(interval, "interval").otherwise("other")
     stored = found.withColumn("class", place).select(schemas.keyed(schemas.ELEMENTS, keys).names)
-    _write(stored, layout.elements, ("kind", "class"))
-    written = elements(spark, layout, keys)
-    _write(bronze.flatten_workouts(xml.workouts_of(written), cfg, keys), layout.bronze_workouts)
     names = {
         "record": "bronze_records", "malformed_record": "malformed_records", "malformed_workout": "malformed_workouts",
         "malformed_metadata": "malformed_metadata", "malformed_statistics": "malformed_statistics",
     }
+    counted = Counted()
+    if not keys:
+        kinds = {n: F.count_if(F.col("kind") == k) for k, n in names.items()}
+        of_children = ("malformed_metadata", "malformed_statistics")  # only where there are any
+        stored = counted.on(stored, **{n: F.when(c > 0, c) if n in of_children else c for n, c in kinds.items()})
+    _write(stored, layout.elements, ("kind", "class"))
+    written = elements(spark, layout, keys)
+    flat = bronze.flatten_workouts(xml.workouts_of(written), cfg, keys)
+    if not keys:
+        _write(counted.on(flat, bronze_workouts=F.count(F.lit(1))), layout.bronze_workouts)
+        return counted.rows(spark, INGEST_COUNTERS)
+    _write(flat, layout.bronze_workouts)
     counter = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])[F.col("kind")]
     by_kind = written.where(F.col("kind").isin(*names)).groupBy(*keys, counter.alias("counter")).agg(F.count(F.lit(1)).alias("value"))
     workouts = quality.count_rows(_layer(spark, layout.bronze_workouts, schemas.BRONZE_WORKOUTS, keys), "bronze_workouts", keys)
@@ -131,24 +163,37 @@ def ingest(
 
 
 def _zeros(spark: SparkSession, layout: Layout, names: list[str], keys: tuple[str, ...]) -> DataFrame:
-    """The counters of a stage at 0, for the export or for each entity with an element."""
-    entities = elements(spark, layout, keys).select(*keys) if keys else spark.range(1)
-    return quality.zero_counters(entities, names, keys)
+    """The counters of a stage at 0, for each entity that has an export, be it empty."""
+    return quality.zero_counters(_layer(spark, layout.manifest, schemas.MANIFEST, keys), names, keys)
 
 
-def transform(spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Silver: typed records, sleep intervals and workouts, and the quarantine."""
+def transform(
+    spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, keys: tuple[str, ...] = (), count_bronze: bool = True
+) -> DataFrame:
+    """Silver: typed records, sleep intervals and workouts, and the quarantine. ``count_bronze``: the counters
+    hold the bronze records too, which the ingest of the same run has counted already."""
     quantities = bronze_records(spark, layout, keys, "quantity")
     intervals = bronze_records(spark, layout, keys, "interval")
     bw = _layer(spark, layout.bronze_workouts, schemas.BRONZE_WORKOUTS, keys)
+    clean, counted, n = silver.clean_quantities(quantities, cfg, keys), Counted(), F.count(F.lit(1))
+    sleep, workouts, rejected = silver.clean_intervals(intervals, cfg, keys), silver.clean_workouts(bw, cfg, keys), silver.quarantine(quantities, cfg, keys)
+    if not keys:
+        day = {"first_local_day": F.unix_date(F.min("local_date")), "last_local_day": F.unix_date(F.max("local_date"))}
+        clean = counted.on(clean, silver_records=n, **day)
+        sleep, workouts = counted.on(sleep, silver_sleep_intervals=n), counted.on(workouts, silver_workouts=n)
+        reasons = ("invalid_numeric_value", "invalid_timestamp")
+        rejected = counted.on(rejected, **{r: F.count_if(F.array_contains("reasons", r)) for r in reasons})
     write_all(
         [
-            (silver.clean_quantities(quantities, cfg, keys), layout.silver_records),
-            (silver.clean_intervals(intervals, cfg, keys), layout.silver_sleep),
-            (silver.clean_workouts(bw, cfg, keys), layout.silver_workouts),
-            (silver.quarantine(quantities, cfg, keys), layout.quarantine),
+            (clean, layout.silver_records),
+            (sleep, layout.silver_sleep),
+            (workouts, layout.silver_workouts),
+            (rejected, layout.quarantine),
         ]
     )
+    if not keys:
+        found = counted.rows(spark, TRANSFORM_COUNTERS[1:])
+        return found.unionByName(quality.count_rows(bronze_records(spark, layout), "bronze_records")) if count_bronze else found
     # reject counters from the (small) quarantine rather than another bronze pass
     rejects = silver.reject_counts_from_quarantine(_layer(spark, layout.quarantine, schemas.QUARANTINE, keys), keys)
     records = _layer(spark, layout.silver_records, schemas.SILVER_RECORDS, keys)
@@ -179,31 +224,43 @@ def transform(spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, k
 def build(spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, keys: tuple[str, ...] = ()) -> DataFrame:
     """Gold: all rollups. Point and sparse metrics come out of one aggregation
     and are stored together, partitioned by metric; each later table reads the
-    written tables it depends on, by their declared schemas (a table may be empty)."""
+    written tables it depends on, by their declared schemas (a table may be empty).
+    Readers are switched to the tables of this run when all of them are written."""
     recs = _layer(spark, layout.silver_records, schemas.SILVER_RECORDS, keys)
     sleep = _layer(spark, layout.silver_sleep, schemas.SILVER_SLEEP, keys)
     wk = _layer(spark, layout.silver_workouts, schemas.SILVER_WORKOUTS, keys)
+    run = replace(layout, run=snapshots.new_run())
+    names, counted = [name for name, _ in (*cfg.point, *cfg.sparse)], Counted()
+
+    def table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> tuple:
+        if not keys:
+            counters = {f"gold_{n}": F.count_if(F.col("metric") == n) for n in names} if partition_by else {name: F.count(F.lit(1))}
+            df = counted.on(df, **counters)
+        return df, run.gold(name), partition_by
 
     write_all(
         [
-            (gold.daily_stats(recs, cfg, keys), layout.gold("daily_metrics"), ("metric",)),
-            (gold.daily_activity(recs, cfg, keys), layout.gold("gold_daily_activity")),
-            (gold.daily_sleep(sleep, cfg, keys), layout.gold("gold_daily_sleep")),
-            (gold.gold_workouts(wk, keys), layout.gold("gold_workouts")),
-            (gold.workout_summary(wk, keys), layout.gold("gold_workout_summary")),
+            table(gold.daily_stats(recs, cfg, keys), "daily_metrics", ("metric",)),
+            table(gold.daily_activity(recs, cfg, keys), "gold_daily_activity"),
+            table(gold.daily_sleep(sleep, cfg, keys), "gold_daily_sleep"),
+            table(gold.gold_workouts(wk, keys), "gold_workouts"),
+            table(gold.workout_summary(wk, keys), "gold_workout_summary"),
         ]
     )
     inputs = ("daily_metrics", "gold_daily_activity", "gold_workouts", "gold_workout_summary")
-    daily, activity, workouts, totals = (gold_table(spark, layout, t, cfg, keys) for t in inputs)
+    daily, activity, workouts, totals = (gold_table(spark, run, t, cfg, keys) for t in inputs)
     s = gold.summary(daily, activity, workouts, totals, cfg, keys)
     levels = gold.calendar_levels(activity, cfg, keys)
-    write_all([(levels, layout.gold("gold_daily_calendar")), (s, layout.gold("gold_summary"))])
+    write_all([table(levels, "gold_daily_calendar"), table(s, "gold_summary")])
+    snapshots.publish(spark, layout, run.run)
+    every = [f"gold_{n}" for n in names] + list(GOLD_TABLES)
+    if not keys:
+        return counted.rows(spark, every)
 
-    names = [name for name, _ in (*cfg.point, *cfg.sparse)]
-    zeros = _zeros(spark, layout, [f"gold_{n}" for n in names] + list(GOLD_TABLES), keys)
+    zeros = _zeros(spark, layout, every, keys)
     by_metric = daily.where(F.col("metric").isin(*names)).groupBy(*keys, "metric").agg(F.count(F.lit(1)).alias("value"))
     metrics = by_metric.select(*keys, F.concat(F.lit("gold_"), "metric").alias("counter"), "value")
-    counts = [quality.count_rows(gold_table(spark, layout, t, cfg, keys), t, keys) for t in GOLD_TABLES]
+    counts = [quality.count_rows(gold_table(spark, run, t, cfg, keys), t, keys) for t in GOLD_TABLES]
     return quality.merge_counters([zeros, metrics, *counts], keys)
 
 
@@ -248,7 +305,7 @@ def run_export(
     counters = quality.merge_counters(
         [
             ingest(spark, source, layout, cfg, mode, keys),
-            transform(spark, layout, cfg, keys),
+            transform(spark, layout, cfg, keys, count_bronze=False),
             build(spark, layout, cfg, keys),
         ],
         keys,

@@ -8,6 +8,9 @@ result, and an ``entity`` (key -> value) to read one entity's rows only.
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +18,8 @@ from pyspark.sql import functions as F
 from vitals import schemas
 from vitals.config import HEALTH, METRIC_TABLES, Layout, MetricConfig
 from vitals.functions.text import iso_date
-from vitals.plans.jobs import gold_table, metric_frame
+from vitals.plans.jobs import GOLD_TABLES, _layer, bronze_records, gold_table, metric_frame
+from vitals.plans.snapshots import current_run
 
 Keys = tuple[str, ...]
 Entity = dict[str, str]
@@ -25,6 +29,40 @@ def metric_names() -> list[str]:
     return sorted(METRIC_TABLES)
 
 
+def served(cfg: MetricConfig = HEALTH) -> list[str]:
+    """The names whose tables ``cfg`` has, sorted."""
+    own = {*(f"gold_{n}" for n, _ in (*cfg.point, *cfg.sparse)), *GOLD_TABLES}
+    return sorted(name for name, table in METRIC_TABLES.items() if table in own)
+
+
+def metric_list(spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, keys: Keys = ()) -> DataFrame:
+    """The list of names that can be asked for, with the rows that each has now."""
+    counts = [
+        _table(spark, layout, METRIC_TABLES[name], cfg, keys).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n_rows"))
+        for name in served(cfg)
+    ]
+    return reduce(DataFrame.unionByName, counts).orderBy("name")
+
+
+def register_views(spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, keys: Keys = ()) -> list[str]:
+    """The layers as temporary views for ``spark.sql``, each by its name; returns the names. Gold views are
+    those of the run that is current now."""
+    pinned = replace(layout, run=layout.run or current_run(layout))
+    layers = {
+        "bronze_records": bronze_records(spark, layout, keys),
+        "bronze_workouts": _layer(spark, layout.bronze_workouts, schemas.BRONZE_WORKOUTS, keys),
+        "silver_records": _layer(spark, layout.silver_records, schemas.SILVER_RECORDS, keys),
+        "silver_sleep": _layer(spark, layout.silver_sleep, schemas.SILVER_SLEEP, keys),
+        "silver_workouts": _layer(spark, layout.silver_workouts, schemas.SILVER_WORKOUTS, keys),
+        "quarantine": _layer(spark, layout.quarantine, schemas.QUARANTINE, keys),
+    }
+    for table in (*(f"gold_{n}" for n, _ in (*cfg.point, *cfg.sparse)), *GOLD_TABLES):
+        layers[table] = _table(spark, pinned, table, cfg, keys)
+    for name, df in layers.items():
+        df.createOrReplaceTempView(name)
+    return list(layers)
+
+
 def _of(df: DataFrame, entity: Entity | None) -> DataFrame:
     """The rows of one entity; the comparison is pushed down to the files."""
     for key, value in (entity or {}).items():

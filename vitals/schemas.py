@@ -63,6 +63,9 @@ ELEMENTS = T.StructType(
     ]
 )
 
+# The files that a run has read.
+MANIFEST = T.StructType([T.StructField("path", S)])
+
 # Silver.
 SILVER_RECORDS = T.StructType(
     [

@@ -1,11 +1,11 @@
-"""Session settings the operators rely on, and the lineage-cut helper."""
+"""Session settings the operators rely on, and scratch folders."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings that change results: instants are UTC, parse failures are NULL via
 # try_* functions, and the datetime parser is the java.time one.
@@ -80,12 +80,6 @@ def _delete_at_end(spark: SparkSession, path: str) -> None:
     system.deleteOnExit(folder)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder; survives executor loss."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 _SCRATCH: dict[str, str] = {}
 
 

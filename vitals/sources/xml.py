@@ -1,33 +1,50 @@
-"""Export XML as rows: one positional scan for records and workouts.
+"""Export XML as rows: a positional scan for records and workouts in built-in expressions.
 
 The file is read as text cut at every ``<`` (a raw ``<`` cannot stand inside an
 attribute), so a row is one tag and the text behind it: a few hundred characters,
-wherever the file is split. Rows of a split arrive in document order. A task keeps the
-stack of open elements and the comment or CDATA state, so it knows for each tag whether
-it is real, and which workout it lies in, at any depth.
-
-What a split begins inside of is decided first, by a boundary pass: each split is
-summed up to what it does to the state (three rows, one for each state it may begin
-in), and the few rows of a file are folded in order. Only the splits that begin inside a
-workout, a comment or a CDATA section keep a row; that table is broadcast to the scan
-and holds one row per split at most. Nothing else crosses splits: records are not
-shuffled, and only the rows of workouts are, to be put together.
+wherever the file is split. What a row means depends on what lies before it: it may be
+inside a workout, a comment, a CDATA section or a processing instruction. Few tags change that:
+
+1. One aggregation over the text keeps for each split only its *moves*: the tags that open
+   or close a workout, and the beginnings and ends of what is no markup. A split is summed up
+   by what its moves do to the state, from each state it may begin in (``Summary``).
+2. Summaries are associative: the splits of a file are combined in groups, the groups in order,
+   and then the splits of each group, so a file may have any number of splits.
+3. With the state that each split begins in, its moves give the *spans* of rows inside a workout
+   or inside what is no markup, cut at every 32 rows. Python sees moves only.
+4. The scan proper joins the rows with the spans of their bucket (the size of that table
+   decides how). Records in no span are read by built-in functions. The rows inside workouts
+   are a second, small lane: running depths tell which element is a child of which.
+
+Attributes as exports write them are cut out by position; any other legal spelling is read by
+Spark's XML parser, one tag at a time, and what that refuses is malformed: raw ``&``, doubled
+attributes, open quotes, and references to what is no character.
+
+The places of rows hold for two scans of one listing with the same splits, so the scan runs
+in a session of its own that fixes what decides on splits; the caller's settings are not touched.
 
 ``mode="dom"`` reads records with the built-in XML source instead (one task per file).
 """
 
 from __future__ import annotations
 
-import re
+import json
+import sys
 from collections.abc import Iterator
+from functools import reduce
+from urllib.parse import unquote
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitals.schemas import CORRUPT, RECORD_ATTRIBUTES, RECORD_FIELDS, XML_RECORD_PARSE, XML_WORKOUT
+from vitals.session import scratch_path
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of the package
 
 XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
@@ -42,190 +59,140 @@ ELEMENT_FIELDS = {
     "WorkoutStatistics": {"type": "type", "sum": "value"},
 }
 KINDS = {"Workout": "workout", "MetadataEntry": "metadata", "WorkoutStatistics": "statistics"}
-PLACE = "workout string, block bigint, row bigint"
-ELEMENTS = ", ".join([*(f"{f} string" for f in RECORD_FIELDS), PLACE, "kind string"])
-
-
-def _functions():
-    """The functions that run in tasks (nested, so that they travel by value)."""
-    attribute = re.compile(r"""\s+([A-Za-z_:][-\w:.]*)\s*=\s*("[^"<]*"|'[^'<]*')""")
-    open_tag = re.compile(r"""([A-Za-z_:][-\w:.]*)((?:\s+[A-Za-z_:][-\w:.]*\s*=\s*(?:"[^"]*"|'[^']*'))*)\s*(/?)>""")
-    entity = re.compile(r"&(?:#(\d+)|#x([0-9a-fA-F]+)|(lt|gt|amp|quot|apos));|&")
-    before_value = re.compile(r"\s+([A-Za-z_:][-\w:.]*)\s*=\s*")
-    tag_end = re.compile(r"\s*/?>")
-    named = {"lt": "<", "gt": ">", "amp": "&", "quot": '"', "apos": "'"}
-    blanks = str.maketrans("\t\n\r", "   ")
-    elements = ELEMENT_FIELDS
-    # the attribute that goes to each output column, for each element; a malformed one's text goes to the last
-    order = {e: [{f: a for a, f in own.items()}.get(f) for f in RECORD_FIELDS] for e, own in elements.items()}
-    malformed = [None] * (len(RECORD_FIELDS) - 1) + ["value"]
-
-    def decoded(found: re.Match) -> str:
-        if found[3]:
-            return named[found[3]]
-        if found[1] or found[2]:
-            return chr(int(found[1] or found[2], 10 if found[1] else 16))
-        raise ValueError("a raw & in an attribute")
-
-    class State:
-        """The open elements (a workout's id, or an empty text) and ``mode``: N plain, C comment, D CDATA."""
-
-        def __init__(self, mode: str = "N", stack: list[str] | None = None):
-            self.mode, self.stack, self.popped = mode, list(stack or []), 0
-            self.inside = sum(map(bool, self.stack))
-
-        def tag(self, text: str, number: int, block: int):
-            """Take the row ``text``; the name of the element it opens, or None. ``number``
-            counts the rows of the split that look like a workout's open tag."""
-            if self.mode != "N":
-                if ("-->" if self.mode == "C" else "]]>") in text:
-                    self.mode = "N"
-                return None
-            first = text[:1]
-            if first == "/":
-                if self.stack:
-                    self.inside -= bool(self.stack.pop())
-                else:
-                    self.popped += 1
-                return None
-            if first == "!":
-                if text.startswith("!--"):
-                    self.mode = "N" if "-->" in text[3:] else "C"
-                elif text.startswith("![CDATA["):
-                    self.mode = "N" if "]]>" in text else "D"
-                return None
-            if not (first.isalpha() or first in "_:" and first):
-                return None
-            name = text[: text.find(" ")]
-            if not name.isalpha():  # no blank, or another character before it
-                name = re.split(r"[\s/>]", text, maxsplit=1)[0]
-            if text.count(">") == 1:
-                closed = text[text.index(">") - 1] == "/"
-            else:
-                found = open_tag.match(text)
-                closed = bool(found[3]) if found else text.partition(">")[0].endswith("/")
-            if not closed:
-                self.stack.append(f"{block}:{number}" if name == "Workout" else "")
-                self.inside += name == "Workout"
-            return name
-
-    known: dict[str, str | None] = {}  # what stands before a quoted value -> the attribute's name
-
-    def name_before(text: str) -> str | None:
-        if text not in known:
-            if len(known) > 1000:
-                known.clear()
-            found = before_value.fullmatch(text)
-            known[text] = found and found[1]
-        return known[text]
-
-    def value_of(text: str) -> str:
-        if not text.isprintable():
-            text = text.translate(blanks)
-        return entity.sub(decoded, text) if "&" in text else text
-
-    def attributes(text: str) -> dict[str, str]:
-        """The attributes of an open tag; ValueError if it is malformed."""
-        tag, pieces = {}, text.split('"')
-        head = re.match(r"[^\s/>'\"]+", text)
-        pieces[0] = pieces[0][head.end() :] if head else ""
-        for i in range(0, len(pieces), 2):  # between values: a name and '=', or the tag's end
-            piece = pieces[i]
-            if ">" in piece or "'" in piece:
-                break
-            name = known.get(piece) or name_before(piece)
-            if name is None or name in tag or i + 2 >= len(pieces):
-                raise ValueError("malformed attributes")
-            value = pieces[i + 1]
-            tag[name] = value if "&" not in value and value.isprintable() else value_of(value)
-        if tag_end.match(piece):
-            return tag
-        found = open_tag.match(text)  # values in apostrophes
-        pairs = attribute.findall(found[2]) if found else []
-        tag = {k: value_of(v[1:-1]) for k, v in pairs}
-        if not found or len(tag) < len(pairs) or "<" in found[2]:
-            raise ValueError("malformed attributes")
-        return tag
-
-    def splits(batches: Iterator[pa.RecordBatch]):
-        """(keys, file, block, rows) for the runs of rows of one split, in order."""
-        for batch in batches:
-            columns = batch.to_pydict()
-            files, blocks, texts = columns.pop("file"), columns.pop("block"), columns.pop("value")
-            modes, stacks = columns.pop("mode", None), columns.pop("stack", None)
-            start = 0
-            while start < len(files):
-                end = start + 1
-                while end < len(files) and blocks[end] == blocks[start] and files[end] == files[start]:
-                    end += 1
-                keys = {k: v[start] for k, v in columns.items()}
-                begin = (modes[start] or "N", stacks[start] or []) if modes else ("N", [])
-                yield keys, files[start], blocks[start], texts[start:end], begin
-                start = end
-
-    def is_workout(text: str) -> bool:
-        return text.startswith("Workout") and text[7:8] in (" ", "\t", "\n", "\r", "/", ">", "")
-
-    def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """What each split does to the state that it begins in."""
-        done, place, number = {}, None, 0
-        for _, file, block, texts, _ in splits(batches):
-            if place != (file, block):
-                place, number = (file, block), 0
-                done[place] = [State("N"), State("C"), State("D")]
-            states = done[place]
-            for text in texts:
-                number += is_workout(text)
-                for state in states:
-                    state.tag(text, number, block)
-        rows = [(f, b, s, x.mode, x.popped, x.stack) for (f, b), found in done.items() for s, x in zip("NCD", found)]
-        columns = list(zip(*rows)) if rows else [[]] * 6
-        types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.string())]
-        names = ["file", "block", "begin", "finish", "popped", "pushed"]
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=names)
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The elements of interest, with the workout that they lie in."""
-        place, number, row, state = None, 0, 0, State()
-        for keys, file, block, texts, begin in splits(batches):
-            if place != (file, block):
-                place, number, row, state = (file, block), 0, 0, State(*begin)
-            out = []
-            for text in texts:
-                row += 1
-                number += is_workout(text)
-                parent = state.stack[-1] if state.stack else ""
-                inside = state.inside
-                name = state.tag(text, number, block)
-                if name not in elements or (name in KINDS and name != "Workout" and not parent):
-                    continue
-                try:
-                    found = attributes(text)
-                    kind = KINDS.get(name) or ("nested" if inside else "record")
-                except ValueError:
-                    found, kind = {"value": text}, f"malformed_{KINDS.get(name, 'record')}"
-                columns_of = malformed if kind.startswith("malformed") else order[name]
-                workout = f"{block}:{number}" if name == "Workout" else parent
-                out.append((*map(found.get, columns_of), workout, block, row, kind))
-            columns = list(zip(*out)) if out else [[]] * (len(RECORD_FIELDS) + 4)
-            types = [*[pa.string()] * (len(RECORD_FIELDS) + 1), pa.int64(), pa.int64(), pa.string()]
-            arrays = [pa.array(list(c), t) for c, t in zip(columns, types)]
-            own = [*(pa.array([v] * len(out), pa.string()) for v in keys.values()), pa.array([file] * len(out), pa.int64())]
-            names = [*RECORD_FIELDS, "workout", "block", "row", "kind", *keys, "file"]
-            yield pa.RecordBatch.from_arrays([*arrays, *own], names=names)
-
-    def folded(rows: pd.DataFrame) -> pd.DataFrame:
-        """What each split of one file begins inside of, if anything."""
-        out, mode, stack = [], "N", []
-        for block, own in rows.sort_values("block").groupby("block", sort=True):
-            if mode != "N" or any(stack):
-                out.append((own["file"].iloc[0], block, mode, list(stack)))
-            did = own[own["begin"] == mode].iloc[0]
-            stack = stack[: max(0, len(stack) - int(did["popped"]))] + list(did["pushed"])
-            mode = did["finish"]
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder of a key without a value
+BUCKET_BITS = 5  # 32 rows look up their spans together
+GROUP_SPLITS = 256  # splits of a file that are combined together
+
+# A tag up to its end, with quotes closed; the second group is its attributes
+TAG = r"""^([^\s/>"']+)((?:[^"'>/]++|/(?!>)|"[^"]*+"|'[^']*+')*+)/?>"""
+CLOSED_TAG = r"""^(?:[^"'>/]++|/(?!>)|"[^"]*+"|'[^']*+')*+/>"""
+# Attributes, and the text behind the tag, as exports write them
+PLAIN_TAG = r"""^(?: [A-Za-z_:][\w:.-]*+="[^"\t\n\r]*+")*+ ?/?>[^">]*$"""
+NAME = r''' ([A-Za-z_:][\w:.-]*+)="[^"]*+"'''
+LEADING = r"^\s*[\t\n\r]\s*"
+ODD_REFERENCE = "&(?!(?:lt|gt|amp|quot|apos);)"
+NAMED = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
+
+
+# ------------------------------------------------------------ the state along a file
+
+
+ACTIONS = "-WwxCDP"
+
+
+def unpacked(moves) -> list[tuple[int, str, int]]:
+    """(row, action, ends) of packed moves."""
+    return [(m >> 6, ACTIONS[m & 7], m >> 3 & 7) for m in map(int, moves)]
+
+
+class Summary(list):
+    """What a run of splits does to the state: for each of the modes N (markup), C (comment), D (CDATA), P
+    (processing instruction) that it may begin in, the mode it ends in, how many open
+    workouts it closes, and which it leaves open."""
+
+    MODES = "NCDP"
+
+    @classmethod
+    def of(cls, block: int, moves: list[tuple[int, str, int]]) -> Summary:
+        out = cls()
+        for mode in cls.MODES:
+            popped, pushed = 0, []
+            for row, action, ends in moves:
+                if mode != "N":
+                    if ends >> "CDP".index(mode) & 1:
+                        mode = "N"
+                elif action == "W":
+                    pushed.append(f"{block}:{row}")
+                elif action == "x":
+                    if pushed:
+                        pushed.pop()
+                    else:
+                        popped += 1
+                elif action in "CDP":
+                    mode = action
+            out.append([mode, popped, pushed])
+        return out
+
+    def then(self, other: Summary) -> Summary:
+        """The summary of this run followed by ``other`` (associative)."""
+        out = Summary()
+        for finish, popped, pushed in self:
+            end, closes, opens = other[self.MODES.index(finish)]
+            left = max(0, len(pushed) - closes)
+            out.append([end, popped + max(0, closes - len(pushed)), pushed[:left] + opens])
+        return out
+
+    def after(self, mode: str, stack: list[str]) -> tuple[str, list[str]]:
+        """The state behind the run, from the state in front of it."""
+        finish, popped, pushed = self[self.MODES.index(mode)]
+        return finish, stack[: max(0, len(stack) - popped)] + pushed
+
+
+def spans_of(block: int, first: int, last: int, moves, mode: str, stack: list[str]) -> Iterator[tuple[int, int, str | None]]:
+    """(from row, to row, outermost workout) of the rows of a split inside a workout; None as
+    workout: inside what is no markup. A workout's own tags are inside."""
+    start, stack = first, list(stack)
+    for row, action, ends in moves:
+        if mode != "N":
+            if ends >> "CDP".index(mode) & 1:
+                yield start, row, None
+                mode, start = "N", row + 1
+        elif action == "W":
+            if not stack:
+                start = row
+            stack.append(f"{block}:{row}")
+        elif action == "w" and not stack:
+            yield row, row, f"{block}:{row}"
+        elif action == "x" and stack:
+            outer = stack[0]
+            stack.pop()
+            if not stack:
+                yield start, row, outer
+        elif action in "CDP":
+            if stack:
+                yield start, row, stack[0]
+            mode, start = action, row + 1
+    if start <= last and (mode != "N" or stack):
+        yield start, last, None if mode != "N" else stack[0]
+
+def starts_of(splits: DataFrame, reach: int) -> DataFrame:
+    """``mode`` and ``stack`` in front of each split. ``splits`` has ``file``, ``block`` (the offset)
+    and ``summary`` (text); ``reach`` is the bytes of a group of splits.
+
+    A prefix scan in three small steps: the splits of a group are combined, the groups of a
+    file are run through in order, and with what that gives the splits of each group.
+    """
+    grouped = splits.withColumn("part", F.floor(F.col("block") / reach).cast("bigint"))
+
+    def combine(rows: pd.DataFrame) -> pd.DataFrame:
+        whole = None
+        for text in rows.sort_values("block")["summary"]:
+            one = Summary(json.loads(text))
+            whole = one if whole is None else whole.then(one)
+        return pd.DataFrame({"file": rows["file"].iloc[:1], "part": rows["part"].iloc[:1], "summary": [json.dumps(whole)]})
+
+    def through_parts(rows: pd.DataFrame) -> pd.DataFrame:
+        out, state = [], ("N", [])
+        for part, text in rows.sort_values("part")[["part", "summary"]].itertuples(index=False):
+            out.append((rows["file"].iloc[0], part, *state))
+            state = Summary(json.loads(text)).after(*state)
+        return pd.DataFrame(out, columns=["file", "part", "mode", "stack"])
+
+    def through_splits(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("block")
+        out, state = [], (rows["mode"].iloc[0], list(rows["stack"].iloc[0]))
+        for block, text in rows[["block", "summary"]].itertuples(index=False):
+            out.append((rows["file"].iloc[0], block, *state))
+            state = Summary(json.loads(text)).after(*state)
         return pd.DataFrame(out, columns=["file", "block", "mode", "stack"])
 
-    return summaries, scan, folded
+    parts = grouped.groupBy("file", "part").applyInPandas(combine, "file bigint, part bigint, summary string")
+    begins = parts.groupBy("file").applyInPandas(through_parts, "file bigint, part bigint, mode string, stack array<string>")
+    own = grouped.select("file", "part", "block", "summary").join(begins, ["file", "part"])
+    return own.groupBy("file", "part").applyInPandas(through_splits, "file bigint, block bigint, mode string, stack array<string>")
+
+
+# ------------------------------------------------------------ rows of text
 
 
 def _keys(df: DataFrame, known: set[str]) -> list[str]:
@@ -233,9 +200,20 @@ def _keys(df: DataFrame, known: set[str]) -> list[str]:
     return [c for c in df.columns if c not in known]
 
 
+def _scan_session(spark: SparkSession) -> SparkSession:
+    """A session with the caller's settings in which splits stay the same however many executors
+    there are, and key folders are text (``01`` and ``1`` are two entities)."""
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if name.startswith("spark.sql.") and spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
+    own.conf.set("spark.sql.files.minPartitionNum", str(max(1, spark.sparkContext.defaultParallelism)))
+    return own
+
+
 def _text(spark: SparkSession, path: str) -> DataFrame:
-    """Rows cut at ``<`` with their file and the place of their split; folder keys as text."""
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")  # 01 and 1 are two entities
+    """Rows cut at ``<`` with their file, the place of their split, and a number that grows along a split."""
     try:
         chunks = spark.read.option("lineSep", "<").text(path)
     except AnalysisException as e:
@@ -245,28 +223,220 @@ def _text(spark: SparkSession, path: str) -> DataFrame:
     keys = _keys(chunks, {"value"})
     # a file goes by the hash of its path: eight bytes a row instead of the path
     place = [F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
-    return chunks.select(*[F.col(k).cast("string").alias(k) for k in keys], *place, "value")
+    row = F.monotonically_increasing_id().alias("row")
+    return chunks.select(*[F.col(k).cast("string").alias(k) for k in keys], *place, row, "value")
+
+
+def _closed(value: Column) -> Column:
+    """Whether an open tag closes itself."""
+    single = F.length(value) - F.length(F.replace(value, F.lit(">"), F.lit(""))) == 1
+    loose = ~value.rlike(TAG) & value.rlike("^[^>]*/>")  # quotes that do not match: up to the first >
+    return F.when(single, value.contains("/>")).otherwise(value.rlike(CLOSED_TAG) | loose)
+
+
+def _is_tag(value: Column, name: str) -> Column:
+    return value.startswith(name) & value.rlike(rf"^{name}(?:[\s/>]|$)")
+
+
+def _spans(text: DataFrame) -> DataFrame:
+    """``bucket`` and ``spans`` (array of lo, hi, outer) for the rows of ``text`` that are inside a
+    workout or (outer null) inside what is no markup. Written to the shared folder, so that
+    its size is known when it is joined."""
+    spark, v = text.sparkSession, F.col("value")
+
+    def begins(start: str, end: str, mode: str) -> Column:
+        return F.when(F.substr(v, F.lit(len(start) + 1)).contains(end), "-").otherwise(mode)
+
+    action = (
+        F.when(v.startswith("!--"), begins("!--", "-->", "C"))
+        .when(v.startswith("![CDATA["), begins("![CDATA[", "]]>", "D"))
+        .when(v.startswith("?"), begins("?", "?>", "P"))
+        .when(_is_tag(v, "Workout"), F.when(_closed(v), "w").otherwise("W"))
+        .when(v.startswith("/Workout") & v.rlike(r"^/Workout\s*(?:>|$)"), "x")
+        .otherwise("-")
+    )
+    ends = v.contains("-->").cast("int") + v.contains("]]>").cast("int") * 2 + v.contains("?>").cast("int") * 4
+    # a move as one number: its row, its action, its ends
+    code = F.instr(F.lit(ACTIONS), action) - 1 + F.lit(8) * ends
+    told = text.select("file", "block", "row", F.inline(F.array(F.struct(code.alias("code")))))
+    move = F.when(F.col("code") > 0, F.shiftleft("row", 6) + F.col("code"))
+    splits = told.groupBy("file", "block").agg(
+        F.min("row").alias("first"), F.max("row").alias("last"), F.sort_array(F.collect_list(move)).alias("moves")
+    )
+    path = scratch_path(spark, "splits")
+    splits.write.parquet(path)
+    # small, but much work in Python for each row: not packed into few tasks
+    splits = spark.read.schema(splits.schema).parquet(path).repartition(spark.sparkContext.defaultParallelism, "file", "block")
+
+    @F.pandas_udf("string")
+    def summary(blocks: pd.Series, moves: pd.Series) -> pd.Series:
+        return pd.Series([json.dumps(Summary.of(b, unpacked(own))) for b, own in zip(blocks, moves)], dtype=object)
+
+    reach = GROUP_SPLITS * int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    starts = starts_of(splits.select("file", "block", summary("block", "moves").alias("summary")), reach)
+
+    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for s in batch.to_pylist():
+                for lo, hi, outer in spans_of(s["block"], s["first"], s["last"], unpacked(s["moves"]), s["mode"], s["stack"]):
+                    for b in range(lo >> BUCKET_BITS, (hi >> BUCKET_BITS) + 1):
+                        out.append((b, max(lo, b << BUCKET_BITS), min(hi, (b + 1 << BUCKET_BITS) - 1), outer))
+            columns = list(zip(*out)) if out else [[]] * 4
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=["bucket", "lo", "hi", "outer"])
+
+    found = splits.join(starts, ["file", "block"]).select("block", "first", "last", "moves", "mode", "stack")
+    table = found.mapInArrow(spans, "bucket bigint, lo bigint, hi bigint, outer string")
+    table = table.groupBy("bucket").agg(F.collect_list(F.struct("lo", "hi", "outer")).alias("spans"))
+    path = scratch_path(spark, "spans")
+    table.write.parquet(path)
+    return spark.read.schema(table.schema).parquet(path)
+
+
+def _span(row: Column) -> Column:
+    """The span of ``spans`` that ``row`` lies in; NULL if there is none."""
+    return F.try_element_at(F.filter("spans", lambda s: row.between(s["lo"], s["hi"])), F.lit(1))
+
+
+# ------------------------------------------------------------ attributes
+
+
+def _decoded(value: Column) -> Column:
+    out = value
+    for entity, char in NAMED:
+        out = F.replace(out, F.lit(entity), F.lit(char))
+    return F.when(value.contains("&"), out).otherwise(value)
+
+
+def _once(rows: DataFrame, *columns: Column) -> DataFrame:
+    """``rows`` with ``columns``, made by a generator over one row, which no later step repeats."""
+    return rows.select("*", F.inline(F.array(F.struct(*columns))))
+
+
+def _with_fields(rows: DataFrame, name: Column, elements: list[str], keep: list[str]) -> DataFrame:
+    """``keep``, the record fields of the open tag ``value`` of the element ``name``, one of ``elements``, and
+    ``good``: the tag is well-formed (the fields are NULL if not)."""
+
+    def attribute_of(field: str, around: str, pick) -> Column:
+        """For each element ``pick`` of its attribute for ``field``; NULL without one."""
+        out = F.lit(None).cast("string")
+        for element in elements:
+            for a, target in ELEMENT_FIELDS[element].items():
+                if target == field:
+                    out = pick(around.format(a)) if len(elements) == 1 else F.when(name == element, pick(around.format(a))).otherwise(out)
+        return out
+
+    body = F.substr(F.col("value"), F.length(name) + 1)
+    body = F.when(body.rlike(LEADING), F.regexp_replace(body, LEADING, " ")).otherwise(body)  # a line break behind the name
+    rows = _once(rows, body.alias("body"))
+    rows = _once(rows, F.split("body", '"').alias("pieces"), F.regexp_extract_all("body", F.lit(NAME), F.lit(1)).alias("names"))
+    pieces, names = F.col("pieces"), F.col("names")
+    at = {f: F.array_position(pieces, attribute_of(f, " {}=", F.lit)) for f in RECORD_FIELDS}
+    plain = F.col("body").rlike(PLAIN_TAG) & (F.size(F.array_distinct(names)) == F.size(names))
+    plain = plain & ~(F.col("body").contains("&") & F.col("body").rlike(ODD_REFERENCE))
+    # the value behind a name: pieces are name, value, name, value ...
+    rows = _once(rows, plain.alias("plain"), *[x.cast("int").alias(f"at_{f}") for f, x in at.items()])
+    # a value that reads like a name (an even place) is not told from it here
+    own = [F.coalesce(F.col(f"at_{f}"), F.lit(0)) for f in RECORD_FIELDS]
+    odd = reduce(Column.__or__, [(x > 0) & (x % 2 == 0) for x in own])
+    rows = _once(rows, (F.col("plain") & ~odd).alias("is_plain"), *[F.get(pieces, F.col(f"at_{f}")).alias(f"raw_{f}") for f in RECORD_FIELDS])
+    rows = rows.drop("plain").withColumnRenamed("is_plain", "plain")
+    found_none = {f: F.coalesce(F.col(f"at_{f}"), F.lit(0)) == 0 for f in RECORD_FIELDS}
+    attributes = sorted({a for element in elements for a in ELEMENT_FIELDS[element]})
+    schema = ", ".join([*(f"_{a} string" for a in attributes), f"{CORRUPT} string"])
+    tag = F.concat(F.lit("<E"), F.regexp_extract("value", TAG, 2), F.lit("/>"))
+    rows = _once(rows, F.when(~F.col("plain") & F.col("value").rlike(TAG), F.from_xml(tag, schema, XML_OPTIONS)).alias("parsed"))
+    well = F.col("parsed").isNotNull() & F.col(f"parsed.{CORRUPT}").isNull()
+    read = {f: F.when(well, attribute_of(f, "_{}", lambda a: F.col(f"parsed.{a}"))) for f in RECORD_FIELDS}
+    fields = [
+        F.when(F.col("plain"), F.when(~found_none[f], _decoded(F.col(f"raw_{f}")))).otherwise(read[f]).alias(f"field_{f}") for f in RECORD_FIELDS
+    ]
+    return rows.select(*keep, *fields, (F.col("plain") | well).alias("good"))
+
+
+def _fields() -> list[Column]:
+    """The record columns; the text of a malformed tag as its value."""
+    last = F.when(F.col("good"), F.col("field_value")).otherwise(F.col("value")).alias("value")
+    return [*[F.col(f"field_{f}").alias(f) for f in RECORD_FIELDS if f != "value"], last]
+
+
+def _records(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The records of ``rows``, well-formed or not."""
+    found = _with_fields(rows, F.lit("Record"), ["Record"], [*keys, "file", "block", "row", "value"])
+    kind = F.when(F.col("good"), "record").otherwise("malformed_record").alias("kind")
+    return found.select(*_fields(), F.lit("").alias("workout"), "block", "row", kind, *keys, "file")
+
+
+def _inside(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Records, workouts and direct children of workouts among ``rows`` inside workouts. ``outer`` names the
+    outermost workout of a row; depths are running sums along it."""
+    v = F.col("value")
+    name = F.regexp_extract(v, r"^/?([A-Za-z_:][-\w:.]*)", 1)
+    step = F.when(v.startswith("/"), -1).when(_closed(v), 0).otherwise(1)
+    tags = _once(rows, name.alias("name"), step.alias("step")).where(F.col("name") != "")
+    along = Window.partitionBy("file", "outer").orderBy("block", "row").rowsBetween(Window.unboundedPreceding, 0)
+    tags = tags.withColumn("depth", F.sum("step").over(along) - F.col("step")).where("step >= 0")
+    # an open element is the parent of what follows one level deeper, up to the next one of its level
+    own = F.concat_ws(":", "block", "row")
+    parent = F.when(F.col("name") == "Workout", own).otherwise("")
+    is_child = F.col("name").isin(*ELEMENT_FIELDS)
+    none = F.lit(None).cast("string")
+    roles = F.array_compact(
+        F.array(
+            F.when(is_child, F.struct(F.col("depth").alias("level"), none.alias("opens"), v.alias("text"))),
+            F.when(F.col("step") == 1, F.struct((F.col("depth") + 1).alias("level"), parent.alias("opens"), none.alias("text"))),
+        )
+    )
+    met = tags.select(*keys, "file", "block", "row", "outer", "name", F.inline(roles))
+    level = Window.partitionBy("file", "outer", "level").orderBy("block", "row", F.col("opens").isNotNull())
+    level = level.rowsBetween(Window.unboundedPreceding, 0)
+    met = met.withColumn("within", F.coalesce(F.last("opens", ignorenulls=True).over(level), F.lit("")))
+    wanted = F.col("name").isin("Workout", "Record") | (F.col("within") != "")
+    met = met.where(F.col("opens").isNull() & wanted).withColumnRenamed("text", "value")
+    found = _with_fields(met, F.col("name"), list(ELEMENT_FIELDS), [*keys, "file", "block", "row", "value", "name", "within"])
+    kinds = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])
+    well = F.when(F.col("name") == "Record", "nested").otherwise(kinds[F.col("name")])
+    ill = F.concat(F.lit("malformed_"), F.coalesce(kinds[F.col("name")], F.lit("record")))
+    workout = F.when(F.col("name") == "Workout", own).otherwise(F.col("within")).alias("workout")
+    return found.select(*_fields(), workout, "block", "row", F.when(F.col("good"), well).otherwise(ill).alias("kind"), *keys, "file")
+
+
+# ------------------------------------------------------------ the scan
 
 
 def scan_elements(spark: SparkSession, path: str) -> DataFrame:
-    """Every record, workout, and child of a workout, in one pass over the text.
+    """Every record, workout, and child of a workout.
 
     ``kind`` is ``record`` (outside workouts), ``nested`` (a record inside one, at any
     depth), ``workout``, ``metadata`` or ``statistics`` (direct children of a workout), or
     one of these four that is ``malformed_`` (``value`` is then the text as it stands).
-    ``workout`` names the workout within its file, ``block`` and ``row`` the place.
+    ``workout`` names the workout within its file, ``block`` and ``row`` the place. The
+    spans of rows inside something are found first, by a job of its own.
     """
-    summaries, scan, folded = _functions()
-    text = _text(spark, path)
-    keys = _keys(text, {"file", "block", "value"})
-    summary = "file bigint, block bigint, begin string, finish string, popped bigint, pushed array<string>"
-    # one closed tag changes no state, except that workouts are counted
-    counts = F.col("value").rlike(r"^Workout[\s/>]") | ~F.col("value").rlike(r"^[A-Za-z_:][^>]*/>[^>]*$")
-    did = text.select("file", "block", "value").where(counts).mapInArrow(summaries, summary)
-    starts = did.groupBy("file").applyInPandas(folded, "file bigint, block bigint, mode string, stack array<string>")
-    placed = text.join(F.broadcast(starts), ["file", "block"], "left").select(*keys, "file", "block", "value", "mode", "stack")
-    schema = ", ".join([ELEMENTS, *(f"{k} string" for k in keys), "file bigint"])
-    return placed.mapInArrow(scan, schema)
+    text = _text(_scan_session(spark), path)
+    keys = _keys(text, {"file", "block", "row", "value"})
+    spans = _spans(text)
+    placed = text.withColumn("bucket", F.shiftright("row", BUCKET_BITS))
+    columns = [*keys, "file", "block", "row", "value"]
+    candidates = placed.where(_is_tag(F.col("value"), "Record")).join(spans, "bucket", "left")
+    outside = candidates.where(_span(F.col("row")).isNull()).select(*columns)
+    inner = placed.join(spans.where(F.exists("spans", lambda s: s["outer"].isNotNull())), "bucket")
+    inside = inner.select(*columns, _span(F.col("row"))["outer"].alias("outer")).where(F.col("outer").isNotNull())
+    return _records(outside, keys).unionByName(_inside(inside, keys))
+
+
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The files of the export(s) at ``path``, empty ones too: ``path`` and the folder keys. It is the listing
+    that the driver holds for the scan."""
+    text = _text(_scan_session(spark), path)
+    keys = _keys(text, {"file", "block", "row", "value"})
+    rows = []
+    for file in text.inputFiles():
+        folders = dict(part.split("=", 1) for part in unquote(file).split("/")[:-1] if "=" in part)
+        own = [unquote(folders[k]) for k in keys]
+        rows.append((*(None if k == NULL_FOLDER else k for k in own), file))
+    return spark.createDataFrame(rows, ", ".join([*(f"`{k}` string" for k in keys), "path string"]))
 
 
 def records_of(elements: DataFrame, kinds: tuple[str, ...] = ("record",)) -> DataFrame:
@@ -312,7 +482,7 @@ def scan_records(spark: SparkSession, path: str, mode: str = "split") -> DataFra
     """Every well-formed ``<Record>`` of the export(s) at ``path``, inside workouts or not:
     7 text columns. Missing attributes are NULL; the ``device`` attribute is not read."""
     if mode == "dom":
-        raw = spark.read.format("xml").options(rowTag="Record", **XML_OPTIONS).schema(XML_RECORD_PARSE).load(path)
+        raw = _scan_session(spark).read.format("xml").options(rowTag="Record", **XML_OPTIONS).schema(XML_RECORD_PARSE).load(path)
         keys = _keys(raw, set(XML_RECORD_PARSE.fieldNames()))
         # a malformed element has every field NULL; the test of a data column keeps one in the scan
         good = raw.where(~(F.col(CORRUPT).isNotNull() & F.col("_type").isNull()))
