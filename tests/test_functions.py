@@ -133,6 +133,47 @@ def test_levels_without_keys_match_a_window(spark):
     assert got == {r["day"]: r["level"] for r in want.collect()} and len(got) == 900
 
 
+def test_levels_of_several_columns_share_one_pass(spark):
+    from vitals.operators.ranking import positive_ntiles
+
+    rows = [(i, None if i % 11 == 0 else float(i * 31 % 17), float(i * 7 % 5) - 1, f"x{i}", i % 3) for i in range(400)]
+    df = spark.createDataFrame(rows, "day int, a double, b double, note string, k int")
+    for keys in ((), ("k",)):
+        got = positive_ntiles(df, {"la": "a", "lb": "b"}, "day", 4, keys)
+        w = lambda c: Window.partitionBy(F.col(c) > 0, *keys).orderBy(c, "day")
+        level = lambda c: F.when(F.col(c) > 0, F.ntile(4).over(w(c))).otherwise(0).cast("bigint")
+        want = df.withColumns({"la": level("a"), "lb": level("b")})
+        assert got.columns == want.columns and sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    assert positive_ntiles(df.limit(0), {"la": "a"}, "day", 4).collect() == []
+
+
+def test_levels_derive_their_source_once(spark):
+    from vitals.config import EVENTS
+    from vitals.operators import gold, silver
+    from vitals.sources import staging
+
+    s = silver.clean_quantities(staging.raw_records(spark, SF_SMALL).drop("user_id"), EVENTS)
+    levels = gold.calendar_levels(gold.daily_activity(s, EVENTS), EVENTS)
+    levels.collect()
+    final = levels._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1 and "ReusedExchange" in final
+
+
+def test_overview_of_one_pass_equals_that_of_the_tables(spark):
+    from vitals.config import EVENTS
+    from vitals.operators import gold, silver
+    from vitals.sources import staging
+
+    workouts = spark.createDataFrame([], "user_id bigint, activity string, n_workouts bigint, total_kcal double")
+    for keys in ((), ("user_id",)):
+        s = silver.clean_quantities(staging.raw_records(spark, SF_SMALL), EVENTS, keys)
+        stored = gold.stored_days(gold.daily_stats(s, EVENTS, keys), gold.daily_activity(s, EVENTS, keys), EVENTS, keys)
+        one, two = (gold.summary(d, workouts, EVENTS, keys).collect() for d in (gold.overview_days(s, EVENTS, keys), stored))
+        assert sorted(one, key=str) == sorted(two, key=str) and len(one) >= 1
+        none = gold.summary(gold.overview_days(s.limit(0), EVENTS, keys), workouts, EVENTS, keys).collect()
+        assert [r["total_workouts"] for r in none] == ([] if keys else [0])
+
+
 def test_levels_start_no_job_and_gather_no_rows(spark):
     from vitals.operators.ranking import positive_ntile
 

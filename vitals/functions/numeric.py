@@ -26,6 +26,17 @@ def round_half_away(c: Column | str, digits: int = 0) -> Column:
 GRID = 1024.0  # sums of multiples of 1 / GRID are exact up to 2 ** 43
 
 
+def full_parts(c: Column | str) -> tuple[Column, Column]:
+    """The two sums that make up ``full_sum``: of the multiples, and of the rests.
+
+    Each may be summed again over the groups of a finer aggregation before they are added.
+    """
+    c = _col(c)
+    small = F.abs(c) < 2.0**42
+    multiple = F.when(small, F.rint(c * GRID) / GRID).otherwise(c)
+    return F.sum(multiple), F.sum(F.when(small, c - multiple).when(c.isNotNull(), 0.0))
+
+
 def full_sum(c: Column | str) -> Column:
     """Sum of doubles, nearly as if it were rounded once, whatever order partial sums meet in.
 
@@ -35,10 +46,8 @@ def full_sum(c: Column | str) -> Column:
     rounded result that is an exact tie falls on the same side on every run. Values from
     2 ** 42 on, infinities and nan are added as they are.
     """
-    c = _col(c)
-    small = F.abs(c) < 2.0**42
-    multiple = F.when(small, F.rint(c * GRID) / GRID).otherwise(c)
-    return F.sum(multiple) + F.sum(F.when(small, c - multiple).when(c.isNotNull(), 0.0))
+    multiples, rests = full_parts(c)
+    return multiples + rests
 
 
 def full_avg(c: Column | str) -> Column:

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitals.config import MetricConfig
-from vitals.functions.numeric import full_avg, full_sum, round_half_away
-from vitals.operators.ranking import positive_ntile
+from vitals.functions.numeric import full_avg, full_parts, full_sum, round_half_away
+from vitals.operators.ranking import positive_ntiles
 
 
 def _metric_names(cfg: MetricConfig, kinds: tuple[str, ...]):
@@ -115,10 +115,8 @@ def calendar_levels(activity: DataFrame, cfg: MetricConfig, keys: tuple[str, ...
     Ties in the value are broken by the day. A day without a value for the
     metric (the reference's unmatched left join) gets level 0.
     """
-    days = out = activity.select(*keys, "local_date", *cfg.calendar_columns)
-    for level, column in cfg.levels:
-        out = positive_ntile(out, column, "local_date", 4, keys, level, days)
-    return out.select(*keys, "local_date", *cfg.calendar_columns, *[lvl for lvl, _ in cfg.levels])
+    days = activity.select(*keys, "local_date", *cfg.calendar_columns)
+    return positive_ntiles(days, dict(cfg.levels), "local_date", 4, keys)
 
 
 def daily_sleep(sleep: DataFrame, cfg: MetricConfig, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -170,40 +168,71 @@ SUMMARY_COLUMNS = (
 )
 
 
-def summary(
-    daily: DataFrame,
-    activity: DataFrame,
-    workouts: DataFrame,
-    workout_sum: DataFrame,
-    cfg: MetricConfig,
-    keys: tuple[str, ...] = (),
-) -> DataFrame:
+def overview_days(silver: DataFrame, cfg: MetricConfig, keys: tuple[str, ...] = ()) -> DataFrame:
+    """What the overview needs of each day, from one pass over silver: ``avg_value`` of its point
+    metric, ``value`` of its sparse metric and the best source's total of its steps.
+
+    Sums by (type, day, source) serve both the best source and, summed again, the averages.
+    Days with other cumulative types only stay as rows of NULLs, so their entity has an overview.
+    """
+    point, sparse = dict(cfg.point)[cfg.summary_point], dict(cfg.sparse)[cfg.summary_sparse]
+    steps, digits = next((t, d) for name, t, d in cfg.cumulative if name == cfg.summary_steps)
+    multiples, rests = full_parts("value")
+    sums = (
+        silver.where(F.col("type").isin(*sorted({point, sparse, *cfg.cumulative_types})))
+        .groupBy(*keys, "type", "local_date", "source_name")
+        .agg(multiples.alias("multiples"), rests.alias("rests"), F.count("value").alias("n"))
+    )
+
+    def average(name: str, places: int):
+        of = {c: F.sum(F.when(F.col("type") == name, F.col(c))) for c in ("multiples", "rests", "n")}
+        return round_half_away(F.try_divide(of["multiples"] + of["rests"], of["n"]), places)
+
+    best = F.max(F.when(F.col("type") == steps, F.col("multiples") + F.col("rests")))
+    return sums.groupBy(*keys, "local_date").agg(
+        average(point, 1).alias("avg_value"),
+        average(sparse, 2).alias("value"),
+        round_half_away(best, digits).alias(cfg.summary_steps),
+    )
+
+
+def stored_days(daily: DataFrame, activity: DataFrame, cfg: MetricConfig, keys: tuple[str, ...] = ()) -> DataFrame:
+    """``overview_days`` from the gold tables, stacked: one row per day and table."""
+    metric = F.col("metric")
+    readings = daily.where(metric.isin(cfg.summary_point, cfg.summary_sparse)).select(
+        *keys,
+        "local_date",
+        F.when(metric == cfg.summary_point, F.col("avg_value")).alias("avg_value"),
+        F.when(metric == cfg.summary_sparse, F.col("value")).alias("value"),
+    )
+    return readings.unionByName(activity.select(*keys, "local_date", cfg.summary_steps), allowMissingColumns=True)
+
+
+def summary(days: DataFrame, workout_sum: DataFrame, cfg: MetricConfig, keys: tuple[str, ...] = ()) -> DataFrame:
     """The one-row overview (one row per entity with ``keys``).
 
-    Heart rate and weight come out of one pass over the daily metrics (long form).
-    Instead of joining one-row results, each aggregate becomes a partial row, the
+    ``days`` comes from ``overview_days`` or ``stored_days``, ``workout_sum`` from ``workout_summary``.
+    Instead of joining one-row results, each input becomes a partial row, the
     partial rows are unioned and folded by one group-by: one shuffle, no join.
     Without keys the global aggregate always yields one row (NULLs, 0 workouts).
     """
-    rate, weight = F.col("metric") == cfg.summary_point, F.col("metric") == cfg.summary_sparse
     day = F.col("local_date")
+    read, weighed = F.col("avg_value").isNotNull(), F.col("value").isNotNull()
     parts = [
-        workouts.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_workouts")),
-        workout_sum.groupBy(*keys).agg(round_half_away(full_sum("total_kcal"), 0).alias("workout_kcal")),
-        daily.where(rate | weight)
-        .groupBy(*keys)
-        .agg(
-            round_half_away(full_avg(F.when(rate, F.col("avg_value"))), 0).alias("avg_heart_rate"),
-            F.min(F.when(rate, day)).alias("first_date"),
-            F.max(F.when(rate, day)).alias("last_date"),
+        workout_sum.groupBy(*keys).agg(
+            F.sum("n_workouts").alias("total_workouts"),
+            round_half_away(full_sum("total_kcal"), 0).alias("workout_kcal"),
+        ),
+        days.groupBy(*keys).agg(
+            round_half_away(full_avg("avg_value"), 0).alias("avg_heart_rate"),
+            F.min(F.when(read, day)).alias("first_date"),
+            F.max(F.when(read, day)).alias("last_date"),
             # the day is unique per entity, so max_by is the latest reading
-            F.max_by(F.when(weight, F.col("value")), F.when(weight, day)).alias("latest_weight"),
+            F.max_by("value", F.when(weighed, day)).alias("latest_weight"),
+            round_half_away(full_avg(cfg.summary_steps), 0).alias("avg_daily_steps"),
         ),
-        activity.groupBy(*keys).agg(round_half_away(full_avg(cfg.summary_steps), 0).alias("avg_daily_steps")),
     ]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p, allowMissingColumns=True)
+    u = parts[0].unionByName(parts[1], allowMissingColumns=True)
     folded = u.groupBy(*keys).agg(*[F.max(c).alias(c) for c in SUMMARY_COLUMNS])
     return folded.select(
         *keys,

@@ -28,31 +28,52 @@ def value_bucket(value: Column) -> Column:
 SPREAD = 64  # ranges for the rows that have no level
 
 
-def positive_ntile(
-    df: DataFrame, value: str, tie: str, buckets: int, keys: tuple[str, ...], out: str, source: DataFrame | None = None
-) -> DataFrame:
-    """``out`` = ntile(``buckets``) of ``value`` among rows with ``value > 0``
-    (ordered by ``value``, then ``tie``), 0 for other rows; per ``keys``. ``source`` is a
-    frame with the same values that is cheaper to derive than ``df``; the counts come from it."""
-    positive = F.coalesce(F.col(value) > 0, F.lit(False))
-    if keys:
-        w = Window.partitionBy(*keys)
-        order = [F.when(positive, F.lit(0)).otherwise(F.lit(1)), F.col(value), F.col(tie)]
-        ranked = df.withColumns(
-            {"_rn": F.row_number().over(w.orderBy(*order)), "_n_flag": F.count_if(positive).over(w)}
-        )
-    else:
-        spread = -SPREAD * 1000 - F.pmod(F.xxhash64(tie), F.lit(SPREAD)).cast("int")
-        bucket = F.when(positive, value_bucket(F.col(value))).otherwise(spread)
-        counts = (df if source is None else source).where(positive).groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
-        running = Window.orderBy("_bucket")  # one row per bucket
-        offsets = counts.select(
-            "_bucket",
-            (F.sum("_n").over(running) - F.col("_n")).alias("_offset"),
-            F.sum("_n").over(Window.partitionBy()).alias("_n_flag"),
-        )
-        inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(value, tie))
-        numbered = df.withColumn("_bucket", bucket).withColumn("_inside", inside)
-        ranked = numbered.join(F.broadcast(offsets), "_bucket", "left").withColumn("_rn", F.col("_offset") + F.col("_inside"))
-    level = F.when(positive, ntile_bucket(F.col("_rn"), F.col("_n_flag"), buckets)).otherwise(F.lit(0)).cast("bigint")
-    return ranked.withColumn(out, level).drop("_rn", "_n_flag", "_bucket", "_inside", "_offset")
+def positive_ntile(df: DataFrame, value: str, tie: str, buckets: int, keys: tuple[str, ...], out: str) -> DataFrame:
+    """``positive_ntiles`` of one column."""
+    return positive_ntiles(df, {out: value}, tie, buckets, keys)
+
+
+def positive_ntiles(df: DataFrame, values: dict[str, str], tie: str, buckets: int, keys: tuple[str, ...] = ()) -> DataFrame:
+    """For each ``out: value`` of ``values`` a column ``out`` = ntile(``buckets``) of ``value``
+    among rows with ``value > 0`` (ordered by ``value``, then ``tie``), 0 for other rows; per ``keys``.
+
+    ``tie`` is unique (within ``keys``). Without keys, all columns are ranked in one long form, a
+    row for each of them, from one distribution: (column, range) counts. The long form carries all of
+    ``df``, so rows and counts read the very same exchange below it, and ``df`` is derived once.
+    """
+    return _ranked_by_key(df, values, tie, buckets, keys) if keys else _ranked_by_range(df, values, tie, buckets)
+
+
+def _ranked_by_key(df: DataFrame, values: dict[str, str], tie: str, buckets: int, keys: tuple[str, ...]) -> DataFrame:
+    w = Window.partitionBy(*keys)
+    levels = {}
+    for out, value in values.items():
+        positive = F.coalesce(F.col(value) > 0, F.lit(False))
+        row = F.row_number().over(w.orderBy(F.when(positive, F.lit(0)).otherwise(F.lit(1)), value, tie))
+        level = ntile_bucket(row, F.count_if(positive).over(w), buckets)
+        levels[out] = F.when(positive, level).otherwise(F.lit(0)).cast("bigint")
+    return df.withColumns(levels)
+
+
+def _ranked_by_range(df: DataFrame, values: dict[str, str], tie: str, buckets: int) -> DataFrame:
+    spread = -SPREAD * 1000 - F.pmod(F.xxhash64(tie), F.lit(SPREAD)).cast("int")
+    entries = []
+    for out, value in values.items():
+        number = F.col(value).cast("double")
+        bucket = F.when(number > 0, value_bucket(number)).otherwise(spread)
+        entries.append(F.struct(F.lit(out).alias("out"), number.alias("value"), bucket.alias("bucket"), F.struct(*df.columns).alias("row")))
+    long = df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    counts = long.where(F.col("value") > 0).groupBy("out", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    running = Window.partitionBy("out").orderBy("bucket")  # one row per range
+    offsets = counts.select(
+        "out",
+        "bucket",
+        (F.sum("n").over(running) - F.col("n")).alias("offset"),
+        F.sum("n").over(Window.partitionBy("out")).alias("total"),
+    )
+    inside = F.row_number().over(Window.partitionBy("out", "bucket").orderBy("value", f"row.{tie}"))
+    ranked = long.withColumn("inside", inside).join(F.broadcast(offsets), ["out", "bucket"], "left")
+    level = ntile_bucket(F.col("offset") + F.col("inside"), F.col("total"), buckets)
+    level = F.when(F.col("value") > 0, level).otherwise(F.lit(0)).cast("bigint")
+    levels = [F.max(F.when(F.col("out") == out, level)).alias(out) for out in values]
+    return ranked.groupBy(F.col(f"row.{tie}").alias("tie")).agg(F.any_value("row").alias("row"), *levels).select("row.*", *values)

@@ -178,8 +178,7 @@ def q_workout_summary(spark, d):
 def _summary(spark, d, keys=()):
     s = silver_records(spark, d, keys)
     w = silver_workouts(spark, d, keys)
-    activity = gold.daily_activity(s, CFG, keys)
-    return gold.summary(gold.daily_stats(s, CFG, keys), activity, gold.gold_workouts(w, keys), gold.workout_summary(w, keys), CFG, keys)
+    return gold.summary(gold.overview_days(s, CFG, keys), gold.workout_summary(w, keys), CFG, keys)
 
 
 @query("summary")

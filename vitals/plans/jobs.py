@@ -247,9 +247,9 @@ def build(spark: SparkSession, layout: Layout, cfg: MetricConfig = HEALTH, keys:
             table(gold.workout_summary(wk, keys), "gold_workout_summary"),
         ]
     )
-    inputs = ("daily_metrics", "gold_daily_activity", "gold_workouts", "gold_workout_summary")
-    daily, activity, workouts, totals = (gold_table(spark, run, t, cfg, keys) for t in inputs)
-    s = gold.summary(daily, activity, workouts, totals, cfg, keys)
+    inputs = ("daily_metrics", "gold_daily_activity", "gold_workout_summary")
+    daily, activity, totals = (gold_table(spark, run, t, cfg, keys) for t in inputs)
+    s = gold.summary(gold.stored_days(daily, activity, cfg, keys), totals, cfg, keys)
     levels = gold.calendar_levels(activity, cfg, keys)
     write_all([table(levels, "gold_daily_calendar"), table(s, "gold_summary")])
     snapshots.publish(spark, layout, run.run)
