@@ -1,7 +1,10 @@
 """Greedy string tiling against a plain implementation, and planted passages."""
 
 import re
+import time
+import tracemalloc
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -27,14 +30,47 @@ def plain_tiles(doc, item, width):
         out.append(best)
 
 
-@settings(max_examples=200, deadline=None)
+@settings(max_examples=300, deadline=None)
 @given(st.lists(st.integers(1, 3), max_size=25), st.lists(st.integers(1, 3), max_size=16))
 def test_tiles(doc, item):
-    seeds = [(a, b) for a in range(len(doc) - 2) for b in range(len(item) - 2) if doc[a : a + 3] == item[b : b + 3]]
-    got = d.tiles(d.matches(seeds, 3), 3)
-    want = plain_tiles(doc, item, 3)
-    assert [n for _, _, n in got] == [n for _, _, n in want]
-    assert sum(n for _, _, n in got) == sum(n for _, _, n in want)
+    assert d.tiles(np.array(doc, np.int64), np.array(item, np.int64), 3) == plain_tiles(doc, item, 3)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("abcx"), max_size=40), st.lists(st.lists(st.sampled_from("abc"), max_size=20), min_size=1, max_size=4))
+def test_tiled_items(doc, items):
+    block = d.Benchmark([(f"i{k}", " ".join(words)) for k, words in enumerate(items)])
+    want = []
+    for k, words in enumerate(items):
+        lengths = [n for _, _, n in plain_tiles(doc, words, min(5, len(words)))] if words else []
+        if lengths:
+            want.append((f"i{k}", sum(lengths) / len(words), len(lengths), max(lengths)))
+    assert block.tiled(" ".join(doc)) == want
+    assert [row for row in block.tiled(" ".join(doc), 0.8) if row[1] >= 0.8] == [row for row in want if row[1] >= 0.8]
+
+
+def test_equal_hashes_of_other_words_do_not_match():
+    turns = np.array([bin(k).count("1") % 2 for k in range(1 << 11)]) + 1  # the two halves' hashes meet modulo 2 ** 64
+    assert [n for _, _, n in d.tiles(turns, 3 - turns, 5)][0] < 1 << 11
+    half = np.array(turns[: 1 << 10])
+    got = d.tiles(half, 3 - half, 700)
+    assert got == plain_tiles(half.tolist(), (3 - half).tolist(), 700)
+
+
+def test_one_word_repeated_on_both_sides():
+    block = d.Benchmark([(1, "yes " * 2000), (2, "yes " * 1990 + "no " * 500), (3, "no")])
+    tracemalloc.start()
+    began = time.perf_counter()
+    assert block.tiled("yes " * 20000) == [(1, 1.0, 1, 2000), (2, 1990 / 2490, 1, 1990)]
+    assert time.perf_counter() - began < 5 and tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+
+
+def test_ids_of_items_may_be_texts(spark):
+    benchmark = spark.createDataFrame([("a", ITEM), ("b", OTHER), (None, ITEM)], "item_id string, text string")
+    docs = spark.createDataFrame([("x", f"say {ITEM} twice")], "doc_id string, text string")
+    got = d.leaks(docs, benchmark).collect()
+    assert sorted((r["doc_id"], r["item_id"] or "") for r in got) == [("x", ""), ("x", "a")]
 
 
 ITEM = "the quick brown fox jumps over the lazy dog while seven wise owls watch from an old oak tree"
