@@ -2,6 +2,8 @@
 
 import html
 import re
+import time
+import tracemalloc
 
 import pytest
 
@@ -142,3 +144,33 @@ def test_a_winning_body_keeps_each_page_s_title(spark):
     page = "<body><div class=post><h1>Title {0}</h1><p>Lead {0}</p><div class=body>{1}</div></div></body>"
     pages = spark.createDataFrame([(i, "http://h.example/x", page.format(i, STORY)) for i in range(5)], "page_id bigint, url string, html string")
     assert {r["page_id"]: r["text"] for r in h.main_text(pages).collect()} == {i: f"Title {i} Lead {i} {TOLD}" for i in range(5)}
+
+
+def test_nested_inline_adverts_end_with_their_own_tag():
+    lead = "The council met on Monday evening and agreed to a new plan for the old harbour."
+    page = f'<body><article><p>{lead} <span class="ad"><span>Buy</span> our cheap shoes now</span> It starts in May.</p><p>{lead}</p></article></body>'
+    assert h.extract(page, []) == f"{lead} It starts in May. {lead}"
+    unclosed = f'<body><article><p>{lead} <span class="ad">Buy shoes</p><p>{lead}</p><p>One <span class="ad"/>more.</p></article></body>'
+    assert h.extract(unclosed, []) == f"{lead} {lead} One more."
+
+
+def test_forms_of_one_path_are_alike():
+    line = "This is paragraph number %d of the one long article that the page is about, as you see."
+    forms = "".join(f"<form><p>{line % k}</p></form>" for k in range(5))
+    page = f"<body><div>{forms}</div><form class='find'><label>Find</label> <b>here</b></form></body>"
+    assert h.extract(page, []) == " ".join(line % k for k in range(5))
+
+
+def test_deep_and_unclosed_pages_take_linear_time_and_memory():
+    text = "A sentence that is long enough to count, on a page nobody closed."
+    pages = ["<div>" * 100_000 + text, "<span class=ad>x" * 60_000, "<body><div>" + "<span class=ad>x</div><div>" * 40_000 + text, "</ul><li>" * 100_000 + text, "<div>" * 50_000 + "<li></p>" * 50_000 + text]
+    for page in pages:
+        began = time.perf_counter()
+        path = h.vote(page)
+        found = h.extract(page, [path] if path else [])
+        assert time.perf_counter() - began < 6  # both passes
+        assert text in found or text not in page
+    tracemalloc.start()  # slows everything down, so not while time is measured
+    h.vote("<div>" * 30_000 + text)
+    assert tracemalloc.get_traced_memory()[1] < 90 << 20
+    tracemalloc.stop()

@@ -16,7 +16,8 @@ container a header's headings stay. A form, or a class or id that only sounds li
 these, stays if the page's text lies in it: if all else has at most a quarter of its score,
 or, for what may well be longer than an article (comments, notices), no sentence.
 
-The parser is tolerant: end tags may be missing, quotes open, the page cut off.
+The parser is tolerant: end tags may be missing, quotes open, the page cut off. Time and memory
+are in proportion to the page, however deep its containers are or how many tags stay open.
 
 Defined results: a null or empty html, or a page without text, gives an empty text;
 pages with no or a broken url do not vote and give their own best container; repeated rows vote and are
@@ -28,6 +29,7 @@ partitions adaptive execution splits.
 """
 
 import re
+from collections import Counter
 from html import unescape
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -114,7 +116,7 @@ def _names(attributes: dict[str, str]) -> list[tuple[str, list[str]]]:
     return [(name, words) for name, words in split if words and words[0] not in NOT_ABOUT]
 
 
-def _doubts(tag: str, attributes: dict[str, str], number: int, nested: bool) -> frozenset[tuple[str, bool]]:
+def _doubts(tag: str, attributes: dict[str, str], number: str, nested: bool) -> frozenset[tuple[str, bool]]:
     """Why an element may be boilerplate: names that sound so, and whether such a part may be long.
 
     The last word of an article's names may be its topic, unless it is ``nested`` in another.
@@ -139,11 +141,13 @@ class Page:
     """The blocks of a page: (text, link characters, number of its container, place).
 
     The place is ``header`` (its headings), ``heading`` or ``text``.
-    ``elements`` has for each container its tag, its path and the number of its parent.
+    ``elements`` has for each container its tag, the number of its path and the number of its parent.
+    A path's number stands for its last name and the path before, so deep pages take linear memory.
     """
 
     def __init__(self, html: str):
-        self.elements: list[tuple[str, str, int]] = []
+        self.elements: list[tuple[str, int, int]] = []
+        self._paths: dict[tuple[int, str], int] = {}  # the path before and a name: number
         self.blocks: list[tuple[str, int, int, str]] = []  # text, link characters, container, place
         self._doubted: list[frozenset[tuple[str, bool]]] = []  # of each block, why it may be boilerplate
         self._parse(html)
@@ -153,6 +157,8 @@ class Page:
     def _parse(self, html: str) -> None:
         stack: list[tuple] = []  # tag, container number, kind, doubts of it and all around it
         parts: list[str] = []
+        opened: Counter[str] = Counter()  # tags on the stack
+        hidden, hiding, level = "", 0, 0  # an inline element that is left out, how often it is open, the stack around it
         links = linked = at = skipping = headers = headed = 0
 
         def flush() -> None:
@@ -167,15 +173,18 @@ class Page:
             linked = 0
 
         def pop() -> None:
-            nonlocal skipping, headers, headed
+            nonlocal skipping, headers, headed, hidden
             tag, _, kind, _ = stack.pop()
+            opened[tag] -= 1
+            if len(stack) < level:
+                hidden = ""
             skipping -= kind == "skip"
             headers -= kind == "header"
             headed -= tag in HEADINGS
 
         def say(text: str) -> None:
             nonlocal linked
-            if text and not skipping and (not headers or headed):
+            if text and not skipping and not hidden and (not headers or headed):
                 text = unescape(text)
                 parts.append(text)
                 if links:
@@ -196,23 +205,27 @@ class Page:
                 continue
             tag, closing, text = tag.lower(), found[1] or found[4], (found[3] or found[6] or "")
             if tag in INLINE:
+                if hidden and tag == hidden:
+                    hiding += -1 if closing else 0 if text.endswith("/") else 1
+                    if not hiding:
+                        hidden = ""
+                    continue
                 if tag == "a":
                     links = 0 if closing else 1
                 elif closing or not text:
                     continue
-                if closing or tag in VOID or tag == "a":
+                if closing or tag in VOID or tag == "a" or hidden or text.endswith("/"):
                     continue
                 attributes = _attributes(text)
-                if _kind(tag, attributes) == "skip" or _doubts(tag, attributes, at, False):
-                    # an inline element to leave out: its text ends with its own end tag
-                    close = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(html, at)
-                    at = close.end() if close else at
+                if _kind(tag, attributes) == "skip" or _doubts(tag, attributes, "", False):
+                    # an inline element to leave out ends with its own end tag, or with the element around it
+                    hidden, hiding, level = tag, 1, len(stack)
                 continue
             flush()
             if tag in VOID:
                 continue
             if closing:
-                if any(entry[0] == tag for entry in stack):
+                if opened[tag]:
                     while stack[-1][0] != tag:
                         pop()
                     pop()
@@ -225,7 +238,7 @@ class Page:
                     pop()
             if tag in CLOSES:
                 same, limit = CLOSES[tag]
-                for depth in range(len(stack) - 1, -1, -1):
+                for depth in range(len(stack) - 1, -1, -1) if any(opened[t] for t in same) else ():
                     if stack[depth][0] in limit:
                         break
                     if stack[depth][0] in same:
@@ -240,20 +253,34 @@ class Page:
             kind = _kind(tag, attributes)
             above = stack[-1][1] if stack else -1
             if tag not in TEXT_LEVEL:
-                path = f"{self.elements[above][1]}>{_generalised(tag, attributes)}" if above >= 0 else _generalised(tag, attributes)
+                before = self.elements[above][1] if above >= 0 else -1
+                path = self._paths.setdefault((before, _generalised(tag, attributes)), len(self._paths))
                 self.elements.append((tag, path, above))
                 above = len(self.elements) - 1
             doubts = stack[-1][3] if stack else frozenset()
             if attributes or tag == "form":
-                doubts |= _doubts(tag, attributes, at, any(entry[0] == "article" for entry in stack) if tag == "article" else False)
+                doubts |= _doubts(tag, attributes, f"{self.elements[above][1] if above >= 0 else -1}/{at}", opened["article"] > 0)
             stack.append((tag, above, kind, doubts))
+            opened[tag] += 1
             skipping += kind == "skip"
             headers += kind == "header"
             headed += tag in HEADINGS
         flush()
 
     def _decide(self) -> None:
-        """Leave out the doubtful blocks, but not the names in which the page's text lies."""
+        """Leave out the doubtful blocks, but not the names in which the page's text lies.
+
+        Forms of one path that hold sentences are kept or left out alike.
+        """
+        told_in = {
+            name
+            for (text, linked, *_), doubts in zip(self.blocks, self._doubted)
+            for name, _ in doubts
+            if name.startswith("form ") and 2 * linked < len(text) and _SENTENCE.match(text)
+        }
+        if told_in:
+            alike = lambda name: name.split("/")[0] if name in told_in else name
+            self._doubted = [frozenset((alike(name), long) for name, long in doubts) for doubts in self._doubted]
         held: dict[frozenset[tuple[str, bool]], int] = {}
         prose = set()
         for (text, linked, *_), doubts in zip(self.blocks, self._doubted):
@@ -286,6 +313,24 @@ class Page:
         total[-1] += score.get(-1, 0.0)
         return score, total
 
+    def path(self, number: int) -> str:
+        """The path of a container, spelled out."""
+        names, at = [], self.elements[number][1]
+        entries = list(self._paths)  # in the order of their numbers
+        while at >= 0:
+            at, name = entries[at]
+            names.append(name)
+        return ">".join(reversed(names))
+
+    def with_path(self, path: str) -> set[int]:
+        """The containers that have a path."""
+        at: int | None = -1
+        for name in path.split(">"):
+            at = self._paths.get((at, name))
+            if at is None:
+                return set()
+        return {n for n, element in enumerate(self.elements) if element[1] == at}
+
     def best(self) -> int:
         """The number of the container with the best score; -1 for the whole page."""
         score, total = self._totals()
@@ -351,16 +396,16 @@ def vote(html: str | None) -> str | None:
     """The path of a page's best container; None if it has no container with text."""
     page = Page(html or "")
     best = page.best()
-    return page.elements[best][1] if best >= 0 and page.blocks else None
+    return page.path(best) if best >= 0 and page.blocks else None
 
 
 def extract(html: str, winners: list[str]) -> str:
     page = Page(html)
     best = page.best()
-    own = page.elements[best][1] if best >= 0 else None
+    own = page.path(best) if best >= 0 else None
     chosen, most = {best}, None
-    for path in [own] if own in winners else winners:
-        roots = {n for n, element in enumerate(page.elements) if element[1] == path}
+    for path in filter(None, [own] if own in winners else winners):
+        roots = page.with_path(path)
         blocks = page.within(roots)
         score = sum(_worth(text, linked) for text, linked, *_ in blocks)
         if blocks and (most is None or score > most):
