@@ -86,3 +86,20 @@ def test_nothing_to_learn_from(empty_docs, odd_docs):
 def test_half_numbers_are_no_letters():
     model = langid.train([("a", [1], [1.0]), ("b", [2], [1.0])])
     assert langid.Scorer(model)("½ ² 12")[0] == "und"
+
+
+def test_sample_is_bounded_whatever_repeats(spark):
+    rows = [("copy of one text", "aa")] * 600 + [(f"text {i} {'abcdefghij'[i % 10]}", "aa") for i in range(600)] + [(f"word {i}", "bb") for i in range(50)]
+    df = spark.createDataFrame(rows + [(None, "aa"), ("x", None)], "text string, lang string")
+    got = langid.sampled(df, "text", "lang", 100, 1000, 10).groupBy("label").count().collect()
+    assert {r["label"]: r["count"] for r in got} == {"aa": 100, "bb": 50}
+    assert langid.sampled(df, "text", "lang", 100, 60, 10).count() == 60
+    assert [r["label"] for r in langid.sampled(df, "text", "lang", 1, 10, 1).collect()] == ["aa"]
+
+
+def test_five_hundred_labels(spark):
+    rows = [(f"{chr(0x4E00 + 7 * k)}{chr(0x4E03 + 7 * k)} " * 3 + str(i), f"l{k:03}") for k in range(501) for i in range(3)]
+    df = spark.createDataFrame(rows + [("x y", "l500")], "text string, lang string")
+    model = langid.learned(df, per_language=3)
+    assert len(model.languages) == 500 and "l500" in model.languages and "l499" not in model.languages
+    assert set(r["lang_pred"] for r in langid.predicted(df, model).collect()) <= {*model.languages, "und"}

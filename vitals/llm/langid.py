@@ -4,8 +4,8 @@ A text is the mean of the embeddings of its subwords: the runs of 2 to 4 letters
 in its lower-case words, word ends marked, hashed to a fixed number of buckets. A
 linear softmax on that mean gives the languages' probabilities. Embeddings and
 softmax are trained by stochastic gradient descent in numpy on a bounded sample
-(``per_language`` rows of each language in expectation, drawn by a hash of the id
-from all labelled rows). A fifth of the sample is held back: on it a temperature
+(at most ``per_language`` different texts of each language, drawn by a hash of the text
+from all labelled rows; ``sample_rows`` in all; the ``most_languages`` labels with the most rows). A fifth of the sample is held back: on it a temperature
 is fitted, and the least score is chosen above which ``accuracy`` of the predictions
 hold; predictions below it are marked as rejected.
 
@@ -23,7 +23,7 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vitals.llm.common import applied, table, text_map
@@ -32,7 +32,9 @@ BUCKETS = 1 << 14
 LENGTHS = (2, 3, 4)
 DIMENSIONS = 16
 PER_LANGUAGE = 400
-MOST_LANGUAGES = 200
+SAMPLE_ROWS = 80_000
+MOST_LANGUAGES = 500
+DRAWN = 4  # times the texts wanted, since copies teach once
 KEPT_WORDS = 300_000  # words whose sums a task keeps
 BLOCK = 1 << 18  # letters hashed at once
 UNKNOWN = "und"
@@ -178,25 +180,34 @@ def _counted(text: str | None) -> tuple[list[int], list[float]]:
     return used.tolist(), counts[used].tolist()
 
 
-def learned(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
-    """Train on a bounded sample of ``labelled``, drawn from all of its rows.
+def learned(
+    labelled: DataFrame, text_col: str = "text", label_col: str = "lang", per_language: int = PER_LANGUAGE,
+    sample_rows: int = SAMPLE_ROWS, most_languages: int = MOST_LANGUAGES,
+) -> Model:
+    """Train on a bounded sample of ``labelled``, drawn from all of its rows."""
+    rows = sampled(labelled, text_col, label_col, per_language, sample_rows, most_languages).collect()
+    return train([(r["label"], r["at"], r["times"]) for r in rows])
 
-    The driver receives the hashed counts of at most about ``per_language`` rows for
-    each language: their size is bounded by the number of buckets, not by the texts.
+
+def sampled(labelled: DataFrame, text_col: str, label_col: str, per_language: int, sample_rows: int, most_languages: int) -> DataFrame:
+    """``label`` and the hashed counts ``at``, ``times`` of the rows to learn from.
+
+    There are at most ``per_language`` for each label and ``sample_rows`` in all: copies of a text are
+    merged before the shuffle, and the drawn texts of a label are cut at the least hashes. A
+    row's size is bounded by the number of buckets, not by its text.
     """
-    rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).alias("label")).filter(
+    rows = labelled.select(F.col(text_col).alias("text"), F.col(label_col).alias("label")).filter(
         F.col("label").isNotNull() & F.col("text").isNotNull()
     )
-    counts = rows.groupBy("label").count().limit(MOST_LANGUAGES + 1).collect()
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages in {label_col}")
-    draw = F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = F.lit(False)
-    for row in counts:
-        chosen = chosen | ((F.col("label") == row["label"]) & (draw < per_language / row["count"]))
+    counts = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "label").limit(most_languages)
+    wanted = F.least(F.lit(per_language), F.greatest(F.lit(1), F.floor(sample_rows / F.count(F.lit(1)).over(Window.partitionBy()))))
+    shares = counts.select("label", "n", wanted.alias("wanted"))  # at most most_languages rows
+    draw = F.pmod(F.xxhash64(F.lit("sample"), "text"), F.lit(1 << 30)) / float(1 << 30)
+    chosen = rows.withColumn("draw", draw).join(F.broadcast(shares), "label").filter(F.col("draw") < DRAWN * F.col("wanted") / F.col("n"))
+    texts = chosen.select("label", "draw", "wanted", "text").distinct()
+    place = F.row_number().over(Window.partitionBy("label").orderBy("draw", "text"))
     udf = text_map(labelled.sparkSession, "at array<int>, times array<double>", lambda: _counted)
-    sample = applied(rows.filter(chosen), udf, "text", ["label"])
-    return train([(r["label"], r["at"], r["times"]) for r in sample.collect()])
+    return applied(texts.withColumn("place", place).filter(F.col("place") <= F.col("wanted")), udf, "text", ["label"])
 
 
 def predicted(df: DataFrame, model: Model, text: str | Column = "text", keep: list[str] | None = None) -> DataFrame:
