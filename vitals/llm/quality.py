@@ -203,8 +203,8 @@ def learned(docs: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_R
 
     sample = texts.filter(_hash_draw("text", min(1.0, sample_rows / max(total, 1))))
     described = applied(sample, text_map(spark, "votes array<int>, at array<int>, worth array<double>", describing), "text", [])
-    # copies of one text are drawn together: it teaches once
-    rows = {(tuple(r["votes"]), tuple(r["at"]), tuple(r["worth"])) for r in described.toLocalIterator()}
+    # copies of one text are drawn together: it teaches once, and they are merged before they reach the driver
+    rows = {(tuple(r["votes"]), tuple(r["at"]), tuple(r["worth"])) for r in described.distinct().toLocalIterator()}
     rows = [(list(at), list(worth), posterior[v]) for v, at, worth in rows if v in posterior]
     return Model(posterior, accuracy, fit(rows))
 
