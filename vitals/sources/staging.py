@@ -133,11 +133,14 @@ def workout_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_workouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Workouts as the XML scan yields them: attributes plus child arrays."""
-    o = table(spark, sf_dir, "orders").select(
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
     )
+
+
+def _workout_columns() -> list[Column]:
+    """What an order alone tells of its workout: attributes, metadata and, last, nested records."""
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     begin = F.timestamp_add("MINUTE", (cust % 24) * 60 + key % 60, F.col("o_orderdate"))
     off = _offset(key)
@@ -165,9 +168,7 @@ def raw_workouts(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ),
     )
-    stats = workout_statistics(spark, sf_dir)
-    w = o.join(stats, o.o_orderkey == stats.l_orderkey, "left")
-    return w.select(
+    return [
         cust.alias("user_id"),
         key.alias("workout_id"),
         F.concat(F.lit("Prio"), F.col("o_orderpriority")).alias("_workoutActivityType"),
@@ -177,9 +178,16 @@ def raw_workouts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.date_format(begin, WALL_CLOCK), off).alias("_startDate"),
         F.concat(F.date_format(F.timestamp_add("MINUTE", F.lit(30), begin), WALL_CLOCK), off).alias("_endDate"),
         meta.alias("MetadataEntry"),
-        F.col("WorkoutStatistics"),
         nested.alias("Record"),
-    )
+    ]
+
+
+def raw_workouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workouts as the XML scan yields them: attributes plus child arrays."""
+    o, stats = _orders(spark, sf_dir), workout_statistics(spark, sf_dir)
+    w = o.join(stats, o.o_orderkey == stats.l_orderkey, "left")
+    *attributes, nested = _workout_columns()
+    return w.select(*attributes, "WorkoutStatistics", nested)
 
 
 # ---------------------------------------------------------------- XML text
@@ -214,7 +222,8 @@ def export_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     r = raw_records(spark, sf_dir).withColumn("source_name", export_source_name(F.col("user_id")))
     nested = (
-        raw_workouts(spark, sf_dir)
+        _orders(spark, sf_dir)
+        .select(*_workout_columns())
         .where(F.col("workout_id") % 26 == 0)
         .select(F.explode("Record").alias("r"))
         .select(*[F.col(f"r._{a}").alias(n) for a, n in zip(

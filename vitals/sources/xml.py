@@ -10,11 +10,11 @@ inside a workout, a comment, a CDATA section or a processing instruction. Few ta
    by what its moves do to the state, from each state it may begin in (``Summary``).
 2. Summaries are associative: the splits of a file are combined in groups, the groups in order,
    and then the splits of each group, so a file may have any number of splits.
-3. With the state that each split begins in, its moves give the *spans* of rows inside a workout
-   or inside what is no markup, cut at every 32 rows. Python sees moves only.
-4. The scan proper joins the rows with the spans of their bucket (the size of that table
-   decides how). Records in no span are read by built-in functions. The rows inside workouts
-   are a second, small lane: running depths tell which element is a child of which.
+3. With the state that each split begins in, a walk along its rows, in the task that reads them, tells which
+   are inside a workout and which element is a child of which (``Walk``). Python sees numbers, no text.
+   The rows that matter are written once; no row of text is shuffled.
+4. The scan proper reads them by built-in functions. Only workouts that splits share, at most one
+   for each cut through a file, are put together again: running depths tell their children.
 
 Attributes as exports write them are cut out by position; any other legal spelling is read by
 Spark's XML parser, one tag at a time, and what that refuses is malformed: raw ``&``, doubled
@@ -60,7 +60,6 @@ ELEMENT_FIELDS = {
 }
 KINDS = {"Workout": "workout", "MetadataEntry": "metadata", "WorkoutStatistics": "statistics"}
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder of a key without a value
-BUCKET_BITS = 5  # 32 rows look up their spans together
 GROUP_SPLITS = 256  # splits of a file that are combined together
 
 # A tag up to its end, with quotes closed; the second group is its attributes
@@ -94,24 +93,7 @@ class Summary(list):
 
     @classmethod
     def of(cls, block: int, moves: list[tuple[int, str, int]]) -> Summary:
-        out = cls()
-        for mode in cls.MODES:
-            popped, pushed = 0, []
-            for row, action, ends in moves:
-                if mode != "N":
-                    if ends >> "CDP".index(mode) & 1:
-                        mode = "N"
-                elif action == "W":
-                    pushed.append(f"{block}:{row}")
-                elif action == "x":
-                    if pushed:
-                        pushed.pop()
-                    else:
-                        popped += 1
-                elif action in "CDP":
-                    mode = action
-            out.append([mode, popped, pushed])
-        return out
+        return cls(run_of(block, moves, mode) for mode in cls.MODES)
 
     def then(self, other: Summary) -> Summary:
         """The summary of this run followed by ``other`` (associative)."""
@@ -124,10 +106,36 @@ class Summary(list):
 
     def after(self, mode: str, stack: list[str]) -> tuple[str, list[str]]:
         """The state behind the run, from the state in front of it."""
-        finish, popped, pushed = self[self.MODES.index(mode)]
+        return Run(self[self.MODES.index(mode)]).after_one(stack)
+
+
+class Run(list):
+    """What a run of splits does to the state from one mode: mode it ends in, open workouts closed, workouts left open."""
+
+    def after_one(self, stack: list[str]) -> tuple[str, list[str]]:
+        finish, popped, pushed = self
         return finish, stack[: max(0, len(stack) - popped)] + pushed
 
 
+def run_of(block: int, moves: list[tuple[int, str, int]], mode: str) -> Run:
+    """What ``moves`` do to the state, beginning in ``mode``."""
+    popped, pushed = 0, []
+    for row, action, ends in moves:
+        if mode != "N":
+            if ends >> "CDP".index(mode) & 1:
+                mode = "N"
+        elif action == "W":
+            pushed.append(f"{block}:{row}")
+        elif action == "x":
+            if pushed:
+                pushed.pop()
+            else:
+                popped += 1
+        elif action in "CDP":
+            mode = action
+    return Run([mode, popped, pushed])
+
+
 def spans_of(block: int, first: int, last: int, moves, mode: str, stack: list[str]) -> Iterator[tuple[int, int, str | None]]:
     """(from row, to row, outermost workout) of the rows of a split inside a workout; None as
     workout: inside what is no markup. A workout's own tags are inside."""
@@ -238,11 +246,8 @@ def _is_tag(value: Column, name: str) -> Column:
     return value.startswith(name) & value.rlike(rf"^{name}(?:[\s/>]|$)")
 
 
-def _spans(text: DataFrame) -> DataFrame:
-    """``bucket`` and ``spans`` (array of lo, hi, outer) for the rows of ``text`` that are inside a
-    workout or (outer null) inside what is no markup. Written to the shared folder, so that
-    its size is known when it is joined."""
-    spark, v = text.sparkSession, F.col("value")
+def _move(v: Column) -> Column:
+    """The action of a row on the state and the ends in it, as one number (``unpacked`` without the row)."""
 
     def begins(start: str, end: str, mode: str) -> Column:
         return F.when(F.substr(v, F.lit(len(start) + 1)).contains(end), "-").otherwise(mode)
@@ -256,13 +261,16 @@ def _spans(text: DataFrame) -> DataFrame:
         .otherwise("-")
     )
     ends = v.contains("-->").cast("int") + v.contains("]]>").cast("int") * 2 + v.contains("?>").cast("int") * 4
-    # a move as one number: its row, its action, its ends
-    code = F.instr(F.lit(ACTIONS), action) - 1 + F.lit(8) * ends
-    told = text.select("file", "block", "row", F.inline(F.array(F.struct(code.alias("code")))))
+    return F.instr(F.lit(ACTIONS), action) - 1 + F.lit(8) * ends
+
+
+def _states(text: DataFrame) -> DataFrame:
+    """``state`` (text) of the splits of ``text`` that begin inside something, or that leave open a workout which a
+    later split begins in: a row or two for each place where a file is cut. See ``Walk``."""
+    spark = text.sparkSession
+    told = text.select("file", "block", "row", F.inline(F.array(F.struct(_move(F.col("value")).alias("code")))))
     move = F.when(F.col("code") > 0, F.shiftleft("row", 6) + F.col("code"))
-    splits = told.groupBy("file", "block").agg(
-        F.min("row").alias("first"), F.max("row").alias("last"), F.sort_array(F.collect_list(move)).alias("moves")
-    )
+    splits = told.groupBy("file", "block").agg(F.sort_array(F.collect_list(move)).alias("moves"))
     path = scratch_path(spark, "splits")
     splits.write.parquet(path)
     # small, but much work in Python for each row: not packed into few tasks
@@ -274,29 +282,117 @@ def _spans(text: DataFrame) -> DataFrame:
 
     reach = GROUP_SPLITS * int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
     starts = starts_of(splits.select("file", "block", summary("block", "moves").alias("summary")), reach)
+    inside = starts.where((F.col("mode") != "N") | (F.size("stack") > 0)).select(
+        "file", "block", "mode", F.size("stack").alias("depth"), F.get("stack", F.lit(0)).alias("outer")
+    )
+    path = scratch_path(spark, "starts")
+    inside.write.parquet(path)
+    inside = spark.read.schema(inside.schema).parquet(path)
+    # a workout that goes on in a later split is marked in the split where it begins
+    begun = F.split_part("outer", F.lit(":"), F.lit(1)).cast("bigint").alias("block")
+    leaves = inside.where(F.col("outer").isNotNull()).select("file", begun, F.col("outer").alias("leaves"))
+    both = inside.select("file", "block", "mode", "depth", "outer").unionByName(leaves, allowMissingColumns=True)
+    state = both.groupBy("file", "block").agg(*[F.max(c).alias(c) for c in ("mode", "depth", "outer", "leaves")])
+    return state.select("file", "block", F.to_json(F.struct("mode", "depth", "outer", "leaves")).alias("state"))
+
+
+class Walk:
+    """The state along the rows of a split, from the one it begins with: tells each row its lane and its link.
+
+    Lane OUTSIDE is neither in a workout nor in what is no markup, NO_MARKUP the latter. CHILD is an open tag that
+    counts inside a workout that begins and ends in the split; its link is the workout it is a child of. CROSSING is
+    every row of a workout that other splits share; its link is the outermost workout.
+    """
 
-    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for s in batch.to_pylist():
-                for lo, hi, outer in spans_of(s["block"], s["first"], s["last"], unpacked(s["moves"]), s["mode"], s["stack"]):
-                    for b in range(lo >> BUCKET_BITS, (hi >> BUCKET_BITS) + 1):
-                        out.append((b, max(lo, b << BUCKET_BITS), min(hi, (b + 1 << BUCKET_BITS) - 1), outer))
-            columns = list(zip(*out)) if out else [[]] * 4
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names=["bucket", "lo", "hi", "outer"])
-
-    found = splits.join(starts, ["file", "block"]).select("block", "first", "last", "moves", "mode", "stack")
-    table = found.mapInArrow(spans, "bucket bigint, lo bigint, hi bigint, outer string")
-    table = table.groupBy("bucket").agg(F.collect_list(F.struct("lo", "hi", "outer")).alias("spans"))
-    path = scratch_path(spark, "spans")
-    table.write.parquet(path)
-    return spark.read.schema(table.schema).parquet(path)
-
-
-def _span(row: Column) -> Column:
-    """The span of ``spans`` that ``row`` lies in; NULL if there is none."""
-    return F.try_element_at(F.filter("spans", lambda s: row.between(s["lo"], s["hi"])), F.lit(1))
+    OUTSIDE, NO_MARKUP, CHILD, CROSSING = range(4)
+
+    def __init__(self, block: int, state: str | None):
+        begin = json.loads(state) if state else {}
+        self.block, self.mode = block, begin.get("mode") or "N"
+        self.stack = [begin.get("outer")] * (begin.get("depth") or 0)
+        self.shared = {begin.get("outer"), begin.get("leaves")}
+        self.outer, self.depth, self.parents = None, 0, {}
+
+    def through(self, first: int, codes: list[int], lanes: list, links: list) -> None:
+        """Goes on by rows numbered from ``first`` on, whose ``codes`` are known; adds to ``lanes`` and ``links``."""
+        moves = [(first + i, ACTIONS[c & 7], c >> 3 & 7) for i, c in enumerate(codes) if c & 63]
+        own_lanes, own_links = [self.OUTSIDE] * len(codes), [None] * len(codes)
+        for lo, hi, outer in spans_of(self.block, first, first + len(codes) - 1, moves, self.mode, self.stack):
+            lo, hi = lo - first, hi - first + 1
+            if outer is None:
+                own_lanes[lo:hi] = [self.NO_MARKUP] * (hi - lo)
+            elif outer in self.shared:
+                own_lanes[lo:hi], own_links[lo:hi] = [self.CROSSING] * (hi - lo), [outer] * (hi - lo)
+            else:
+                self._inside(outer, first, lo, hi, codes, own_lanes, own_links)
+        lanes += own_lanes
+        links += own_links
+        self.mode, self.stack = run_of(self.block, moves, self.mode).after_one(self.stack)
+
+    def _inside(self, outer: str, first: int, lo: int, hi: int, codes: list[int], lanes: list, links: list) -> None:
+        if outer != self.outer:
+            self.outer, self.depth, self.parents = outer, 0, {}
+        for i in range(lo, hi):
+            lanes[i], kind = self.NO_MARKUP, codes[i] >> 6
+            if not kind:
+                continue
+            step = (kind & 3) - 2
+            if step >= 0 and kind & 4:
+                parent = self.parents.get(self.depth, "")
+                if parent or kind & 8:
+                    lanes[i], links[i] = self.CHILD, parent
+            if step > 0:  # the parent of what follows one level deeper, up to the next one of its level
+                self.parents[self.depth + 1] = f"{self.block}:{first + i}" if kind & 16 else ""
+            self.depth += step
+
+
+def _name(v: Column) -> Column:
+    return F.regexp_extract(v, r"^/?([A-Za-z_:][-\w:.]*)", 1)
+
+
+def _step(v: Column) -> Column:
+    """What a tag does to the depth."""
+    return F.when(v.startswith("/"), -1).when(_closed(v), 0).otherwise(1)
+
+
+def _placed(text: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of ``text`` that elements come from, with their ``lane`` and ``link`` (``Walk``): written once to the
+    shared folder. Rows stay in the tasks that read them, in their order; Python gets their numbers, no text.
+
+    The states are joined by broadcast: a row or two for each cut through a file, and any other join
+    would deal the rows anew.
+    """
+    spark, v = text.sparkSession, F.col("value")
+    states = F.broadcast(_states(text))
+
+    @F.arrow_udf("struct<lane int, link string>")
+    def walk(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        at, along = None, None
+        for files, blocks, rows, codes, states in batches:
+            lanes, links = [], []
+            f, b, codes = files.to_numpy(), blocks.to_numpy(), codes.to_pylist()
+            cuts = (((f[1:] != f[:-1]) | (b[1:] != b[:-1])).nonzero()[0] + 1).tolist()
+            for lo, hi in zip([0, *cuts], [*cuts, len(codes)] if codes else []):
+                if at != (f[lo], b[lo]):
+                    at = (f[lo], b[lo])
+                    along = Walk(int(b[lo]), states[lo].as_py())
+                along.through(rows[lo].as_py(), codes[lo:hi], lanes, links)
+            yield pa.StructArray.from_arrays([pa.array(lanes, pa.int32()), pa.array(links, pa.string())], ["lane", "link"])
+
+    walk = walk.asNondeterministic()  # it sees every row, whatever is asked for afterwards
+    name = F.col("name")
+    named = _once(text, _name(v).alias("name"))
+    kind = F.when(
+        name != "",
+        _step(v) + 2 + name.isin(*ELEMENT_FIELDS).cast("int") * 4 + name.isin("Workout", "Record").cast("int") * 8 + (name == "Workout").cast("int") * 16,
+    ).otherwise(0)
+    coded = _once(named, (_move(v) + kind * 64).cast("int").alias("code")).join(states, ["file", "block"], "left")
+    told = coded.select(*keys, "file", "block", "row", "value", "name", walk("file", "block", "row", "code", "state").alias("place"))
+    told = told.select(*keys, "file", "block", "row", "value", "name", "place.lane", "place.link")
+    wanted = told.where(((F.col("lane") == Walk.OUTSIDE) & _is_tag(v, "Record")) | (F.col("lane") >= Walk.CHILD))
+    path = scratch_path(spark, "tags")
+    wanted.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(wanted.schema).parquet(path)
 
 
 # ------------------------------------------------------------ attributes
@@ -368,43 +464,55 @@ def _records(rows: DataFrame, keys: list[str]) -> DataFrame:
     return found.select(*_fields(), F.lit("").alias("workout"), "block", "row", kind, *keys, "file")
 
 
-def _inside(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Records, workouts and direct children of workouts among ``rows`` inside workouts. ``outer`` names the
-    outermost workout of a row; depths are running sums along it."""
-    v = F.col("value")
-    name = F.regexp_extract(v, r"^/?([A-Za-z_:][-\w:.]*)", 1)
-    step = F.when(v.startswith("/"), -1).when(_closed(v), 0).otherwise(1)
-    tags = _once(rows, name.alias("name"), step.alias("step")).where(F.col("name") != "")
+def _links(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The open tags among ``rows`` of workouts that splits share (``link`` names the outermost one) that count, and the
+    workout each is a child of as ``link``; depths are running sums along the outermost workout."""
+    v, name = F.col("value"), F.col("name")
+    tags = _once(rows.where(name != ""), _step(v).alias("step"))
     along = Window.partitionBy("file", "outer").orderBy("block", "row").rowsBetween(Window.unboundedPreceding, 0)
-    tags = tags.withColumn("depth", F.sum("step").over(along) - F.col("step")).where("step >= 0")
+    tags = tags.withColumnRenamed("link", "outer").withColumn("depth", F.sum("step").over(along) - F.col("step")).where("step >= 0")
     # an open element is the parent of what follows one level deeper, up to the next one of its level
-    own = F.concat_ws(":", "block", "row")
-    parent = F.when(F.col("name") == "Workout", own).otherwise("")
-    is_child = F.col("name").isin(*ELEMENT_FIELDS)
+    parent = F.when(name == "Workout", F.concat_ws(":", "block", "row")).otherwise("")
     none = F.lit(None).cast("string")
     roles = F.array_compact(
         F.array(
-            F.when(is_child, F.struct(F.col("depth").alias("level"), none.alias("opens"), v.alias("text"))),
+            F.when(name.isin(*ELEMENT_FIELDS), F.struct(F.col("depth").alias("level"), none.alias("opens"), v.alias("text"))),
             F.when(F.col("step") == 1, F.struct((F.col("depth") + 1).alias("level"), parent.alias("opens"), none.alias("text"))),
         )
     )
     met = tags.select(*keys, "file", "block", "row", "outer", "name", F.inline(roles))
     level = Window.partitionBy("file", "outer", "level").orderBy("block", "row", F.col("opens").isNotNull())
     level = level.rowsBetween(Window.unboundedPreceding, 0)
-    met = met.withColumn("within", F.coalesce(F.last("opens", ignorenulls=True).over(level), F.lit("")))
-    wanted = F.col("name").isin("Workout", "Record") | (F.col("within") != "")
-    met = met.where(F.col("opens").isNull() & wanted).withColumnRenamed("text", "value")
-    found = _with_fields(met, F.col("name"), list(ELEMENT_FIELDS), [*keys, "file", "block", "row", "value", "name", "within"])
+    met = met.withColumn("link", F.coalesce(F.last("opens", ignorenulls=True).over(level), F.lit("")))
+    wanted = name.isin("Workout", "Record") | (F.col("link") != "")
+    return met.where(F.col("opens").isNull() & wanted).withColumnRenamed("text", "value")
+
+
+def _inside(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Records, workouts and direct children of workouts: ``rows`` are those in workouts, ``link`` the workout that
+    each is a child of, if any."""
+    found = _with_fields(rows, F.col("name"), list(ELEMENT_FIELDS), [*keys, "file", "block", "row", "value", "name", "link"])
     kinds = F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair])
     well = F.when(F.col("name") == "Record", "nested").otherwise(kinds[F.col("name")])
     ill = F.concat(F.lit("malformed_"), F.coalesce(kinds[F.col("name")], F.lit("record")))
-    workout = F.when(F.col("name") == "Workout", own).otherwise(F.col("within")).alias("workout")
+    workout = F.when(F.col("name") == "Workout", F.concat_ws(":", "block", "row")).otherwise(F.col("link")).alias("workout")
     return found.select(*_fields(), workout, "block", "row", F.when(F.col("good"), well).otherwise(ill).alias("kind"), *keys, "file")
 
 
 # ------------------------------------------------------------ the scan
 
 
+def _lanes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The elements outside workouts (records), and those inside."""
+    text = _text(_scan_session(spark), path)
+    keys = _keys(text, {"file", "block", "row", "value"})
+    tags = _placed(text, keys)
+    columns = [*keys, "file", "block", "row", "value", "name", "link"]
+    of = {lane: tags.where(F.col("lane") == lane).select(*columns) for lane in (Walk.OUTSIDE, Walk.CHILD, Walk.CROSSING)}
+    inside = of[Walk.CHILD].unionByName(_links(of[Walk.CROSSING], keys).select(*columns))
+    return _records(of[Walk.OUTSIDE], keys), _inside(inside, keys)
+
+
 def scan_elements(spark: SparkSession, path: str) -> DataFrame:
     """Every record, workout, and child of a workout.
 
@@ -412,18 +520,10 @@ def scan_elements(spark: SparkSession, path: str) -> DataFrame:
     depth), ``workout``, ``metadata`` or ``statistics`` (direct children of a workout), or
     one of these four that is ``malformed_`` (``value`` is then the text as it stands).
     ``workout`` names the workout within its file, ``block`` and ``row`` the place. The
-    spans of rows inside something are found first, by a job of its own.
+    rows that elements come from are placed first, by jobs of their own.
     """
-    text = _text(_scan_session(spark), path)
-    keys = _keys(text, {"file", "block", "row", "value"})
-    spans = _spans(text)
-    placed = text.withColumn("bucket", F.shiftright("row", BUCKET_BITS))
-    columns = [*keys, "file", "block", "row", "value"]
-    candidates = placed.where(_is_tag(F.col("value"), "Record")).join(spans, "bucket", "left")
-    outside = candidates.where(_span(F.col("row")).isNull()).select(*columns)
-    inner = placed.join(spans.where(F.exists("spans", lambda s: s["outer"].isNotNull())), "bucket")
-    inside = inner.select(*columns, _span(F.col("row"))["outer"].alias("outer")).where(F.col("outer").isNotNull())
-    return _records(outside, keys).unionByName(_inside(inside, keys))
+    outside, inside = _lanes(spark, path)
+    return outside.unionByName(inside)
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -493,7 +593,7 @@ def scan_records(spark: SparkSession, path: str, mode: str = "split") -> DataFra
 
 def scan_workouts(spark: SparkSession, path: str) -> DataFrame:
     """Every well-formed ``<Workout>`` with its attributes and child arrays."""
-    return workouts_of(scan_elements(spark, path))
+    return workouts_of(_lanes(spark, path)[1])
 
 
 def read_export(spark: SparkSession, path: str, mode: str = "split") -> tuple[DataFrame, DataFrame]:
@@ -503,7 +603,7 @@ def read_export(spark: SparkSession, path: str, mode: str = "split") -> tuple[Da
     inside workouts are taken off as a multiset difference. A missing path raises
     ``FileNotFoundError``.
     """
-    elements = scan_elements(spark, path)
+    outside, inside = _lanes(spark, path)
     if mode == "dom":
-        return scan_records(spark, path, "dom").exceptAll(records_of(elements, ("nested",))), workouts_of(elements)
-    return records_of(elements), workouts_of(elements)
+        return scan_records(spark, path, "dom").exceptAll(records_of(inside, ("nested",))), workouts_of(inside)
+    return records_of(outside), workouts_of(inside)
