@@ -34,11 +34,18 @@ def zero_counters(entities: DataFrame, names: list[str], keys: tuple[str, ...])
 
 
 def merge_counters(stages: list[DataFrame], keys: tuple[str, ...] = ()) -> DataFrame:
-    """Counters of all stages; a later stage wins when it reports the same name."""
+    """Counters of all stages; a later stage wins when it reports the same name.
+
+    With keys the rows are dealt by entity before they are grouped, in as many parts as the session shuffles
+    into: a stage has hardly two rows of one entity and counter, so grouping them in front of the shuffle saves
+    nothing and holds every row of a task in memory.
+    """
     u = None
     for i, s in enumerate(stages):
         s = s.select(*keys, "counter", "value", F.lit(i).alias("_stage"))
         u = s if u is None else u.unionByName(s)
+    if keys:
+        u = u.repartition(int(u.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
     return u.groupBy(*keys, "counter").agg(F.max_by("value", "_stage").alias("value"))
 
 
