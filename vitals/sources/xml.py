@@ -34,6 +34,7 @@ from collections.abc import Iterator
 from functools import reduce
 from urllib.parse import unquote
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -313,41 +314,47 @@ class Walk:
         self.shared = {begin.get("outer"), begin.get("leaves")}
         self.outer, self.depth, self.parents = None, 0, {}
 
-    def through(self, first: int, codes: list[int], lanes: list, links: list) -> None:
-        """Goes on by rows numbered from ``first`` on, whose ``codes`` are known; adds to ``lanes`` and ``links``."""
-        moves = [(first + i, ACTIONS[c & 7], c >> 3 & 7) for i, c in enumerate(codes) if c & 63]
-        own_lanes, own_links = [self.OUTSIDE] * len(codes), [None] * len(codes)
+    def through(self, first: int, codes: np.ndarray) -> tuple[np.ndarray, list | None]:
+        """Goes on by rows numbered from ``first`` on, whose ``codes`` are known: their lanes, and links if any."""
+        lanes, links = np.zeros(len(codes), "int32"), None
+        at = (codes & 63).nonzero()[0]
+        moves = [(first + i, ACTIONS[c & 7], c >> 3 & 7) for i, c in zip(at.tolist(), codes[at].tolist())]
         for lo, hi, outer in spans_of(self.block, first, first + len(codes) - 1, moves, self.mode, self.stack):
-            lo, hi = lo - first, hi - first + 1
+            lo, hi, links = lo - first, hi - first + 1, links or [None] * len(codes)
             if outer is None:
-                own_lanes[lo:hi] = [self.NO_MARKUP] * (hi - lo)
+                lanes[lo:hi] = self.NO_MARKUP
             elif outer in self.shared:
-                own_lanes[lo:hi], own_links[lo:hi] = [self.CROSSING] * (hi - lo), [outer] * (hi - lo)
+                lanes[lo:hi], links[lo:hi] = self.CROSSING, [outer] * (hi - lo)
             else:
-                self._inside(outer, first, lo, hi, codes, own_lanes, own_links)
-        lanes += own_lanes
-        links += own_links
+                lanes[lo:hi] = self._inside(outer, first + lo, codes[lo:hi].tolist(), links, lo)
         self.mode, self.stack = run_of(self.block, moves, self.mode).after_one(self.stack)
+        return lanes, links
 
-    def _inside(self, outer: str, first: int, lo: int, hi: int, codes: list[int], lanes: list, links: list) -> None:
+    def _inside(self, outer: str, first: int, codes: list[int], links: list, lo: int) -> list[int]:
+        """The lanes of rows of one workout; their links go to ``links`` from ``lo`` on."""
         if outer != self.outer:
             self.outer, self.depth, self.parents = outer, 0, {}
-        for i in range(lo, hi):
-            lanes[i], kind = self.NO_MARKUP, codes[i] >> 6
+        lanes = [self.NO_MARKUP] * len(codes)
+        for i, code in enumerate(codes):
+            kind = code >> 6
             if not kind:
                 continue
             step = (kind & 3) - 2
             if step >= 0 and kind & 4:
                 parent = self.parents.get(self.depth, "")
                 if parent or kind & 8:
-                    lanes[i], links[i] = self.CHILD, parent
+                    lanes[i], links[lo + i] = self.CHILD, parent
             if step > 0:  # the parent of what follows one level deeper, up to the next one of its level
                 self.parents[self.depth + 1] = f"{self.block}:{first + i}" if kind & 16 else ""
             self.depth += step
+        return lanes
 
 
 def _name(v: Column) -> Column:
-    return F.regexp_extract(v, r"^/?([A-Za-z_:][-\w:.]*)", 1)
+    out = F.regexp_extract(v, r"^/?([A-Za-z_:][-\w:.]*)", 1)
+    for element in ELEMENT_FIELDS:  # most rows
+        out = F.when(v.startswith(f"{element} "), element).otherwise(out)
+    return out
 
 
 def _step(v: Column) -> Column:
@@ -369,15 +376,17 @@ def _placed(text: DataFrame, keys: list[str]) -> DataFrame:
     def walk(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         at, along = None, None
         for files, blocks, rows, codes, states in batches:
-            lanes, links = [], []
-            f, b, codes = files.to_numpy(), blocks.to_numpy(), codes.to_pylist()
+            f, b, codes = files.to_numpy(), blocks.to_numpy(), codes.to_numpy()
             cuts = (((f[1:] != f[:-1]) | (b[1:] != b[:-1])).nonzero()[0] + 1).tolist()
-            for lo, hi in zip([0, *cuts], [*cuts, len(codes)] if codes else []):
+            lanes, links = [np.zeros(0, "int32")], [pa.nulls(0, pa.string())]
+            for lo, hi in zip([0, *cuts], [*cuts, len(codes)] if len(codes) else []):
                 if at != (f[lo], b[lo]):
                     at = (f[lo], b[lo])
                     along = Walk(int(b[lo]), states[lo].as_py())
-                along.through(rows[lo].as_py(), codes[lo:hi], lanes, links)
-            yield pa.StructArray.from_arrays([pa.array(lanes, pa.int32()), pa.array(links, pa.string())], ["lane", "link"])
+                own, linked = along.through(rows[lo].as_py(), codes[lo:hi])
+                lanes.append(own)
+                links.append(pa.nulls(hi - lo, pa.string()) if linked is None else pa.array(linked, pa.string()))
+            yield pa.StructArray.from_arrays([pa.array(np.concatenate(lanes)), pa.concat_arrays(links)], ["lane", "link"])
 
     walk = walk.asNondeterministic()  # it sees every row, whatever is asked for afterwards
     name = F.col("name")
