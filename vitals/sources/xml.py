@@ -362,9 +362,10 @@ def _step(v: Column) -> Column:
     return F.when(v.startswith("/"), -1).when(_closed(v), 0).otherwise(1)
 
 
-def _placed(text: DataFrame, keys: list[str]) -> DataFrame:
+def _placed(text: DataFrame, keys: list[str], outside: bool) -> DataFrame:
     """The rows of ``text`` that elements come from, with their ``lane`` and ``link`` (``Walk``): written once to the
-    shared folder. Rows stay in the tasks that read them, in their order; Python gets their numbers, no text.
+    shared folder, those outside workouts only if asked for. Rows stay in the tasks that read them, in their order;
+    Python gets their numbers, no text.
 
     The states are joined by broadcast: a row or two for each cut through a file, and any other join
     would deal the rows anew.
@@ -398,7 +399,10 @@ def _placed(text: DataFrame, keys: list[str]) -> DataFrame:
     coded = _once(named, (_move(v) + kind * 64).cast("int").alias("code")).join(states, ["file", "block"], "left")
     told = coded.select(*keys, "file", "block", "row", "value", "name", walk("file", "block", "row", "code", "state").alias("place"))
     told = told.select(*keys, "file", "block", "row", "value", "name", "place.lane", "place.link")
-    wanted = told.where(((F.col("lane") == Walk.OUTSIDE) & _is_tag(v, "Record")) | (F.col("lane") >= Walk.CHILD))
+    wanted = F.col("lane") >= Walk.CHILD
+    if outside:
+        wanted = wanted | ((F.col("lane") == Walk.OUTSIDE) & _is_tag(v, "Record"))
+    wanted = told.where(wanted)
     path = scratch_path(spark, "tags")
     wanted.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(wanted.schema).parquet(path)
@@ -511,15 +515,21 @@ def _inside(rows: DataFrame, keys: list[str]) -> DataFrame:
 # ------------------------------------------------------------ the scan
 
 
-def _lanes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """The elements outside workouts (records), and those inside."""
+def _rows(spark: SparkSession, path: str, outside: bool) -> tuple[list[str], DataFrame, DataFrame]:
+    """The keys, and the rows of elements outside workouts (records; none if not asked for) and inside."""
     text = _text(_scan_session(spark), path)
     keys = _keys(text, {"file", "block", "row", "value"})
-    tags = _placed(text, keys)
+    tags = _placed(text, keys, outside)
     columns = [*keys, "file", "block", "row", "value", "name", "link"]
     of = {lane: tags.where(F.col("lane") == lane).select(*columns) for lane in (Walk.OUTSIDE, Walk.CHILD, Walk.CROSSING)}
     inside = of[Walk.CHILD].unionByName(_links(of[Walk.CROSSING], keys).select(*columns))
-    return _records(of[Walk.OUTSIDE], keys), _inside(inside, keys)
+    return keys, of[Walk.OUTSIDE], inside
+
+
+def _lanes(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The elements outside workouts (records), and those inside."""
+    keys, outside, inside = _rows(spark, path, outside=True)
+    return _records(outside, keys), _inside(inside, keys)
 
 
 def scan_elements(spark: SparkSession, path: str) -> DataFrame:
@@ -602,7 +612,23 @@ def scan_records(spark: SparkSession, path: str, mode: str = "split") -> DataFra
 
 def scan_workouts(spark: SparkSession, path: str) -> DataFrame:
     """Every well-formed ``<Workout>`` with its attributes and child arrays."""
-    return workouts_of(_lanes(spark, path)[1])
+    keys, _, inside = _rows(spark, path, outside=False)
+    return workouts_of(_inside(inside, keys))
+
+
+def _difference(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """``rows`` less ``gone``, a part of them, as multisets.
+
+    Rows are told by a hash of all columns. Those whose hash ``gone`` does not have stay as they are: they stream past
+    the hashes of ``gone``, so no task holds or sorts them. The others, few if ``gone`` is small, are
+    counted in full, so a hash that two rows share costs time only. Both joins read one shuffle of ``rows``.
+    """
+    mark = F.xxhash64(*rows.columns).alias("mark")
+    marked = rows.select("*", mark)
+    known = gone.select(mark).distinct().hint("shuffle_hash")
+    other = marked.join(known, "mark", "left_anti").select(*rows.columns)
+    alike = marked.join(known, "mark", "left_semi").select(*rows.columns)
+    return other.unionByName(alike.exceptAll(gone.select(*rows.columns)))
 
 
 def read_export(spark: SparkSession, path: str, mode: str = "split") -> tuple[DataFrame, DataFrame]:
@@ -612,7 +638,9 @@ def read_export(spark: SparkSession, path: str, mode: str = "split") -> tuple[Da
     inside workouts are taken off as a multiset difference. A missing path raises
     ``FileNotFoundError``.
     """
-    outside, inside = _lanes(spark, path)
     if mode == "dom":
-        return scan_records(spark, path, "dom").exceptAll(records_of(inside, ("nested",))), workouts_of(inside)
+        keys, _, inside = _rows(spark, path, outside=False)
+        nested = _inside(inside.where(F.col("name") == "Record"), keys)  # other elements are not parsed for it
+        return _difference(scan_records(spark, path, "dom"), records_of(nested, ("nested",))), workouts_of(_inside(inside, keys))
+    outside, inside = _lanes(spark, path)
     return records_of(outside), workouts_of(inside)
