@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitals.config import MetricConfig
-from vitals.functions.parse import parse_double
+from vitals.functions.parse import once, parse_double
 from vitals.schemas import WORKOUT_FIELDS, XML_WORKOUT
 
 _STATS = XML_WORKOUT["WorkoutStatistics"].dataType
@@ -34,15 +34,16 @@ def flatten_workouts(workouts: DataFrame, cfg: MetricConfig, keys: tuple[str, ..
     distance = _sum_of(stats, lambda t: t.startswith(cfg.distance_prefix))
     indoor = F.try_element_at(F.filter(meta, lambda m: m["_key"] == F.lit(cfg.indoor_key)), F.lit(-1))["_value"]
     as_text = lambda x: F.when(x != 0, x.cast("string"))
-    out = workouts.select(
+    summed = workouts.select("*", once(energy.alias("_energy"), distance.alias("_distance")))
+    out = summed.select(
         *keys,
         F.col("_workoutActivityType").alias("activity_type"),
         F.col("_sourceName").alias("source_name"),
         F.col("_duration").alias("duration_min"),
         F.col("_startDate").alias("start_date"),
         F.col("_endDate").alias("end_date"),
-        as_text(energy).alias("active_energy_kcal"),
-        as_text(distance).alias("distance_km"),
+        as_text(F.col("_energy")).alias("active_energy_kcal"),
+        as_text(F.col("_distance")).alias("distance_km"),
         indoor.alias("indoor"),
     )
     return out.select(*keys, *WORKOUT_FIELDS)

@@ -76,13 +76,15 @@ def reject_counts_from_quarantine(quarantined: DataFrame, keys: tuple[str, ...]
 def quarantine(bronze: DataFrame, cfg: MetricConfig, keys: tuple[str, ...] = ()) -> DataFrame:
     """The rejected quantity rows themselves, with an array of reasons."""
     q = _quantity_rows(bronze, cfg, keys)
-    reasons = F.array_compact(
-        F.array(
-            F.when(parse_double("value").isNull(), F.lit("invalid_numeric_value")),
-            F.when(parse_instant("start_date").isNull(), F.lit("invalid_timestamp")),
-        )
-    )
-    return q.select(*bronze.columns, once(reasons.alias("reasons"))).where(F.size("reasons") > 0)
+    found = {
+        "invalid_numeric_value": parse_double("value").isNull(),
+        "invalid_timestamp": parse_instant("start_date").isNull(),
+    }
+    told = q.select(*bronze.columns, once(*[bad.alias(f"_{reason}") for reason, bad in found.items()]))
+    rejected = told.where(F.col("_invalid_numeric_value") | F.col("_invalid_timestamp"))
+    # the array is made for rejected rows only: it is a function of higher order, which is interpreted
+    reasons = F.array_compact(F.array(*[F.when(F.col(f"_{reason}"), F.lit(reason)) for reason in found]))
+    return rejected.select(*bronze.columns, reasons.alias("reasons"))
 
 
 def clean_intervals(bronze: DataFrame, cfg: MetricConfig, keys: tuple[str, ...] = ()) -> DataFrame:

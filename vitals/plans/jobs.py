@@ -37,6 +37,8 @@ from vitals.sources import xml
 log = logging.getLogger("vitals.jobs")
 # independent table writes submitted at once
 WRITE_THREADS = 4
+# bytes of a row group in partitioned tables
+ROW_GROUP = 32 << 20
 
 GOLD_TABLES = (
     "gold_daily_activity",
@@ -75,7 +77,8 @@ def _write(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None
     t0 = time.perf_counter()
     w = df.write.mode("overwrite").option("compression", "zstd")
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        # a task has a writer for each folder open: small row groups bound what they hold
+        w = w.partitionBy(*partition_by).option("parquet.block.size", ROW_GROUP)
     w.parquet(path)
     log.info("wrote %s in %.2fs", path.rsplit("/", 2)[-2:], time.perf_counter() - t0)
 

@@ -19,6 +19,8 @@ PLAN_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # rows go to a few partition folders at once, without a sort (more folders: sorted as before)
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 

@@ -63,6 +63,17 @@ KINDS = {"Workout": "workout", "MetadataEntry": "metadata", "WorkoutStatistics":
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder of a key without a value
 GROUP_SPLITS = 256  # splits of a file that are combined together
 
+# Attributes that exports have besides (HealthKit's DTD); others may be there too
+OTHER_ATTRIBUTES = {
+    "Record": ("sourceVersion", "device"),
+    "Workout": (
+        "totalDistance", "totalDistanceUnit", "totalEnergyBurned", "totalEnergyBurnedUnit", "sourceVersion", "device",
+        "creationDate",
+    ),
+    "MetadataEntry": (),
+    "WorkoutStatistics": ("startDate", "endDate", "average", "minimum", "maximum", "unit"),
+}
+
 # A tag up to its end, with quotes closed; the second group is its attributes
 TAG = r"""^([^\s/>"']+)((?:[^"'>/]++|/(?!>)|"[^"]*+"|'[^']*+')*+)/?>"""
 CLOSED_TAG = r"""^(?:[^"'>/]++|/(?!>)|"[^"]*+"|'[^']*+')*+/>"""
@@ -236,32 +247,41 @@ def _text(spark: SparkSession, path: str) -> DataFrame:
     return chunks.select(*[F.col(k).cast("string").alias(k) for k in keys], *place, row, "value")
 
 
-def _closed(value: Column) -> Column:
-    """Whether an open tag closes itself."""
-    single = F.length(value) - F.length(F.replace(value, F.lit(">"), F.lit(""))) == 1
+def _cut(value: Column) -> Column:
+    """The pieces of a row between its ``>``: two for nearly all tags, and then the end of the first one tells
+    how the tag ends, without another search along the row."""
+    return F.split(value, ">")
+
+
+def _closed(value: Column, cut: Column) -> Column:
+    """Whether an open tag closes itself; ``cut`` is its ``_cut``."""
     loose = ~value.rlike(TAG) & value.rlike("^[^>]*/>")  # quotes that do not match: up to the first >
-    return F.when(single, value.contains("/>")).otherwise(value.rlike(CLOSED_TAG) | loose)
+    return F.when(F.size(cut) == 2, F.get(cut, F.lit(0)).endswith("/")).otherwise(value.rlike(CLOSED_TAG) | loose)
 
 
 def _is_tag(value: Column, name: str) -> Column:
     return value.startswith(name) & value.rlike(rf"^{name}(?:[\s/>]|$)")
 
 
-def _move(v: Column) -> Column:
+def _move(v: Column, cut: Column) -> Column:
     """The action of a row on the state and the ends in it, as one number (``unpacked`` without the row)."""
+    first = F.get(cut, F.lit(0))
 
     def begins(start: str, end: str, mode: str) -> Column:
         return F.when(F.substr(v, F.lit(len(start) + 1)).contains(end), "-").otherwise(mode)
 
+    def has(end: str) -> Column:
+        return F.when(F.size(cut) == 2, first.endswith(end[:-1])).otherwise(v.contains(end)).cast("int")
+
     action = (
         F.when(v.startswith("!--"), begins("!--", "-->", "C"))
         .when(v.startswith("![CDATA["), begins("![CDATA[", "]]>", "D"))
         .when(v.startswith("?"), begins("?", "?>", "P"))
-        .when(_is_tag(v, "Workout"), F.when(_closed(v), "w").otherwise("W"))
+        .when(_is_tag(v, "Workout"), F.when(_closed(v, cut), "w").otherwise("W"))
         .when(v.startswith("/Workout") & v.rlike(r"^/Workout\s*(?:>|$)"), "x")
         .otherwise("-")
     )
-    ends = v.contains("-->").cast("int") + v.contains("]]>").cast("int") * 2 + v.contains("?>").cast("int") * 4
+    ends = has("-->") + has("]]>") * 2 + has("?>") * 4
     return F.instr(F.lit(ACTIONS), action) - 1 + F.lit(8) * ends
 
 
@@ -269,7 +289,9 @@ def _states(text: DataFrame) -> DataFrame:
     """``state`` (text) of the splits of ``text`` that begin inside something, or that leave open a workout which a
     later split begins in: a row or two for each place where a file is cut. See ``Walk``."""
     spark = text.sparkSession
-    told = text.select("file", "block", "row", F.inline(F.array(F.struct(_move(F.col("value")).alias("code")))))
+    v, cut = F.col("value"), F.col("cut")
+    told = _once(text.select("file", "block", "row", "value"), _cut(v).alias("cut")).select("file", "block", "row", _move(v, cut).alias("code"))
+    told = told.select("file", "block", "row", F.inline(F.array(F.struct("code"))))
     move = F.when(F.col("code") > 0, F.shiftleft("row", 6) + F.col("code"))
     splits = told.groupBy("file", "block").agg(F.sort_array(F.collect_list(move)).alias("moves"))
     path = scratch_path(spark, "splits")
@@ -357,9 +379,9 @@ def _name(v: Column) -> Column:
     return out
 
 
-def _step(v: Column) -> Column:
+def _step(v: Column, cut: Column) -> Column:
     """What a tag does to the depth."""
-    return F.when(v.startswith("/"), -1).when(_closed(v), 0).otherwise(1)
+    return F.when(v.startswith("/"), -1).when(_closed(v, cut), 0).otherwise(1)
 
 
 def _placed(text: DataFrame, keys: list[str], outside: bool) -> DataFrame:
@@ -391,12 +413,13 @@ def _placed(text: DataFrame, keys: list[str], outside: bool) -> DataFrame:
 
     walk = walk.asNondeterministic()  # it sees every row, whatever is asked for afterwards
     name = F.col("name")
-    named = _once(text, _name(v).alias("name"))
+    cut = F.col("cut")
+    named = _once(text, _name(v).alias("name"), _cut(v).alias("cut"))
     kind = F.when(
         name != "",
-        _step(v) + 2 + name.isin(*ELEMENT_FIELDS).cast("int") * 4 + name.isin("Workout", "Record").cast("int") * 8 + (name == "Workout").cast("int") * 16,
+        _step(v, cut) + 2 + name.isin(*ELEMENT_FIELDS).cast("int") * 4 + name.isin("Workout", "Record").cast("int") * 8 + (name == "Workout").cast("int") * 16,
     ).otherwise(0)
-    coded = _once(named, (_move(v) + kind * 64).cast("int").alias("code")).join(states, ["file", "block"], "left")
+    coded = _once(named, (_move(v, cut) + kind * 64).cast("int").alias("code")).join(states, ["file", "block"], "left")
     told = coded.select(*keys, "file", "block", "row", "value", "name", walk("file", "block", "row", "code", "state").alias("place"))
     told = told.select(*keys, "file", "block", "row", "value", "name", "place.lane", "place.link")
     wanted = F.col("lane") >= Walk.CHILD
@@ -423,6 +446,32 @@ def _once(rows: DataFrame, *columns: Column) -> DataFrame:
     return rows.select("*", F.inline(F.array(F.struct(*columns))))
 
 
+def _usual(rows: DataFrame, name: Column, elements: list[str], places) -> tuple[DataFrame, dict[str, Column]]:
+    """``rows`` with ``body`` (the tag behind its name) and ``usual``, and the values of the fields where that is true: the
+    tag reads as ``PLAIN_TAG`` says, its names are known ones and no two are alike. Pieces cut at ``>`` and ``"`` tell it."""
+    # by bytes: names are ASCII
+    body = F.substr(F.col("value").cast("binary"), F.octet_length(name) + 1).cast("string")
+    rows = _once(rows, body.alias("body"))
+    rows = _once(rows, _cut(F.col("body")).alias("cut"))
+    head, behind, parts = F.get("cut", F.lit(0)), F.get("cut", F.lit(1)), F.col("parts")
+    rows = _once(rows, F.when(F.size("cut") == 2, F.split(head, '"')).alias("parts"))
+
+    def others(element: str) -> Column:
+        return sum((F.array_position(parts, f" {a}=") % 2 for a in OTHER_ATTRIBUTES[element]), F.lit(0).cast("bigint"))
+
+    more = others(elements[-1])
+    for element in elements[:-1]:
+        more = F.when(name == element, others(element)).otherwise(more)
+    rows = _once(rows, F.coalesce(more, F.lit(0)).cast("int").alias("more"), *[x.alias(f"place_{f}") for f, x in places("parts").items()])
+    # each known name counts once, and only at a place of names: all such places are taken by names that differ
+    known = sum((F.col(f"place_{f}") % 2 for f in RECORD_FIELDS), F.col("more"))
+    usual = (F.size("cut") == 2) & (known * 2 + 1 == F.size(parts)) & F.get(parts, F.size(parts) - 1).isin("", " ", "/", " /")
+    usual = usual & ~behind.contains('"') & ~head.rlike("[\t\n\r]")
+    usual = usual & ~(F.col("body").contains("&") & F.col("body").rlike(ODD_REFERENCE))
+    values = {f: F.when(F.col(f"place_{f}") % 2 == 1, F.get(parts, F.col(f"place_{f}"))) for f in RECORD_FIELDS}
+    return _once(rows, F.coalesce(usual, F.lit(False)).alias("usual")), values
+
+
 def _with_fields(rows: DataFrame, name: Column, elements: list[str], keep: list[str]) -> DataFrame:
     """``keep``, the record fields of the open tag ``value`` of the element ``name``, one of ``elements``, and
     ``good``: the tag is well-formed (the fields are NULL if not)."""
@@ -436,22 +485,23 @@ def _with_fields(rows: DataFrame, name: Column, elements: list[str], keep: list[
                     out = pick(around.format(a)) if len(elements) == 1 else F.when(name == element, pick(around.format(a))).otherwise(out)
         return out
 
-    body = F.substr(F.col("value"), F.length(name) + 1)
-    body = F.when(body.rlike(LEADING), F.regexp_replace(body, LEADING, " ")).otherwise(body)  # a line break behind the name
-    rows = _once(rows, body.alias("body"))
-    rows = _once(rows, F.split("body", '"').alias("pieces"), F.regexp_extract_all("body", F.lit(NAME), F.lit(1)).alias("names"))
-    pieces, names = F.col("pieces"), F.col("names")
-    at = {f: F.array_position(pieces, attribute_of(f, " {}=", F.lit)) for f in RECORD_FIELDS}
-    plain = F.col("body").rlike(PLAIN_TAG) & (F.size(F.array_distinct(names)) == F.size(names))
-    plain = plain & ~(F.col("body").contains("&") & F.col("body").rlike(ODD_REFERENCE))
-    # the value behind a name: pieces are name, value, name, value ...
-    rows = _once(rows, plain.alias("plain"), *[x.cast("int").alias(f"at_{f}") for f, x in at.items()])
+    def places(of: str) -> dict[str, Column]:
+        """Where the names of the fields stand in the pieces ``of`` (name, value, name, value ...), from 1 on; 0: nowhere."""
+        return {f: F.coalesce(F.array_position(of, attribute_of(f, " {}=", F.lit)), F.lit(0)).cast("int") for f in RECORD_FIELDS}
+
+    rows, usual = _usual(rows, name, elements, places)
+    # the others, by regular expressions
+    rest = F.when(~F.col("usual"), F.when(F.col("body").rlike(LEADING), F.regexp_replace("body", LEADING, " ")).otherwise(F.col("body")))
+    rows = _once(rows, rest.alias("rest"))  # a line break behind the name
+    rows = _once(rows, F.split("rest", '"').alias("pieces"), F.regexp_extract_all("rest", F.lit(NAME), F.lit(1)).alias("names"))
+    names = F.col("names")
+    plain = F.col("rest").rlike(PLAIN_TAG) & (F.size(F.array_distinct(names)) == F.size(names))
+    plain = plain & ~(F.col("rest").contains("&") & F.col("rest").rlike(ODD_REFERENCE))
+    rows = _once(rows, plain.alias("distinct"), *[F.when(~F.col("usual"), x).alias(f"at_{f}") for f, x in places("pieces").items()])
     # a value that reads like a name (an even place) is not told from it here
-    own = [F.coalesce(F.col(f"at_{f}"), F.lit(0)) for f in RECORD_FIELDS]
-    odd = reduce(Column.__or__, [(x > 0) & (x % 2 == 0) for x in own])
-    rows = _once(rows, (F.col("plain") & ~odd).alias("is_plain"), *[F.get(pieces, F.col(f"at_{f}")).alias(f"raw_{f}") for f in RECORD_FIELDS])
-    rows = rows.drop("plain").withColumnRenamed("is_plain", "plain")
-    found_none = {f: F.coalesce(F.col(f"at_{f}"), F.lit(0)) == 0 for f in RECORD_FIELDS}
+    odd = reduce(Column.__or__, [(F.col(f"at_{f}") > 0) & (F.col(f"at_{f}") % 2 == 0) for f in RECORD_FIELDS])
+    raw = {f: F.when(F.col("usual"), usual[f]).when(F.col(f"at_{f}") > 0, F.get("pieces", F.col(f"at_{f}"))) for f in RECORD_FIELDS}
+    rows = _once(rows, (F.col("usual") | (F.col("distinct") & ~odd)).alias("plain"), *[x.alias(f"raw_{f}") for f, x in raw.items()])
     attributes = sorted({a for element in elements for a in ELEMENT_FIELDS[element]})
     schema = ", ".join([*(f"_{a} string" for a in attributes), f"{CORRUPT} string"])
     tag = F.concat(F.lit("<E"), F.regexp_extract("value", TAG, 2), F.lit("/>"))
@@ -459,7 +509,7 @@ def _with_fields(rows: DataFrame, name: Column, elements: list[str], keep: list[
     well = F.col("parsed").isNotNull() & F.col(f"parsed.{CORRUPT}").isNull()
     read = {f: F.when(well, attribute_of(f, "_{}", lambda a: F.col(f"parsed.{a}"))) for f in RECORD_FIELDS}
     fields = [
-        F.when(F.col("plain"), F.when(~found_none[f], _decoded(F.col(f"raw_{f}")))).otherwise(read[f]).alias(f"field_{f}") for f in RECORD_FIELDS
+        F.when(F.col("plain"), _decoded(F.col(f"raw_{f}"))).otherwise(read[f]).alias(f"field_{f}") for f in RECORD_FIELDS
     ]
     return rows.select(*keep, *fields, (F.col("plain") | well).alias("good"))
 
@@ -481,7 +531,7 @@ def _links(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The open tags among ``rows`` of workouts that splits share (``link`` names the outermost one) that count, and the
     workout each is a child of as ``link``; depths are running sums along the outermost workout."""
     v, name = F.col("value"), F.col("name")
-    tags = _once(rows.where(name != ""), _step(v).alias("step"))
+    tags = _once(rows.where(name != ""), _step(v, _cut(v)).alias("step"))
     along = Window.partitionBy("file", "outer").orderBy("block", "row").rowsBetween(Window.unboundedPreceding, 0)
     tags = tags.withColumnRenamed("link", "outer").withColumn("depth", F.sum("step").over(along) - F.col("step")).where("step >= 0")
     # an open element is the parent of what follows one level deeper, up to the next one of its level
